@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream source, watermark, stream window or stateful
+operator; its "sliding windows" are training samples (``operators.windows``).
+Nothing is built here, by design.
+"""
