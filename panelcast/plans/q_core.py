@@ -323,15 +323,16 @@ def q_snapshot_lookup(spark, sf):
 
 
 @register("seasonal_naive_cv", PANEL_SQL + ", " + _folds_sql() + f""",
+c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents FROM panel),
 prior AS (SELECT store, dept, CAST(year(date) + 1 AS INTEGER) AS y, CAST(week(date) AS INTEGER) AS wk,
-          AVG(weekly_sales) AS p FROM panel GROUP BY 1, 2, 3, 4),
-val AS (SELECT f.fold, f.val_start, f.val_end, p.is_holiday, p.weekly_sales AS y, r.p
-        FROM panel p JOIN folds f ON p.date BETWEEN f.val_start AND f.val_end
+          AVG(cents) AS p FROM c GROUP BY 1, 2, 3, 4),
+val AS (SELECT f.fold, f.val_start, f.val_end, p.is_holiday, p.cents AS y, r.p
+        FROM c p JOIN folds f ON p.date BETWEEN f.val_start AND f.val_end
         LEFT JOIN prior r ON r.store = p.store AND r.dept = p.dept
              AND r.y = CAST(year(p.date) AS INTEGER) AND r.wk = CAST(week(p.date) AS INTEGER))
 SELECT fold, val_start, val_end, COUNT(*) AS n_val, COUNT(p) AS n_scored, COUNT(*) - COUNT(p) AS n_dropped,
   ROUND(SUM(CASE WHEN p IS NOT NULL THEN {W} * abs(y - p) END)
-        / SUM(CASE WHEN p IS NOT NULL THEN {W} END), 4) AS wmae
+        / SUM(CASE WHEN p IS NOT NULL THEN {W} END) / 100.0, 4) AS wmae
 FROM val GROUP BY 1, 2, 3""", covers="C1 C2 E1 E2 J1 C14 C4 D12 D14")
 def q_seasonal_naive_cv(spark, sf):
     return seasonal_naive_cv(spark, sf)
@@ -340,21 +341,16 @@ def q_seasonal_naive_cv(spark, sf):
 def seasonal_naive_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship (M0): panel -> merge -> series windows -> folds -> prior-year
     value as the forecast -> WMAE per fold, rows without a forecast counted."""
-    m = merged(spark, sf)
+    m = with_cents(merged(spark, sf))
     feats = FE.add_series_window_features(m, lags=(1,), windows=(4,))
-    feats = FE.add_prior_year_sales(feats)
+    # errors on integer cents: exact, order-independent sums
+    feats = FE.add_prior_year_sales(feats, target="cents", out="prior_cents")
     folds = SP.walk_forward_folds(m)
     val = SP.assign_folds(feats, folds).filter(F.col("role") == "val")
-    has = F.col("sales_lag_52wk").isNotNull()
+    has = F.col("prior_cents").isNotNull()
     w = holiday_weight("is_holiday")
-    err = F.abs(F.col("weekly_sales") - F.col("sales_lag_52wk"))
+    err = F.abs(F.col("cents") - F.col("prior_cents"))
     return val.groupBy("fold", "val_start", "val_end").agg(
         F.count(F.lit(1)).alias("n_val"), F.count_if(has).alias("n_scored"),
         F.count_if(~has).alias("n_dropped"),
-        r4(F.sum(F.when(has, w * err)) / F.sum(F.when(has, w)), "wmae"))
-
-
-@register("mean_fold_wmae", None, covers="D14")
-def q_mean_fold_wmae(spark, sf):
-    per = seasonal_naive_cv(spark, sf)
-    return per.agg(r4(F.avg("wmae"), "mean_wmae"), F.count(F.lit(1)).alias("n_folds"))
+        r4(F.sum(F.when(has, w * err)) / F.sum(F.when(has, w)) / 100.0, "wmae"))
