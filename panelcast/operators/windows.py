@@ -19,6 +19,13 @@ def _series_w(keys, date):
     return Window.partitionBy(*keys).orderBy(date)
 
 
+def _window_stats(target: str, frame):
+    # Lookback mean and population std computed by the Window operator itself:
+    # array lambdas then reference plain attributes (an expression referenced
+    # inside a lambda is re-evaluated per element once projections collapse).
+    return [F.avg(target).over(frame).alias("x_mean"), F.stddev_pop(target).over(frame).alias("x_std")]
+
+
 def build_windows(df: DataFrame, lookback: int = 52, horizon: int = 13, val_horizon: int = 13,
                   target: str = "weekly_sales", keys=S.KEYS, date: str = "date") -> DataFrame:
     """I8 (and I10 with ``val_horizon=0``): row-contiguous train windows.
@@ -32,13 +39,15 @@ def build_windows(df: DataFrame, lookback: int = 52, horizon: int = 13, val_hori
     w = _series_w(keys, date)
     rn = F.row_number().over(w)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    x = F.collect_list(target).over(w.rowsBetween(-lookback, -1))
+    fx = w.rowsBetween(-lookback, -1)
+    x = F.collect_list(target).over(fx)
     y = F.collect_list(target).over(w.rowsBetween(0, horizon - 1))
     h = F.collect_list(F.coalesce(F.col("is_holiday"), F.lit(True))).over(w.rowsBetween(0, horizon - 1))
-    t = df.select(*keys, date, rn.alias("_rn"), n.alias("_n"), x.alias("x"), y.alias("y"), h.alias("h"))
+    t = df.select(*keys, date, rn.alias("_rn"), n.alias("_n"), x.alias("x"), y.alias("y"), h.alias("h"),
+                  *_window_stats(target, fx))
     keep = ((F.col("_n") >= lookback + horizon + val_horizon) & (F.col("_rn") > lookback)
             & (F.col("_rn") + horizon - 1 <= F.col("_n") - val_horizon))
-    return t.filter(keep).select(*keys, F.col(date).alias("origin"), "x", "y", "h")
+    return t.filter(keep).select(*keys, F.col(date).alias("origin"), "x", "y", "h", "x_mean", "x_std")
 
 
 def validation_windows(df: DataFrame, lookback: int = 52, horizon: int = 13, val_horizon: int = 13,
@@ -48,13 +57,15 @@ def validation_windows(df: DataFrame, lookback: int = 52, horizon: int = 13, val
     w = _series_w(keys, date)
     rn = F.row_number().over(w)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    x = F.collect_list(target).over(w.rowsBetween(-lookback, -1))
+    fx = w.rowsBetween(-lookback, -1)
+    x = F.collect_list(target).over(fx)
     y = F.collect_list(target).over(w.rowsBetween(0, min(horizon, val_horizon) - 1))
     h = F.collect_list(F.coalesce(F.col("is_holiday"), F.lit(True))).over(
         w.rowsBetween(0, min(horizon, val_horizon) - 1))
-    t = df.select(*keys, date, rn.alias("_rn"), n.alias("_n"), x.alias("x"), y.alias("y"), h.alias("h"))
+    t = df.select(*keys, date, rn.alias("_rn"), n.alias("_n"), x.alias("x"), y.alias("y"), h.alias("h"),
+                  *_window_stats(target, fx))
     keep = (F.col("_n") >= lookback + horizon + val_horizon) & (F.col("_rn") == F.col("_n") - val_horizon + 1)
-    return t.filter(keep).select(*keys, F.col(date).alias("origin"), "x", "y", "h")
+    return t.filter(keep).select(*keys, F.col(date).alias("origin"), "x", "y", "h", "x_mean", "x_std")
 
 
 def tail_rows(df: DataFrame, n_last: int, keys=S.KEYS, date: str = "date") -> DataFrame:
@@ -69,8 +80,10 @@ def inference_windows(df: DataFrame, lookback: int = 52, target: str = "weekly_s
     with the series' last date and length."""
     t = tail_rows(df.select(*keys, date, target), lookback, keys, date)
     g = t.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(date, target))).alias("_s"),
-                             F.max(date).alias("last_date"))
-    return g.select(*keys, "last_date", F.col(f"_s.{target}").alias("x"), F.size("_s").alias("n_x"))
+                             F.max(date).alias("last_date"), F.avg(target).alias("x_mean"),
+                             F.stddev_pop(target).alias("x_std"))
+    return g.select(*keys, "last_date", F.col(f"_s.{target}").alias("x"), F.size("_s").alias("n_x"),
+                    "x_mean", "x_std")
 
 
 def forecast_rows(df: DataFrame, arr: str = "forecast", origin: str = "last_date", step_days: int = 7,
@@ -109,10 +122,15 @@ def array_pop_std(arr: Column) -> Column:
     return F.sqrt(F.aggregate(arr, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)) / F.size(arr))
 
 
-def instance_normalize(arr: Column, eps: float = 1e-6) -> tuple[Column, Column, Column]:
-    """(normalised array, mean, population std + eps) of a window (T4)."""
-    m = array_mean(arr)
-    s = array_pop_std(arr) + F.lit(eps)
+def instance_normalize(arr: Column, mean: Column | None = None, std: Column | None = None,
+                       eps: float = 1e-6) -> tuple[Column, Column, Column]:
+    """(normalised array, mean, population std + eps) of a window (T4).
+
+    Pass the window builders' ``x_mean`` / ``x_std`` columns: statistics given
+    as array expressions are re-evaluated for every element inside the lambda.
+    """
+    m = array_mean(arr) if mean is None else mean
+    s = (array_pop_std(arr) if std is None else std) + F.lit(eps)
     return F.transform(arr, lambda v: (v - m) / s), m, s
 
 

@@ -1 +1,300 @@
-"""Queries: placeholder."""
+"""Model and per-series diagnostic queries.
+
+Model fits have no SQL equivalent: most of these are checked by rows only.
+Closed-form diagnostics (lag-0 Dickey-Fuller, ACF, seasonal decomposition)
+and calendar/sampling operators carry oracle SQL.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.calendar import holiday_frame
+from ..functions.metrics import compare_models, wmae_by
+from ..models import additive as AD
+from ..models import ar as AR
+from ..models import builder as B
+from ..models import diagnostics as DG
+from ..models import linear as LN
+from ..models import trees as T
+from ..operators import fallback as FB
+from ..operators import splits as SP
+from ..operators import windows as WN
+from ..session import ensure_checkpoint_dir
+from ..sources import sinks as SK
+from ..sources import testpanel as TP
+from . import sqlparts as Q
+from .catalog import r4, r4_cols, register
+from .q_core import PANEL_HOLIDAYS, panel
+
+
+def _region(spark, sf):
+    return (TP.sales_panel(spark, sf, "region"), TP.features_table(spark, sf, "region"),
+            TP.stores_table(spark, sf, "region"))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder (never machine-local)."""
+    return os.path.join(ensure_checkpoint_dir(spark), "panelcast", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# ---- trees ----------------------------------------------------------------
+
+@register("encode_categories", None, covers="K1 H16 T21")
+def q_encode(spark, sf):
+    p, f, s = _region(spark, sf)
+    t = B.feature_table(p, f, s)
+    stages = T.encoding_stages(["store", "dept", "type", "size"])
+    m = stages[1].fit(stages[0].transform(t))
+    out = m.transform(stages[0].transform(t))
+    return out.select("store", "dept", "type", "store__idx", "dept__idx", "type__idx").distinct()
+
+
+@register("feature_table_all", None, covers="K3 B15 C11 H12 H2")
+def q_feature_table(spark, sf):
+    p, f, s = _region(spark, sf)
+    return B.feature_table(p, f, s).select("date", *B.ALL_FEATURES)
+
+
+@register("feature_table_pruned", None, covers="B15")
+def q_feature_table_pruned(spark, sf):
+    p, f, s = _region(spark, sf)
+    return B.feature_table(p, f, s).select("date", *B.PRUNED_FEATURES)
+
+
+def _gbt_cv(spark, sf, features):
+    p, f, s = _region(spark, sf)
+    return T.cv_flat(B.feature_table(p, f, s), SP.walk_forward_folds(p), features, T.PRESET_QUICK, parallel=3)
+
+
+@register("gbt_walk_forward_cv", None, covers="K4 K5 K6 D14 T17")
+def q_gbt_cv(spark, sf):
+    scores, _ = _gbt_cv(spark, sf, B.PRUNED_FEATURES)
+    return scores
+
+
+@register("gbt_feature_importance", None, covers="K7 D20 F3")
+def q_gbt_importance(spark, sf):
+    _, imps = _gbt_cv(spark, sf, B.ALL_FEATURES)
+    return imps.orderBy(F.desc("importance"), "feature")
+
+
+@register("gbt_pipeline_newest_fold", None, covers="K2 K9 T8 T13 L5 C6")
+def q_gbt_pipeline(spark, sf):
+    p, f, s = _region(spark, sf)
+    folds = SP.walk_forward_folds(p).orderBy(F.desc("fold")).limit(1)
+    return T.cv_pipeline(p, folds, B.PanelFeatureBuilder(features=f, stores=s), B.PRUNED_FEATURES, T.PRESET_QUICK)
+
+
+@register("gbt_random_search", None, covers="K8 F5 A5")
+def q_gbt_search(spark, sf):
+    p, f, s = _region(spark, sf)
+    trials = T.random_search(B.feature_table(p, f, s), SP.walk_forward_folds(p), B.PRUNED_FEATURES,
+                             n_trials=2, seed=42, parallel=3)
+    log = shared_path(spark, "runlog")
+    SK.log_frame(trials, log, "gbt_search", "metric", "trial", "mean_wmae")
+    return T.best_trial(spark.read.parquet(log).select(F.col("key").cast("int").alias("trial"),
+                                                       F.col("value").alias("mean_wmae"))
+                        .join(trials.select("trial", "params"), "trial"))
+
+
+@register("gbt_forecast_saved_model", None, covers="K10 K11 A6 A3 H10 H5 L6")
+def q_gbt_forecast(spark, sf):
+    p, f, s = _region(spark, sf)
+    train, test = TP.train_test_split(p)
+    model, pred = T.refit_and_predict(train, test, B.PanelFeatureBuilder(features=f, stores=s),
+                                      B.PRUNED_FEATURES, T.PRESET_QUICK)
+    path = shared_path(spark, "gbt-model")
+    model.write().overwrite().save(path)
+    scored = T.score_saved(path, test)
+    out = shared_path(spark, "submission")
+    SK.write_forecast(FB.submission_frame(scored), out)
+    return spark.read.option("header", True).schema("Id string, Weekly_Sales double").csv(out)
+
+
+# ---- global linear model on windows ----------------------------------------
+
+def _dlinear_val(spark, sf):
+    p = panel(spark, sf, "region")
+    train_w = WN.build_windows(p, 52, 13, 13)
+    coefs = LN.fit_direct(train_w, 13, reg=0.1)
+    val_w = WN.validation_windows(p, 52, 13, 13)
+    return LN.score_windows(LN.predict_windows(val_w, coefs))
+
+
+@register("dlinear_validation_wmae", None, covers="K12 I6 I7 I8 I9 D12 D13")
+def q_dlinear_val(spark, sf):
+    s = _dlinear_val(spark, sf)
+    return wmae_by(s, ["store", "dept"])
+
+
+@register("dlinear_forecast_submission", None, covers="K12 K13 I10 I11 I12 T20 C9 K14")
+def q_dlinear_forecast(spark, sf):
+    p = panel(spark, sf, "region")
+    train, test = TP.train_test_split(p)
+    h = TP.TEST_WEEKS
+    coefs = LN.fit_direct(WN.build_windows(train, 52, h, 0), h, reg=0.1)
+    inf = WN.inference_windows(train, 52).filter(F.col("n_x") == 52)
+    fc = LN.predict_windows(inf.withColumn("y", F.array()).withColumn("h", F.array()), coefs)
+    steps = fc.select("store", "dept", F.posexplode("forecast").alias("step", "y_model"))
+    casc = FB.fallback_cascade(test, train, steps)
+    return FB.submission_frame(casc)
+
+
+# ---- diagnostics ------------------------------------------------------------
+
+_REGION_SQL = Q.with_(Q.panel_cte("region"))
+
+
+@register("dickey_fuller", _REGION_SQL + """, l AS (SELECT store, dept, weekly_sales AS y,
+  lag(weekly_sales) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM panel),
+g AS (SELECT store, dept, regr_count(y - ylag, ylag) AS n, regr_slope(y - ylag, ylag) AS slope,
+  regr_sxx(y - ylag, ylag) AS sxx, regr_sxy(y - ylag, ylag) AS sxy, regr_syy(y - ylag, ylag) AS syy FROM l GROUP BY 1, 2),
+t AS (SELECT store, dept, n, slope, slope / sqrt((syy - slope * sxy) / (n - 2) / sxx) AS st FROM g)
+SELECT store, dept, CAST(n AS BIGINT) AS n, ROUND(slope, 4) AS slope, ROUND(st, 4) AS df_stat, st < -2.86 AS stationary_5pct FROM t""",
+          covers="K16")
+def q_dickey_fuller(spark, sf):
+    d = DG.dickey_fuller(panel(spark, sf, "region"))
+    return r4_cols(d, ["slope", "df_stat"])
+
+
+@register("adf_k_lags", None, covers="K16 K25")
+def q_adf(spark, sf):
+    return DG.adf_test(panel(spark, sf, "region"), lags=4)
+
+
+def _acf_sql(max_lag: int = 40) -> str:
+    lags = ", ".join(f"lag(z, {k}) OVER (PARTITION BY store, dept ORDER BY date) AS l{k}" for k in range(1, max_lag + 1))
+    sums = ", ".join(f"SUM(z * l{k}) AS s{k}" for k in range(1, max_lag + 1))
+    unions = " UNION ALL ".join(f"SELECT store, dept, {k} AS lag, s{k} / s0 AS acf FROM s"
+                                for k in range(1, max_lag + 1))
+    return _REGION_SQL + f""", c AS (SELECT store, dept, date,
+  weekly_sales - AVG(weekly_sales) OVER (PARTITION BY store, dept) AS z FROM panel),
+l AS (SELECT store, dept, z, {lags} FROM c),
+s AS (SELECT store, dept, SUM(z * z) AS s0, {sums} FROM l GROUP BY 1, 2),
+a AS (SELECT store, dept, 0 AS lag, s0 / s0 AS acf FROM s UNION ALL {unions})
+SELECT store, dept, CAST(lag AS INTEGER) AS lag, ROUND(acf, 4) AS acf FROM a"""
+
+
+@register("acf", _acf_sql(), covers="K17")
+def q_acf(spark, sf):
+    return r4_cols(DG.autocorrelation(panel(spark, sf, "region"), 40), ["acf"])
+
+
+@register("pacf", None, covers="K18")
+def q_pacf(spark, sf):
+    return DG.partial_autocorrelation(DG.autocorrelation(panel(spark, sf, "region"), 40))
+
+
+@register("seasonal_decompose", _REGION_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
+  FROM panel),
+t AS (SELECT store, dept, date, cents,
+  row_number() OVER (PARTITION BY store, dept ORDER BY date) AS rn, COUNT(*) OVER (PARTITION BY store, dept) AS n,
+  (SUM(cents) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING)
+   + 0.5 * (lag(cents, 26) OVER (PARTITION BY store, dept ORDER BY date)
+            + lead(cents, 26) OVER (PARTITION BY store, dept ORDER BY date))) / 52 AS trend FROM c),
+t2 AS (SELECT *, (rn - 1) % 52 AS pos, cents - trend AS detr FROM t WHERE n >= 104),
+i AS (SELECT store, dept, pos, AVG(detr) AS s FROM t2 GROUP BY 1, 2, 3),
+i2 AS (SELECT store, dept, pos, s - AVG(s) OVER (PARTITION BY store, dept) AS seasonal FROM i)
+SELECT t2.store, t2.dept, t2.date, ROUND(t2.trend / 100.0, 4) AS trend, ROUND(i2.seasonal / 100.0, 4) AS seasonal,
+  ROUND((t2.cents - t2.trend - i2.seasonal) / 100.0, 4) AS resid
+FROM t2 LEFT JOIN i2 ON t2.store = i2.store AND t2.dept = i2.dept AND t2.pos = i2.pos""", covers="E10")
+def q_seasonal_decompose(spark, sf):
+    p = panel(spark, sf, "region").withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
+    d = DG.seasonal_decompose(p, 52, target="cents")
+    return d.select("store", "dept", "date", r4(F.col("trend") / 100.0, "trend"),
+                    r4(F.col("seasonal") / 100.0, "seasonal"), r4(F.col("resid") / 100.0, "resid"))
+
+
+# ---- per-series classical models -------------------------------------------
+
+def _series_frame(spark, sf):
+    p = panel(spark, sf, "region")
+    folds = SP.per_series_folds(p, n_splits=3, horizon_weeks=13, min_train=30)
+    return p, AR.fold_frame(p, folds)
+
+
+def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
+    ok = pred.filter(F.col("error").isNull() & F.col("y_pred").isNotNull())
+    per_fold = wmae_by(ok, ["store", "dept", "fold"], "y", "y_pred")
+    return (per_fold.groupBy("store", "dept").agg(F.avg("wmae").alias("wmae"), F.count(F.lit(1)).alias("n_folds"))
+            .withColumn("model", F.lit(model)))
+
+
+@register("ar_order_selection", None, covers="K19 K16")
+def q_ar_order(spark, sf):
+    p = panel(spark, sf, "region")
+    return AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
+
+
+@register("sarima_walk_forward", None, covers="K20 K25 E8 I4 J1 B14 D14")
+def q_sarima(spark, sf):
+    _, frame = _series_frame(spark, sf)
+    return _score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52")
+
+
+@register("arima_vs_sarima", None, covers="K20 D24 F6")
+def q_arima_vs_sarima(spark, sf):
+    _, frame = _series_frame(spark, sf)
+    a = _score_by_series(AR.evaluate_ar(frame, (1, 1, 0, 52)), "ar_1_1")
+    s = _score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52")
+    return compare_models(a.unionByName(s), ["store", "dept"], "model", "wmae", "ar_1_1", "sar_1_1_1_52")
+
+
+def _calendar(spark):
+    return holiday_frame(spark, PANEL_HOLIDAYS)
+
+
+@register("additive_walk_forward", None, covers="K21 H17 K25")
+def q_additive(spark, sf):
+    _, frame = _series_frame(spark, sf)
+    return _score_by_series(AD.evaluate_additive(frame, _calendar(spark)), "additive_holidays")
+
+
+@register("additive_holiday_ablation", None, covers="J6 D24 K21")
+def q_additive_ablation(spark, sf):
+    _, frame = _series_frame(spark, sf)
+    a = _score_by_series(AD.evaluate_additive(frame, None), "no_holidays")
+    b = _score_by_series(AD.evaluate_additive(frame, _calendar(spark)), "holidays")
+    return compare_models(a.unionByName(b), ["store", "dept"], "model", "wmae", "no_holidays", "holidays")
+
+
+@register("multiplicative_walk_forward", None, covers="K22")
+def q_multiplicative(spark, sf):
+    _, frame = _series_frame(spark, sf)
+    return _score_by_series(AD.evaluate_additive(frame, _calendar(spark), multiplicative=True), "multiplicative")
+
+
+@register("future_dates", _REGION_SQL + """, l AS (SELECT store, dept, MAX(date) AS last_d FROM panel GROUP BY 1, 2)
+SELECT store, dept, date, FALSE AS is_future FROM panel
+UNION ALL
+SELECT store, dept, CAST(last_d + CAST(7 * k AS INTEGER) AS DATE) AS date, TRUE AS is_future FROM l, range(1, 14) r(k)""",
+          covers="K23 I1")
+def q_future_dates(spark, sf):
+    return AD.future_dates(panel(spark, sf, "region"), 13)
+
+
+# Fixed query parameter: the representative (store, dept) pairs examined
+# one by one in the per-series notebooks are a sampling feature.
+SAMPLE_PAIRS = [(0, 1), (1, 3), (2, 6), (3, 2), (4, 5)]
+
+
+@register("representative_series", _REGION_SQL + "SELECT * FROM panel WHERE (store, dept) IN (" +
+          ", ".join(f"({s}, {d})" for s, d in SAMPLE_PAIRS) + ")", covers="K24 B6 C12")
+def q_representative(spark, sf):
+    pairs = spark.createDataFrame(SAMPLE_PAIRS, "store int, dept int")
+    return panel(spark, sf, "region").join(F.broadcast(pairs), ["store", "dept"], "left_semi")
+
+
+@register("run_log_summary", None, covers="A5")
+def q_run_log(spark, sf):
+    p = panel(spark, sf, "region")
+    path = shared_path(spark, "runlog")
+    per = SP.fold_summary(SP.assign_folds(p, SP.walk_forward_folds(p)))
+    SK.log_frame(per, path, "folds", "metric", "fold", "n_train")
+    SK.log_metrics(spark, path, "folds", "param", {"n_splits": 3, "horizon_weeks": 38})
+    return SK.run_summary(spark, path, "metric")

@@ -175,7 +175,7 @@ SELECT store, dept, CAST(pos AS INTEGER) AS pos, ROUND(mu, 4) AS mean, ROUND(sd,
   ROUND((x[pos + 1] - mu) / sd, 4) AS x_norm FROM s, range(0, 52) r(pos) WHERE pos < len(x)""", covers="I7 H13 T4")
 def q_instance_norm(spark, sf):
     w = WN.inference_windows(panel(spark, sf), 52)
-    xn, m, s = WN.instance_normalize(F.col("x"))
+    xn, m, s = WN.instance_normalize(F.col("x"), F.col("x_mean"), F.col("x_std"))
     d = w.select("store", "dept", xn.alias("xn"), m.alias("mean"), s.alias("std"))
     e = d.select("store", "dept", "mean", "std", F.posexplode("xn").alias("pos", "x_norm"))
     return e.select("store", "dept", "pos", r4("mean"), r4("std"), r4("x_norm"))
