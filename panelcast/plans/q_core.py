@@ -11,6 +11,7 @@ from ..operators import features as FE
 from ..operators import frozen as FZ
 from ..operators import prep as P
 from ..operators import splits as SP
+from ..session import materialize
 from ..sources import testpanel as TP
 from . import sqlparts as Q
 from .catalog import r4, r4_cols, register
@@ -25,7 +26,10 @@ FEAT_COLS = ["temperature", "fuel_price", "markdown1", "markdown2", "markdown3",
 
 
 def panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
-    return TP.sales_panel(spark, sf, grain)
+    """The derived panel, checkpointed once: queries read it several times (bounds,
+    ids, folds, splits as scalar subqueries), and without the checkpoint every
+    read would re-aggregate ``lineitem``."""
+    return materialize(TP.sales_panel(spark, sf, grain))
 
 
 def merged(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:

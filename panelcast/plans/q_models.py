@@ -33,7 +33,7 @@ from .q_core import PANEL_HOLIDAYS, panel
 
 
 def _region(spark, sf):
-    return (TP.sales_panel(spark, sf, "region"), TP.features_table(spark, sf, "region"),
+    return (panel(spark, sf, "region"), TP.features_table(spark, sf, "region"),
             TP.stores_table(spark, sf, "region"))
 
 
