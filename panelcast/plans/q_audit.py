@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.metrics import holiday_weight
 from ..operators import audit as AU
 from ..operators import features as FE
 from ..operators import prep as P
@@ -240,3 +241,47 @@ def q_top_series(spark, sf):
 def q_distinct_head(spark, sf):
     d = FE.add_holiday_proximity(panel(spark, sf).select("date"), PANEL_HOLIDAYS)
     return d.dropDuplicates().orderBy("date").limit(20)
+
+
+@register("long_frame", PANEL_SQL + """SELECT CAST(store AS VARCHAR) || '_' || CAST(dept AS VARCHAR) AS unique_id,
+  date AS ds, weekly_sales AS y, is_holiday FROM panel""", covers="B1 B2 B4")
+def q_long_frame(spark, sf):
+    return P.long_frame(panel(spark, sf))
+
+
+@register("series_id_split", PANEL_SQL + """SELECT DISTINCT CAST(store AS VARCHAR) || '_' || CAST(dept AS VARCHAR)
+  AS unique_id, store, dept FROM panel""", covers="B5 B4")
+def q_series_id_split(spark, sf):
+    ids = P.long_frame(panel(spark, sf)).select("unique_id").distinct()
+    return ids.select("unique_id", *[c.alias(k) for k, c in P.split_series_id("unique_id").items()])
+
+
+@register("attach_holiday_flag", PANEL_SQL + """, b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM panel),
+ids AS (SELECT DISTINCT store, dept FROM panel),
+grid AS (SELECT ids.store, ids.dept, CAST(g.d AS DATE) AS date
+         FROM ids, b, generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 7 DAY) g(d)),
+lf AS (SELECT CAST(g.store AS VARCHAR) || '_' || CAST(g.dept AS VARCHAR) AS unique_id, g.date AS ds,
+         COALESCE(p.weekly_sales, 0.0) AS y FROM grid g LEFT JOIN panel p
+         ON g.store = p.store AND g.dept = p.dept AND g.date = p.date),
+fl AS (SELECT CAST(store AS VARCHAR) || '_' || CAST(dept AS VARCHAR) AS unique_id, date AS ds, is_holiday FROM panel)
+SELECT lf.unique_id, lf.ds, lf.y, fl.is_holiday IS NOT NULL AS has_flag,
+  CAST(CASE WHEN fl.is_holiday IS NULL OR fl.is_holiday THEN 5 ELSE 1 END AS INTEGER) AS weight
+FROM lf LEFT JOIN fl ON lf.unique_id = fl.unique_id AND lf.ds = fl.ds""",
+          covers="C8 I2")
+def q_attach_holiday_flag(spark, sf):
+    from ..operators import grid as G
+    p = panel(spark, sf)
+    dense = P.long_frame(G.reindex_global(p), with_holiday=False)
+    flags = P.long_frame(p).select("unique_id", "ds", "is_holiday")
+    j = dense.join(flags, ["unique_id", "ds"], "left")
+    # weight of a row without an attached flag counts as holiday
+    return j.select("unique_id", "ds", "y", F.col("is_holiday").isNotNull().alias("has_flag"),
+                    holiday_weight("is_holiday").cast("int").alias("weight"))
+
+
+@register("drop_after_cutoff", PANEL_SQL + """SELECT store, dept, date, weekly_sales FROM panel
+  WHERE date < (SELECT MAX(date) FROM panel) - 91""", covers="E12 J2")
+def q_drop_after(spark, sf):
+    p = panel(spark, sf)
+    cutoff = F.date_sub(p.agg(F.max("date")).scalar(), 91)
+    return p.filter(F.col("date") < cutoff).select("store", "dept", "date", "weekly_sales")

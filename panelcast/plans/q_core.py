@@ -138,7 +138,7 @@ def _rolling_sql() -> str:
             "SELECT store, dept, date, " + ", ".join(cols) + " FROM c")
 
 
-@register("rolling_features", _rolling_sql(), covers="E2 E3 T2 T3")
+@register("rolling_features", _rolling_sql(), covers="E2 E3 T2 T3 L2")
 def q_rolling(spark, sf):
     p = with_cents(panel(spark, sf))
     return r4_cols(p.select("store", "dept", "date", *FE.rolling_exact_columns((4, 8), "cents")),
@@ -153,7 +153,7 @@ def q_rolling_float(spark, sf):
 
 
 @register("holiday_proximity", PANEL_SQL + "SELECT date, " + Q.nearest_holiday_sql("date", PANEL_HOLIDAYS) +
-          " AS days_to_nearest_holiday FROM (SELECT DISTINCT date FROM panel)", covers="H11 C10 T5 T6 G2")
+          " AS days_to_nearest_holiday FROM (SELECT DISTINCT date FROM panel)", covers="H11 C10 T5 T6 G2 L1")
 def q_holiday_proximity(spark, sf):
     d = panel(spark, sf).select("date").distinct()
     return FE.add_holiday_proximity(d, PANEL_HOLIDAYS)
@@ -299,7 +299,7 @@ r AS (SELECT {group}, m, row_number() OVER (PARTITION BY {group} ORDER BY date D
 SELECT {group}, ROUND(AVG(m) / 100.0, 4) AS {out} FROM r WHERE rn > 1 OR n = 1 GROUP BY 1"""
 
 
-@register("frozen_dept_avg", _frozen_sql("dept"), covers="D19 T8")
+@register("frozen_dept_avg", _frozen_sql("dept"), covers="D19 T8 L3")
 def q_frozen_dept(spark, sf):
     s = FZ.frozen_group_average(with_cents(panel(spark, sf)), "dept", target="cents")
     return s.select("dept", r4(F.col("dept_avg_sales_expanding") / 100, "dept_avg_sales_expanding"))

@@ -133,7 +133,7 @@ def holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("wmae_per_series", HOLDOUT_SQL + """SELECT store, dept, model, ROUND(wmae, 4) AS wmae, n_rows FROM scores""",
-          covers="D12 D13 J2 C4")
+          covers="D12 D13 J2 C4 H6 H7 L8")
 def q_wmae_per_series(spark, sf):
     return r4_cols(holdout_scores(spark, sf), ["wmae"])
 

@@ -77,10 +77,12 @@ def q_gbt_cv(spark, sf):
     return scores
 
 
-@register("gbt_feature_importance", None, covers="K7 D20 F3")
+@register("gbt_feature_importance", None, covers="K7 D20 F3 A4")
 def q_gbt_importance(spark, sf):
     _, imps = _gbt_cv(spark, sf, B.ALL_FEATURES)
-    return imps.orderBy(F.desc("importance"), "feature")
+    path = shared_path(spark, "importance")
+    SK.write_importances(imps.orderBy(F.desc("importance"), "feature"), path)
+    return spark.read.option("header", True).schema("feature string, importance double").csv(path)
 
 
 @register("gbt_pipeline_newest_fold", None, covers="K2 K9 T8 T13 L5 C6")
@@ -231,7 +233,7 @@ def q_ar_order(spark, sf):
     return AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
 
 
-@register("sarima_walk_forward", None, covers="K20 K25 E8 I4 J1 B14 D14")
+@register("sarima_walk_forward", None, covers="K20 K25 E8 I4 J1 B14 D14 L7")
 def q_sarima(spark, sf):
     _, frame = _series_frame(spark, sf)
     return _score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52")
@@ -290,6 +292,32 @@ def q_representative(spark, sf):
     return panel(spark, sf, "region").join(F.broadcast(pairs), ["store", "dept"], "left_semi")
 
 
+def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:
+    """Write the derived panel in the reference's CSV layout (train/test/features/stores)."""
+    p = panel(spark, sf)
+    train, test = TP.train_test_split(p)
+    ren = {v: k for k, v in __import__("panelcast.sources.schemas", fromlist=["RENAME"]).RENAME.items()}
+    def out(df, name):
+        df.select([F.col(c).alias(ren.get(c, c)) for c in df.columns]).write.mode("overwrite") \
+          .option("header", True).option("dateFormat", "yyyy-MM-dd").csv(os.path.join(path, name + ".csv"))
+    out(train.select("store", "dept", "date", "weekly_sales", "is_holiday"), "train")
+    out(test.select("store", "dept", "date", "is_holiday"), "test")
+    f = TP.features_table(spark, sf)
+    out(f.select("store", "date", "temperature", "fuel_price", "markdown1", "markdown2", "markdown3", "markdown4",
+                 "markdown5", "cpi", "unemployment", "is_holiday"), "features")
+    out(TP.stores_table(spark, sf), "stores")
+
+
+@register("csv_source_roundtrip", Q.with_(Q.panel_cte("nation")) + ", " + Q.split_ctes() +
+          " SELECT store, dept, date, weekly_sales, is_holiday FROM train", covers="A1 H1")
+def q_csv_roundtrip(spark, sf):
+    from ..sources.readers import load_raw_data
+    path = shared_path(spark, "csv")
+    write_reference_layout(spark, sf, path)
+    train, _, _, _ = load_raw_data(spark, path)
+    return train
+
+
 @register("run_log_summary", None, covers="A5")
 def q_run_log(spark, sf):
     p = panel(spark, sf, "region")

@@ -20,7 +20,7 @@ grid AS (SELECT ids.store, ids.dept, CAST(g.d AS DATE) AS date
 @register("reindex_global", _GRID_SQL + """SELECT g.store, g.dept, g.date, COALESCE(p.weekly_sales, 0.0) AS weekly_sales,
   p.weekly_sales IS NULL AS is_filled, COALESCE(p.is_holiday, FALSE) AS is_holiday
 FROM grid g LEFT JOIN panel p ON g.store = p.store AND g.dept = p.dept AND g.date = p.date""",
-          covers="I1 I2 C7 H9 T18")
+          covers="I1 I2 C7 H9 T18 L4")
 def q_reindex_global(spark, sf):
     return G.reindex_global(panel(spark, sf))
 

@@ -19,6 +19,8 @@ HEAVY = {"gbt_walk_forward_cv", "gbt_feature_importance", "gbt_pipeline_newest_f
 def _norm(v):
     if isinstance(v, pd.Timestamp):
         return v.date()
+    if v is pd.NA or v is pd.NaT:
+        return None
     if isinstance(v, float):
         return None if v != v else round(v, 9)
     if hasattr(v, "item"):
