@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import REFERENCE_HOLIDAYS, days_to_nearest_holiday
+from ..session import broadcast_if_small
 from ..sources import schemas as S
 
 TARGET = "weekly_sales"
@@ -86,7 +87,8 @@ def _expanding_group_avg(df: DataFrame, group: str, out: str, target: str, date:
                 .groupBy(group, date).agg(F.avg(target).alias("_m")))
     w = Window.partitionBy(group).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
     snap = per_date.select(group, date, F.avg("_m").over(w).alias(out))
-    return df.join(snap, [group, date], "left")
+    # (group, date) rows: dimension x calendar sized, broadcast behind a size check
+    return df.join(broadcast_if_small(snap), [group, date], "left")
 
 
 def add_expanding_dept_avg(df: DataFrame, target: str = TARGET, date: str = "date") -> DataFrame:

@@ -1,8 +1,8 @@
 """Panel preparation: merge, clean, fills, row filters.
 
-Joins carry no broadcast hints: the feature table grows with stores x weeks,
-so Catalyst/AQE broadcast it only when its measured size is under the
-threshold and use a sort-merge join (with skew splitting) beyond it.
+Store-week and store tables are dimension x calendar sized: they are
+broadcast only behind a checked row bound (``session.broadcast_if_small``);
+above the bound the join stays a shuffle join (AQE may still convert it).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from ..sources import schemas as S
 
 
@@ -21,8 +22,8 @@ def merge_all(sales: DataFrame, features: DataFrame, stores: DataFrame) -> DataF
     """
     sales = S.null_key_guard(sales, ["store", "date"])
     overlap = [c for c in features.columns if c in sales.columns and c not in ("store", "date")]
-    feat = features.drop(*overlap)
-    st = stores.drop(*[c for c in stores.columns if c in sales.columns and c != "store"])
+    feat = broadcast_if_small(features.drop(*overlap))
+    st = broadcast_if_small(stores.drop(*[c for c in stores.columns if c in sales.columns and c != "store"]))
     return sales.join(feat, ["store", "date"], "left").join(st, "store", "left")
 
 
@@ -62,7 +63,7 @@ def ffill_store_level(df: DataFrame, cols: list[str], key: str = "store", date:
     the fill sees only the dates of the frame passed in (T13).
     """
     keyed = (df.groupBy(key, date).agg(*[F.max(c).alias(c) for c in cols]))
-    filled = ffill(keyed, cols, [key], [date])
+    filled = broadcast_if_small(ffill(keyed, cols, [key], [date]))
     return df.drop(*cols).join(filled, [key, date], "left").select(df.columns)
 
 
