@@ -39,10 +39,11 @@ def design(frame: DataFrame, calendar: DataFrame | None, fourier_order: int = 10
             F.col("ds").alias("date"),
             F.concat(F.lit("hol_"), F.col("name"), F.lit("_"),
                      F.regexp_replace(F.col("offset").cast("string"), "-", "m")).alias("hname"))
-        # dummies: one column per (holiday, offset) that occurs in the calendar
+        # dummies: one column per (holiday, offset) of the calendar parameter; the
+        # name list and the pivot are calendar-sized (holidays x window width)
         dummy_names = [r["hname"] for r in sp.select("hname").distinct().orderBy("hname").collect()]
         wide = sp.groupBy("date").pivot("hname", dummy_names).agg(F.lit(1.0))
-        out = out.join(wide, "date", "left").fillna(0.0, subset=dummy_names)
+        out = out.join(F.broadcast(wide), "date", "left").fillna(0.0, subset=dummy_names)
         names += dummy_names
     return out, names
 

@@ -91,11 +91,6 @@ def with_weight(df: DataFrame, out: str = "w") -> DataFrame:
     return df.withColumn(out, holiday_weight("is_holiday").cast("double"))
 
 
-def _fold_ids(folds: DataFrame) -> list[int]:
-    # the fold table has n_splits rows: reading its ids to drive one fit per fold is bounded
-    return sorted(r["fold"] for r in folds.select("fold").collect())
-
-
 def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dict | None = None,
             date: str = "date", parallel: int = 1) -> tuple[DataFrame, DataFrame]:
     """K4 + D14 + K7: walk-forward CV on a flat feature table (T17 ``expanding`` mode).
@@ -146,28 +141,43 @@ def cv_pipeline(rows: DataFrame, folds: DataFrame, builder: PanelFeatureBuilder,
     return spark.createDataFrame(out, "fold int, wmae double, n_val long")
 
 
-def sample_params(n_trials: int, seed: int = 42) -> list[dict]:
-    """K8: seeded random draws over the search space (ranges as in the reference,
-    mapped to MLlib names; leaves -> depth)."""
+# The reference's search ranges mapped to MLlib names
+# (num_leaves 15..255 -> depth 4..8; n_estimators -> maxIter; min_child_samples ->
+# minInstancesPerNode; feature/bagging fractions -> featureSubsetStrategy /
+# subsamplingRate). L1/L2 penalties and bagging frequency have no MLlib analogue.
+SEARCH_SPACE = {"maxDepth": (4, 8), "stepSize": (0.01, 0.2), "maxIter": (100, 800),
+                "minInstancesPerNode": (5, 100), "featureSubsetStrategy": (0.6, 1.0),
+                "subsamplingRate": (0.6, 1.0)}
+
+
+def sample_params(n_trials: int, seed: int = 42, space: dict | None = None) -> list[dict]:
+    """K8: seeded random draws (step size log-uniform, integers inclusive)."""
+    sp = {**SEARCH_SPACE, **(space or {})}
     rng = np.random.default_rng(seed)
     out = []
     for _ in range(n_trials):
-        out.append({"maxDepth": int(rng.integers(4, 9)),
-                    "stepSize": float(np.exp(rng.uniform(np.log(0.01), np.log(0.2)))),
-                    "maxIter": int(rng.integers(10, 41)),
-                    "minInstancesPerNode": int(rng.integers(5, 101)),
-                    "featureSubsetStrategy": f"{rng.uniform(0.6, 1.0):.2f}",
-                    "subsamplingRate": float(round(rng.uniform(0.6, 1.0), 2))})
+        lo, hi = sp["stepSize"]
+        out.append({"maxDepth": int(rng.integers(sp["maxDepth"][0], sp["maxDepth"][1] + 1)),
+                    "stepSize": float(np.exp(rng.uniform(np.log(lo), np.log(hi)))),
+                    "maxIter": int(rng.integers(sp["maxIter"][0], sp["maxIter"][1] + 1)),
+                    "minInstancesPerNode": int(rng.integers(sp["minInstancesPerNode"][0],
+                                                            sp["minInstancesPerNode"][1] + 1)),
+                    "featureSubsetStrategy": f"{rng.uniform(*sp['featureSubsetStrategy']):.2f}",
+                    "subsamplingRate": float(round(rng.uniform(*sp["subsamplingRate"]), 2))})
     return out
 
 
-def random_search(table: DataFrame, folds: DataFrame, features: list[str], n_trials: int = 5,
-                  seed: int = 42, parallel: int = 1) -> DataFrame:
-    """K8 + F5: evaluate sampled parameters by mean fold WMAE; one row per trial."""
+def random_search(table: DataFrame, folds: DataFrame, features: list[str], n_trials: int = 30,
+                  seed: int = 42, parallel: int = 1, space: dict | None = None) -> DataFrame:
+    """K8 + F5: evaluate sampled parameters by mean fold WMAE; one row per trial.
+
+    Trials run one after another (each is a set of distributed fits, folds in
+    ``parallel`` threads); the table is checkpointed once for all of them.
+    """
     spark = table.sparkSession
     table = materialize(table)
     rows = []
-    for t, p in enumerate(sample_params(n_trials, seed)):
+    for t, p in enumerate(sample_params(n_trials, seed, space)):
         scores, _ = cv_flat(table, folds, features, p, parallel=parallel)
         m = scores.agg(F.avg("wmae")).first()[0]
         rows.append((t, json.dumps(p, sort_keys=True), float(m) if m is not None else None))

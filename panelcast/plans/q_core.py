@@ -358,3 +358,20 @@ def seasonal_naive_cv(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_val"), F.count_if(has).alias("n_scored"),
         F.count_if(~has).alias("n_dropped"),
         r4(F.sum(F.when(has, w * err)) / F.sum(F.when(has, w)) / 100.0, "wmae"))
+
+
+def _spread_sql() -> str:
+    vals = ", ".join(f"('{n}', DATE '{d}')" for n, d in PANEL_HOLIDAYS)
+    return PANEL_SQL + f""", cal AS (SELECT * FROM (VALUES {vals}) t(name, hdate)),
+sp AS (SELECT name, CAST(hdate + CAST(o.off AS INTEGER) AS DATE) AS ds, CAST(o.off AS INTEGER) AS "offset"
+       FROM cal, range(-7, 1) o(off))
+SELECT d.date, sp.name, sp."offset" FROM (SELECT DISTINCT date FROM panel) d JOIN sp ON d.date = sp.ds"""
+
+
+@register("holiday_window_rows", _spread_sql(), covers="H17")
+def q_holiday_window_rows(spark, sf):
+    from ..functions.calendar import holiday_frame, spread_holidays
+    sp = spread_holidays(holiday_frame(spark, PANEL_HOLIDAYS))
+    d = panel(spark, sf).select("date").distinct()
+    # the spread calendar is parameter-sized (holidays x window width)
+    return d.join(F.broadcast(sp), d.date == sp.ds).select("date", "name", "offset")

@@ -47,3 +47,11 @@ def test_weekly_dates_rolls_to_friday(spark):
     df = spark.createDataFrame([(dt.date(2010, 2, 1), dt.date(2010, 2, 26))], "a date, b date")
     out = df.select(weekly_dates(F.col("a"), F.col("b")).alias("d")).first()["d"]
     assert out == [dt.date(2010, 2, 5), dt.date(2010, 2, 12), dt.date(2010, 2, 19), dt.date(2010, 2, 26)]
+
+
+def test_friday_of_week_for_any_day(spark):
+    from panelcast.functions.calendar import friday_of_week
+    days = [dt.date(2010, 2, 1) + dt.timedelta(days=i) for i in range(7)]  # Mon..Sun
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = {r[0] for r in df.select(friday_of_week("d")).collect()}
+    assert got == {dt.date(2010, 2, 5)}
