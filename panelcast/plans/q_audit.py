@@ -11,7 +11,7 @@ from ..operators import prep as P
 from ..sources import testpanel as TP
 from . import sqlparts as Q
 from .catalog import r4, r4_cols, register
-from .q_core import MERGED_CTES, MERGED_SQL, PANEL_HOLIDAYS, PANEL_SQL, merged, panel, with_cents
+from .q_core import MERGED_CTES, MERGED_SQL, PANEL_HOLIDAYS, PANEL_SQL, merged, panel, with_cents, lazy_panel
 
 CENTS = ", c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents FROM {src})"
 
@@ -39,7 +39,7 @@ SELECT is_holiday, ROUND(AVG(cents) / 100.0, 4) AS mean_weekly_sales,
        ROUND(MEDIAN(CAST(cents AS DOUBLE)) / 100.0, 4) AS median_weekly_sales, COUNT(cents) AS count_weekly_sales
 FROM c GROUP BY 1""", covers="D3")
 def q_summary_by_holiday(spark, sf):
-    s = AU.summary_by(with_cents(panel(spark, sf)), ["is_holiday"], "cents")
+    s = AU.summary_by(with_cents(lazy_panel(spark, sf)), ["is_holiday"], "cents")
     return s.select("is_holiday", r4(F.col("mean_cents") / 100, "mean_weekly_sales"),
                     r4(F.col("median_cents") / 100, "median_weekly_sales"),
                     F.col("count_cents").alias("count_weekly_sales"))
@@ -100,28 +100,28 @@ SELECT COUNT(cents) AS count, ROUND(AVG(cents) / 100.0, 4) AS mean, ROUND(STDDEV
   ROUND(QUANTILE_CONT(CAST(cents AS DOUBLE), 0.75) / 100.0, 4) AS p75,
   ROUND(MAX(cents) / 100.0, 4) AS max FROM c""", covers="D8")
 def q_describe(spark, sf):
-    d = AU.describe(with_cents(panel(spark, sf)), "cents")
+    d = AU.describe(with_cents(lazy_panel(spark, sf)), "cents")
     return d.select("count", *[r4(F.col(c) / 100, c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 @register("negatives", PANEL_SQL + """SELECT COUNT(*) FILTER (WHERE weekly_sales < 0) AS n_negative,
   MIN(weekly_sales) AS min_weekly_sales FROM panel""", covers="D9")
 def q_negatives(spark, sf):
-    return AU.negatives(panel(spark, sf))
+    return AU.negatives(lazy_panel(spark, sf))
 
 
 @register("negative_rows", PANEL_SQL + """SELECT * FROM (SELECT store, dept, date,
   ROUND(weekly_sales - lag(weekly_sales, 1) OVER (PARTITION BY store, dept ORDER BY date), 4) AS diff_1 FROM panel)
   WHERE diff_1 < 0""", covers="B11")
 def q_negative_rows(spark, sf):
-    d = FE.add_differences(panel(spark, sf)).select("store", "dept", "date", r4("diff_1"))
+    d = FE.add_differences(lazy_panel(spark, sf)).select("store", "dept", "date", r4("diff_1"))
     return d.filter(F.col("diff_1") < 0)
 
 
 @register("quantile_99", PANEL_SQL + "SELECT ROUND(QUANTILE_CONT(weekly_sales, 0.99), 4) AS q99 FROM panel",
           covers="D10")
 def q_quantile(spark, sf):
-    return r4_cols(AU.quantile(panel(spark, sf), "weekly_sales", 0.99), ["q99"])
+    return r4_cols(AU.quantile(lazy_panel(spark, sf), "weekly_sales", 0.99), ["q99"])
 
 
 @register("below_q99", PANEL_SQL + """SELECT store, dept, date, weekly_sales FROM panel
@@ -143,26 +143,26 @@ def q_histogram(spark, sf):
 @register("distinct_series", PANEL_SQL + "SELECT COUNT(*) AS n_series FROM (SELECT DISTINCT store, dept FROM panel)",
           covers="D16 G2")
 def q_distinct_series(spark, sf):
-    return AU.distinct_series(panel(spark, sf))
+    return AU.distinct_series(lazy_panel(spark, sf))
 
 
 @register("distinct_dates", PANEL_SQL + "SELECT DISTINCT date FROM panel", covers="G2")
 def q_distinct_dates(spark, sf):
-    return panel(spark, sf).select("date").distinct()
+    return lazy_panel(spark, sf).select("date").distinct()
 
 
 @register("series_lengths", PANEL_SQL + """, n AS (SELECT store, dept, COUNT(*) AS n FROM panel GROUP BY 1, 2)
 SELECT COUNT(*) AS n_series, MIN(n) AS min_len, MAX(n) AS max_len, COUNT(DISTINCT n) = 1 AS equal_length FROM n""",
           covers="D17")
 def q_series_lengths(spark, sf):
-    return AU.series_lengths(panel(spark, sf))
+    return AU.series_lengths(lazy_panel(spark, sf))
 
 
 @register("gap_stats", PANEL_SQL + """SELECT store, dept, COUNT(*) AS n_weeks,
   CAST((MAX(date) - MIN(date)) / 7 AS INTEGER) + 1 - COUNT(*) AS n_missing, COUNT(*) < 52 AS is_short
 FROM panel GROUP BY 1, 2""", covers="D23")
 def q_gap_stats(spark, sf):
-    return AU.gap_stats(panel(spark, sf))
+    return AU.gap_stats(lazy_panel(spark, sf))
 
 
 @register("gap_summary", Q.with_(Q.panel_cte("brand")) + """, g AS (SELECT store, dept, COUNT(*) AS n_weeks,
@@ -170,7 +170,7 @@ def q_gap_stats(spark, sf):
 SELECT COUNT(*) AS n_series, COUNT(*) FILTER (WHERE n_missing > 0) AS n_with_gaps,
   COUNT(*) FILTER (WHERE n_weeks < 52) AS n_short, CAST(SUM(n_missing) AS BIGINT) AS n_missing_weeks FROM g""", covers="D23")
 def q_gap_summary(spark, sf):
-    return AU.gap_summary(panel(spark, sf, "brand"))
+    return AU.gap_summary(lazy_panel(spark, sf, "brand"))
 
 
 @register("coverage", PANEL_SQL + ", " + Q.split_ctes() + """,
@@ -196,12 +196,12 @@ def q_series_only_in_test(spark, sf):
 
 @register("point_filter", PANEL_SQL + "SELECT * FROM panel WHERE store = 3 AND dept = 2", covers="B6")
 def q_point_filter(spark, sf):
-    return panel(spark, sf).filter((F.col("store") == 3) & (F.col("dept") == 2))
+    return lazy_panel(spark, sf).filter((F.col("store") == 3) & (F.col("dept") == 2))
 
 
 @register("holiday_rows", PANEL_SQL + "SELECT * FROM panel WHERE is_holiday", covers="B7")
 def q_holiday_rows(spark, sf):
-    return panel(spark, sf).filter("is_holiday")
+    return lazy_panel(spark, sf).filter("is_holiday")
 
 
 @register("first_n_series", PANEL_SQL + """, ids AS (SELECT DISTINCT store, dept FROM panel ORDER BY store, dept
@@ -219,19 +219,19 @@ def q_null_rows(spark, sf):
 @register("min_history", PANEL_SQL + """SELECT store, dept, date, weekly_sales FROM (SELECT *,
   COUNT(*) OVER (PARTITION BY store, dept) AS n FROM panel) WHERE n >= 78""", covers="B13")
 def q_min_history(spark, sf):
-    return P.min_history(panel(spark, sf), 78).select("store", "dept", "date", "weekly_sales")
+    return P.min_history(lazy_panel(spark, sf), 78).select("store", "dept", "date", "weekly_sales")
 
 
 @register("head_preview", PANEL_SQL + "SELECT * FROM panel ORDER BY store, dept, date LIMIT 10", covers="F1 F2")
 def q_head(spark, sf):
-    return AU.head(panel(spark, sf), 10, ["store", "dept", "date"])
+    return AU.head(lazy_panel(spark, sf), 10, ["store", "dept", "date"])
 
 
 @register("top_series_by_sales", PANEL_SQL + CENTS.format(src="panel") + """
 SELECT store, dept, ROUND(SUM(cents) / 100.0, 4) AS total_sales FROM c GROUP BY 1, 2
 ORDER BY total_sales DESC, store, dept LIMIT 10""", covers="F3")
 def q_top_series(spark, sf):
-    t = with_cents(panel(spark, sf)).groupBy("store", "dept").agg(r4(F.sum("cents") / 100, "total_sales"))
+    t = with_cents(lazy_panel(spark, sf)).groupBy("store", "dept").agg(r4(F.sum("cents") / 100, "total_sales"))
     return AU.top_k(t, 10, "total_sales", tie=["store", "dept"])
 
 
@@ -239,20 +239,20 @@ def q_top_series(spark, sf):
           Q.nearest_holiday_sql("date", PANEL_HOLIDAYS) +
           " AS days_to_nearest_holiday FROM panel ORDER BY date LIMIT 20", covers="F4")
 def q_distinct_head(spark, sf):
-    d = FE.add_holiday_proximity(panel(spark, sf).select("date"), PANEL_HOLIDAYS)
+    d = FE.add_holiday_proximity(lazy_panel(spark, sf).select("date"), PANEL_HOLIDAYS)
     return d.dropDuplicates().orderBy("date").limit(20)
 
 
 @register("long_frame", PANEL_SQL + """SELECT CAST(store AS VARCHAR) || '_' || CAST(dept AS VARCHAR) AS unique_id,
   date AS ds, weekly_sales AS y, is_holiday FROM panel""", covers="B1 B2 B4")
 def q_long_frame(spark, sf):
-    return P.long_frame(panel(spark, sf))
+    return P.long_frame(lazy_panel(spark, sf))
 
 
 @register("series_id_split", PANEL_SQL + """SELECT DISTINCT CAST(store AS VARCHAR) || '_' || CAST(dept AS VARCHAR)
   AS unique_id, store, dept FROM panel""", covers="B5 B4")
 def q_series_id_split(spark, sf):
-    ids = P.long_frame(panel(spark, sf)).select("unique_id").distinct()
+    ids = P.long_frame(lazy_panel(spark, sf)).select("unique_id").distinct()
     return ids.select("unique_id", *[c.alias(k) for k, c in P.split_series_id("unique_id").items()])
 
 

@@ -25,6 +25,12 @@ FEAT_COLS = ["temperature", "fuel_price", "markdown1", "markdown2", "markdown3",
              "markdown5", "cpi", "unemployment"]
 
 
+def lazy_panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
+    """The derived panel as a lazy plan: for queries that read it once, so
+    filters and column pruning reach the base-table scans."""
+    return TP.sales_panel(spark, sf, grain)
+
+
 def panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
     """The derived panel, checkpointed once: queries read it several times (bounds,
     ids, folds, splits as scalar subqueries), and without the checkpoint every
@@ -55,17 +61,17 @@ MERGED_SQL = Q.with_(*MERGED_CTES)
 
 @register("panel_nation", PANEL_SQL + "SELECT * FROM panel", covers="A2 H1 B1")
 def q_panel_nation(spark, sf):
-    return panel(spark, sf, "nation")
+    return lazy_panel(spark, sf, "nation")
 
 
 @register("panel_region", Q.with_(Q.panel_cte("region")) + "SELECT * FROM panel", covers="A2")
 def q_panel_region(spark, sf):
-    return panel(spark, sf, "region")
+    return lazy_panel(spark, sf, "region")
 
 
 @register("panel_brand", Q.with_(Q.panel_cte("brand")) + "SELECT * FROM panel", covers="A2")
 def q_panel_brand(spark, sf):
-    return panel(spark, sf, "brand")
+    return lazy_panel(spark, sf, "brand")
 
 
 @register("features_table", Q.with_(Q.features_cte("nation")) +
@@ -122,7 +128,7 @@ _SW = "OVER (PARTITION BY store, dept ORDER BY date"
     f"lag(weekly_sales, {k}) {_SW}) AS sales_lag_{k}" for k in (1, 2, 4, 52)) + " FROM panel",
     covers="E1 T1")
 def q_lags(spark, sf):
-    return FE.add_lag_features(panel(spark, sf)).drop("weekly_sales", "is_holiday")
+    return FE.add_lag_features(lazy_panel(spark, sf)).drop("weekly_sales", "is_holiday")
 
 
 def _rolling_sql() -> str:
@@ -140,7 +146,7 @@ def _rolling_sql() -> str:
 
 @register("rolling_features", _rolling_sql(), covers="E2 E3 T2 T3 L2")
 def q_rolling(spark, sf):
-    p = with_cents(panel(spark, sf))
+    p = with_cents(lazy_panel(spark, sf))
     return r4_cols(p.select("store", "dept", "date", *FE.rolling_exact_columns((4, 8), "cents")),
                    [f"sales_rolling_{k}_{n}" for k in ("mean", "std") for n in (4, 8)])
 
@@ -148,14 +154,14 @@ def q_rolling(spark, sf):
 @register("rolling_features_float", None, covers="E2 E3")
 def q_rolling_float(spark, sf):
     """The double-precision form of E2/E3 (summation-order dependent: rows-only check)."""
-    return r4_cols(FE.add_rolling_features(panel(spark, sf)).drop("weekly_sales", "is_holiday"),
+    return r4_cols(FE.add_rolling_features(lazy_panel(spark, sf)).drop("weekly_sales", "is_holiday"),
                    [f"sales_rolling_{k}_{n}" for k in ("mean", "std") for n in (4, 8)])
 
 
 @register("holiday_proximity", PANEL_SQL + "SELECT date, " + Q.nearest_holiday_sql("date", PANEL_HOLIDAYS) +
           " AS days_to_nearest_holiday FROM (SELECT DISTINCT date FROM panel)", covers="H11 C10 T5 T6 G2 L1")
 def q_holiday_proximity(spark, sf):
-    d = panel(spark, sf).select("date").distinct()
+    d = lazy_panel(spark, sf).select("date").distinct()
     return FE.add_holiday_proximity(d, PANEL_HOLIDAYS)
 
 
@@ -173,7 +179,7 @@ def _flags_sql() -> str:
 
 @register("holiday_flags", _flags_sql(), covers="H12 C11")
 def q_holiday_flags(spark, sf):
-    d = panel(spark, sf).select("date").distinct()
+    d = lazy_panel(spark, sf).select("date").distinct()
     return d.select("date", *[c.alias(k) for k, c in holiday_flags("date", PANEL_HOLIDAYS).items()])
 
 
@@ -220,7 +226,7 @@ def q_exp_store(spark, sf):
   ROUND(weekly_sales - lag(weekly_sales, 1) {_SW}), 4) AS diff_1,
   ROUND(weekly_sales - lag(weekly_sales, 52) {_SW}), 4) AS diff_52 FROM panel""", covers="E8")
 def q_differences(spark, sf):
-    out = FE.add_differences(panel(spark, sf))
+    out = FE.add_differences(lazy_panel(spark, sf))
     return out.select("store", "dept", "date", r4("diff_1"), r4("diff_52"))
 
 
@@ -301,13 +307,13 @@ SELECT {group}, ROUND(AVG(m) / 100.0, 4) AS {out} FROM r WHERE rn > 1 OR n = 1 G
 
 @register("frozen_dept_avg", _frozen_sql("dept"), covers="D19 T8 L3")
 def q_frozen_dept(spark, sf):
-    s = FZ.frozen_group_average(with_cents(panel(spark, sf)), "dept", target="cents")
+    s = FZ.frozen_group_average(with_cents(lazy_panel(spark, sf)), "dept", target="cents")
     return s.select("dept", r4(F.col("dept_avg_sales_expanding") / 100, "dept_avg_sales_expanding"))
 
 
 @register("frozen_store_avg", _frozen_sql("store"), covers="D19 T8")
 def q_frozen_store(spark, sf):
-    s = FZ.frozen_group_average(with_cents(panel(spark, sf)), "store", target="cents")
+    s = FZ.frozen_group_average(with_cents(lazy_panel(spark, sf)), "store", target="cents")
     return s.select("store", r4(F.col("store_avg_sales_expanding") / 100, "store_avg_sales_expanding"))
 
 
@@ -372,6 +378,6 @@ SELECT d.date, sp.name, sp."offset" FROM (SELECT DISTINCT date FROM panel) d JOI
 def q_holiday_window_rows(spark, sf):
     from ..functions.calendar import holiday_frame, spread_holidays
     sp = spread_holidays(holiday_frame(spark, PANEL_HOLIDAYS))
-    d = panel(spark, sf).select("date").distinct()
+    d = lazy_panel(spark, sf).select("date").distinct()
     # the spread calendar is parameter-sized (holidays x window width)
     return d.join(F.broadcast(sp), d.date == sp.ds).select("date", "name", "offset")

@@ -29,7 +29,7 @@ from ..sources import sinks as SK
 from ..sources import testpanel as TP
 from . import sqlparts as Q
 from .catalog import r4, r4_cols, register
-from .q_core import PANEL_HOLIDAYS, panel
+from .q_core import PANEL_HOLIDAYS, panel, lazy_panel
 
 
 def _region(spark, sf):
@@ -165,13 +165,13 @@ t AS (SELECT store, dept, n, slope, slope / sqrt((syy - slope * sxy) / (n - 2) /
 SELECT store, dept, CAST(n AS BIGINT) AS n, ROUND(slope, 4) AS slope, ROUND(st, 4) AS df_stat, st < -2.86 AS stationary_5pct FROM t""",
           covers="K16")
 def q_dickey_fuller(spark, sf):
-    d = DG.dickey_fuller(panel(spark, sf, "region"))
+    d = DG.dickey_fuller(lazy_panel(spark, sf, "region"))
     return r4_cols(d, ["slope", "df_stat"])
 
 
 @register("adf_k_lags", None, covers="K16 K25")
 def q_adf(spark, sf):
-    return DG.adf_test(panel(spark, sf, "region"), lags=4)
+    return DG.adf_test(lazy_panel(spark, sf, "region"), lags=4)
 
 
 def _acf_sql(max_lag: int = 40) -> str:
@@ -189,12 +189,12 @@ SELECT store, dept, CAST(lag AS INTEGER) AS lag, ROUND(acf, 4) AS acf FROM a"""
 
 @register("acf", _acf_sql(), covers="K17")
 def q_acf(spark, sf):
-    return r4_cols(DG.autocorrelation(panel(spark, sf, "region"), 40), ["acf"])
+    return r4_cols(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40), ["acf"])
 
 
 @register("pacf", None, covers="K18")
 def q_pacf(spark, sf):
-    return DG.partial_autocorrelation(DG.autocorrelation(panel(spark, sf, "region"), 40))
+    return DG.partial_autocorrelation(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40))
 
 
 @register("seasonal_decompose", _REGION_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
@@ -211,7 +211,7 @@ SELECT t2.store, t2.dept, t2.date, ROUND(t2.trend / 100.0, 4) AS trend, ROUND(i2
   ROUND((t2.cents - t2.trend - i2.seasonal) / 100.0, 4) AS resid
 FROM t2 LEFT JOIN i2 ON t2.store = i2.store AND t2.dept = i2.dept AND t2.pos = i2.pos""", covers="E10")
 def q_seasonal_decompose(spark, sf):
-    p = panel(spark, sf, "region").withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
+    p = lazy_panel(spark, sf, "region").withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
     d = DG.seasonal_decompose(p, 52, target="cents")
     return d.select("store", "dept", "date", r4(F.col("trend") / 100.0, "trend"),
                     r4(F.col("seasonal") / 100.0, "seasonal"), r4(F.col("resid") / 100.0, "resid"))
@@ -294,7 +294,7 @@ SAMPLE_PAIRS = [(0, 1), (1, 3), (2, 6), (3, 2), (4, 5)]
           ", ".join(f"({s}, {d})" for s, d in SAMPLE_PAIRS) + ")", covers="K24 B6 C12")
 def q_representative(spark, sf):
     pairs = spark.createDataFrame(SAMPLE_PAIRS, "store int, dept int")
-    return panel(spark, sf, "region").join(F.broadcast(pairs), ["store", "dept"], "left_semi")
+    return lazy_panel(spark, sf, "region").join(F.broadcast(pairs), ["store", "dept"], "left_semi")
 
 
 def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:

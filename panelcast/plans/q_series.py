@@ -8,7 +8,7 @@ from ..operators import grid as G
 from ..operators import windows as WN
 from ..sources.testpanel import is_holiday_week
 from .catalog import r4, r4_cols, register
-from .q_core import PANEL_SQL, panel, with_cents
+from .q_core import PANEL_SQL, panel, with_cents, lazy_panel
 
 _GRID_SQL = PANEL_SQL + """, b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM panel),
 ids AS (SELECT DISTINCT store, dept FROM panel),
@@ -71,7 +71,7 @@ _CENTS_P = ", c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
   MAX(date) AS last_date, CAST(SUM(cents) AS BIGINT) AS sum_cents, arg_min(cents, date) AS first_cents,
   arg_max(cents, date) AS last_cents FROM c GROUP BY 1, 2""", covers="L4")
 def q_series_arrays(spark, sf):
-    a = G.series_arrays(with_cents(panel(spark, sf)), target="cents")
+    a = G.series_arrays(with_cents(lazy_panel(spark, sf)), target="cents")
     return a.select("store", "dept", F.size("values").cast("bigint").alias("n"),
                     F.element_at("dates", 1).alias("first_date"), F.element_at("dates", -1).alias("last_date"),
                     F.aggregate("values", F.lit(0).cast("bigint"), lambda acc, v: acc + v).alias("sum_cents"),
@@ -82,7 +82,7 @@ def q_series_arrays(spark, sf):
   CAST(GREATEST(0, 360 - COUNT(*)) AS INTEGER) AS n_zeros, CAST(SUM(cents) AS BIGINT) AS sum_cents FROM c GROUP BY 1, 2""",
           covers="I5")
 def q_pad(spark, sf):
-    a = G.series_arrays(with_cents(panel(spark, sf)), target="cents")
+    a = G.series_arrays(with_cents(lazy_panel(spark, sf)), target="cents")
     p = a.select("store", "dept", G.pad_if_short(F.col("values").cast("array<double>"), 360).alias("v"),
                  F.size("values").alias("n"))
     return p.select("store", "dept", F.size("v").cast("bigint").alias("n_padded"),
@@ -114,19 +114,19 @@ FROM t WHERE n >= {lookback + horizon + val} AND {keep}"""
 
 @register("train_windows", _windows_sql(52, 13, 13, "train"), covers="I8 T19 B13")
 def q_train_windows(spark, sf):
-    w = WN.build_windows(with_cents(panel(spark, sf)), 52, 13, 13, target="cents")
+    w = WN.build_windows(with_cents(lazy_panel(spark, sf)), 52, 13, 13, target="cents")
     return _window_summary(w)
 
 
 @register("validation_windows", _windows_sql(52, 13, 13, "val"), covers="I9 J3")
 def q_val_windows(spark, sf):
-    w = WN.validation_windows(with_cents(panel(spark, sf)), 52, 13, 13, target="cents")
+    w = WN.validation_windows(with_cents(lazy_panel(spark, sf)), 52, 13, 13, target="cents")
     return _window_summary(w)
 
 
 @register("training_windows_no_holdout", _windows_sql(52, 39, 0, "train"), covers="I10")
 def q_train_windows_full(spark, sf):
-    w = WN.build_windows(with_cents(panel(spark, sf)), 52, 39, 0, target="cents")
+    w = WN.build_windows(with_cents(lazy_panel(spark, sf)), 52, 39, 0, target="cents")
     return _window_summary(w)
 
 
@@ -134,7 +134,7 @@ def q_train_windows_full(spark, sf):
   row_number() OVER (PARTITION BY store, dept ORDER BY date DESC) AS rk FROM panel) WHERE rk <= 13""",
           covers="E11 J3")
 def q_tail(spark, sf):
-    return WN.tail_rows(panel(spark, sf), 13).select("store", "dept", "date", "weekly_sales")
+    return WN.tail_rows(lazy_panel(spark, sf), 13).select("store", "dept", "date", "weekly_sales")
 
 
 _INF = PANEL_SQL + """, t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store, dept ORDER BY date DESC)
@@ -146,7 +146,7 @@ iw AS (SELECT store, dept, MAX(date) AS last_date, list(weekly_sales ORDER BY da
 @register("inference_windows", _INF + """SELECT store, dept, last_date, CAST(len(x) AS INTEGER) AS n_x,
   ROUND(list_reduce(x, lambda a, b: a + b), 4) AS x_sum FROM iw""", covers="I11")
 def q_inference_windows(spark, sf):
-    w = WN.inference_windows(panel(spark, sf), 52)
+    w = WN.inference_windows(lazy_panel(spark, sf), 52)
     return w.select("store", "dept", "last_date", "n_x",
                     r4(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), "x_sum"))
 
@@ -159,7 +159,7 @@ SELECT store, dept, CAST(pos AS INTEGER) AS pos, ROUND(xc[pos + 1] / 100.0, 4) A
   ROUND(tr[pos + 1] / 100.0, 4) AS trend, ROUND((xc[pos + 1] - tr[pos + 1]) / 100.0, 4) AS seasonal
 FROM tw, range(0, 52) r(pos) WHERE pos < len(xc)""", covers="I6 E9")
 def q_decomposition(spark, sf):
-    w = WN.inference_windows(with_cents(panel(spark, sf)), 52, target="cents")
+    w = WN.inference_windows(with_cents(lazy_panel(spark, sf)), 52, target="cents")
     trend, seasonal = WN.decompose(F.col("x"), 25)
     d = w.select("store", "dept", F.col("x"), trend.alias("trend"), seasonal.alias("seasonal"))
     e = d.select("store", "dept", F.posexplode(F.arrays_zip("x", "trend", "seasonal")).alias("pos", "v"))
@@ -174,7 +174,7 @@ s AS (SELECT store, dept, x, mu, sqrt(list_reduce([(v - mu) * (v - mu) FOR v IN
 SELECT store, dept, CAST(pos AS INTEGER) AS pos, ROUND(mu, 4) AS mean, ROUND(sd, 4) AS std,
   ROUND((x[pos + 1] - mu) / sd, 4) AS x_norm FROM s, range(0, 52) r(pos) WHERE pos < len(x)""", covers="I7 H13 T4")
 def q_instance_norm(spark, sf):
-    w = WN.inference_windows(panel(spark, sf), 52)
+    w = WN.inference_windows(lazy_panel(spark, sf), 52)
     xn, m, s = WN.instance_normalize(F.col("x"), F.col("x_mean"), F.col("x_std"))
     d = w.select("store", "dept", xn.alias("xn"), m.alias("mean"), s.alias("std"))
     e = d.select("store", "dept", "mean", "std", F.posexplode("xn").alias("pos", "x_norm"))
@@ -186,7 +186,7 @@ def q_instance_norm(spark, sf):
 SELECT store, dept, CAST(last_date + CAST(7 * (step + 1) AS INTEGER) AS DATE) AS date, CAST(step AS INTEGER) AS step,
   ROUND(mu, 4) AS y_pred FROM f, range(0, 13) r(step)""", covers="I12 K23")
 def q_forecast_rows(spark, sf):
-    w = WN.inference_windows(panel(spark, sf), 52)
+    w = WN.inference_windows(lazy_panel(spark, sf), 52)
     f = w.select("store", "dept", "last_date",
                  F.array_repeat(WN.array_mean(F.col("x")), 13).alias("forecast"))
     r = WN.forecast_rows(f)
@@ -201,5 +201,5 @@ def q_forecast_rows(spark, sf):
 SELECT store, dept, date, ROUND(CAST(s + GREATEST(0, 13 - rn) * f + GREATEST(0, rn + 12 - n) * l AS DOUBLE)
   / 25 / 100.0, 4) AS trend FROM t""", covers="E9")
 def q_edge_ma(spark, sf):
-    d = WN.edge_moving_average_rows(with_cents(panel(spark, sf)), target="cents")
+    d = WN.edge_moving_average_rows(with_cents(lazy_panel(spark, sf)), target="cents")
     return d.select("store", "dept", "date", r4(F.col("trend").cast("double") / 100.0, "trend"))
