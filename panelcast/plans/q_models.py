@@ -44,7 +44,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 # ---- trees ----------------------------------------------------------------
 
-@register("encode_categories", None, covers="K1 H16 T21")
+_ENCODE_SQL = Q.with_(Q.panel_cte("region"), Q.stores_cte("region")) + """,
+d AS (SELECT DISTINCT p.store, p.dept, s.type FROM panel p LEFT JOIN stores s ON p.store = s.store)
+SELECT store, dept, type,
+  CAST(DENSE_RANK() OVER (ORDER BY CAST(store AS VARCHAR)) - 1 AS DOUBLE) AS store__idx,
+  CAST(DENSE_RANK() OVER (ORDER BY CAST(dept AS VARCHAR)) - 1 AS DOUBLE) AS dept__idx,
+  CAST(DENSE_RANK() OVER (ORDER BY type) - 1 AS DOUBLE) AS type__idx FROM d"""
+
+
+@register("encode_categories", _ENCODE_SQL, covers="K1 H16 T21")
 def q_encode(spark, sf):
     p, f, s = _region(spark, sf)
     t = B.feature_table(p, f, s)
@@ -323,7 +331,17 @@ def q_csv_roundtrip(spark, sf):
     return train
 
 
-@register("run_log_summary", None, covers="A5")
+def _run_log_sql() -> str:
+    from .q_core import _folds_sql
+    return Q.with_(Q.panel_cte("region")) + ", " + _folds_sql() + """,
+fs AS (SELECT f.fold, COUNT(*) FILTER (WHERE p.date < f.val_start) AS n_train
+       FROM panel p JOIN folds f ON p.date <= f.val_end GROUP BY 1)
+SELECT 'folds' AS run, CAST(MAX(CASE WHEN fold = 0 THEN n_train END) AS DOUBLE) AS "0",
+  CAST(MAX(CASE WHEN fold = 1 THEN n_train END) AS DOUBLE) AS "1",
+  CAST(MAX(CASE WHEN fold = 2 THEN n_train END) AS DOUBLE) AS "2" FROM fs"""
+
+
+@register("run_log_summary", _run_log_sql(), covers="A5")
 def q_run_log(spark, sf):
     p = panel(spark, sf, "region")
     path = shared_path(spark, "runlog")
