@@ -33,9 +33,16 @@ def wmae_by(df: DataFrame, by: list[str], y="y", p="y_pred", is_holiday="is_holi
     return df.groupBy(*by).agg(wmae_expr(y, p, is_holiday).alias(out), F.count(F.lit(1)).alias("n_rows"))
 
 
-def mean_and_median(scores: DataFrame, col: str = "wmae") -> DataFrame:
-    """Mean and median of per-series scores."""
-    return scores.agg(F.avg(col).alias(f"mean_{col}"), F.median(col).alias(f"median_{col}"))
+def mean_and_median(scores: DataFrame, col: str = "wmae", by: list[str] | None = None) -> DataFrame:
+    """Mean and median of per-series scores (exact median by rank selection)."""
+    from .quantiles import exact_quantiles
+    by = list(by or [])
+    if by:
+        m = scores.groupBy(*by).agg(F.avg(col).alias(f"mean_{col}"))
+        med = exact_quantiles(scores, col, [0.5], by=by).select(*by, F.col("value").alias(f"median_{col}"))
+        return m.join(med, by, "left")
+    med = exact_quantiles(scores, col, [0.5]).select("value").scalar()
+    return scores.agg(F.avg(col).alias(f"mean_{col}"), med.alias(f"median_{col}"))
 
 
 def compare_models(scores: DataFrame, by: str, model: str, value: str, baseline: str, candidate: str) -> DataFrame:

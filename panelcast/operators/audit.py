@@ -1,7 +1,8 @@
 """Audits and summaries.
 
 All are single-pass aggregates (partial aggregation map-side, one small
-shuffle) or scalar subqueries; nothing is collected to the driver.
+shuffle) or scalar subqueries; quantiles use distributed rank selection
+(``functions.quantiles``); nothing data-sized is collected to the driver.
 """
 
 from __future__ import annotations
@@ -9,13 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..sources import schemas as S
 
 
 def summary_by(df: DataFrame, by: list[str], col: str, stats=("mean", "median", "count")) -> DataFrame:
-    """Mean / median / count (and min / max) of ``col`` per group."""
-    fns = {"mean": F.avg, "median": F.median, "count": F.count, "min": F.min, "max": F.max}
-    return df.groupBy(*by).agg(*[fns[s](col).alias(f"{s}_{col}") for s in stats])
+    """Mean / median / count (and min / max) of ``col`` per group.
+
+    The median comes from ``exact_quantiles`` (no single-task value buffer).
+    """
+    fns = {"mean": F.avg, "count": F.count, "min": F.min, "max": F.max}
+    out = df.groupBy(*by).agg(*[fns[s](col).alias(f"{s}_{col}") for s in stats if s != "median"])
+    if "median" in stats:
+        med = exact_quantiles(df, col, [0.5], by=by).select(*by, F.col("value").alias(f"median_{col}"))
+        out = out.join(med, by, "left")
+    return out.select(*by, *[f"{s}_{col}" for s in stats])
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -41,9 +50,10 @@ def date_range(df: DataFrame, date: str = "date") -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max."""
-    q = F.percentile(col, [0.25, 0.5, 0.75])
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75])
+    qv = {p: q.filter(F.col("prob") == p).select("value").scalar() for p in (0.25, 0.5, 0.75)}
     return df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                  F.min(col).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
+                  F.min(col).alias("min"), qv[0.25].alias("p25"), qv[0.5].alias("p50"), qv[0.75].alias("p75"),
                   F.max(col).alias("max"))
 
 
@@ -53,8 +63,9 @@ def negatives(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
 
 
 def quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
-    """Exact quantile (``approx_percentile`` is the large-scale alternative)."""
-    return df.agg(F.percentile(col, q).alias(f"q{int(round(q * 100))}"))
+    """Exact quantile by distributed rank selection (``approx_percentile`` is the
+    cheaper approximate alternative)."""
+    return exact_quantiles(df, col, [q]).select(F.col("value").alias(f"q{int(round(q * 100))}"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:

@@ -113,9 +113,10 @@ def first_n_series(df: DataFrame, n: int, keys: list[str] = S.KEYS) -> DataFrame
 
 
 def below_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
-    """Keep rows with ``col`` strictly below its exact ``q`` quantile (scalar subquery)."""
-    cut = df.agg(F.percentile(col, q)).scalar()
-    return df.filter(F.col(col) < cut)
+    """Keep rows with ``col`` strictly below its exact ``q`` quantile (scalar subquery
+    over the distributed rank selection)."""
+    from ..functions.quantiles import exact_quantile_value
+    return df.filter(F.col(col) < exact_quantile_value(df, col, q))
 
 
 def min_history(df: DataFrame, min_len: int, keys: list[str] = S.KEYS) -> DataFrame:

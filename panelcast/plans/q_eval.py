@@ -10,6 +10,7 @@ from ..operators import fallback as FB
 from ..operators import features as FE
 from ..operators import splits as SP
 from ..operators import windows as WN
+from ..session import materialize
 from ..sources import testpanel as TP
 from . import sqlparts as Q
 from .catalog import r4, r4_cols, register
@@ -141,8 +142,8 @@ def q_wmae_per_series(spark, sf):
 @register("wmae_summary", HOLDOUT_SQL + """SELECT model, ROUND(AVG(wmae), 4) AS mean_wmae, ROUND(MEDIAN(wmae), 4)
   AS median_wmae FROM scores GROUP BY 1""", covers="D15")
 def q_wmae_summary(spark, sf):
-    s = holdout_scores(spark, sf)
-    return s.groupBy("model").agg(r4(F.avg("wmae"), "mean_wmae"), r4(F.median("wmae"), "median_wmae"))
+    s = materialize(holdout_scores(spark, sf))
+    return r4_cols(mean_and_median(s, "wmae", by=["model"]), ["mean_wmae", "median_wmae"])
 
 
 @register("model_comparison", HOLDOUT_SQL + """, wide AS (SELECT store, dept,
