@@ -88,6 +88,7 @@ def tree_pipeline(features: list[str], params: dict | None = None, builder: Pane
 
 
 def with_weight(df: DataFrame, out: str = "w") -> DataFrame:
+    """Holiday weight column for ``gbt(weight=...)`` (weighted training, T11 weights)."""
     return df.withColumn(out, holiday_weight("is_holiday").cast("double"))
 
 

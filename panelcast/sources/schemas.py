@@ -89,3 +89,13 @@ def null_key_guard(df: DataFrame, keys: list[str]) -> DataFrame:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
     return df.filter(cond) if cond is not None else df
+
+
+def duplicate_keys(df: DataFrame, keys: list[str] = PANEL_KEYS) -> DataFrame:
+    """Panel contract: one row per (store, dept, date). Series windows partition by
+    (store, dept), so a series is bounded by its number of weeks only if keys are
+    unique; aggregate raw rows first (e.g. ``groupBy(*keys).agg(sum(...))``).
+
+    Returns the duplicated keys with their multiplicity (empty when the contract holds).
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -126,3 +126,22 @@ def test_additive_model_fits_constructed_series(spark):
     assert pred["error"].isna().all() and len(pred) > 0
     mae = (pred["y"] - pred["y_pred"]).abs().mean()
     assert mae < 120  # holiday bumps (300) are not in the design here; trend + season are
+
+
+def test_multiplicative_model_on_positive_series(spark):
+    from panelcast.models import additive as AD
+    from panelcast.operators import splits as SP
+    df = _constructed(spark, n_series=2, n=160)
+    folds = SP.per_series_folds(df, n_splits=1, horizon_weeks=13, min_train=30)
+    pred = AD.evaluate_additive(AR.fold_frame(df, folds), None, fourier_order=5, ridge=0.01,
+                                multiplicative=True).toPandas()
+    assert pred["error"].isna().all()
+    rel = ((pred["y"] - pred["y_pred"]).abs() / pred["y"]).mean()
+    assert rel < 0.1
+
+
+def test_future_dates_and_series_guard(spark):
+    from panelcast.models import additive as AD
+    df = _constructed(spark, n_series=2, n=10)
+    f = AD.future_dates(df, 3)
+    assert f.count() == 2 * 13 and f.filter("is_future").count() == 6

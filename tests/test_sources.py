@@ -48,7 +48,8 @@ def test_forecast_sink_and_run_log(spark):
 
 def test_test_panel_invariants(spark):
     p = TP.sales_panel(spark, SF_SMALL, "nation")
-    assert p.groupBy("store", "dept", "date").count().filter("count > 1").count() == 0
+    from panelcast.sources.schemas import duplicate_keys
+    assert duplicate_keys(p).count() == 0
     assert p.filter(F.dayofweek("date") != 6).count() == 0  # all Fridays
     train, test = TP.train_test_split(p)
     assert train.count() + test.count() == p.count() - p.filter(
