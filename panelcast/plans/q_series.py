@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import grid as G
 from ..operators import windows as WN
 from ..sources.testpanel import is_holiday_week
-from .catalog import r4, r4_cols, register
+from .catalog import r4, register
 from .q_core import PANEL_SQL, panel, with_cents, lazy_panel
 
 _GRID_SQL = PANEL_SQL + """, b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM panel),
