@@ -27,6 +27,21 @@ def main() -> None:
         if len(qs) > 4:
             txt += f" +{len(qs) - 4}"
         print(f"| {i} | {op.strip()[:60]} | {txt or '-'} |")
+    # semantic traps -> queries and tests that pin them
+    t_rows = re.findall(r"^\| (T\d+) \| ([^|]*)\|", s[s.index("### 1.4"):s.index("### 1.5")], re.M)
+    tests: dict[str, list[str]] = {}
+    tdir = os.path.join(ROOT, "tests")
+    for fn in sorted(os.listdir(tdir)):
+        if fn.startswith("test_") and fn.endswith(".py"):
+            src = open(os.path.join(tdir, fn)).read()
+            for t in set(re.findall(r"\bT(\d+)\b", src)):
+                tests.setdefault(f"T{t}", []).append(fn)
+    print("\n## Semantic rules (SURVEY 1.4)\n")
+    print("| Rule | Semantics | Queries | Tests |")
+    print("|---|---|---|---|")
+    for t, sem in t_rows:
+        qs = ", ".join(f"`{q}`" for q in cov.get(t, [])[:3]) or "-"
+        print(f"| {t} | {sem.strip()[:70]} | {qs} | {', '.join(tests.get(t, [])) or '-'} |")
 
 
 if __name__ == "__main__":

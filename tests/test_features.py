@@ -28,6 +28,7 @@ def test_lag_is_row_based_across_gaps(spark):
 
 
 def test_rolling_uses_previous_rows_and_sample_std(spark):
+    # T2 (previous w rows, min one value) and T3 (sample std: one value -> NULL)
     df = _panel(spark, [(1, 1, _d(i), float(v), False) for i, v in enumerate([10, 20, 40])])
     out = FE.add_rolling_features(df, windows=(4,)).orderBy("date").collect()
     assert out[0]["sales_rolling_mean_4"] is None

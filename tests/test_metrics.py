@@ -26,6 +26,7 @@ def test_wmae_null_prediction_propagates(spark):
 
 
 def test_wmae_null_flag_counts_as_holiday(spark):
+    # T11
     # |1-0|*5 + |2-2|*1 over 6
     assert _wmae(spark, [(1.0, 0.0, None), (2.0, 2.0, False)]) == pytest.approx(5 / 6)
 

@@ -64,6 +64,7 @@ def test_linear_window_model_beats_window_mean(spark):
 
 
 def test_builder_frozen_features_ignore_future(spark):
+    # T17 frozen mode / T8: serving features must not move when future targets change
     df = _constructed(spark, n_series=2, n=110)
     cut = D0 + dt.timedelta(days=7 * 100)
     train = df.filter(F.col("date") < F.lit(cut))

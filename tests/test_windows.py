@@ -39,6 +39,7 @@ def test_short_series_windows(spark, n, expected):
 
 
 def test_window_contents(spark):
+    # Windows are row-contiguous; T4: population std of the lookback
     df = _series(spark, [80])
     w = WN.build_windows(df, 52, 13, 13).orderBy("origin").first()
     ys = [r["weekly_sales"] for r in df.orderBy("date").collect()]
@@ -60,6 +61,7 @@ def test_moving_average_and_normalisation_vs_numpy(spark):
 
 
 def test_reindex_global_fills(spark):
+    # Inserted weeks get target 0 and holiday flag False
     df = _series(spark, [10, 6], gap_at=3)
     g = G.reindex_global(df)
     assert g.count() == 2 * 10
