@@ -151,9 +151,25 @@ def q_rolling(spark, sf):
                    [f"sales_rolling_{k}_{n}" for k in ("mean", "std") for n in (4, 8)])
 
 
-@register("rolling_features_float", None, covers="E2 E3")
+def _rolling_float_sql() -> str:
+    # Spark evaluates a sliding frame by re-aggregating its rows in order: a
+    # sequential sum for avg and sequential moment updates for stddev_samp; the
+    # oracle replays the same arithmetic with list_reduce over the frame's list.
+    cols = []
+    for n in (4, 8):
+        lst = f"list(weekly_sales) {_SW} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        cols.append(f"ROUND(list_reduce({lst}, lambda a, b: a + b) / len({lst}), 4) AS sales_rolling_mean_{n}")
+        mom = (f"list_reduce([struct_pack(n := 1.0, mu := v, m2 := 0.0, x := v) FOR v IN {lst}], "
+               f"lambda a, e: struct_pack(n := a.n + 1.0, mu := a.mu + (e.x - a.mu) / (a.n + 1.0), "
+               f"m2 := a.m2 + (e.x - a.mu) * ((e.x - a.mu) - (e.x - a.mu) / (a.n + 1.0)), x := e.x))")
+        cols.append(f"ROUND(CASE WHEN len({lst}) >= 2 THEN sqrt({mom}.m2 / ({mom}.n - 1.0)) END, 4)"
+                    f" AS sales_rolling_std_{n}")
+    return PANEL_SQL + "SELECT store, dept, date, " + ", ".join(cols) + " FROM panel"
+
+
+@register("rolling_features_float", _rolling_float_sql(), covers="E2 E3 T2 T3")
 def q_rolling_float(spark, sf):
-    """The double-precision form of E2/E3 (summation-order dependent: rows-only check)."""
+    """The double-precision form of E2/E3 as library users call it."""
     return r4_cols(FE.add_rolling_features(lazy_panel(spark, sf)).drop("weekly_sales", "is_holiday"),
                    [f"sales_rolling_{k}_{n}" for k in ("mean", "std") for n in (4, 8)])
 
