@@ -50,7 +50,7 @@ def _step_frame(df: DataFrame, step: int) -> DataFrame:
 
 
 def fit_direct(train_windows: DataFrame, horizon: int, reg: float = 0.1, kernel: int = 25,
-               parallel: int = 4) -> list[tuple[list[float], float]]:
+               parallel: int = 8) -> list[tuple[list[float], float]]:
     """One weighted ridge fit per horizon step; returns (coefficients, intercept) per step."""
     feats = materialize(window_features(train_windows, kernel).select("feat", "y", "h", "mu", "sd"))
 
