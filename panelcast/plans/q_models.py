@@ -26,6 +26,7 @@ from ..operators import splits as SP
 from ..operators import windows as WN
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks as SK
+from ..sources.schemas import RENAME
 from ..sources import testpanel as TP
 from . import sqlparts as Q
 from .catalog import r4, r4_cols, register
@@ -309,7 +310,7 @@ def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:
     """Write the derived panel in the reference's CSV layout (train/test/features/stores)."""
     p = panel(spark, sf)
     train, test = TP.train_test_split(p)
-    ren = {v: k for k, v in __import__("panelcast.sources.schemas", fromlist=["RENAME"]).RENAME.items()}
+    ren = {v: k for k, v in RENAME.items()}
     def out(df, name):
         df.select([F.col(c).alias(ren.get(c, c)) for c in df.columns]).write.mode("overwrite") \
           .option("header", True).option("dateFormat", "yyyy-MM-dd").csv(os.path.join(path, name + ".csv"))

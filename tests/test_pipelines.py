@@ -36,3 +36,15 @@ def test_per_series_flow(spark):
     p, _, _ = _data(spark)
     out = PL.per_series_flow(p, holiday_frame(spark, derived_holidays(1994, 2002)))
     assert out.count() > 0 and set(out.columns) >= {"sar", "additive", "improvement_pct"}
+
+
+def test_readme_example_from_csv(spark):
+    """The README flow: reference-layout CSVs -> load_raw_data -> tree_flow."""
+    from panelcast.plans.q_models import shared_path, write_reference_layout
+    from panelcast.sources.readers import load_raw_data
+    path = shared_path(spark, "readme")
+    write_reference_layout(spark, SF_SMALL, path)
+    train, test, features, stores = load_raw_data(spark, path)
+    r = PL.tree_flow(train, test, features, stores, params={**T.PRESET_QUICK, "maxIter": 3})
+    assert r.submission.count() == test.count()
+    assert r.fold_scores.filter(F.col("wmae").isNull()).count() == 0
