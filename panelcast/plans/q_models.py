@@ -201,9 +201,25 @@ def q_acf(spark, sf):
     return r4_cols(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40), ["acf"])
 
 
-@register("pacf", None, covers="K18")
+def _pacf_sql(max_lag: int = 40) -> str:
+    acf = _acf_sql(max_lag)
+    body = acf[acf.index("WITH ") + 5:acf.rindex("SELECT store, dept, CAST(lag AS INTEGER)")]
+    return "WITH RECURSIVE " + body + f""", rl AS (SELECT store, dept, list(acf ORDER BY lag) AS r FROM a GROUP BY 1, 2),
+dl AS (
+  SELECT store, dept, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1.0 AS DOUBLE) AS v, CAST(1.0 AS DOUBLE) AS pk, r
+  FROM rl
+  UNION ALL
+  SELECT store, dept, k + 1, list_concat([phi[j] - an * phi[k + 1 - j] FOR j IN range(1, k + 1)], [an]),
+         v * (1 - an * an), an, r
+  FROM (SELECT *, (r[k + 2] - COALESCE(list_sum([phi[j] * r[k + 2 - j] FOR j IN range(1, k + 1)]), 0)) / v AS an
+        FROM dl WHERE k < {max_lag} AND v > 0)
+)
+SELECT store, dept, CAST(k AS INTEGER) AS lag, ROUND(pk, 4) AS pacf FROM dl"""
+
+
+@register("pacf", _pacf_sql(), covers="K18")
 def q_pacf(spark, sf):
-    return DG.partial_autocorrelation(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40))
+    return r4_cols(DG.partial_autocorrelation(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40)), ["pacf"])
 
 
 @register("seasonal_decompose", _REGION_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
