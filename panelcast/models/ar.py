@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import schemas as S
 from ..operators.grid import reindex_series
 from ..operators.prep import ffill
+from ..operators.splits import series_fold_bounds
 
 
 def _difference(y: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
@@ -119,22 +120,34 @@ PRED_SCHEMA = ("store int, dept int, fold int, date date, y double, is_holiday b
                "y_pred double, error string")
 
 
-def fold_frame(df: DataFrame, folds: DataFrame, target: str = "weekly_sales", keys=S.KEYS,
-               densify: bool = True) -> DataFrame:
-    """Rows of each (series, fold): train rows (regular weekly, forward filled when
-    ``densify``; the reference's ``asfreq`` + ``ffill``) and validation rows."""
+def fold_frame(df: DataFrame, folds: DataFrame | None = None, target: str = "weekly_sales", keys=S.KEYS,
+               densify: bool = True, n_splits: int = 3, horizon_weeks: int = 13, min_train: int = 30) -> DataFrame:
+    """Rows of each (series, fold) for the grouped fits: train rows (regular weekly and
+    forward filled when ``densify``, the reference's ``asfreq`` + ``ffill``) and the
+    observed validation rows, for folds passing the B14 guard (``min_train`` observed
+    train rows, non-empty validation).
+
+    ``folds`` defaults to ``series_fold_bounds``. The guard is a window count over
+    (series, fold), the partitioning the grouped fit needs anyway.
+    """
     base = df.select(*keys, "date", target, "is_holiday")
     if densify:
         dense = reindex_series(base, target, keys, fill=None, holiday_from="row")
-        dense = ffill(dense, [target], keys, ["date"]).drop("is_filled")
+        dense = ffill(dense, [target], keys, ["date"])
     else:
-        dense = base
+        dense = base.withColumn("is_filled", F.lit(False))
+    if folds is None:
+        folds = series_fold_bounds(base, keys, "date", n_splits, horizon_weeks)
     j = dense.join(folds.select(*keys, "fold", "val_start", "val_end"), keys)
     j = j.filter(F.col("date") <= F.col("val_end"))
     j = j.withColumn("role", F.when(F.col("date") < F.col("val_start"), "train").otherwise("val"))
     # validation rows are the observed ones only
-    obs = base.select(*keys, "date", F.lit(True).alias("_obs"))
-    j = j.join(obs, [*keys, "date"], "left").filter((F.col("role") == "train") | F.col("_obs").isNotNull())
+    j = j.filter((F.col("role") == "train") | ~F.col("is_filled"))
+    w = Window.partitionBy(*keys, "fold")
+    obs_train = F.count_if((F.col("role") == "train") & ~F.col("is_filled")).over(w)
+    n_val = F.count_if(F.col("role") == "val").over(w)
+    j = j.withColumn("_ntr", obs_train).withColumn("_nva", n_val)
+    j = j.filter((F.col("_ntr") >= min_train) & (F.col("_nva") > 0))
     return j.select(*keys, "fold", "date", F.col(target).alias("y"), "is_holiday", "role")
 
 

@@ -69,6 +69,24 @@ def holdout_last_weeks(df: DataFrame, weeks: int, date: str = "date") -> tuple[D
     return df.filter(F.col(date) <= cut), df.filter(F.col(date) > cut)
 
 
+def series_fold_bounds(df: DataFrame, keys=S.KEYS, date: str = "date", n_splits: int = 3,
+                       horizon_weeks: int = 13) -> DataFrame:
+    """J1 per series: ``keys, fold, val_start, val_end`` from each series' own first and
+    last date (the per-series call of the walk-forward split), oldest fold first.
+
+    One aggregate per series, then array expressions on that row: the number of
+    kept folds is computed in place, no window and no join.
+    """
+    days = 7 * horizon_weeks
+    b = df.groupBy(*keys).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+    idx = F.sequence(F.lit(0), F.lit(n_splits - 1))
+    kept = F.filter(idx, lambda i: F.date_sub(F.col("_last"), (i + 1) * days) > F.col("_first"))
+    e = b.select(*keys, "_last", F.size(kept).alias("_m"), F.explode(kept).alias("_i"))
+    return e.select(*keys, (F.col("_m") - 1 - F.col("_i")).cast("int").alias("fold"),
+                    F.date_sub("_last", (F.col("_i") + 1) * days).alias("val_start"),
+                    F.date_sub("_last", F.col("_i") * days).alias("val_end"))
+
+
 def per_series_folds(df: DataFrame, keys=S.KEYS, date: str = "date", n_splits: int = 3,
                      horizon_weeks: int = 13, min_train: int = 30) -> DataFrame:
     """J1 per series + B14: folds from each series' own last date.
@@ -76,15 +94,7 @@ def per_series_folds(df: DataFrame, keys=S.KEYS, date: str = "date", n_splits: i
     Returns ``keys, fold, val_start, val_end, n_train, n_val`` for folds with
     at least ``min_train`` train rows and a non-empty validation part.
     """
-    days = 7 * horizon_weeks
-    bounds = df.groupBy(*keys).agg(F.max(date).alias("_last"), F.min(date).alias("_first"))
-    folds = (bounds.select(*keys, "_first", "_last",
-                           F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("i"))
-             .withColumn("val_end", F.date_sub("_last", F.col("i") * days))
-             .withColumn("val_start", F.date_sub("val_end", days))
-             .filter(F.col("val_start") > F.col("_first")))
-    w_n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    folds = folds.withColumn("fold", (w_n - 1 - F.col("i")).cast("int")).drop("_first", "_last", "i")
+    folds = series_fold_bounds(df, keys, date, n_splits, horizon_weeks)
     j = df.select(*keys, date).join(folds, keys).filter(F.col(date) <= F.col("val_end"))
     counts = j.groupBy(*keys, "fold", "val_start", "val_end").agg(
         F.count_if(F.col(date) < F.col("val_start")).alias("n_train"),

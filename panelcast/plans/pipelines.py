@@ -79,8 +79,7 @@ def per_series_flow(panel: DataFrame, calendar: DataFrame | None, n_splits: int
     """Entry C: mean fold WMAE per series for seasonal AR and the additive model,
     side by side with the improvement in percent (D24)."""
     panel = materialize(panel)
-    folds = SP.per_series_folds(panel, n_splits=n_splits, horizon_weeks=horizon_weeks, min_train=min_train)
-    frame = materialize(AR.fold_frame(panel, folds))
+    frame = materialize(AR.fold_frame(panel, n_splits=n_splits, horizon_weeks=horizon_weeks, min_train=min_train))
 
     def score(pred: DataFrame, model: str) -> DataFrame:
         ok = pred.filter(F.col("error").isNull() & F.col("y_pred").isNotNull())

@@ -246,8 +246,7 @@ def q_seasonal_decompose(spark, sf):
 
 def _series_frame(spark, sf):
     p = panel(spark, sf, "region")
-    folds = SP.per_series_folds(p, n_splits=3, horizon_weeks=13, min_train=30)
-    return p, AR.fold_frame(p, folds)
+    return p, AR.fold_frame(p, n_splits=3, horizon_weeks=13, min_train=30)
 
 
 def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
