@@ -48,6 +48,26 @@ def date_range(df: DataFrame, date: str = "date") -> DataFrame:
                   F.count_if(F.col(date).isNull()).alias("n_null_dates"))
 
 
+def split_date_audit(train: DataFrame, test: DataFrame, features: DataFrame, date: str = "date",
+                     null_col: str = "cpi", nulls_in: DataFrame | None = None) -> DataFrame:
+    """Date ranges of train / test / features, the gap in days between the last
+    train date and the first test date, and the date range of rows missing ``null_col``
+    (looked up in ``nulls_in``, default the feature table).
+
+    Every value is a scalar subquery (partial min/max per task); one output row.
+    """
+    def rng(df):
+        return df.agg(F.min(date)).scalar(), df.agg(F.max(date)).scalar()
+    tr, te, fe = rng(train), rng(test), rng(features)
+    nl = rng((features if nulls_in is None else nulls_in).filter(F.col(null_col).isNull()))
+    spark = train.sparkSession
+    return spark.range(1).select(
+        tr[0].alias("train_first"), tr[1].alias("train_last"), te[0].alias("test_first"),
+        te[1].alias("test_last"), fe[0].alias("features_first"), fe[1].alias("features_last"),
+        F.datediff(te[0], tr[1]).alias("gap_days"),
+        nl[0].alias(f"{null_col}_null_first"), nl[1].alias(f"{null_col}_null_last"))
+
+
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max."""
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75])

@@ -124,6 +124,15 @@ def add_differences(df: DataFrame, target: str = TARGET, season: int = 52) -> Da
                      (F.col(target) - F.lag(target, season).over(w)).alias(f"diff_{season}"))
 
 
+def undifference(df: DataFrame, diff: str = "diff_1", level: str = "weekly_sales", out: str = "level",
+                 keys=S.KEYS, date: str = "date") -> DataFrame:
+    """E8 inverse: levels from first differences, a running sum from the first level."""
+    w = series_window(keys, date)
+    first = F.first(level).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    run = F.sum(diff).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn(out, first + F.coalesce(run, F.lit(0)))
+
+
 def build_all_features(df: DataFrame, holidays=REFERENCE_HOLIDAYS) -> DataFrame:
     """K3: lags, rolling stats, holiday proximity, expanding dept and store means."""
     df = add_series_window_features(df)

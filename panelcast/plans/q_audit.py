@@ -285,3 +285,31 @@ def q_drop_after(spark, sf):
     p = panel(spark, sf)
     cutoff = F.date_sub(p.agg(F.max("date")).scalar(), 91)
     return p.filter(F.col("date") < cutoff).select("store", "dept", "date", "weekly_sales")
+
+
+@register("split_date_audit", Q.with_(*MERGED_CTES) + ", " + Q.split_ctes() + """
+SELECT (SELECT MIN(date) FROM train) AS train_first, (SELECT MAX(date) FROM train) AS train_last,
+  (SELECT MIN(date) FROM test) AS test_first, (SELECT MAX(date) FROM test) AS test_last,
+  (SELECT MIN(date) FROM features) AS features_first, (SELECT MAX(date) FROM features) AS features_last,
+  CAST((SELECT MIN(date) FROM test) - (SELECT MAX(date) FROM train) AS INTEGER) AS gap_days,
+  (SELECT MIN(date) FROM merged WHERE cpi IS NULL) AS cpi_null_first,
+  (SELECT MAX(date) FROM merged WHERE cpi IS NULL) AS cpi_null_last""", covers="D7 H4")
+def q_split_date_audit(spark, sf):
+    p = panel(spark, sf)
+    train, test = TP.train_test_split(p)
+    feats = TP.features_table(spark, sf)
+    m = P.merge_all(p, feats, TP.stores_table(spark, sf))
+    return AU.split_date_audit(train, test, feats, nulls_in=m)
+
+
+@register("histogram_clipped", PANEL_SQL + """, k AS (SELECT * FROM panel
+  WHERE weekly_sales < (SELECT QUANTILE_CONT(weekly_sales, 0.99) FROM panel)),
+b AS (SELECT MIN(weekly_sales) AS lo, MAX(weekly_sales) AS hi FROM k)
+SELECT CAST(CASE WHEN hi - lo = 0 THEN 1 ELSE LEAST(FLOOR((weekly_sales - lo) * 100 / (hi - lo)) + 1, 100) END
+       AS INTEGER) AS bin, COUNT(*) AS n, ROUND(MIN(lo + (CAST(CASE WHEN hi - lo = 0 THEN 1 ELSE
+       LEAST(FLOOR((weekly_sales - lo) * 100 / (hi - lo)) + 1, 100) END AS INTEGER) - 1) * (hi - lo) / 100), 4)
+       AS bin_start
+FROM k, b WHERE weekly_sales IS NOT NULL GROUP BY 1""", covers="D11 B9")
+def q_histogram_clipped(spark, sf):
+    p = panel(spark, sf)
+    return r4_cols(AU.histogram(P.below_quantile(p, "weekly_sales", 0.99), "weekly_sales", 100), ["bin_start"])

@@ -203,3 +203,27 @@ SELECT store, dept, date, ROUND(CAST(s + GREATEST(0, 13 - rn) * f + GREATEST(0,
 def q_edge_ma(spark, sf):
     d = WN.edge_moving_average_rows(with_cents(lazy_panel(spark, sf)), target="cents")
     return d.select("store", "dept", "date", r4(F.col("trend").cast("double") / 100.0, "trend"))
+
+
+@register("series_lengths_dense", _GRID_SQL + """, n AS (SELECT store, dept, COUNT(*) AS n FROM grid GROUP BY 1, 2)
+SELECT COUNT(*) AS n_series, MIN(n) AS min_len, MAX(n) AS max_len, COUNT(DISTINCT n) = 1 AS equal_length FROM n""",
+          covers="D17 I2")
+def q_series_lengths_dense(spark, sf):
+    from ..operators.audit import series_lengths
+    return series_lengths(G.reindex_global(panel(spark, sf)))
+
+
+@register("differences_inverse", PANEL_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
+  FROM panel),
+d AS (SELECT *, cents - lag(cents) OVER (PARTITION BY store, dept ORDER BY date) AS d1 FROM c)
+SELECT store, dept, date, CAST(d1 AS DOUBLE) AS diff_1,
+  CAST(first_value(cents) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  + COALESCE(SUM(d1) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+  AS BIGINT) AS level FROM d""", covers="E8")
+def q_differences_inverse(spark, sf):
+    from ..operators import features as FE
+    p = with_cents(lazy_panel(spark, sf))
+    d = FE.add_differences(p, target="cents").select("store", "dept", "date", "cents", "diff_1")
+    u = FE.undifference(d, "diff_1", "cents")
+    return u.select("store", "dept", "date", F.col("diff_1").cast("double").alias("diff_1"),
+                    F.col("level").cast("bigint").alias("level"))
