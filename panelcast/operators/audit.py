@@ -33,10 +33,13 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def dtypes(df: DataFrame) -> DataFrame:
-    """Column name and Spark type (schema metadata, no data read)."""
+    """Per column its position, Spark type and non-null count (one pass, then unpivot)."""
     spark = df.sparkSession
-    return spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(df.dtypes)],
+    meta = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(df.dtypes)],
                                  "position int, column string, type string")
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).unpivot(
+        [], df.columns, "column", "n_non_null")
+    return meta.join(F.broadcast(counts), "column")  # one row per column on both sides
 
 
 def date_range(df: DataFrame, date: str = "date") -> DataFrame:

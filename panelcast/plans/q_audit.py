@@ -80,9 +80,15 @@ def q_shape(spark, sf):
     return AU.shape(merged(spark, sf))
 
 
-@register("dtypes", None, covers="D6")
+_MERGED_TYPES = ["int", "int", "date", "double", "boolean", "double", "double", "double", "double", "double",
+                 "double", "double", "double", "double", "string", "int"]
+
+
+@register("dtypes", MERGED_SQL + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column, '{t}' AS type, COUNT({c}) AS n_non_null FROM merged"
+    for i, (c, t) in enumerate(zip(_MERGED_COLS, _MERGED_TYPES))), covers="D6")
 def q_dtypes(spark, sf):
-    return AU.dtypes(merged(spark, sf))
+    return AU.dtypes(merged(spark, sf).select(*_MERGED_COLS))
 
 
 @register("date_range", PANEL_SQL + """SELECT MIN(date) AS first_date, MAX(date) AS last_date,
