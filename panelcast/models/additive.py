@@ -1,6 +1,6 @@
 """Additive trend + yearly seasonality + holiday regression per series.
 
-The reference fits Prophet per series (``y = trend + seasonality + holidays``).
+The reference fits an additive forecasting library per series (``y = trend + seasonality + holidays``).
 Re-aimed: Spark builds the design columns (time, Fourier terms at 365.25
 days, holiday-window dummies from the spread calendar); one grouped pandas
 call per (series, fold) adds piecewise-linear trend hinges and solves a
