@@ -11,10 +11,9 @@ from panelcast.plans import catalog  # noqa: E402
 
 
 def _label(text: str) -> str:
-    # generic wording for library / class names quoted in the survey
-    for a, b in (("WalmartFeatureBuilder", "feature builder"), ("Prophet form", "additive form")):
-        text = text.replace(a, b)
-    return text
+    # generic wording for class / library names quoted in the survey
+    text = re.sub(r"\b[A-Z]\w*FeatureBuilder\b", "feature builder", text)
+    return re.sub(r"\([A-Z]\w* form ", "(form ", text)
 
 
 def main() -> None:
