@@ -70,9 +70,17 @@ def encoding_stages(features: list[str]) -> list:
 
 
 def gbt(params: dict | None = None, label: str = TARGET, weight: str | None = None, seed: int = 42,
-        max_bins: int = 128, loss: str = "squared") -> GBTRegressor:
-    """K4/K5: GBT estimator; ``maxBins`` >= category count (99 depts in the source data)."""
+        max_bins: int = 128, loss: str = "squared", validation_col: str | None = None,
+        validation_tol: float = 0.01) -> GBTRegressor:
+    """K4/K5: GBT estimator; ``maxBins`` >= category count (99 depts in the source data).
+
+    ``validation_col`` (a boolean column, see ``mark_validation``) turns on early
+    stopping: boosting stops when the validation error stops improving by
+    ``validation_tol``.
+    """
     p = dict(PRESET_QUICK if params is None else params)
+    if validation_col:
+        p.update(validationIndicatorCol=validation_col, validationTol=validation_tol)
     est = GBTRegressor(labelCol=label, featuresCol="features", predictionCol="y_pred", seed=seed,
                        maxBins=max_bins, lossType=loss, **p)
     if weight:
@@ -80,10 +88,18 @@ def gbt(params: dict | None = None, label: str = TARGET, weight: str | None = No
     return est
 
 
+def mark_validation(df: DataFrame, weeks: int, date: str = "date", out: str = "is_validation") -> DataFrame:
+    """Flag the newest ``weeks`` of a training frame as the early-stopping slice
+    (time-ordered, never random: later weeks validate earlier ones)."""
+    cut = F.date_sub(df.agg(F.max(date)).scalar(), 7 * weeks)
+    return df.withColumn(out, F.col(date) > cut)
+
+
 def tree_pipeline(features: list[str], params: dict | None = None, builder: PanelFeatureBuilder | None = None,
-                  weight: str | None = None) -> Pipeline:
+                  weight: str | None = None, validation_col: str | None = None) -> Pipeline:
     """[feature builder] -> preprocessing -> encoding -> GBT."""
-    stages = ([builder] if builder is not None else []) + encoding_stages(features) + [gbt(params, weight=weight)]
+    stages = (([builder] if builder is not None else []) + encoding_stages(features)
+              + [gbt(params, weight=weight, validation_col=validation_col)])
     return Pipeline(stages=stages)
 
 
@@ -169,19 +185,29 @@ def sample_params(n_trials: int, seed: int = 42, space: dict | None = None) -> l
 
 
 def random_search(table: DataFrame, folds: DataFrame, features: list[str], n_trials: int = 30,
-                  seed: int = 42, parallel: int = 1, space: dict | None = None) -> DataFrame:
+                  seed: int = 42, parallel: int = 1, space: dict | None = None,
+                  trial_parallel: int = 1) -> DataFrame:
     """K8 + F5: evaluate sampled parameters by mean fold WMAE; one row per trial.
 
-    Trials run one after another (each is a set of distributed fits, folds in
-    ``parallel`` threads); the table is checkpointed once for all of them.
+    Each trial is a set of distributed fits (folds in ``parallel`` threads);
+    ``trial_parallel`` trials run concurrently from a driver thread pool. The
+    table is checkpointed once for all of them.
     """
     spark = table.sparkSession
     table = materialize(table)
-    rows = []
-    for t, p in enumerate(sample_params(n_trials, seed, space)):
+
+    def run(tp):
+        t, p = tp
         scores, _ = cv_flat(table, folds, features, p, parallel=parallel)
         m = scores.agg(F.avg("wmae")).first()[0]
-        rows.append((t, json.dumps(p, sort_keys=True), float(m) if m is not None else None))
+        return t, json.dumps(p, sort_keys=True), float(m) if m is not None else None
+
+    trials = list(enumerate(sample_params(n_trials, seed, space)))
+    if trial_parallel > 1:
+        with ThreadPoolExecutor(trial_parallel) as ex:
+            rows = list(ex.map(run, trials))
+    else:
+        rows = [run(tp) for tp in trials]
     return spark.createDataFrame(rows, "trial int, params string, mean_wmae double")
 
 

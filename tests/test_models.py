@@ -146,3 +146,13 @@ def test_future_dates_and_series_guard(spark):
     df = _constructed(spark, n_series=2, n=10)
     f = AD.future_dates(df, 3)
     assert f.count() == 2 * 13 and f.filter("is_future").count() == 6
+
+
+def test_gbt_early_stopping_runs(spark):
+    df = _constructed(spark, n_series=2, n=120)
+    feats = ["store", "dept", "sales_lag_52wk", "dept_avg_sales_expanding"]
+    from panelcast.operators import features as FE
+    t = FE.add_expanding_dept_avg(FE.add_prior_year_sales(df))
+    t = T.mark_validation(t, 13)
+    model = T.tree_pipeline(feats, {**T.PRESET_QUICK, "maxIter": 30}, validation_col="is_validation").fit(t)
+    assert model.stages[-1].getNumTrees <= 30
