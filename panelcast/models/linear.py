@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import HOLIDAY_WEIGHT
 from ..operators import windows as WN
-from ..session import materialize
+from ..session import materialize_for_training
 
 
 def window_features(windows: DataFrame, kernel: int = 25, eps: float = 1e-6) -> DataFrame:
@@ -52,7 +52,7 @@ def _step_frame(df: DataFrame, step: int) -> DataFrame:
 def fit_direct(train_windows: DataFrame, horizon: int, reg: float = 0.1, kernel: int = 25,
                parallel: int = 8) -> list[tuple[list[float], float]]:
     """One weighted ridge fit per horizon step; returns (coefficients, intercept) per step."""
-    feats = materialize(window_features(train_windows, kernel).select("feat", "y", "h", "mu", "sd"))
+    feats = materialize_for_training(window_features(train_windows, kernel).select("feat", "y", "h", "mu", "sd"))
 
     def fit(step):
         lr = LinearRegression(featuresCol="features", labelCol="label", weightCol="w", regParam=reg,

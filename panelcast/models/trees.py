@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import holiday_weight, wmae_expr
 from ..operators.fallback import clip_lower
-from ..session import materialize
+from ..session import materialize_for_training
 from .builder import CATEGORICAL, PanelFeatureBuilder
 
 SENTINEL = -999999.0
@@ -109,14 +109,15 @@ def with_weight(df: DataFrame, out: str = "w") -> DataFrame:
 
 
 def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dict | None = None,
-            date: str = "date", parallel: int = 1) -> tuple[DataFrame, DataFrame]:
+            date: str = "date", parallel: int = 1, prepared: bool = False) -> tuple[DataFrame, DataFrame]:
     """K4 + D14 + K7: walk-forward CV on a flat feature table (T17 ``expanding`` mode).
 
     Returns (per-fold WMAE, importances summed over folds). The table is
     checkpointed once so every fold reads the same materialised rows.
     """
     spark: SparkSession = table.sparkSession
-    table = materialize(table)
+    if not prepared:
+        table = materialize_for_training(table)
     fold_rows = folds.collect()  # n_splits rows
     pipe = tree_pipeline(features, params)
 
@@ -194,11 +195,11 @@ def random_search(table: DataFrame, folds: DataFrame, features: list[str], n_tri
     table is checkpointed once for all of them.
     """
     spark = table.sparkSession
-    table = materialize(table)
+    table = materialize_for_training(table)
 
     def run(tp):
         t, p = tp
-        scores, _ = cv_flat(table, folds, features, p, parallel=parallel)
+        scores, _ = cv_flat(table, folds, features, p, parallel=parallel, prepared=True)
         m = scores.agg(F.avg("wmae")).first()[0]
         return t, json.dumps(p, sort_keys=True), float(m) if m is not None else None
 
