@@ -62,18 +62,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_for_training(df: DataFrame) -> DataFrame:
-    """Checkpoint a table that iterative fits will read many times, and make sure it
-    has at least ``defaultParallelism`` partitions (AQE may have coalesced a small
-    table into one, which would leave every fit single-task). At scale the table is
-    already wider and this is a plain checkpoint."""
-    c = materialize(df)
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if c.rdd.getNumPartitions() < n:
-        c = materialize(c.repartition(n))
-    return c
-
-
 BROADCAST_MAX_ROWS_CONF = "panelcast.broadcast.maxRows"
 BROADCAST_MAX_ROWS_DEFAULT = 2_000_000
 
