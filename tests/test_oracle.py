@@ -42,9 +42,19 @@ def con():
     return c
 
 
+CANON_SPARK = {"IntegerType()": "int", "LongType()": "bigint", "DoubleType()": "double", "DateType()": "date",
+               "BooleanType()": "bool", "StringType()": "string"}
+CANON_DUCK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "DATE": "date", "BOOLEAN": "bool",
+              "VARCHAR": "string"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    s = E.queries()[name](spark, SF_SMALL).toPandas()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    st = {f.name: CANON_SPARK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    dt = {r[0]: CANON_DUCK.get(str(r[1]), str(r[1])) for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert st == dt
+    s = sdf.toPandas()
     d = con.execute(SQL[name]).df()
     sc, sr = _rows(s)
     dc, dr = _rows(d)
