@@ -21,7 +21,7 @@ def clip_lower(c: Column | str, lower: float = 0.0) -> Column:
     return F.when(col < lower, F.lit(lower)).otherwise(col)
 
 
-def test_steps(test: DataFrame, date: str = "date") -> DataFrame:
+def step_positions(test: DataFrame, date: str = "date") -> DataFrame:
     """Position (0-based) of each distinct test date among all test dates.
 
     Numbered over the distinct-date list, whose size is the forecast horizon.
@@ -53,7 +53,7 @@ def fallback_cascade(test: DataFrame, history: DataFrame, model_steps: DataFrame
     """
     stats = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.avg(target).alias("_series_mean"))
     global_mean = history.agg(F.avg(target)).scalar()
-    t = test.join(test_steps(test, date), date, "left").join(stats, keys, "left")
+    t = test.join(step_positions(test, date), date, "left").join(stats, keys, "left")
     if model_steps is not None:
         t = t.join(model_steps.select(*keys, "step", "y_model"), [*keys, "step"], "left")
     else:

@@ -88,7 +88,7 @@ SELECT t.store, t.dept, t.date, ROUND(COALESCE(m.mu, 0.0) / 100.0, 4) AS y_pred,
 FROM test t LEFT JOIN m ON t.store = m.store AND t.dept = m.dept AND t.date = m.date""", covers="C9 K14")
 def q_prediction_lookup(spark, sf):
     train, test = _brand_split(spark, sf)
-    steps = FB.test_steps(test)
+    steps = FB.step_positions(test)
     m = window_mean_model(train, TP.TEST_WEEKS).join(steps, "step").select("store", "dept", "date", "y_model")
     out = FB.lookup_predictions(test, m, pred="y_model")
     return out.select("store", "dept", "date", r4(F.col("y_model") / 100.0, "y_pred"), "is_missing")
