@@ -397,3 +397,11 @@ def q_holiday_window_rows(spark, sf):
     d = lazy_panel(spark, sf).select("date").distinct()
     # the spread calendar is parameter-sized (holidays x window width)
     return d.join(F.broadcast(sp), d.date == sp.ds).select("date", "name", "offset")
+
+
+@register("calendar_parts", PANEL_SQL + """SELECT DISTINCT date, CAST(year(date) AS INTEGER) AS year,
+  CAST(month(date) AS INTEGER) AS month, CAST(week(date) AS INTEGER) AS week FROM panel""", covers="H2")
+def q_calendar_parts(spark, sf):
+    from ..functions.calendar import calendar_parts
+    d = lazy_panel(spark, sf).select("date").distinct()
+    return d.select("date", *[c.alias(k) for k, c in calendar_parts("date").items()])
