@@ -256,10 +256,65 @@ def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
             .withColumn("model", F.lit(model)))
 
 
-@register("ar_order_selection", None, covers="K19 K16")
+def _det_sql(m: list[list[str]]) -> str:
+    """Determinant of a small symbolic matrix by cofactor expansion (SQL text)."""
+    if len(m) == 1:
+        return m[0][0]
+    terms = []
+    for j in range(len(m)):
+        minor = [row[:j] + row[j + 1:] for row in m[1:]]
+        sign = "+" if j % 2 == 0 else "-"
+        terms.append(f"{sign} ({m[0][j]}) * ({_det_sql(minor)})")
+    return "(" + " ".join(terms) + ")"
+
+
+def _ar_order_sql(max_p: int = 3) -> str:
+    """K19 in SQL: for regression with an intercept the residual sum of squares is
+    det(centred cross-products of [z_t, lags]) / det(centred cross-products of lags)."""
+    lags = ", ".join(f"lag(z, {k}) OVER (PARTITION BY store, dept, d ORDER BY date) AS v{k}"
+                     for k in range(1, max_p + 1))
+    blocks = []
+    for p in range(max_p + 1):
+        v = [f"v{k}" for k in range(p + 1)]
+        cond = " AND ".join(f"{x} IS NOT NULL" for x in v)
+        sums = ", ".join([f"SUM({a}) AS s_{a}" for a in v] +
+                         [f"SUM({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(v) for b in v[i:]])
+        blocks.append(f"SELECT store, dept, d, {p} AS p, COUNT(*) AS n, {sums} FROM l WHERE {cond} GROUP BY 1, 2, 3")
+    out = []
+    for p in range(max_p + 1):
+        v = [f"v{k}" for k in range(p + 1)]
+
+        def c(a, b):
+            a_, b_ = sorted([a, b], key=v.index)
+            return f"(s_{a_}_{b_} - s_{a} * s_{b} / n)"
+        full = [[c(a, b) for b in v] for a in v]
+        xx = [[c(a, b) for b in v[1:]] for a in v[1:]]
+        ssr = _det_sql(full) if p == 0 else f"{_det_sql(full)} / {_det_sql(xx)}"
+        out.append(f"SELECT store, dept, d, p, n, n * ln(({ssr}) / n) + 2 * (p + 1) AS aic FROM ({blocks[p]})")
+    grid = " UNION ALL ".join(out)
+    return _REGION_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
+zz AS (SELECT store, dept, date, 0 AS d, y AS z FROM y
+       UNION ALL
+       SELECT * FROM (SELECT store, dept, date, 1 AS d,
+              y - lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS z FROM y) WHERE z IS NOT NULL),
+l AS (SELECT store, dept, d, date, z AS v0, {lags} FROM zz),
+grid AS ({grid}),
+dl AS (SELECT store, dept, y - lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS dy,
+       lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM y),
+df AS (SELECT store, dept, regr_slope(dy, ylag) AS b, regr_sxx(dy, ylag) AS sxx, regr_sxy(dy, ylag) AS sxy,
+       regr_syy(dy, ylag) AS syy, regr_count(dy, ylag) AS n FROM dl GROUP BY 1, 2),
+dsel AS (SELECT store, dept, CASE WHEN b / sqrt((syy - b * sxy) / (n - 2) / sxx) < -2.86 THEN 0 ELSE 1 END AS dd
+         FROM df)
+SELECT g.store, g.dept, CAST(arg_min(g.p, (g.aic, g.p)) AS INTEGER) AS p, CAST(MIN(g.d) AS INTEGER) AS d,
+  ROUND(MIN(g.aic), 4) AS aic
+FROM grid g JOIN dsel s ON g.store = s.store AND g.dept = s.dept AND g.d = s.dd GROUP BY 1, 2"""
+
+
+@register("ar_order_selection", _ar_order_sql(), covers="K19 K16")
 def q_ar_order(spark, sf):
-    p = panel(spark, sf, "region")
-    return AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
+    p = lazy_panel(spark, sf, "region")
+    o = AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
+    return o.select("store", "dept", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"), r4("aic"))
 
 
 @register("sarima_walk_forward", None, covers="K20 K25 E8 I4 J1 B14 D14 L7")
