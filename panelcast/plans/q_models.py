@@ -1,8 +1,11 @@
 """Model and per-series diagnostic queries.
 
-Model fits have no SQL equivalent: most of these are checked by rows only.
-Closed-form diagnostics (lag-0 Dickey-Fuller, ACF, seasonal decomposition)
-and calendar/sampling operators carry oracle SQL.
+Iterative model fits (boosted trees, per-step ridge, per-series AR and
+additive fits) have no SQL equivalent and are checked by rows only (and in
+tests). Closed-form diagnostics carry oracle SQL: lag-0 and k-lag
+Dickey-Fuller and the AR order grid through determinant ratios of centred
+cross-product matrices, ACF, PACF through a recursive CTE, seasonal
+decomposition, and the calendar / sampling operators.
 """
 
 from __future__ import annotations
@@ -178,9 +181,43 @@ def q_dickey_fuller(spark, sf):
     return r4_cols(d, ["slope", "df_stat"])
 
 
-@register("adf_k_lags", None, covers="K16 K25")
+def _adf_sql(k: int = 4) -> str:
+    """K16 with k lagged differences in SQL: regress dy_t on [1, y_{t-1}, dy_{t-1..t-k}];
+    slope, its standard error and the residual sum of squares come from determinants of
+    the centred cross-product matrix (Cramer's rule; intercept partialled out)."""
+    v = ["dy", "ylag"] + [f"d{j}" for j in range(1, k + 1)]
+    lag_cols = ", ".join(f"lag(dy, {j}) OVER (PARTITION BY store, dept ORDER BY date) AS d{j}" for j in range(1, k + 1))
+    cond = " AND ".join(f"{x} IS NOT NULL" for x in v)
+    sums = ", ".join([f"SUM({a}) AS s_{a}" for a in v] +
+                     [f"SUM({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(v) for b in v[i:]])
+
+    def c(a, b):
+        a_, b_ = sorted([a, b], key=v.index)
+        return f"(s_{a_}_{b_} - s_{a} * s_{b} / n)"
+    x = v[1:]
+    cxx = [[c(a, b) for b in x] for a in x]
+    cxy = [c(a, "dy") for a in x]
+    num = [[cxy[i] if j == 0 else cxx[i][j] for j in range(len(x))] for i in range(len(x))]
+    minor = [row[1:] for row in cxx[1:]]
+    full = [[c(a, b) for b in v] for a in v]
+    kk = len(v)  # regressors incl. intercept = 1 + (len(v) - 1)
+    return _REGION_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
+b AS (SELECT store, dept, date, y - lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS dy,
+      lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM y),
+l AS (SELECT *, {lag_cols} FROM b),
+m AS (SELECT store, dept, COUNT(*) AS n, {sums} FROM l WHERE {cond} GROUP BY 1, 2),
+r AS (SELECT store, dept, n, {Q.det_sql(cxx)} AS dxx, {Q.det_sql(num)} AS dnum, {Q.det_sql(minor)} AS dmin,
+      {Q.det_sql(full)} AS dfull FROM m),
+t AS (SELECT store, dept, n, (dnum / dxx) / sqrt((dfull / dxx) / (n - {kk}) * (dmin / dxx)) AS st FROM r),
+cnt AS (SELECT store, dept, COUNT(*) AS n_all FROM panel GROUP BY 1, 2)
+SELECT t.store, t.dept, {k} AS lags, CAST(cnt.n_all AS INTEGER) AS n, ROUND(t.st, 4) AS adf_stat,
+  CAST(NULL AS VARCHAR) AS error, t.st < -2.86 AS stationary_5pct
+FROM t JOIN cnt ON t.store = cnt.store AND t.dept = cnt.dept"""
+
+
+@register("adf_k_lags", _adf_sql(4), covers="K16 K25")
 def q_adf(spark, sf):
-    return DG.adf_test(lazy_panel(spark, sf, "region"), lags=4)
+    return r4_cols(DG.adf_test(lazy_panel(spark, sf, "region"), lags=4), ["adf_stat"])
 
 
 def _acf_sql(max_lag: int = 40) -> str:
@@ -256,18 +293,6 @@ def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
             .withColumn("model", F.lit(model)))
 
 
-def _det_sql(m: list[list[str]]) -> str:
-    """Determinant of a small symbolic matrix by cofactor expansion (SQL text)."""
-    if len(m) == 1:
-        return m[0][0]
-    terms = []
-    for j in range(len(m)):
-        minor = [row[:j] + row[j + 1:] for row in m[1:]]
-        sign = "+" if j % 2 == 0 else "-"
-        terms.append(f"{sign} ({m[0][j]}) * ({_det_sql(minor)})")
-    return "(" + " ".join(terms) + ")"
-
-
 def _ar_order_sql(max_p: int = 3) -> str:
     """K19 in SQL: for regression with an intercept the residual sum of squares is
     det(centred cross-products of [z_t, lags]) / det(centred cross-products of lags)."""
@@ -289,7 +314,7 @@ def _ar_order_sql(max_p: int = 3) -> str:
             return f"(s_{a_}_{b_} - s_{a} * s_{b} / n)"
         full = [[c(a, b) for b in v] for a in v]
         xx = [[c(a, b) for b in v[1:]] for a in v[1:]]
-        ssr = _det_sql(full) if p == 0 else f"{_det_sql(full)} / {_det_sql(xx)}"
+        ssr = Q.det_sql(full) if p == 0 else f"{Q.det_sql(full)} / {Q.det_sql(xx)}"
         out.append(f"SELECT store, dept, d, p, n, n * ln(({ssr}) / n) + 2 * (p + 1) AS aic FROM ({blocks[p]})")
     grid = " UNION ALL ".join(out)
     return _REGION_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),

@@ -99,5 +99,17 @@ def nearest_holiday_sql(date_col: str, holidays=REFERENCE_HOLIDAYS) -> str:
             f"ORDER BY abs(h - {date_col}), i LIMIT 1)")
 
 
+def det_sql(m: list[list[str]]) -> str:
+    """Determinant of a small symbolic matrix by cofactor expansion (SQL text)."""
+    if len(m) == 1:
+        return m[0][0]
+    terms = []
+    for j in range(len(m)):
+        minor = [row[:j] + row[j + 1:] for row in m[1:]]
+        sign = "+" if j % 2 == 0 else "-"
+        terms.append(f"{sign} ({m[0][j]}) * ({det_sql(minor)})")
+    return "(" + " ".join(terms) + ")"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
