@@ -43,3 +43,47 @@ def test_window_counts_match_formula(spark, lengths, lookback, horizon, val):
     df = spark.createDataFrame(rows, "store int, dept int, date date, weekly_sales double, is_holiday boolean")
     expected = sum(n - val - horizon - lookback + 1 for n in lengths if n >= lookback + horizon + val)
     assert WN.build_windows(df, lookback, horizon, val).count() == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.integers(-1000, 1000), min_size=1, max_size=300),
+       probs=st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]), min_size=1, max_size=3, unique=True),
+       max_exact=st.sampled_from([1, 7, 100_000]))
+def test_exact_quantiles_match_numpy(spark, vals, probs, max_exact):
+    import numpy as np
+    from panelcast.functions.quantiles import exact_quantiles
+    df = spark.createDataFrame([(float(v) / 7,) for v in vals], "x double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, "x", probs, max_exact=max_exact, bins=4).collect()}
+    ref = np.quantile(np.array(vals, dtype=float) / 7, probs)
+    for p, r in zip(probs, ref):
+        assert abs(got[p] - r) <= 1e-9 * max(1.0, abs(r))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(st.integers(0, 2000), min_size=1, max_size=20))
+def test_nearest_holiday_matches_brute_force(spark, days):
+    from panelcast.functions.calendar import REFERENCE_HOLIDAYS, days_to_nearest_holiday
+    base = dt.date(2009, 6, 1)
+    ds = [base + dt.timedelta(days=d) for d in days]
+    hol = [dt.date.fromisoformat(h) for _, h in REFERENCE_HOLIDAYS]
+    df = spark.createDataFrame([(d,) for d in ds], "d date")
+    got = [r[0] for r in df.select(days_to_nearest_holiday("d")).collect()]
+    for d, g in zip(ds, got):
+        diffs = [(h - d).days for h in hol]
+        best = min(range(len(diffs)), key=lambda i: (abs(diffs[i]), i))
+        assert g == diffs[best]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(-10**6, 10**6), st.integers(-10**6, 10**6), st.booleans()),
+                     min_size=1, max_size=50))
+def test_wmae_matches_numpy(spark, rows):
+    import numpy as np
+    from panelcast.functions.metrics import wmae_expr
+    df = spark.createDataFrame([(float(a), float(b), h) for a, b, h in rows], "y double, y_pred double, is_holiday boolean")
+    got = df.agg(wmae_expr().alias("w")).first()["w"]
+    y = np.array([r[0] for r in rows], dtype=float)
+    p = np.array([r[1] for r in rows], dtype=float)
+    h = np.array([r[2] for r in rows])
+    w = np.where(h, 5, 1)
+    assert abs(got - np.sum(w * np.abs(y - p)) / np.sum(w)) <= 1e-9 * max(1.0, abs(got))
