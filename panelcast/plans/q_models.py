@@ -1,8 +1,9 @@
 """Model and per-series diagnostic queries.
 
-Iterative model fits (boosted trees, per-step ridge, per-series AR and
-additive fits) have no SQL equivalent and are checked by rows only (and in
-tests). Closed-form diagnostics carry oracle SQL: lag-0 and k-lag
+Iterative model fits (boosted trees, per-step ridge, per-series additive
+fits) have no SQL equivalent and are checked by rows only (and in tests).
+Closed-form fits and diagnostics carry oracle SQL: the per-series AR(1)
+walk-forward (simple regression + recursive-CTE forecast), lag-0 and k-lag
 Dickey-Fuller and the AR order grid through determinant ratios of centred
 cross-product matrices, ACF, PACF through a recursive CTE, seasonal
 decomposition, and the calendar / sampling operators.
@@ -342,57 +343,88 @@ def q_ar_order(spark, sf):
     return o.select("store", "dept", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"), r4("aic"))
 
 
-def _sarima_sql(horizon_weeks: int = 13, n_splits: int = 3, min_train: int = 30) -> str:
-    """K20 for order (p=1, d=1, D=1, s=52) in SQL. The AR(1) fit on the differenced
-    series is a simple regression; the forecast recursion is a recursive CTE; the
-    re-integration telescopes to ``(s1_T + S_k) + y_{T+k-52}`` with s1 the seasonal
-    difference and S_k the running sum of forecast differences (same operation
-    order as the grouped numpy function)."""
+def _ar_fold_ctes(seasonal: bool, pre: str, horizon_weeks: int = 13, n_splits: int = 3,
+                  min_train: int = 30) -> str:
+    """CTEs ``{pre}fr`` (fold rows) ... ``{pre}pf`` (WMAE per series and fold) for the AR(1)
+    walk-forward on first (and, if ``seasonal``, 52-week seasonal) differences.
+
+    The AR(1) fit is a simple regression; the forecast recursion is a recursive CTE;
+    re-integration telescopes to ``(s1_T + S_k) + y_{T+k-52}`` (seasonal) or
+    ``y_T + S_k`` with S_k the running sum of forecast differences, in the same
+    operation order as the grouped numpy function.
+    """
     days = 7 * horizon_weeks
     w = "PARTITION BY store, dept, fold ORDER BY date"
     W = "(CASE WHEN is_holiday IS NULL OR is_holiday THEN 5 ELSE 1 END)"
-    return "WITH RECURSIVE " + _REGION_SQL[len("WITH "):] + f""", b AS (SELECT store, dept, MIN(date) AS lo,
-  MAX(date) AS hi FROM panel GROUP BY 1, 2),
-grid AS (SELECT b.store, b.dept, CAST(g.d AS DATE) AS date
-         FROM b, generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 7 DAY) g(d)),
-d0 AS (SELECT g.store, g.dept, g.date, p.weekly_sales, p.is_holiday
-       FROM grid g LEFT JOIN panel p ON g.store = p.store AND g.dept = p.dept AND g.date = p.date),
-dense AS (SELECT store, dept, date, last_value(weekly_sales IGNORE NULLS) OVER (PARTITION BY store, dept ORDER BY date
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y,
-          weekly_sales IS NULL AS is_filled, COALESCE(is_holiday, FALSE) AS is_holiday FROM d0),
-f0 AS (SELECT store, dept, CAST(t.i AS INTEGER) AS i, hi - CAST(t.i AS INTEGER) * {days} AS val_end,
-       hi - (CAST(t.i AS INTEGER) + 1) * {days} AS val_start, lo FROM b, range(0, {n_splits}) t(i)),
-f1 AS (SELECT * FROM f0 WHERE val_start > lo),
-folds AS (SELECT store, dept, CAST(COUNT(*) OVER (PARTITION BY store, dept) - 1 - i AS INTEGER) AS fold,
-          val_start, val_end FROM f1),
-j AS (SELECT d.*, f.fold, f.val_start, CASE WHEN d.date < f.val_start THEN 'train' ELSE 'val' END AS role
-      FROM dense d JOIN folds f ON d.store = f.store AND d.dept = f.dept AND d.date <= f.val_end),
-j2 AS (SELECT * FROM j WHERE role = 'train' OR NOT is_filled),
-g AS (SELECT *, COUNT(*) FILTER (WHERE role = 'train' AND NOT is_filled) OVER (PARTITION BY store, dept, fold) AS ntr,
-        COUNT(*) FILTER (WHERE role = 'val') OVER (PARTITION BY store, dept, fold) AS nva FROM j2),
-fr AS (SELECT * FROM g WHERE ntr >= {min_train} AND nva > 0),
-tr AS (SELECT store, dept, fold, date, y FROM fr WHERE role = 'train'),
-zt AS (SELECT *, y - lag(y, 52) OVER ({w}) AS s1,
-        (y - lag(y, 52) OVER ({w})) - (lag(y, 1) OVER ({w}) - lag(y, 53) OVER ({w})) AS z FROM tr),
-zl AS (SELECT *, lag(z) OVER ({w}) AS zl FROM zt),
-fit AS (SELECT store, dept, fold, regr_slope(z, zl) AS phi, regr_intercept(z, zl) AS c FROM zl
+    if seasonal:
+        z = f"(y - lag(y, 52) OVER ({w})) - (lag(y, 1) OVER ({w}) - lag(y, 53) OVER ({w}))"
+        level = f"y - lag(y, 52) OVER ({w})"
+        hist = (f"JOIN {pre}tr h ON h.store = v.store AND h.dept = v.dept AND h.fold = v.fold "
+                f"AND h.date = v.date - 364")
+        pred = "(l.s1_t + r.sk) + h.y"
+    else:
+        z = f"y - lag(y, 1) OVER ({w})"
+        level = "y"
+        hist = ""
+        pred = "l.s1_t + r.sk"
+    return f"""{pre}b AS (SELECT store, dept, MIN(date) AS lo, MAX(date) AS hi FROM panel GROUP BY 1, 2),
+{pre}grid AS (SELECT b.store, b.dept, CAST(g.d AS DATE) AS date
+         FROM {pre}b b, generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 7 DAY) g(d)),
+{pre}d0 AS (SELECT g.store, g.dept, g.date, p.weekly_sales, p.is_holiday
+       FROM {pre}grid g LEFT JOIN panel p ON g.store = p.store AND g.dept = p.dept AND g.date = p.date),
+{pre}dense AS (SELECT store, dept, date, last_value(weekly_sales IGNORE NULLS) OVER (PARTITION BY store, dept
+            ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y,
+          weekly_sales IS NULL AS is_filled, COALESCE(is_holiday, FALSE) AS is_holiday FROM {pre}d0),
+{pre}f0 AS (SELECT store, dept, CAST(t.i AS INTEGER) AS i, hi - CAST(t.i AS INTEGER) * {days} AS val_end,
+       hi - (CAST(t.i AS INTEGER) + 1) * {days} AS val_start, lo FROM {pre}b, range(0, {n_splits}) t(i)),
+{pre}f1 AS (SELECT * FROM {pre}f0 WHERE val_start > lo),
+{pre}folds AS (SELECT store, dept, CAST(COUNT(*) OVER (PARTITION BY store, dept) - 1 - i AS INTEGER) AS fold,
+          val_start, val_end FROM {pre}f1),
+{pre}j AS (SELECT d.*, f.fold, f.val_start, CASE WHEN d.date < f.val_start THEN 'train' ELSE 'val' END AS role
+      FROM {pre}dense d JOIN {pre}folds f ON d.store = f.store AND d.dept = f.dept AND d.date <= f.val_end),
+{pre}j2 AS (SELECT * FROM {pre}j WHERE role = 'train' OR NOT is_filled),
+{pre}g AS (SELECT *, COUNT(*) FILTER (WHERE role = 'train' AND NOT is_filled) OVER (PARTITION BY store, dept, fold)
+        AS ntr, COUNT(*) FILTER (WHERE role = 'val') OVER (PARTITION BY store, dept, fold) AS nva FROM {pre}j2),
+{pre}fr AS (SELECT * FROM {pre}g WHERE ntr >= {min_train} AND nva > 0),
+{pre}tr AS (SELECT store, dept, fold, date, y FROM {pre}fr WHERE role = 'train'),
+{pre}zt AS (SELECT *, {level} AS s1, {z} AS z FROM {pre}tr),
+{pre}zl AS (SELECT *, lag(z) OVER ({w}) AS zl FROM {pre}zt),
+{pre}fit AS (SELECT store, dept, fold, regr_slope(z, zl) AS phi, regr_intercept(z, zl) AS c FROM {pre}zl
         WHERE z IS NOT NULL AND zl IS NOT NULL GROUP BY 1, 2, 3),
-lst AS (SELECT store, dept, fold, MAX(date) AS t_date, arg_max(z, date) AS z_t, arg_max(s1, date) AS s1_t
-        FROM zt GROUP BY 1, 2, 3),
-rec AS (
+{pre}lst AS (SELECT store, dept, fold, MAX(date) AS t_date, arg_max(z, date) AS z_t, arg_max(s1, date) AS s1_t
+        FROM {pre}zt GROUP BY 1, 2, 3),
+{pre}rec AS (
   SELECT l.store, l.dept, l.fold, 0 AS k, l.z_t AS zk, CAST(0.0 AS DOUBLE) AS sk, f.phi, f.c
-  FROM lst l JOIN fit f ON l.store = f.store AND l.dept = f.dept AND l.fold = f.fold
+  FROM {pre}lst l JOIN {pre}fit f ON l.store = f.store AND l.dept = f.dept AND l.fold = f.fold
   UNION ALL
-  SELECT store, dept, fold, k + 1, c + phi * zk, sk + (c + phi * zk), phi, c FROM rec WHERE k < {horizon_weeks + 2}
+  SELECT store, dept, fold, k + 1, c + phi * zk, sk + (c + phi * zk), phi, c FROM {pre}rec
+  WHERE k < {horizon_weeks + 2}
 ),
-pred AS (SELECT v.store, v.dept, v.fold, v.y, v.is_holiday, (l.s1_t + r.sk) + h.y AS y_pred
-         FROM fr v JOIN lst l ON v.store = l.store AND v.dept = l.dept AND v.fold = l.fold
-         JOIN rec r ON r.store = v.store AND r.dept = v.dept AND r.fold = v.fold
+{pre}pred AS (SELECT v.store, v.dept, v.fold, v.y, v.is_holiday, {pred} AS y_pred
+         FROM {pre}fr v JOIN {pre}lst l ON v.store = l.store AND v.dept = l.dept AND v.fold = l.fold
+         JOIN {pre}rec r ON r.store = v.store AND r.dept = v.dept AND r.fold = v.fold
               AND r.k = CAST((v.date - l.t_date) / 7 AS INTEGER)
-         JOIN tr h ON h.store = v.store AND h.dept = v.dept AND h.fold = v.fold AND h.date = v.date - 364
+         {hist}
          WHERE v.role = 'val'),
-pf AS (SELECT store, dept, fold, SUM({W} * abs(y - y_pred)) / SUM({W}) AS wmae FROM pred GROUP BY 1, 2, 3)
-SELECT store, dept, ROUND(AVG(wmae), 4) AS wmae, COUNT(*) AS n_folds, 'sar_1_1_1_52' AS model FROM pf GROUP BY 1, 2"""
+{pre}pf AS (SELECT store, dept, fold, SUM({W} * abs(y - y_pred)) / SUM({W}) AS wmae FROM {pre}pred GROUP BY 1, 2, 3),
+{pre}ps AS (SELECT store, dept, AVG(wmae) AS wmae, COUNT(*) AS n_folds FROM {pre}pf GROUP BY 1, 2)"""
+
+
+def _recursive_region() -> str:
+    return "WITH RECURSIVE " + _REGION_SQL[len("WITH "):]
+
+
+def _sarima_sql() -> str:
+    return _recursive_region() + ", " + _ar_fold_ctes(True, "s_") + """
+SELECT store, dept, ROUND(wmae, 4) AS wmae, n_folds, 'sar_1_1_1_52' AS model FROM s_ps"""
+
+
+def _arima_vs_sarima_sql() -> str:
+    return _recursive_region() + ", " + _ar_fold_ctes(False, "a_") + ", " + _ar_fold_ctes(True, "s_") + """
+SELECT COALESCE(a.store, s.store) AS store, COALESCE(a.dept, s.dept) AS dept, ROUND(a.wmae, 4) AS ar_1_1,
+  ROUND(s.wmae, 4) AS sar_1_1_1_52,
+  ROUND(CASE WHEN a.wmae <> 0 THEN (a.wmae - s.wmae) / a.wmae END * 100, 4) AS improvement_pct
+FROM a_ps a FULL OUTER JOIN s_ps s ON a.store = s.store AND a.dept = s.dept"""
 
 
 @register("sarima_walk_forward", _sarima_sql(), covers="K20 K25 E8 I4 J1 B14 D14 L7")
@@ -401,12 +433,13 @@ def q_sarima(spark, sf):
     return r4_cols(_score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52"), ["wmae"])
 
 
-@register("arima_vs_sarima", None, covers="K20 D24 F6")
+@register("arima_vs_sarima", _arima_vs_sarima_sql(), covers="K20 D24 F6")
 def q_arima_vs_sarima(spark, sf):
     _, frame = _series_frame(spark, sf)
     a = _score_by_series(AR.evaluate_ar(frame, (1, 1, 0, 52)), "ar_1_1")
     s = _score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52")
-    return compare_models(a.unionByName(s), ["store", "dept"], "model", "wmae", "ar_1_1", "sar_1_1_1_52")
+    c = compare_models(a.unionByName(s), ["store", "dept"], "model", "wmae", "ar_1_1", "sar_1_1_1_52")
+    return r4_cols(c, ["ar_1_1", "sar_1_1_1_52", "improvement_pct"])
 
 
 def _calendar(spark):
