@@ -1,0 +1,9 @@
+"""Text operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
+
+from __future__ import annotations
+
+
+def load_queries():
+    """Import the modules that register queries; returns the registry."""
+    from panelcast.llm import q_decontaminate, q_quality, q_url_filter, registry  # noqa: F401
+    return registry
