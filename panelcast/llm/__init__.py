@@ -5,5 +5,5 @@ from __future__ import annotations
 
 def load_queries():
     """Import the modules that register queries; returns the registry."""
-    from panelcast.llm import q_chat, q_decontaminate, q_packing, q_quality, q_secrets, q_url_filter, registry  # noqa: F401
+    from panelcast.llm import q_chat, q_decontaminate, q_packing, q_ppm, q_quality, q_secrets, q_url_filter, registry  # noqa: F401
     return registry
