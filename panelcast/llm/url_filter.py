@@ -56,21 +56,29 @@ def intervals(entries: DataFrame) -> DataFrame:
             .select("key", F.col("at").alias("valid_from"), "valid_to"))
 
 
-def capture_verdicts(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
-    """``captures`` with host, blocked and n_active (keys of its URL that were listed when it was fetched)."""
-    asked = captures.withColumn("host", url_host(F.col(url))).withColumn("__seg", url_segment(F.col(url)))
-    triple = ["host", "__seg", fetched]
-    distinct = asked.filter(f"host IS NOT NULL AND {fetched} IS NOT NULL").select(*triple).distinct()
-    names = host_keys(F.col("host"))
+def _judged(captures: DataFrame, entries: DataFrame, url: str, fetched: str) -> DataFrame:
+    """``captures`` with ``__host`` and ``__n``, the number of its keys listed when it was fetched."""
+    asked = captures.withColumn("__host", url_host(F.col(url))).withColumn("__seg", url_segment(F.col(url))).withColumn("__at", F.col(fetched))
+    triple = ["__host", "__seg", "__at"]
+    distinct = asked.filter("__host IS NOT NULL AND __at IS NOT NULL").select(*triple).distinct()
+    names = host_keys(F.col("__host"))
     with_path = F.when(F.col("__seg") != "", F.transform(names, lambda x: F.concat_ws("/", x, F.col("__seg")))).otherwise(F.array().cast("array<string>"))
     keyed = distinct.withColumn("key", F.explode(F.concat(names, with_path)))
     valid = stored(intervals(entries), "list-intervals")
-    active = keyed.join(valid, "key").filter((F.col(fetched) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(fetched) < F.col("valid_to"))))
-    verdict = active.groupBy(*triple).agg(F.count(F.lit(1)).alias("n_active"))
-    n = F.coalesce(F.col("n_active"), F.lit(0)).cast("long")
-    return asked.join(verdict, triple, "left").drop("__seg").withColumn("n_active", n).withColumn("blocked", F.col("n_active") > 0)
+    active = keyed.join(valid, "key").filter((F.col("__at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to"))))
+    verdict = active.groupBy(*triple).agg(F.count(F.lit(1)).alias("__n"))
+    return asked.join(verdict, triple, "left").withColumn("__n", F.coalesce("__n", F.lit(0)).cast("long"))
+
+
+def capture_verdicts(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
+    """``captures`` with host, blocked and n_active (keys of its URL that were listed when it was fetched).
+
+    A column of ``captures`` with one of these names is replaced.
+    """
+    own = [c for c in captures.columns if c not in ("host", "n_active", "blocked")]
+    return _judged(captures, entries, url, fetched).select(*own, F.col("__host").alias("host"), F.col("__n").alias("n_active"), (F.col("__n") > 0).alias("blocked"))
 
 
 def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """The captures no active entry blocks, with their own columns."""
-    return capture_verdicts(captures, entries, url, fetched).filter("NOT blocked").select(*captures.columns)
+    return _judged(captures, entries, url, fetched).filter("__n = 0").select(*captures.columns)
