@@ -54,19 +54,19 @@ def _repeat_words(words: Column) -> list[tuple[str, Column]]:
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words, base_failed."""
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(SPACE_WORD))
-    steps = _repeat_words(F.regexp_extract_all(body, F.lit(SPACE_WORD), F.lit(0)))
     out = docs
-    for name, col in steps:
+    for name, col in _repeat_words(F.regexp_extract_all(body, F.lit(SPACE_WORD), F.lit(0))):
         out = out.withColumn(name, col)
-    out = (out.withColumn("n_words", F.size("__w").cast("long"))
-           .withColumn("word_chars", F.char_length(F.array_join("__w", "")).cast("long"))
-           .withColumn("n_symbols", F.char_length(F.array_join(F.regexp_extract_all(body, F.lit("[#*$%&|<>]+"), F.lit(0)), "")).cast("long"))
-           .withColumn("__l", lines)
-           .withColumn("n_lines", F.size("__l").cast("long"))
-           .withColumn("n_dup_lines", (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long")))
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    return out.withColumn("base_failed", failed).drop("__w", "__s", "__p", "__l")
+    out = out.withColumn("__l", F.filter(F.split(body, "\n", -1), lambda x: x.rlike(SPACE_WORD)))
+    symbols = F.array_join(F.regexp_extract_all(body, F.lit("[#*$%&|<>]+"), F.lit(0)), "")
+    n_words = F.size("__w").cast("long")
+    failed = (n_words < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n_words * MAX_REPEAT_PERCENT)
+    found = F.struct(
+        n_words.alias("n_words"), F.char_length(F.array_join("__w", "")).cast("long").alias("word_chars"), F.char_length(symbols).cast("long").alias("n_symbols"),
+        F.size("__l").cast("long").alias("n_lines"), (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
+        F.col("n_repeat_words"), failed.alias("base_failed"))
+    # a generator of one row: else a filter on a measure would be pushed below and the arrays built again for each element
+    return out.select(*docs.columns, F.inline(F.array(found)))
 
 
 def _failures() -> dict[str, Column]:
