@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import ascii_lower, row_key, stored
 
 WINDOW = 10
-#: Words of the lower-cased text, ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``, taken before lower-casing.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words of the lower-cased text, ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``, taken before lower-casing. Said positively: Java
+#: matches the negated class about twenty times slower.
+RAW_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def _words(text: Column) -> Column:
