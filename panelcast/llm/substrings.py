@@ -12,7 +12,9 @@ their document, whose kept words are then cut out.
 
 Packing: a map task writes one compressed blob per bucket and batch. Equal
 super-k-mers of a batch travel once with the places they came from, so copies
-and common passages shrink before the shuffle. The number of buckets follows
+and common passages shrink before the shuffle. A place is the document (as a
+difference to the place before), 32 bits of a hash of the text, which tell
+different texts of one doc_id apart, and the number of its first word. The number of buckets follows
 the size of all texts (about ``BUCKET_BYTES`` packed bytes each). Texts longer
 than ``CHUNK`` bytes are cut into segments that overlap by ``window - 1`` words.
 
@@ -30,17 +32,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import row_key, stored
+from panelcast.llm.common import stored
 
 WINDOW = 13
 MER = 3
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 BUCKET_BYTES = 16 << 20
 MAX_RUN = 256  # windows in a packed string, so that a range fits RANGE
 FLUSH = 24 << 20
+ZSTD_LEVEL = 5
 RANGE = 512
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -135,7 +138,7 @@ class _Packer:
         self.window, self.buckets = window, buckets
         self.held: dict[int, list] = {}
         self.size = 0
-        self.zstd = zstandard.ZstdCompressor(level=1)
+        self.zstd = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
 
     def add(self, lines: list[bytes], doc: list[int], key: list[int], first: list[int]) -> None:
         """One buffer of lines; each is a document or segment, with its id, row key and first word."""
@@ -165,36 +168,24 @@ class _Packer:
         head = whole[run]
         lo, hi = start[head], end[head + length - 1 + window - 1]
         where = line[head]
-        doc_of, key_of = np.array(doc, dtype=np.int64)[where], np.array(key, dtype=np.int64)[where]
-        line_first = np.searchsorted(line, where)  # word number inside the line
-        word = head - line_first + np.array(first, dtype=np.int64)[where]
+        doc_of, key_of = np.array(doc, dtype=np.int64)[where], np.array(key, dtype=np.int32)[where]
+        word = head - np.searchsorted(line, where) + np.array(first, dtype=np.int64)[where]  # number in the document
         bucket = (_mix(low[run] ^ _P) % np.uint64(self.buckets)).astype(np.int64)
-        content = _span_hash(buf, lo, hi) if len(buf) <= CHUNK * 2 else None
-        order = np.argsort(bucket, kind="stable") if content is None else np.lexsort((doc_of, content, bucket))
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        for part in np.split(order, cuts):
-            texts, which, last = [], [], None
-            for a, b in zip(lo[part].tolist(), hi[part].tolist()):
-                t = raw[a:b]
-                if t != last:
-                    texts.append(t)
-                    last = t
-                which.append(len(texts) - 1)
-            held = self.held.setdefault(int(bucket[part[0]]), [[], [], [], [], 0])
-            held[0] += texts
-            held[1].append(np.array(which, dtype=np.int64) + held[4])
-            held[2].append(np.stack([doc_of[part], key_of[part]]))
-            held[3].append(word[part])
-            held[4] += len(texts)
-            self.size += sum(map(len, texts)) + 24 * len(part)
+        order = np.argsort(bucket, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            held = self.held.setdefault(int(bucket[part[0]]), ([], [], [], []))
+            held[0].extend([raw[a:b] for a, b in zip(lo[part].tolist(), hi[part].tolist())])
+            for into, x in zip(held[1:], (doc_of, key_of, word)):
+                into.append(x[part])
+        self.size += int((hi - lo).sum()) + 20 * len(run)
 
     def flush(self) -> pd.DataFrame:
         rows = []
-        for bucket, (texts, which, ids, word, _) in sorted(self.held.items()):
-            which, (doc, key), word = np.concatenate(which), np.concatenate(ids, axis=1), np.concatenate(word)
-            body = b"\n".join(texts) + b"\n"
-            head = np.array([len(which), len(body)], dtype=np.int64)
-            packed = b"".join(x.tobytes() for x in (head, which.astype(np.int32), doc, key, word)) + body
+        for bucket, (texts, doc, key, word) in sorted(self.held.items()):
+            index: dict[bytes, int] = {}
+            which = np.fromiter((index.setdefault(t, len(index)) for t in texts), dtype=np.int64, count=len(texts))
+            columns = np.diff(which, prepend=-1).astype(np.int32), np.diff(np.concatenate(doc), prepend=0), np.concatenate(key), np.concatenate(word).astype(np.int32)
+            packed = b"".join((np.int64(len(which)).tobytes(), *(x.tobytes() for x in columns), b"\n".join(index), b"\n"))
             rows.append((bucket, self.zstd.compress(packed)))
         self.held, self.size = {}, 0
         return pd.DataFrame(rows, columns=["bucket", "blob"])
@@ -222,15 +213,28 @@ def _pack(window: int, buckets: int):
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """(number of the string, doc_id, key, first word) of each place, and the strings."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    which = np.frombuffer(raw, np.int32, n, 16).astype(np.int64)
-    doc, key, word = (np.frombuffer(raw, np.int64, n, 16 + 4 * n + 8 * n * i) for i in range(3))
-    return which, doc, key, word, raw[16 + 28 * n:]
+    n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
+    out = []
+    for kind in (np.int32, np.int64, np.int32, np.int32):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    which, doc, key, word = out
+    return np.cumsum(which, dtype=np.int64) - 1, np.cumsum(doc), key, word.astype(np.int64), raw[at:]
+
+
+def _equal_spans(raw: bytes, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Whether each ``raw[a:b]`` is ``raw[c:d]``, some at a time."""
+    out = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        out[part] = [raw[w:x] == raw[y:z] for w, x, y, z in zip(a[part].tolist(), b[part].tolist(), c[part].tolist(), d[part].tolist())]
+    return out
 
 
-def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row key, first window, windows) ranges of one bucket to remove."""
+def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, key, first window, windows) ranges of one bucket to remove."""
     texts, which, doc, key, word, count = [], [], [], [], [], 0
     for blob in blobs:
         w, d, k, p, body = _unpack(blob)
@@ -253,13 +257,12 @@ def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.nda
     order = np.lexsort((least[of], wh))
     sorted_hash = wh[order]
     group = np.cumsum(np.concatenate([[0], sorted_hash[1:] != sorted_hash[:-1]]))
-    group_first = order[np.flatnonzero(np.concatenate([[True], sorted_hash[1:] != sorted_hash[:-1]]))]
-    leader = group_first[group]
+    leader = order[np.searchsorted(group, np.arange(group[-1] + 1 if len(group) else 0))][group]
     remove = np.zeros(len(at), dtype=bool)
     # word for word: a window that follows a smaller document's must be the same words as that one
     cand = np.flatnonzero(least[of[order]] > least[of[leader]])
     lo, hi = start[at], end[at + window - 1]
-    same = np.array([raw[a:b] == raw[c:d] for a, b, c, d in zip(lo[order[cand]].tolist(), hi[order[cand]].tolist(), lo[leader[cand]].tolist(), hi[leader[cand]].tolist())], dtype=bool)
+    same = _equal_spans(raw, lo[order[cand]], hi[order[cand]], lo[leader[cand]], hi[leader[cand]])
     remove[order[cand[same]]] = True
     for g in np.unique(group[cand[~same]]):  # several windows under one hash
         seen: dict[bytes, int] = {}
@@ -285,26 +288,30 @@ def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.nda
     place = np.repeat(own, times)
     pick = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(by_line[0], times)
     rest = np.flatnonzero(doc > least[which])
-    return (np.concatenate([key[place], key[rest]]), np.concatenate([word[place] + range_at[pick], word[rest]]),
+    return (np.concatenate([doc[place], doc[rest]]), np.concatenate([key[place], key[rest]]), np.concatenate([word[place] + range_at[pick], word[rest]]),
             np.concatenate([range_len[pick], line_words[which[rest]] - window + 1]))
 
 
 def _count(window: int):
     def run(bucket: pd.DataFrame) -> pd.DataFrame:
-        key, first, n = removed_windows(bucket["blob"].tolist(), window)
-        return pd.DataFrame({"k": key, "r": first * RANGE + n}).drop_duplicates()
+        doc, key, first, n = removed_windows(bucket["blob"].tolist(), window)
+        return pd.DataFrame({"doc_id": doc, "k": key, "r": first * RANGE + n}).drop_duplicates()
     return run
 
 
+def _text_bits() -> Column:
+    return F.shiftright(F.xxhash64("text"), 32).cast("int")
+
+
 def removed_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(k, ranges)`` of rows that lose windows; a range is ``first window * RANGE + windows``."""
+    """``(doc_id, k, ranges)`` of rows that lose windows; k is 32 bits of the text's hash, a range ``first window * RANGE + windows``."""
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     overlap = 1 + (window - 1) * 2 / (window - MER + 2)
     buckets = max(1, int(size * overlap) // BUCKET_BYTES + 1)
-    searched = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key("doc_id", "text").alias("k"))
+    searched = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_bits().alias("k"))
     blobs = searched.mapInPandas(_pack(window, buckets), "bucket long, blob binary")
-    found = blobs.groupBy("bucket").applyInPandas(_count(window), "k long, r long")
-    return found.groupBy("k").agg(F.collect_set("r").alias("ranges"))
+    found = blobs.groupBy("bucket").applyInPandas(_count(window), "doc_id long, k int, r long")
+    return found.groupBy("doc_id", "k").agg(F.collect_set("r").alias("ranges"))
 
 
 def kept_words(text: str | None, ranges, window: int) -> tuple[list[bytes], int]:
@@ -339,9 +346,8 @@ def _cut(window: int):
 
 
 def _with_ranges(docs: DataFrame, window: int) -> DataFrame:
-    ranges = removed_ranges(docs, window).withColumnRenamed("k", "__k").withColumnRenamed("ranges", "__ranges")
-    key = F.when(F.col("doc_id").isNotNull(), row_key("doc_id", "text"))
-    return docs.join(stored(ranges, "ranges"), key == F.col("__k"), "left").drop("__k")
+    ranges = removed_ranges(docs, window).select(F.col("doc_id").alias("__d"), F.col("k").alias("__k"), F.col("ranges").alias("__ranges"))
+    return docs.join(stored(ranges, "ranges"), (F.col("doc_id") == F.col("__d")) & (_text_bits() == F.col("__k")), "left").drop("__d", "__k")
 
 
 def substring_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
