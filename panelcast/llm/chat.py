@@ -88,8 +88,10 @@ def format_turn(role: str, text: str) -> str:
 
 
 def _ordered(turns: DataFrame) -> DataFrame:
+    """Turns in order within their conversation's task; ids as text, as pandas would make integers with nulls floats."""
     slim = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = slim.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return dealt.withColumn("conv_id", F.col("conv_id").cast("string")).withColumn("turn", F.col("turn").cast("string"))
 
 
 def _rendered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,8 +102,8 @@ def _rendered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def format_conversations(turns: DataFrame) -> DataFrame:
     """``(conv_id, turn, role, formatted)``, in conversation order within a task; a conversation's text is its turns' joined."""
-    schema = turns.select("conv_id", "turn").schema.add("role", "string").add("formatted", "string")
-    return _ordered(turns).mapInPandas(_rendered, schema)
+    out = _ordered(turns).mapInPandas(_rendered, "conv_id string, turn string, role string, formatted string")
+    return out.withColumns({c: F.col(c).cast(turns.schema[c].dataType) for c in ("conv_id", "turn")})
 
 
 class _Digest:
@@ -129,26 +131,19 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     conv, state = None, None
     for b in _rendered(batches):
         out = []
-        ids = b["conv_id"].astype("object").where(b["conv_id"].notna(), None)
-        for c, piece in zip(ids, b["formatted"]):
+        for c, piece in zip(b["conv_id"], b["formatted"]):
             if state is None or c != conv:
                 if state is not None:
                     out.append(state.row(conv))
                 conv, state = c, _Digest()
             state.add(piece)
         if out:
-            yield _typed(out)
+            yield pd.DataFrame(out)
     if state is not None:
-        yield _typed([state.row(conv)])
-
-
-def _typed(rows: list[dict]) -> pd.DataFrame:
-    out = pd.DataFrame(rows)
-    out["conv_id"] = pd.array([None if c is None else int(c) for c in out["conv_id"]], dtype="Int64")
-    return out
+        yield pd.DataFrame([state.row(conv)])
 
 
 def conversation_digests(turns: DataFrame) -> DataFrame:
     """Per conversation, read back from the rendered text: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return _ordered(turns.withColumn("conv_id", F.col("conv_id").cast("long"))).mapInPandas(_digests, schema)
+    schema = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return _ordered(turns).mapInPandas(_digests, schema).withColumn("conv_id", F.col("conv_id").cast(turns.schema["conv_id"].dataType))

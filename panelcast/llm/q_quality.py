@@ -31,7 +31,7 @@ mom AS (
   SELECT rule, (sum(bad) + 0.5) / (sum(n) + 1.0) AS mu, var_pop(bad / n) AS v, avg(1.0 / n) AS inv FROM long GROUP BY rule),
 prior AS (
   SELECT rule, mu, least(greatest(mu * (1 - mu) / greatest(v - mu * (1 - mu) * inv, 1e-4 * mu * (1 - mu)) - 1, 2.0), 1e4) AS k FROM mom),
-bad AS (SELECT DISTINCT source FROM long JOIN prior USING (rule) WHERE (bad + mu * k) / (n + k) > 0.5)
+bad AS (SELECT DISTINCT source FROM long JOIN prior USING (rule) WHERE (bad + mu * k) / (n + k) > 0.5 AND bad > 0.5 * n)
 SELECT f.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        bad.source IS NOT NULL AS host_rejected, NOT base_failed AND bad.source IS NULL AS kept

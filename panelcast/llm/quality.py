@@ -3,8 +3,8 @@
 Every document is measured over its whole text and tested against a few rules;
 failures are counted per host (``source``) and rule; each host's failure rate
 is shrunk with a beta prior fitted to all hosts by moments (empirical Bayes),
-and a host whose shrunk rate passes ``max_host_rate`` for some rule is
-rejected. A document is kept if it passes the base rules and its host is not
+and a host whose shrunk rate and own rate pass ``max_host_rate`` for some rule
+is rejected. A document is kept if it passes the base rules and its host is not
 rejected.
 
 Measures use array functions inside a row; repeated three-word windows are
@@ -22,6 +22,9 @@ kept by ``apply_quality_rules`` and ignored by ``quality_verdicts``.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,8 +114,10 @@ def host_verdicts(measured: DataFrame, host: str = "source", max_host_rate: floa
     counts = stored(host_counts(measured, host), "host-counts")
     prior = beta_prior(counts)
     rates = [((F.col(r) + prior[r][0]) / (F.col("n") + prior[r][0] + prior[r][1])).alias(f"rate_{r}") for r in RULES]
-    worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
-    return counts.select("host", "n", *rates).withColumn("rejected", worst > max_host_rate)
+    shrunk = counts.select("host", "n", *RULES, *rates)
+    # the prior alone condemns nobody: the host's own rate must be as bad
+    over = [(F.col(f"rate_{r}") > max_host_rate) & (F.col(r) > max_host_rate * F.col("n")) for r in RULES]
+    return shrunk.withColumn("rejected", functools.reduce(operator.or_, over)).drop(*RULES)
 
 
 def quality_verdicts(docs: DataFrame, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
