@@ -12,7 +12,6 @@ functions  Column-level helpers: calendar, metric, array and id expressions
 operators  panel operators: preparation, features, grids, windows, splits, audits
 models     model operators re-aimed at Spark ML and grouped pandas fits
 plans      end-to-end flows and the registry of named queries
-streaming  intentionally empty (the reference has no streaming operator)
 """
 
 __version__ = "0.1.0"

@@ -2,13 +2,13 @@
 
 Spark's exact ``percentile`` merges every distinct value of a group into one
 buffer, so a global quantile over a huge column lands in one task. Here the
-rank is located by iterative histogram refinement: each pass is one
-distributed aggregate (counts, min, max per bucket of the current bracket)
-that narrows every target rank to one bucket; when a bracket holds at most
-``max_exact`` values (or one distinct value) they are sorted inside one task
-and the rank is read off. Interpolation is linear between the values at
-ranks floor(p * (n - 1)) and ceil(p * (n - 1)), like ``percentile`` and
-SQL ``quantile_cont``.
+rank is located by histogram refinement, one path for any size: each pass is
+one distributed aggregate (counts, min, max per bucket of the current bracket)
+that narrows every target rank to one bucket, until the bracket is a single
+value. The bracket's ends are values of the data and fall into its first and
+last bucket, so every pass narrows it. Values must be finite. Interpolation is
+linear between the values at ranks floor(p * (n - 1)) and ceil(p * (n - 1)),
+like ``percentile`` and SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -16,20 +16,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 
 _G = "_qgroup"
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
-                    max_exact: int = 200_000, bins: int = 65_536, max_passes: int = 8) -> DataFrame:
-    """One row per (group, prob): ``by..., prob, value``; NULL values are ignored."""
+                    bins: int = 65_536) -> DataFrame:
+    """One row per (group, prob): ``by..., prob, value``; NULL values are ignored, NaN and infinities refused."""
     by = list(by or [])
     keys = by or [_G]
     x = df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     if not by:
         x = x.withColumn(_G, F.lit(0))
     x = materialize(x)
+    if x.filter(F.isnan("_x") | (F.abs("_x") == float("inf"))).limit(1).count():
+        raise ValueError(f"quantiles of {col} need finite values")
     stats = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     ranks = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(k).alias("side")) for p in probs for k in (0, 1)])
     st = stats.select(*keys, "_n", "_lo", "_hi", F.explode(ranks).alias("_r"))
@@ -40,32 +42,25 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
                    F.lit(0).cast("long").alias("below"), F.col("_n").alias("cnt"))
     st = materialize(st)
     sk = [*keys, "prob", "side"]
-    for _ in range(max_passes):
-        open_ = st.filter((F.col("cnt") > max_exact) & (F.col("lo") < F.col("hi")))
-        if open_.limit(1).count() == 0:
-            break
-        done = st.filter(~((F.col("cnt") > max_exact) & (F.col("lo") < F.col("hi"))))
-        o = broadcast_if_small(open_)
+    open_ = F.col("lo") < F.col("hi")
+    while st.filter(open_).limit(1).count():
+        o, done = st.filter(open_), st.filter(~open_)
         j = x.join(o, keys).filter(F.col("_x").between(F.col("lo"), F.col("hi")))
-        b = F.least(F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
-                    F.lit(bins - 1)).cast("int")
+        wide = F.col("hi") / 4 - F.col("lo") / 4 > 1e307  # the difference itself could overflow
+        share = F.when(wide, (F.col("_x") / 4 - F.col("lo") / 4) / (F.col("hi") / 4 - F.col("lo") / 4)).otherwise(
+            (F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+        b = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
         h = j.groupBy(*sk, b.alias("_b")).agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_mn"),
                                              F.max("_x").alias("_mx"))
         h = h.withColumn("_cum", F.sum("_c").over(Window.partitionBy(*sk).orderBy("_b")
                                                   .rowsBetween(Window.unboundedPreceding, 0)))
-        nxt = (h.join(open_.select(*sk, "rank", "frac", "below"), sk)
+        nxt = (h.join(o.select(*sk, "rank", "frac", "below"), sk)
                .filter((F.col("below") + F.col("_cum") - F.col("_c") <= F.col("rank"))
                        & (F.col("rank") < F.col("below") + F.col("_cum")))
                .select(*sk, "rank", "frac", F.col("_mn").alias("lo"), F.col("_mx").alias("hi"),
                        (F.col("below") + F.col("_cum") - F.col("_c")).alias("below"), F.col("_c").alias("cnt")))
         st = materialize(done.unionByName(nxt))
-    single = st.filter(F.col("lo") == F.col("hi")).select(*sk, "frac", F.col("lo").alias("v"))
-    multi = st.filter(F.col("lo") < F.col("hi"))
-    m = broadcast_if_small(multi)
-    vals = (x.join(m, keys).filter(F.col("_x").between(F.col("lo"), F.col("hi")))
-            .groupBy(*sk, "rank", "below", "frac").agg(F.sort_array(F.collect_list("_x")).alias("_v")))
-    picked = vals.select(*sk, "frac", F.element_at("_v", (F.col("rank") - F.col("below") + 1).cast("int")).alias("v"))
-    allv = single.unionByName(picked)
+    allv = st.select(*sk, "frac", F.col("lo").alias("v"))
     lo_v = allv.filter(F.col("side") == 0).select(*keys, "prob", "frac", F.col("v").alias("v0"))
     hi_v = allv.filter(F.col("side") == 1).select(*keys, "prob", F.col("v").alias("v1"))
     out = lo_v.join(hi_v, [*keys, "prob"]).select(

@@ -48,6 +48,28 @@ def design(frame: DataFrame, calendar: DataFrame | None, fourier_order: int = 10
     return out, names
 
 
+def _ridge(X: np.ndarray, y: np.ndarray, ridge: float, free: int = 1) -> np.ndarray:
+    """Least squares with a ridge on all columns but the first ``free``."""
+    pen = ridge * np.eye(X.shape[1])
+    pen[:free, :free] = 0.0
+    return np.linalg.solve(X.T @ X + pen, X.T @ y)
+
+
+def _trend_times_season(X: np.ndarray, Xv: np.ndarray, y: np.ndarray, n_trend: int, ridge: float, rounds: int = 10) -> np.ndarray:
+    """y = trend * (1 + season), by least squares for one factor given the other in turn; uses every row.
+
+    The seasonal ridge is in units of the squared trend, so it does not depend on the scale of y.
+    """
+    trend, season = X[:, :n_trend], X[:, n_trend:]
+    b = np.zeros(season.shape[1])
+    for _ in range(rounds):
+        factor = 1.0 + season @ b
+        a = _ridge(trend * factor[:, None], y, ridge)
+        level = trend @ a
+        b = _ridge(season * level[:, None], y - level, ridge * max(float(np.mean(level ** 2)), 1e-12), free=0)
+    return (Xv[:, :n_trend] @ a) * (1.0 + Xv[:, n_trend:] @ b)
+
+
 def _fit_predict(features: list[str], n_knots: int, ridge: float, multiplicative: bool):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
@@ -59,14 +81,7 @@ def _fit_predict(features: list[str], n_knots: int, ridge: float, multiplicative
             if len(tr) < 30 or len(va) == 0:
                 raise ValueError("fold guard: train < 30 rows or empty validation")
             ytr = tr["y"].to_numpy(dtype=float)
-            if multiplicative:
-                keep = ytr > 0
-                if keep.sum() < 30:
-                    raise ValueError("too few positive values for the multiplicative form")
-                trm, ytr = tr[keep], np.log(ytr[keep])
-            else:
-                trm = tr
-            t0, t1 = float(trm["t"].min()), float(trm["t"].max())
+            t0, t1 = float(tr["t"].min()), float(tr["t"].max())
             span = max(t1 - t0, 1e-9)
             knots = t0 + span * 0.8 * np.arange(1, n_knots + 1) / (n_knots + 1)
 
@@ -76,15 +91,13 @@ def _fit_predict(features: list[str], n_knots: int, ridge: float, multiplicative
                 cols += [part[f].to_numpy(dtype=float) for f in features]
                 return np.column_stack(cols)
 
-            X, Xv = mat(trm), mat(va)
-            pen = ridge * np.eye(X.shape[1])
-            pen[0, 0] = 0.0
-            beta = np.linalg.solve(X.T @ X + pen, X.T @ ytr)
-            pred = Xv @ beta
+            X, Xv = mat(tr), mat(va)
             if multiplicative:
-                pred = np.exp(pred)
+                pred = _trend_times_season(X, Xv, ytr, 2 + n_knots, ridge)
+            else:
+                pred = Xv @ _ridge(X, ytr, ridge)
         except Exception as e:  # noqa: BLE001  K25
-            err = str(e)[:200]
+            err = str(e)
         out = va[["date", "y", "is_holiday"]].copy()
         for k, v in key.items():
             out[k] = v

@@ -103,7 +103,7 @@ def _evaluate(order: tuple[int, int, int, int]):
             idx = ((va["date"] - last).dt.days // 7 - 1).to_numpy()
             pred = fc[idx]
         except Exception as e:  # noqa: BLE001  K25
-            err = str(e)[:200]
+            err = str(e)
         out = va[["date", "y", "is_holiday"]].copy()
         for k, v in key.items():
             out[k] = v
@@ -170,7 +170,7 @@ def _select_order(max_p: int):
                     aic = n * np.log(max(ssr, 1e-300) / n) + 2 * (p + 1)
                     rows.append({**key, "p": p, "d": d, "aic": float(aic), "error": None})
                 except Exception as e:  # noqa: BLE001
-                    rows.append({**key, "p": p, "d": d, "aic": np.nan, "error": str(e)[:200]})
+                    rows.append({**key, "p": p, "d": d, "aic": np.nan, "error": str(e)})
         return pd.DataFrame(rows)
     return fn
 

@@ -20,7 +20,7 @@ from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import REFERENCE_HOLIDAYS, days_to_nearest_holiday, holiday_flags
+from ..functions.calendar import days_to_nearest_holiday, holiday_flags
 from ..operators import features as FE
 from ..operators import frozen as FZ
 from ..operators import prep as P
@@ -42,7 +42,7 @@ CATEGORICAL = ["store", "dept", "type"]
 PASSTHROUGH = ["store", "dept", "date", "is_holiday", "weekly_sales"]
 
 
-def calendar_features(df: DataFrame, holidays=REFERENCE_HOLIDAYS) -> DataFrame:
+def calendar_features(df: DataFrame, holidays) -> DataFrame:
     """H2 + H11 + H12: year, month, ISO week, named holiday flags, proximity."""
     flags = holiday_flags("date", holidays)
     return df.select("*", F.year("date").alias("year"), F.month("date").alias("month"),
@@ -51,7 +51,7 @@ def calendar_features(df: DataFrame, holidays=REFERENCE_HOLIDAYS) -> DataFrame:
                      days_to_nearest_holiday("date", holidays).alias("days_to_nearest_holiday"))
 
 
-def feature_table(sales: DataFrame, features: DataFrame, stores: DataFrame, holidays=REFERENCE_HOLIDAYS,
+def feature_table(sales: DataFrame, features: DataFrame, stores: DataFrame, holidays,
                   mode: str = "expanding") -> DataFrame:
     """Flat-frame features (T17 ``expanding`` mode): every row sees its own
     past through windows, validation rows included, as in the reference's CV."""
@@ -70,7 +70,7 @@ class _BuilderParams(Params):
 
     def __init__(self):
         super().__init__()
-        self._setDefault(holidays=json.dumps(REFERENCE_HOLIDAYS), outputFeatures=PRUNED_FEATURES)
+        self._setDefault(outputFeatures=PRUNED_FEATURES)
 
     def holiday_list(self):
         return [tuple(x) for x in json.loads(self.getOrDefault(self.holidays))]
@@ -82,6 +82,7 @@ class PanelFeatureBuilder(Estimator, _BuilderParams, MLWritable, MLReadable):
     @keyword_only
     def __init__(self, features: DataFrame | None = None, stores: DataFrame | None = None,
                  holidays: str | None = None, outputFeatures: list[str] | None = None):
+        """``holidays`` is required before fitting: a calendar that covers the data's dates."""
         super().__init__()
         self.features_df = features
         self.stores_df = stores

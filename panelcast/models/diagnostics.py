@@ -124,7 +124,7 @@ def _adf_k(k: int):
             cov = s2 * np.linalg.inv(X.T @ X)
             stat = beta[1] / np.sqrt(cov[1, 1])
         except Exception as e:  # noqa: BLE001  (K25: isolate per-series failures)
-            err = str(e)[:200]
+            err = str(e)
         return pd.DataFrame([{**keys, "lags": k, "n": int(len(y)), "adf_stat": float(stat), "error": err}])
     return fn
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from ..sources import schemas as S
 
 
@@ -28,9 +27,7 @@ def step_positions(test: DataFrame, date: str = "date") -> DataFrame:
     """
     d = test.select(date).distinct()
     steps = d.select(date, (F.row_number().over(Window.orderBy(date)) - 1).alias("step"))
-    # joined on a low-cardinality key (a date or a step): broadcast it (checked) so
-    # the many rows per date are never gathered into one shuffle partition per date
-    return broadcast_if_small(steps)
+    return steps
 
 
 def lookup_predictions(test: DataFrame, preds: DataFrame, keys=S.KEYS, date: str = "date",

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import REFERENCE_HOLIDAYS, days_to_nearest_holiday
-from ..session import broadcast_if_small
+from ..functions.calendar import days_to_nearest_holiday
 from ..sources import schemas as S
 
 TARGET = "weekly_sales"
@@ -75,7 +74,7 @@ def add_series_window_features(df: DataFrame, lags=(1, 2, 4, 52), windows=(4, 8)
     return df.select("*", *lag_columns(lags, target), *rolling_columns(windows, target))
 
 
-def add_holiday_proximity(df: DataFrame, holidays=REFERENCE_HOLIDAYS, date: str = "date") -> DataFrame:
+def add_holiday_proximity(df: DataFrame, holidays, date: str = "date") -> DataFrame:
     """Signed days to the nearest holiday (literal calendar, no join)."""
     return df.withColumn("days_to_nearest_holiday", days_to_nearest_holiday(date, holidays))
 
@@ -87,8 +86,8 @@ def _expanding_group_avg(df: DataFrame, group: str, out: str, target: str, date:
                 .groupBy(group, date).agg(F.avg(target).alias("_m")))
     w = Window.partitionBy(group).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
     snap = per_date.select(group, date, F.avg("_m").over(w).alias(out))
-    # (group, date) rows: dimension x calendar sized, broadcast behind a size check
-    return df.join(broadcast_if_small(snap), [group, date], "left")
+    # plain join: Spark broadcasts the (group, date) table from its measured size while it is small
+    return df.join(snap, [group, date], "left")
 
 
 def add_expanding_dept_avg(df: DataFrame, target: str = TARGET, date: str = "date") -> DataFrame:
@@ -133,7 +132,7 @@ def undifference(df: DataFrame, diff: str = "diff_1", level: str = "weekly_sales
     return df.withColumn(out, first + F.coalesce(run, F.lit(0)))
 
 
-def build_all_features(df: DataFrame, holidays=REFERENCE_HOLIDAYS) -> DataFrame:
+def build_all_features(df: DataFrame, holidays) -> DataFrame:
     """K3: lags, rolling stats, holiday proximity, expanding dept and store means."""
     df = add_series_window_features(df)
     df = add_holiday_proximity(df, holidays)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from ..sources import schemas as S
 
 
@@ -32,6 +31,5 @@ def frozen_group_average(df: DataFrame, group: str, target: str = "weekly_sales"
 
 
 def lookup_snapshot(df: DataFrame, snapshot: DataFrame, key: str) -> DataFrame:
-    """Keyed lookup; missing key -> NULL (left join, dimension-sized right side
-    broadcast behind a size check)."""
-    return df.join(broadcast_if_small(snapshot), key, "left")
+    """Keyed lookup; missing key -> NULL (left join)."""
+    return df.join(snapshot, key, "left")

@@ -1,8 +1,7 @@
 """Panel preparation: merge, clean, fills, row filters.
 
-Store-week and store tables are dimension x calendar sized: they are
-broadcast only behind a checked row bound (``session.broadcast_if_small``);
-above the bound the join stays a shuffle join (AQE may still convert it).
+Joins carry no hint: Spark broadcasts a side while its size is under
+``spark.sql.autoBroadcastJoinThreshold``, also from sizes measured at run time.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from ..sources import schemas as S
 
 
@@ -18,12 +16,12 @@ def merge_all(sales: DataFrame, features: DataFrame, stores: DataFrame) -> DataF
     """C1 + C2 + B3: sales LEFT JOIN features ON (store, date) LEFT JOIN stores ON store.
 
     Overlapping feature columns are dropped in favour of the sales side
-    (the reference suffixes them ``_feat`` and drops ``IsHoliday_feat``).
+    (the reference suffixes them ``_feat`` and drops ``IsHoliday_feat``). A
+    sales row with a NULL key matches nothing and stays.
     """
-    sales = S.null_key_guard(sales, ["store", "date"])
     overlap = [c for c in features.columns if c in sales.columns and c not in ("store", "date")]
-    feat = broadcast_if_small(features.drop(*overlap))
-    st = broadcast_if_small(stores.drop(*[c for c in stores.columns if c in sales.columns and c != "store"]))
+    feat = features.drop(*overlap)
+    st = stores.drop(*[c for c in stores.columns if c in sales.columns and c != "store"])
     return sales.join(feat, ["store", "date"], "left").join(st, "store", "left")
 
 
@@ -63,7 +61,7 @@ def ffill_store_level(df: DataFrame, cols: list[str], key: str = "store", date:
     the fill sees only the dates of the frame passed in (T13).
     """
     keyed = (df.groupBy(key, date).agg(*[F.max(c).alias(c) for c in cols]))
-    filled = broadcast_if_small(ffill(keyed, cols, [key], [date]))
+    filled = ffill(keyed, cols, [key], [date])
     return df.drop(*cols).join(filled, [key, date], "left").select(df.columns)
 
 

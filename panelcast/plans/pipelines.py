@@ -12,6 +12,7 @@ above, returned as DataFrames; only model fitting crosses to the driver
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,16 +37,17 @@ class TreeResult:
     submission: DataFrame
 
 
-def tree_flow(train: DataFrame, test: DataFrame, features: DataFrame, stores: DataFrame,
+def tree_flow(train: DataFrame, test: DataFrame, features: DataFrame, stores: DataFrame, holidays: list[tuple[str, str]],
               feature_cols: list[str] = B.PRUNED_FEATURES, params: dict | None = None,
               n_splits: int = 3, horizon_weeks: int = 38) -> TreeResult:
     """Entry A. ``train``: store, dept, date, weekly_sales, is_holiday; ``test`` the same
-    without the target. CV uses the frozen (pipeline) features per fold."""
+    without the target; ``holidays`` has to cover their dates. CV uses the frozen (pipeline) features per fold."""
     train = materialize(train)
     folds = SP.walk_forward_folds(train, n_splits=n_splits, horizon_weeks=horizon_weeks)
-    builder = B.PanelFeatureBuilder(features=features, stores=stores, outputFeatures=feature_cols)
+    builder = B.PanelFeatureBuilder(features=features, stores=stores, outputFeatures=feature_cols,
+                                    holidays=json.dumps(holidays))
     scores = T.cv_pipeline(train, folds, builder, feature_cols, params)
-    _, imps = T.cv_flat(B.feature_table(train, features, stores), folds, feature_cols, params)
+    _, imps = T.cv_flat(B.feature_table(train, features, stores, holidays), folds, feature_cols, params)
     _, pred = T.refit_and_predict(train, test, builder, feature_cols, params)
     return TreeResult(scores, imps, FB.submission_frame(pred))
 

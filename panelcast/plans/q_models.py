@@ -11,6 +11,7 @@ decomposition, and the calendar / sampling operators.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -60,31 +61,31 @@ SELECT store, dept, type,
 @register("encode_categories", _ENCODE_SQL, covers="K1 H16 T21")
 def q_encode(spark, sf):
     p, f, s = _region(spark, sf)
-    t = B.feature_table(p, f, s)
+    t = B.feature_table(p, f, s, PANEL_HOLIDAYS)
     stages = T.encoding_stages(["store", "dept", "type", "size"])
     m = stages[1].fit(stages[0].transform(t))
     out = m.transform(stages[0].transform(t))
     return out.select("store", "dept", "type", "store__idx", "dept__idx", "type__idx").distinct()
 
 
-@register("feature_table_all", None, covers="K3 B15 C11 H12 H2")
+@register("feature_table_all", None, covers="B15 C11 H12 H2")
 def q_feature_table(spark, sf):
     p, f, s = _region(spark, sf)
-    return B.feature_table(p, f, s).select("date", *B.ALL_FEATURES)
+    return B.feature_table(p, f, s, PANEL_HOLIDAYS).select("date", *B.ALL_FEATURES)
 
 
 @register("feature_table_pruned", None, covers="B15")
 def q_feature_table_pruned(spark, sf):
     p, f, s = _region(spark, sf)
-    return B.feature_table(p, f, s).select("date", *B.PRUNED_FEATURES)
+    return B.feature_table(p, f, s, PANEL_HOLIDAYS).select("date", *B.PRUNED_FEATURES)
 
 
 def _gbt_cv(spark, sf, features):
     p, f, s = _region(spark, sf)
-    return T.cv_flat(B.feature_table(p, f, s), SP.walk_forward_folds(p), features, T.PRESET_QUICK, parallel=3)
+    return T.cv_flat(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), features, T.PRESET_QUICK, parallel=3)
 
 
-@register("gbt_walk_forward_cv", None, covers="K4 K5 K6 D14 T17")
+@register("gbt_walk_forward_cv", None, covers="K4 K6 D14 T17")
 def q_gbt_cv(spark, sf):
     scores, _ = _gbt_cv(spark, sf, B.PRUNED_FEATURES)
     return scores
@@ -102,7 +103,7 @@ def q_gbt_importance(spark, sf):
 def q_gbt_pipeline(spark, sf):
     p, f, s = _region(spark, sf)
     folds = SP.walk_forward_folds(p).orderBy(F.desc("fold")).limit(1)
-    return T.cv_pipeline(p, folds, B.PanelFeatureBuilder(features=f, stores=s), B.PRUNED_FEATURES, T.PRESET_QUICK)
+    return T.cv_pipeline(p, folds, B.PanelFeatureBuilder(features=f, stores=s, holidays=json.dumps(PANEL_HOLIDAYS)), B.PRUNED_FEATURES, T.PRESET_QUICK)
 
 
 # Light search configuration for the registered query: 2 trials, 10..40 trees
@@ -113,7 +114,7 @@ QUICK_SPACE = {"maxIter": (10, 40)}
 @register("gbt_random_search", None, covers="K8 F5 A5")
 def q_gbt_search(spark, sf):
     p, f, s = _region(spark, sf)
-    trials = T.random_search(B.feature_table(p, f, s), SP.walk_forward_folds(p), B.PRUNED_FEATURES,
+    trials = T.random_search(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES,
                              n_trials=2, seed=42, parallel=3, space=QUICK_SPACE)
     log = shared_path(spark, "runlog")
     SK.log_frame(trials, log, "gbt_search", "metric", "trial", "mean_wmae")
@@ -126,7 +127,7 @@ def q_gbt_search(spark, sf):
 def q_gbt_forecast(spark, sf):
     p, f, s = _region(spark, sf)
     train, test = TP.train_test_split(p)
-    model, pred = T.refit_and_predict(train, test, B.PanelFeatureBuilder(features=f, stores=s),
+    model, pred = T.refit_and_predict(train, test, B.PanelFeatureBuilder(features=f, stores=s, holidays=json.dumps(PANEL_HOLIDAYS)),
                                       B.PRUNED_FEATURES, T.PRESET_QUICK)
     path = shared_path(spark, "gbt-model")
     model.write().overwrite().save(path)
@@ -290,8 +291,10 @@ def _series_frame(spark, sf):
 def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
     ok = pred.filter(F.col("error").isNull() & F.col("y_pred").isNotNull())
     per_fold = wmae_by(ok, ["store", "dept", "fold"], "y", "y_pred")
-    return (per_fold.groupBy("store", "dept").agg(F.avg("wmae").alias("wmae"), F.count(F.lit(1)).alias("n_folds"))
-            .withColumn("model", F.lit(model)))
+    scored = per_fold.groupBy("store", "dept").agg(F.avg("wmae").alias("wmae"), F.count(F.lit(1)).alias("n_folds"))
+    # a series whose folds all failed stays, with a NULL score and no scored fold
+    return (pred.select("store", "dept").distinct().join(scored, ["store", "dept"], "left")
+            .select("store", "dept", "wmae", F.coalesce("n_folds", F.lit(0)).cast("long").alias("n_folds"), F.lit(model).alias("model")))
 
 
 def _ar_order_sql(max_p: int = 3) -> str:

@@ -60,26 +60,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-BROADCAST_MAX_ROWS_CONF = "panelcast.broadcast.maxRows"
-BROADCAST_MAX_ROWS_DEFAULT = 2_000_000
-
-
-def broadcast_if_small(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast a derived side table only behind a checked size bound.
-
-    The table is checkpointed (computed once), its row count is checked with a
-    bounded ``limit(max_rows + 1).count()``, and it is hinted for broadcast only
-    under the cap (``panelcast.broadcast.maxRows``); above it the join stays a
-    shuffle join that AQE may still convert from measured sizes. The big side
-    of a join against a checked small side is never shuffled.
-    """
-    spark = small.sparkSession
-    if max_rows is None:
-        max_rows = int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS_DEFAULT)))
-    small = materialize(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
-        from pyspark.sql import functions as F
-        return F.broadcast(small)
-    return small

@@ -79,21 +79,20 @@ def _part_dept(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
 def sales_panel(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """Panel ``(store int, dept int, date date, weekly_sales double, is_holiday boolean)``.
 
-    ``lineitem`` is first reduced to exact cent sums per (part, supplier, week):
-    one shuffle on three well-spread keys with a map-side partial sum, which
-    collapses a hot part or supplier to one row per (part, supplier, week).
-    The dimension joins and the final (store, dept, week) sum then run on the
-    reduced table instead of shuffling ``lineitem`` once per join.
+    ``lineitem`` joins its two dimensions, which Spark broadcasts while they are
+    small, and one aggregate with map-side partial sums of exact cents reduces
+    it to (store, dept, week): a hot part or supplier sends one row per task
+    and week. (A sum per part, supplier and week before the joins reduces
+    nothing: those triples are almost unique.)
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     li = read_table(spark, sf_dir, "lineitem")
-    reduced = (li.groupBy("l_partkey", "l_suppkey", friday_of_week("l_shipdate").alias("date"))
-               .agg(F.sum(cents("l_extendedprice")).alias("cents")))
+    lines = li.select("l_partkey", "l_suppkey", friday_of_week("l_shipdate").alias("date"), cents("l_extendedprice").alias("cents"))
     part = _part_dept(spark, sf_dir, grain)
     supp = _supplier_store(spark, sf_dir, grain)
-    joined = (reduced.join(part, reduced.l_partkey == part.p_partkey)
-              .join(supp, reduced.l_suppkey == supp.s_suppkey))
+    joined = (lines.join(part, lines.l_partkey == part.p_partkey)
+              .join(supp, lines.l_suppkey == supp.s_suppkey))
     return (joined.groupBy("store", "dept", "date")
             .agg((F.sum("cents").cast("double") / F.lit(100.0)).alias("weekly_sales"))
             .withColumn("is_holiday", is_holiday_week("date")))
@@ -105,16 +104,14 @@ def features_table(spark: SparkSession, sf_dir: str, grain: str = "nation") -> D
     ``temperature`` mean order value, ``fuel_price`` order count, ``cpi`` mean
     customer balance, ``unemployment`` share of finished orders,
     ``markdown1..5`` order value per priority. ``is_holiday`` is carried so the
-    merge has a duplicate column to drop (B3). ``orders`` is pre-aggregated per
-    (customer, week) with exact integer sums before the customer join.
+    merge has a duplicate column to drop (B3). ``orders`` joins customers and one
+    aggregate with partial exact integer sums reduces it.
     """
     orders = read_table(spark, sf_dir, "orders")
-    per_cust = orders.groupBy("o_custkey", friday_of_week("o_orderdate").alias("date")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(cents("o_totalprice")).alias("value_cents"),
-        F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("n_finished"),
-        *[F.sum(F.when(F.col("o_orderpriority") == prio, cents("o_totalprice"))).alias(f"md{k}")
-          for prio, k in PRIORITY_MARKDOWN])
+    lines = orders.select(
+        "o_custkey", friday_of_week("o_orderdate").alias("date"), cents("o_totalprice").alias("value_cents"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("finished"),
+        *[F.when(F.col("o_orderpriority") == prio, cents("o_totalprice")).alias(f"md{k}") for prio, k in PRIORITY_MARKDOWN])
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     if grain == "region":
         nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -122,13 +119,13 @@ def features_table(spark: SparkSession, sf_dir: str, grain: str = "nation") -> D
                 .select("c_custkey", "c_acctbal", F.col("n_regionkey").alias("store")))
     else:
         cust = cust.select("c_custkey", "c_acctbal", F.col("c_nationkey").alias("store"))
-    j = per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
-    n = F.sum("n")
+    j = lines.join(cust, lines.o_custkey == cust.c_custkey)
+    n = F.count(F.lit(1))
     aggs = [
         (F.sum("value_cents").cast("double") / (F.lit(100.0) * n)).alias("temperature"),
         n.cast("double").alias("fuel_price"),
-        (F.sum(F.col("n") * cents("c_acctbal")).cast("double") / (F.lit(100.0) * n)).alias("cpi"),
-        (F.sum("n_finished").cast("double") / n).alias("unemployment"),
+        (F.sum(cents("c_acctbal")).cast("double") / (F.lit(100.0) * n)).alias("cpi"),
+        (F.sum("finished").cast("double") / n).alias("unemployment"),
     ]
     for _, k in PRIORITY_MARKDOWN:
         aggs.append((F.sum(f"md{k}").cast("double") / F.lit(100.0)).alias(f"markdown{k}"))

@@ -1,6 +1,7 @@
 """Model operators on constructed series (the driver data has no signal to learn)."""
 
 import datetime as dt
+import json
 import os
 import tempfile
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.functions.calendar import REFERENCE_HOLIDAYS
 from panelcast.models import ar as AR
 from panelcast.models import builder as B
 from panelcast.models import diagnostics as DG
@@ -70,7 +72,7 @@ def test_builder_frozen_features_ignore_future(spark):
     train = df.filter(F.col("date") < F.lit(cut))
     val = df.filter(F.col("date") >= F.lit(cut))
     feats = ["store", "dept", "sales_lag_52wk", "dept_avg_sales_expanding", "store_avg_sales_expanding"]
-    b = B.PanelFeatureBuilder(outputFeatures=feats)
+    b = B.PanelFeatureBuilder(outputFeatures=feats, holidays=json.dumps(REFERENCE_HOLIDAYS))
     a = b.fit(train).transform(val).orderBy("store", "date").toPandas()
     perturbed = val.withColumn("weekly_sales", F.col("weekly_sales") * 1000)
     c = b.fit(train).transform(perturbed).orderBy("store", "date").toPandas()
@@ -82,7 +84,7 @@ def test_pipeline_save_load_roundtrip(spark):
     df = _constructed(spark, n_series=3, n=120)
     feats = ["store", "dept", "month", "week", "sales_lag_52wk", "days_to_nearest_holiday",
              "dept_avg_sales_expanding", "store_avg_sales_expanding"]
-    builder = B.PanelFeatureBuilder(outputFeatures=feats)
+    builder = B.PanelFeatureBuilder(outputFeatures=feats, holidays=json.dumps(REFERENCE_HOLIDAYS))
     train = df.filter(F.col("date") < F.lit(D0 + dt.timedelta(days=7 * 100)))
     test = df.filter(F.col("date") >= F.lit(D0 + dt.timedelta(days=7 * 100))).drop("weekly_sales")
     model, pred = T.refit_and_predict(train, test, builder, feats, {**T.PRESET_QUICK, "maxIter": 5})

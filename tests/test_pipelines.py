@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.calendar import derived_holidays, holiday_frame
 from panelcast.models import trees as T
 from panelcast.plans import pipelines as PL
+from panelcast.plans.q_core import PANEL_HOLIDAYS
 from panelcast.sources import testpanel as TP
 
 from conftest import SF_SMALL
@@ -19,7 +20,7 @@ def _data(spark):
 def test_tree_flow(spark):
     p, train, test = _data(spark)
     r = PL.tree_flow(train, test, TP.features_table(spark, SF_SMALL, "region"),
-                     TP.stores_table(spark, SF_SMALL, "region"), params={**T.PRESET_QUICK, "maxIter": 5})
+                     TP.stores_table(spark, SF_SMALL, "region"), PANEL_HOLIDAYS, params={**T.PRESET_QUICK, "maxIter": 5})
     assert r.fold_scores.count() >= 1
     assert r.submission.count() == test.count()
     assert r.submission.filter(F.col("Weekly_Sales") < 0).count() == 0
@@ -45,6 +46,6 @@ def test_readme_example_from_csv(spark):
     path = shared_path(spark, "readme")
     write_reference_layout(spark, SF_SMALL, path)
     train, test, features, stores = load_raw_data(spark, path)
-    r = PL.tree_flow(train, test, features, stores, params={**T.PRESET_QUICK, "maxIter": 3})
+    r = PL.tree_flow(train, test, features, stores, PANEL_HOLIDAYS, params={**T.PRESET_QUICK, "maxIter": 3})
     assert r.submission.count() == test.count()
     assert r.fold_scores.filter(F.col("wmae").isNull()).count() == 0
