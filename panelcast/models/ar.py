@@ -30,13 +30,18 @@ def _difference(y: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
     return z
 
 
-def _ar_fit(z: np.ndarray, p: int):
-    """Conditional least squares AR(p) with intercept: (coef, ssr, n_eff)."""
-    n = len(z) - p
+def _ar_fit(z: np.ndarray, p: int, skip: int | None = None):
+    """Conditional least squares AR(p) with intercept: (coef, ssr, n_eff).
+
+    The first ``skip`` (at least p) values only serve as lags, so that orders
+    compared with one ``skip`` are fitted to the same sample.
+    """
+    skip = p if skip is None else max(skip, p)
+    n = len(z) - skip
     if n <= p + 2:
         raise ValueError("too few observations for AR order")
-    X = np.column_stack([np.ones(n)] + [z[p - j:len(z) - j] for j in range(1, p + 1)])
-    Y = z[p:]
+    X = np.column_stack([np.ones(n)] + [z[skip - j:len(z) - j] for j in range(1, p + 1)])
+    Y = z[skip:]
     beta, *_ = np.linalg.lstsq(X, Y, rcond=None)
     r = Y - X @ beta
     return beta, float(r @ r), n
@@ -166,7 +171,7 @@ def _select_order(max_p: int):
             z = _difference(y, d, 0, 1)
             for p in range(0, max_p + 1):
                 try:
-                    _, ssr, n = _ar_fit(z, p)
+                    _, ssr, n = _ar_fit(z, p, skip=max_p)
                     aic = n * np.log(max(ssr, 1e-300) / n) + 2 * (p + 1)
                     rows.append({**key, "p": p, "d": d, "aic": float(aic), "error": None})
                 except Exception as e:  # noqa: BLE001

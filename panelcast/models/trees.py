@@ -70,9 +70,9 @@ def encoding_stages(features: list[str]) -> list:
 
 
 def gbt(params: dict | None = None, label: str = TARGET, weight: str | None = None, seed: int = 42,
-        max_bins: int = 128, loss: str = "squared", validation_col: str | None = None,
+        max_bins: int = 32, loss: str = "squared", validation_col: str | None = None,
         validation_tol: float = 0.01) -> GBTRegressor:
-    """K4/K5: GBT estimator; ``maxBins`` >= category count (99 depts in the source data).
+    """K4/K5: GBT estimator; ``max_bins`` has to reach the largest category count (``category_bins``).
 
     ``validation_col`` (a boolean column, see ``mark_validation``) turns on early
     stopping: boosting stops when the validation error stops improving by
@@ -95,11 +95,18 @@ def mark_validation(df: DataFrame, weeks: int, date: str = "date", out: str = "i
     return df.withColumn(out, F.col(date) > cut)
 
 
+def category_bins(rows: DataFrame, features: list[str]) -> int:
+    """Bins the trees need: the largest vocabulary of ``rows`` with the index for unseen values, at least MLlib's 32."""
+    cats = [c for c in features if c in CATEGORICAL and c in rows.columns]
+    counts = rows.agg(*[F.count_distinct(c) for c in cats]).first() if cats else [0]
+    return max(32, max(counts) + 2)
+
+
 def tree_pipeline(features: list[str], params: dict | None = None, builder: PanelFeatureBuilder | None = None,
-                  weight: str | None = None, validation_col: str | None = None) -> Pipeline:
+                  weight: str | None = None, validation_col: str | None = None, max_bins: int = 32) -> Pipeline:
     """[feature builder] -> preprocessing -> encoding -> GBT."""
     stages = (([builder] if builder is not None else []) + encoding_stages(features)
-              + [gbt(params, weight=weight, validation_col=validation_col)])
+              + [gbt(params, weight=weight, validation_col=validation_col, max_bins=max_bins)])
     return Pipeline(stages=stages)
 
 
@@ -119,7 +126,7 @@ def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dic
     if not prepared:
         table = materialize(table)
     fold_rows = folds.collect()  # n_splits rows
-    pipe = tree_pipeline(features, params)
+    pipe = tree_pipeline(features, params, max_bins=category_bins(table, features))
 
     def run(fr):
         train = table.filter(F.col(date) < F.lit(fr["val_start"]))
@@ -137,7 +144,8 @@ def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dic
         res = [run(fr) for fr in fold_rows]
     names = assembled_names(features)
     scores = spark.createDataFrame([(int(f), w, n) for f, w, n, _ in res], "fold int, wmae double, n_val long")
-    imp_rows = [(names[i], float(v)) for _, _, _, imp in res for i, v in enumerate(imp)]
+    # one row per feature: its value, missing flag and index columns together
+    imp_rows = [(names[i].rsplit("__", 1)[0], float(v)) for _, _, _, imp in res for i, v in enumerate(imp)]
     imps = (spark.createDataFrame(imp_rows, "feature string, importance double")
             .groupBy("feature").agg(F.sum("importance").alias("importance")))
     return scores, imps
@@ -148,11 +156,11 @@ def cv_pipeline(rows: DataFrame, folds: DataFrame, builder: PanelFeatureBuilder,
     """K9 (T17 ``frozen`` mode): per fold, fit builder + model on train rows only and
     score the validation rows with features frozen at the fold's cutoff."""
     spark = rows.sparkSession
-    out = []
+    out, bins = [], category_bins(rows, features)
     for fr in folds.collect():
         train = rows.filter(F.col(date) < F.lit(fr["val_start"]))
         val = rows.filter(F.col(date).between(F.lit(fr["val_start"]), F.lit(fr["val_end"])))
-        model = tree_pipeline(features, params, builder).fit(train)
+        model = tree_pipeline(features, params, builder, max_bins=bins).fit(train)
         s = model.transform(val).agg(wmae_expr(TARGET, "y_pred").alias("wmae"),
                                      F.count(F.lit(1)).alias("n_val")).first()
         out.append((int(fr["fold"]), s["wmae"], int(s["n_val"])))
@@ -221,7 +229,7 @@ def best_trial(trials: DataFrame) -> DataFrame:
 def refit_and_predict(rows: DataFrame, test: DataFrame, builder: PanelFeatureBuilder, features: list[str],
                       params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit on all history, predict test rows, clip at 0 keeping NULLs."""
-    model = tree_pipeline(features, params, builder).fit(rows)
+    model = tree_pipeline(features, params, builder, max_bins=category_bins(rows, features)).fit(rows)
     pred = model.transform(test).withColumn("y_pred", clip_lower("y_pred"))
     return model, pred
 

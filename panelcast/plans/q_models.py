@@ -34,7 +34,7 @@ from ..sources import sinks as SK
 from ..sources.schemas import RENAME
 from ..sources import testpanel as TP
 from . import sqlparts as Q
-from .catalog import r4, r4_cols, register
+from .catalog import ORACLE, r4, r4_cols, register
 from .q_core import PANEL_HOLIDAYS, panel, lazy_panel
 
 
@@ -68,6 +68,32 @@ def q_encode(spark, sf):
     return out.select("store", "dept", "type", "store__idx", "dept__idx", "type__idx").distinct()
 
 
+def _checked_table_sql() -> str:
+    flag = lambda n: f"date IN ({', '.join(chr(39) + d + chr(39) + '::DATE' for h, d in PANEL_HOLIDAYS if h == n)}) AS is_{n}"
+    mean = lambda c: f"floor({c} * 100 + 0.5) / 100 AS {c}"
+    own = {"year": "CAST(year(date) AS INTEGER) AS year", "month": "CAST(month(date) AS INTEGER) AS month", "week": "CAST(week(date) AS INTEGER) AS week",
+           "dept_avg_sales_expanding": mean("dept_avg_sales_expanding"), "store_avg_sales_expanding": mean("store_avg_sales_expanding")}
+    own |= {f"is_{n}": flag(n) for n in ("superbowl", "labor_day", "thanksgiving", "christmas")}
+    parts = ["clean_data", "prior_year_lag", "expanding_dept_avg", "expanding_store_avg"]
+    lag = f"SELECT store, dept, date, sales_lag_52wk FROM ({ORACLE['prior_year_lag']})"
+    tables = [f"({lag if p == 'prior_year_lag' else ORACLE[p]})" for p in parts]
+    return ("SELECT date, " + ", ".join(own.get(c, c) for c in B.ALL_FEATURES) + " FROM " + tables[0]
+            + "".join(f" JOIN {t} USING (store, dept, date)" for t in tables[1:]) + f" JOIN ({ORACLE['holiday_proximity']}) USING (date)")
+
+
+@register("feature_table_checked", _checked_table_sql(), covers="B15 C4 C5 C11 E4 E5 H2 H11 H12")
+def q_feature_table_checked(spark, sf):
+    """The 24-column table at nation grain; averages to cents, other numbers to 4 places."""
+    t = B.feature_table(panel(spark, sf), TP.features_table(spark, sf), TP.stores_table(spark, sf), PANEL_HOLIDAYS)
+    def out(c):
+        if c.endswith("_expanding"):
+            return (F.floor(r4(c) * 100 + 0.5) / 100).alias(c)
+        if c.startswith("is_"):
+            return F.col(c).cast("boolean").alias(c)
+        return r4(c) if t.schema[c].dataType.simpleString() == "double" else F.col(c)
+    return t.select("date", *[out(c) for c in B.ALL_FEATURES])
+
+
 @register("feature_table_all", None, covers="B15 C11 H12 H2")
 def q_feature_table(spark, sf):
     p, f, s = _region(spark, sf)
@@ -305,7 +331,7 @@ def _ar_order_sql(max_p: int = 3) -> str:
     blocks = []
     for p in range(max_p + 1):
         v = [f"v{k}" for k in range(p + 1)]
-        cond = " AND ".join(f"{x} IS NOT NULL" for x in v)
+        cond = " AND ".join(f"v{k} IS NOT NULL" for k in range(max_p + 1))  # one sample for all orders
         sums = ", ".join([f"SUM({a}) AS s_{a}" for a in v] +
                          [f"SUM({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(v) for b in v[i:]])
         blocks.append(f"SELECT store, dept, d, {p} AS p, COUNT(*) AS n, {sums} FROM l WHERE {cond} GROUP BY 1, 2, 3")

@@ -129,3 +129,12 @@ def test_quantiles_refuse_infinity(spark):
     from panelcast.functions.quantiles import exact_quantiles
     with pytest.raises(ValueError, match="finite"):
         exact_quantiles(spark.createDataFrame([(1.0,), (float("inf"),)], "x double"), "x", [0.5])
+
+
+def test_more_categories_than_the_default_bins(spark):
+    from panelcast.models import trees as T
+    rows = [(k, float(k % 7), float(10 * (k % 7)) + i) for k in range(200) for i in range(3)]
+    df = spark.createDataFrame(rows, "dept int, x double, weekly_sales double")
+    assert T.category_bins(df, ["dept", "x"]) == 202
+    model = T.tree_pipeline(["dept", "x"], {**T.PRESET_QUICK, "maxIter": 2}, max_bins=T.category_bins(df, ["dept", "x"])).fit(df)
+    assert model.transform(df).count() == 600
