@@ -289,3 +289,19 @@ def test_empty_tables(spark, make_docs, items, sf):
     assert contamination(make_docs(ODD), items.limit(0)).filter("contaminated").count() == 0
     folder = sf(documents=none, benchmark=items)
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_secret_battery_matches_sql(spark, make_docs, sf):
+    """Random, structured and prose-like runs of all encodings: the whole battery and its thresholds against DuckDB."""
+    from panelcast.llm.q_secrets import op7
+    from panelcast.llm.registry import ORACLE
+    from panelcast.llm.secrets import ALPHABETS
+    r = random.Random(11)
+    words = ["".join(r.choice("eeetaoinshrdlu") for _ in range(r.randint(3, 9))) for _ in range(60)]
+    runs = ["".join(r.choice(a) for _ in range(r.choice((20, 22, 26, 40, 70, 150)))) for _, a in ALPHABETS for _ in range(12)]
+    runs += [r.choice("-_").join(r.choice(words) for _ in range(r.randint(4, 9))) for _ in range(60)] + ["ab" * 15, "=" * 24, "A" * 20 + "==", "0123456789" * 4]
+    made = make_docs([(i, f"é {r.choice(words)} {t} {r.choice(words)}, {r.choice(runs)}.") for i, t in enumerate(runs)])
+    folder = sf(documents=made)
+    got = op7(spark, folder).toPandas()
+    assert got["spans"].str.contains("random").sum() > 20
+    assert rows(got) == rows(duck(ORACLE["op7_secret_scan"], folder))
