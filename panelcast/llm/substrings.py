@@ -40,9 +40,9 @@ from panelcast.llm.common import stored
 WINDOW = 13
 MER = 3
 CHUNK = 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 MAX_RUN = 256  # windows in a packed string, so that a range fits RANGE
-FLUSH = 24 << 20
+FLUSH = 20 << 20
 ZSTD_LEVEL = 5
 RANGE = 512
 _SPACE = np.zeros(256, dtype=bool)
