@@ -5,7 +5,7 @@ Re-aimed: Spark builds the design columns (time, Fourier terms at 365.25
 days, holiday-window dummies from the spread calendar); one grouped pandas
 call per (series, fold) adds piecewise-linear trend hinges and solves a
 ridge least squares, returning validation predictions. ``multiplicative``
-fits the log of positive targets (an approximation, documented).
+alternates the trend and the seasonal factor on all rows.
 """
 
 from __future__ import annotations
@@ -113,10 +113,10 @@ def _fit_predict(features: list[str], n_knots: int, ridge: float, multiplicative
 def evaluate_additive(frame: DataFrame, calendar: DataFrame | None, fourier_order: int = 10, n_knots: int = 5,
                       ridge: float = 1.0, multiplicative: bool = False) -> DataFrame:
     """K21/K22 (+J6 with ``calendar=None``): per (series, fold) validation predictions."""
-    from .ar import PRED_SCHEMA
+    from .ar import PRED_SCHEMA, fit_groups
     d, names = design(frame, calendar, fourier_order)
     cols = ["store", "dept", "fold", "date", "y", "is_holiday", "role", "t", *names]
-    return d.select(*cols).groupBy("store", "dept", "fold").applyInPandas(
+    return fit_groups(d.select(*cols), ["store", "dept", "fold"]).applyInPandas(
         _fit_predict(names, n_knots, ridge, multiplicative), PRED_SCHEMA)
 
 

@@ -121,6 +121,16 @@ def _evaluate(order: tuple[int, int, int, int]):
     return fn
 
 
+def fit_groups(df: DataFrame, keys: list[str]):
+    """``df`` grouped by ``keys`` for a fit per group.
+
+    A fit costs time by group, not by byte: partitions of a given number are
+    not coalesced by their few bytes into one or two long tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).groupBy(*keys)
+
+
 PRED_SCHEMA = ("store int, dept int, fold int, date date, y double, is_holiday boolean, "
                "y_pred double, error string")
 
@@ -158,7 +168,7 @@ def fold_frame(df: DataFrame, folds: DataFrame | None = None, target: str = "wee
 
 def evaluate_ar(frame: DataFrame, order=(1, 1, 1, 52)) -> DataFrame:
     """K20 + K25: per (series, fold) forecasts of the validation rows (``order`` = p, d, D, s)."""
-    return frame.groupBy("store", "dept", "fold").applyInPandas(_evaluate(order), PRED_SCHEMA)
+    return fit_groups(frame, ["store", "dept", "fold"]).applyInPandas(_evaluate(order), PRED_SCHEMA)
 
 
 def _select_order(max_p: int):
@@ -182,7 +192,7 @@ def _select_order(max_p: int):
 
 def order_grid(df: DataFrame, max_p: int = 3, target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
     """AIC for every (p <= max_p, d in {0, 1}) per series."""
-    return (df.select(*keys, "date", F.col(target).alias("y")).groupBy(*keys)
+    return (fit_groups(df.select(*keys, "date", F.col(target).alias("y")), list(keys))
             .applyInPandas(_select_order(max_p), "store int, dept int, p int, d int, aic double, error string"))
 
 

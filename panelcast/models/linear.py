@@ -2,82 +2,132 @@
 
 The reference network is linear in its input: trend and seasonal parts of
 an instance-normalised lookback window, each through a linear layer. Here
-each horizon step is one weighted least-squares fit (``LinearRegression``,
-``weightCol`` = holiday weight of that step) over all windows of all series;
-the fits share one checkpointed window table and run concurrently. Scoring
-uses the fitted coefficients (lookback x 2 per step, a model-sized literal)
-as a JVM-side dot product, so predicting is one projection over the data.
-Squared loss replaces the MAE surrogate (documented difference).
+each horizon step is one weighted ridge fit over all windows of all series.
+
+Fitting is one pass. Every task sums the second moments of its windows in
+Arrow batches (numpy, a few thousand numbers whatever the rows); an aggregate
+merges them, and the steps are solved from the merged sums. A holiday step
+weighs ``HOLIDAY_WEIGHT`` and any other 1, so a step's weighted moments are
+those of all windows plus ``HOLIDAY_WEIGHT - 1`` times those of its holiday
+windows, and the window rows are read once for all steps and stored nowhere.
+The decomposition is a linear map of the window, so it is applied to the
+moments, not to the rows. Squared loss replaces the MAE surrogate (documented
+difference).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import HOLIDAY_WEIGHT
-from ..operators import windows as WN
-from ..session import materialize
 
+EPS = 1e-6
+
+
+def trend_matrix(lookback: int, kernel: int = 25) -> np.ndarray:
+    """I6 as a matrix: row i averages the ``kernel`` values around i, ends clamped to the first / last value."""
+    left = (kernel - 1) // 2
+    m = np.zeros((lookback, lookback))
+    for i in range(lookback):
+        for j in range(i - left, i - left + kernel):
+            m[i, min(max(j, 0), lookback - 1)] += 1.0 / kernel
+    return m
+
+
+def normalized(windows: DataFrame, eps: float = EPS) -> DataFrame:
+    """``x`` and ``y`` by the window's own mean and population std; ``h`` as it is."""
+    scale = lambda c: F.transform(c, lambda v: (v - F.col("mu")) / F.col("sd"))
+    w = windows.select("x", "y", "h", F.col("x_mean").alias("mu"), (F.col("x_std") + F.lit(eps)).alias("sd"))
+    return w.select(scale("x").alias("x"), scale("y").alias("y"), "h")
+
+
+def window_moments(windows: DataFrame, horizon: int) -> DataFrame:
+    """``(step, row, sums)``: second moments of ``z = [1, x, y]`` over all windows (step -1), and of
+    ``[1, x, y_step]`` over the windows whose ``h`` holds at that step. One pass; each task sends one matrix per step."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = np.stack(b["x"].to_numpy()).astype(float), np.stack(b["y"].to_numpy()).astype(float)
+            h = np.stack(b["h"].to_numpy()).astype(bool)
+            zx = np.column_stack([np.ones(len(x)), x])
+            z = np.column_stack([zx, y])
+            own = [z.T @ z]
+            for s in range(horizon):
+                zs = np.column_stack([zx, y[:, s]])[h[:, s]]
+                own.append(zs.T @ zs)
+            total = own if total is None else [t + o for t, o in zip(total, own)]
+        for k, m in enumerate(total or []):
+            yield pd.DataFrame({"step": np.full(len(m), k - 1, dtype="int32"), "row": np.arange(len(m), dtype="int32"), "sums": list(m)})
+
+    parts = windows.select("x", "y", "h").mapInPandas(partial, "step int, row int, sums array<double>")
+    merged = parts.groupBy("step", "row").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
+    return merged.select("step", "row", vector_to_array("sums").alias("sums"))
+
+
+def weighted_moments(moments: DataFrame, horizon: int) -> list[np.ndarray]:
+    """Per step the weighted moments of ``[1, x, y_step]``; reads (horizon + 1) small matrices."""
+    rows: dict[int, dict[int, list[float]]] = {}
+    for r in moments.collect():  # model-sized: (horizon + 1) * (1 + lookback + horizon) rows
+        rows.setdefault(r["step"], {})[r["row"]] = r["sums"]
+    if not rows:
+        raise ValueError("no training windows")
+    full = {k: np.array([m[i] for i in range(len(m))]) for k, m in rows.items()}
+    n_x = len(full[-1]) - horizon
+    out = []
+    for s in range(horizon):
+        keep = [*range(n_x), n_x + s]
+        out.append(full[-1][np.ix_(keep, keep)] + (HOLIDAY_WEIGHT - 1) * full[s])
+    return out
 
-def window_features(windows: DataFrame, kernel: int = 25, eps: float = 1e-6) -> DataFrame:
-    """I7 + I6: normalise each window by its own mean / population std, decompose,
-    and concatenate ``trend ++ seasonal`` as the feature array.
-
-    The edge-padded moving average is affine-equivariant, so the raw window
-    is decomposed once and trend / seasonal are normalised afterwards (the same
-    values as decomposing the normalised window).
-    """
-    m, s = F.col("x_mean"), F.col("x_std") + F.lit(eps)
-    trend, _ = WN.decompose(F.col("x"), kernel)
-    d = windows.select("*", m.alias("mu"), s.alias("sd"), trend.alias("_trend"))
-    tn = F.transform("_trend", lambda t: (t - F.col("mu")) / F.col("sd"))
-    xn = F.transform("x", lambda v: (v - F.col("mu")) / F.col("sd"))
-    sn = F.zip_with(xn, tn, lambda a, b: a - b)
-    return d.withColumn("feat", F.concat(tn, sn)).drop("_trend")
-
-
-def _step_frame(df: DataFrame, step: int) -> DataFrame:
-    y = F.element_at("y", step + 1)
-    h = F.element_at("h", step + 1)
-    return df.select(array_to_vector("feat").alias("features"),
-                     ((y - F.col("mu")) / F.col("sd")).alias("label"),
-                     F.when(h, F.lit(float(HOLIDAY_WEIGHT))).otherwise(F.lit(1.0)).alias("w"))
-
-
-def fit_direct(train_windows: DataFrame, horizon: int, reg: float = 0.1, kernel: int = 25,
-               parallel: int = 8) -> list[tuple[list[float], float]]:
-    """One weighted ridge fit per horizon step; returns (coefficients, intercept) per step."""
-    feats = materialize(window_features(train_windows, kernel).select("feat", "y", "h", "mu", "sd"))
-
-    def fit(step):
-        lr = LinearRegression(featuresCol="features", labelCol="label", weightCol="w", regParam=reg,
-                              elasticNetParam=0.0, solver="normal", standardization=False)
-        m = lr.fit(_step_frame(feats, step))
-        return [float(v) for v in m.coefficients.toArray()], float(m.intercept)
-
-    with ThreadPoolExecutor(max(1, parallel)) as ex:
-        return list(ex.map(fit, range(horizon)))
 
+def fit_direct(train_windows: DataFrame, horizon: int, reg: float = 0.1, kernel: int = 25) -> list[tuple[list[float], float]]:
+    """One weighted ridge fit per horizon step on ``trend ++ seasonal``; (coefficients, intercept) per step.
 
-def predict_expr(feat: Column, coefs: list[tuple[list[float], float]]) -> Column:
-    """Normalised forecast array: dot(feat, coef_step) + intercept_step for every step."""
+    Minimises the weighted mean squared error plus ``reg`` times the squared
+    coefficients; the intercept is free.
+    """
     out = []
-    for c, b in coefs:
-        arr = F.array(*[F.lit(v) for v in c])
-        out.append(F.aggregate(F.zip_with(feat, arr, lambda a, w: a * w), F.lit(b), lambda acc, v: acc + v))
-    return F.array(*out)
-
-
-def predict_windows(windows: DataFrame, coefs, kernel: int = 25) -> DataFrame:
-    """Forecast arrays for windows (val or inference): denormalised ``forecast``."""
-    d = window_features(windows, kernel)
-    f = d.withColumn("fn", predict_expr(F.col("feat"), coefs))
-    return f.withColumn("forecast", WN.denormalize(F.col("fn"), F.col("mu"), F.col("sd"))).drop("fn", "feat", "xn")
+    for g in weighted_moments(window_moments(normalized(train_windows), horizon), horizon):
+        trend = trend_matrix(len(g) - 2, kernel)
+        parts = np.vstack([trend, np.eye(len(trend)) - trend])
+        w, sx, sy = g[0, 0], parts @ g[0, 1:-1], g[0, -1]
+        xx = parts @ g[1:-1, 1:-1] @ parts.T - np.outer(sx, sx) / w
+        xy = parts @ g[1:-1, -1] - sx * sy / w
+        coef = np.linalg.solve(xx / w + reg * np.eye(len(xx)), xy / w)
+        out.append(([float(v) for v in coef], float((sy - sx @ coef) / w)))
+    return out
+
+
+def predict_windows(windows: DataFrame, coefs: list[tuple[list[float], float]], kernel: int = 25, eps: float = EPS) -> DataFrame:
+    """Forecast array per window: one matrix product per Arrow batch; NULL for a window of another length than the fitted one."""
+    lookback = len(coefs[0][0]) // 2
+    trend = trend_matrix(lookback, kernel)
+    c = np.array([v for v, _ in coefs])
+    per_value = (c[:, :lookback] @ trend + c[:, lookback:] @ (np.eye(lookback) - trend)).T
+    intercept = np.array([b for _, b in coefs])
+
+    @F.pandas_udf("array<double>")
+    def forecast(x: pd.Series, mu: pd.Series, sd: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(x), dtype=object)
+        ok = np.array([v is not None and len(v) == lookback for v in x], dtype=bool)
+        if ok.any():
+            m, s = mu.to_numpy(dtype=float)[ok][:, None], sd.to_numpy(dtype=float)[ok][:, None] + eps
+            xn = (np.stack(x[ok].to_numpy()).astype(float) - m) / s
+            for i, f in zip(np.flatnonzero(ok), (xn @ per_value + intercept) * s + m):
+                out.iat[i] = f
+        return out
+
+    return windows.withColumn("forecast", forecast("x", "x_mean", "x_std"))
 
 
 def score_windows(pred: DataFrame, keys=("store", "dept")) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import holiday_frame
-from ..functions.metrics import compare_models, wmae_by
+from ..functions.metrics import compare_models, holiday_weight, mean_and_median, wmae_by, wmae_expr
 from ..models import additive as AD
 from ..models import ar as AR
 from ..models import builder as B
@@ -29,7 +29,7 @@ from ..models import trees as T
 from ..operators import fallback as FB
 from ..operators import splits as SP
 from ..operators import windows as WN
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import sinks as SK
 from ..sources.schemas import RENAME
 from ..sources import testpanel as TP
@@ -165,6 +165,25 @@ def q_gbt_forecast(spark, sf):
 
 # ---- global linear model on windows ----------------------------------------
 
+@register("dlinear_gram", Q.with_(Q.panel_cte("nation")) + """, c AS (SELECT store, dept, date, is_holiday, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents FROM panel),
+t AS (SELECT row_number() OVER (PARTITION BY store, dept ORDER BY date) AS rn, COUNT(*) OVER (PARTITION BY store, dept) AS n,
+  list(cents) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN 52 PRECEDING AND 1 PRECEDING) AS x,
+  list(cents) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS y,
+  list(is_holiday) OVER (PARTITION BY store, dept ORDER BY date ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS h FROM c),
+s AS (SELECT x, unnest(range(0, 13)) AS step, unnest(y) AS y, unnest([CASE WHEN f THEN 5 ELSE 1 END FOR f IN h]) AS w
+  FROM t WHERE n >= 78 AND rn > 52 AND rn + 12 <= n - 13),
+e AS (SELECT step, unnest(range(1, 53)) AS lag, unnest(list_reverse(x)) AS x, y, w FROM s)
+SELECT CAST(step AS INTEGER) AS step, CAST(lag AS INTEGER) AS lag, CAST(SUM(w) AS DOUBLE) AS weight,
+  ROUND(SUM(CAST(w * x AS DOUBLE) * y) / SUM(w) / 1e12, 4) AS xy FROM e GROUP BY 1, 2""", covers="K12 I8 T11")
+def q_dlinear_gram(spark, sf):
+    """Weighted moments between each lag and each horizon step, the sums the model is solved from; cents products over 1e12."""
+    cents = lazy_panel(spark, sf).withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
+    windows = WN.build_windows(cents, 52, 13, 13, target="cents")
+    rows = [(s, 52 - j, float(g[0, 0]), float(g[1 + j, -1] / g[0, 0] / 1e12))
+            for s, g in enumerate(LN.weighted_moments(LN.window_moments(windows, 13), 13)) for j in range(52)]  # 13 * 52 sums
+    return r4_cols(spark.createDataFrame(rows, "step int, lag int, weight double, xy double"), ["xy"])
+
+
 def _dlinear_val(spark, sf):
     p = panel(spark, sf, "region")
     train_w = WN.build_windows(p, 52, 13, 13)
@@ -179,6 +198,16 @@ def q_dlinear_val(spark, sf):
     return wmae_by(s, ["store", "dept"])
 
 
+@register("dlinear_scores", None, covers="K12 D12 D14")
+def q_dlinear_scores(spark, sf):
+    """WMAE over all validation rows, and mean and median of the series' own."""
+    s = materialize(_dlinear_val(spark, sf))
+    per_series = wmae_by(s, ["store", "dept"])
+    return mean_and_median(per_series).select(
+        s.agg(wmae_expr("y", "y_pred")).scalar().alias("total_wmae"), "mean_wmae", "median_wmae",
+        per_series.agg(F.count("wmae")).scalar().alias("n_series"))
+
+
 @register("dlinear_forecast_submission", None, covers="K12 K13 I10 I11 I12 T20 C9 K14")
 def q_dlinear_forecast(spark, sf):
     p = panel(spark, sf, "region")
@@ -194,10 +223,10 @@ def q_dlinear_forecast(spark, sf):
 
 # ---- diagnostics ------------------------------------------------------------
 
-_REGION_SQL = Q.with_(Q.panel_cte("region"))
+_SERIES_SQL = Q.with_(Q.panel_cte("nation"))
 
 
-@register("dickey_fuller", _REGION_SQL + """, l AS (SELECT store, dept, weekly_sales AS y,
+@register("dickey_fuller", _SERIES_SQL + """, l AS (SELECT store, dept, weekly_sales AS y,
   lag(weekly_sales) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM panel),
 g AS (SELECT store, dept, regr_count(y - ylag, ylag) AS n, regr_slope(y - ylag, ylag) AS slope,
   regr_sxx(y - ylag, ylag) AS sxx, regr_sxy(y - ylag, ylag) AS sxy, regr_syy(y - ylag, ylag) AS syy FROM l GROUP BY 1, 2),
@@ -205,7 +234,7 @@ t AS (SELECT store, dept, n, slope, slope / sqrt((syy - slope * sxy) / (n - 2) /
 SELECT store, dept, CAST(n AS BIGINT) AS n, ROUND(slope, 4) AS slope, ROUND(st, 4) AS df_stat, st < -2.86 AS stationary_5pct FROM t""",
           covers="K16")
 def q_dickey_fuller(spark, sf):
-    d = DG.dickey_fuller(lazy_panel(spark, sf, "region"))
+    d = DG.dickey_fuller(lazy_panel(spark, sf))
     return r4_cols(d, ["slope", "df_stat"])
 
 
@@ -229,7 +258,7 @@ def _adf_sql(k: int = 4) -> str:
     minor = [row[1:] for row in cxx[1:]]
     full = [[c(a, b) for b in v] for a in v]
     kk = len(v)  # regressors incl. intercept = 1 + (len(v) - 1)
-    return _REGION_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
+    return _SERIES_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
 b AS (SELECT store, dept, date, y - lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS dy,
       lag(y) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM y),
 l AS (SELECT *, {lag_cols} FROM b),
@@ -245,7 +274,7 @@ FROM t JOIN cnt ON t.store = cnt.store AND t.dept = cnt.dept"""
 
 @register("adf_k_lags", _adf_sql(4), covers="K16 K25")
 def q_adf(spark, sf):
-    return r4_cols(DG.adf_test(lazy_panel(spark, sf, "region"), lags=4), ["adf_stat"])
+    return r4_cols(DG.adf_test(lazy_panel(spark, sf), lags=4), ["adf_stat"])
 
 
 def _acf_sql(max_lag: int = 40) -> str:
@@ -253,7 +282,7 @@ def _acf_sql(max_lag: int = 40) -> str:
     sums = ", ".join(f"SUM(z * l{k}) AS s{k}" for k in range(1, max_lag + 1))
     unions = " UNION ALL ".join(f"SELECT store, dept, {k} AS lag, s{k} / s0 AS acf FROM s"
                                 for k in range(1, max_lag + 1))
-    return _REGION_SQL + f""", c AS (SELECT store, dept, date,
+    return _SERIES_SQL + f""", c AS (SELECT store, dept, date,
   weekly_sales - AVG(weekly_sales) OVER (PARTITION BY store, dept) AS z FROM panel),
 l AS (SELECT store, dept, z, {lags} FROM c),
 s AS (SELECT store, dept, SUM(z * z) AS s0, {sums} FROM l GROUP BY 1, 2),
@@ -263,7 +292,7 @@ SELECT store, dept, CAST(lag AS INTEGER) AS lag, ROUND(acf, 4) AS acf FROM a"""
 
 @register("acf", _acf_sql(), covers="K17")
 def q_acf(spark, sf):
-    return r4_cols(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40), ["acf"])
+    return r4_cols(DG.autocorrelation(lazy_panel(spark, sf), 40), ["acf"])
 
 
 def _pacf_sql(max_lag: int = 40) -> str:
@@ -284,10 +313,10 @@ SELECT store, dept, CAST(k AS INTEGER) AS lag, ROUND(pk, 4) AS pacf FROM dl"""
 
 @register("pacf", _pacf_sql(), covers="K18")
 def q_pacf(spark, sf):
-    return r4_cols(DG.partial_autocorrelation(DG.autocorrelation(lazy_panel(spark, sf, "region"), 40)), ["pacf"])
+    return r4_cols(DG.partial_autocorrelation(DG.autocorrelation(lazy_panel(spark, sf), 40)), ["pacf"])
 
 
-@register("seasonal_decompose", _REGION_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
+@register("seasonal_decompose", _SERIES_SQL + """, c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents
   FROM panel),
 t AS (SELECT store, dept, date, cents,
   row_number() OVER (PARTITION BY store, dept ORDER BY date) AS rn, COUNT(*) OVER (PARTITION BY store, dept) AS n,
@@ -301,7 +330,7 @@ SELECT t2.store, t2.dept, t2.date, ROUND(t2.trend / 100.0, 4) AS trend, ROUND(i2
   ROUND((t2.cents - t2.trend - i2.seasonal) / 100.0, 4) AS resid
 FROM t2 LEFT JOIN i2 ON t2.store = i2.store AND t2.dept = i2.dept AND t2.pos = i2.pos""", covers="E10")
 def q_seasonal_decompose(spark, sf):
-    p = lazy_panel(spark, sf, "region").withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
+    p = lazy_panel(spark, sf).withColumn("cents", F.round(F.col("weekly_sales") * 100).cast("bigint"))
     d = DG.seasonal_decompose(p, 52, target="cents")
     return d.select("store", "dept", "date", r4(F.col("trend") / 100.0, "trend"),
                     r4(F.col("seasonal") / 100.0, "seasonal"), r4(F.col("resid") / 100.0, "resid"))
@@ -310,17 +339,17 @@ def q_seasonal_decompose(spark, sf):
 # ---- per-series classical models -------------------------------------------
 
 def _series_frame(spark, sf):
-    p = panel(spark, sf, "region")
+    p = panel(spark, sf)
     return p, AR.fold_frame(p, n_splits=3, horizon_weeks=13, min_train=30)
 
 
 def _score_by_series(pred: DataFrame, model: str) -> DataFrame:
-    ok = pred.filter(F.col("error").isNull() & F.col("y_pred").isNotNull())
-    per_fold = wmae_by(ok, ["store", "dept", "fold"], "y", "y_pred")
-    scored = per_fold.groupBy("store", "dept").agg(F.avg("wmae").alias("wmae"), F.count(F.lit(1)).alias("n_folds"))
-    # a series whose folds all failed stays, with a NULL score and no scored fold
-    return (pred.select("store", "dept").distinct().join(scored, ["store", "dept"], "left")
-            .select("store", "dept", "wmae", F.coalesce("n_folds", F.lit(0)).cast("long").alias("n_folds"), F.lit(model).alias("model")))
+    # one pass over the predictions; a series whose folds all failed stays, with a NULL score and no scored fold
+    ok = F.col("error").isNull() & F.col("y_pred").isNotNull()
+    part = F.when(ok, holiday_weight("is_holiday")).alias("w")
+    per_fold = (pred.select("store", "dept", "fold", part, F.abs(F.col("y") - F.col("y_pred")).alias("e"))
+                .groupBy("store", "dept", "fold").agg((F.sum(F.col("w") * F.col("e")) / F.sum("w")).alias("wmae")))
+    return per_fold.groupBy("store", "dept").agg(F.avg("wmae").alias("wmae"), F.count("wmae").alias("n_folds")).withColumn("model", F.lit(model))
 
 
 def _ar_order_sql(max_p: int = 3) -> str:
@@ -347,7 +376,7 @@ def _ar_order_sql(max_p: int = 3) -> str:
         ssr = Q.det_sql(full) if p == 0 else f"{Q.det_sql(full)} / {Q.det_sql(xx)}"
         out.append(f"SELECT store, dept, d, p, n, n * ln(({ssr}) / n) + 2 * (p + 1) AS aic FROM ({blocks[p]})")
     grid = " UNION ALL ".join(out)
-    return _REGION_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
+    return _SERIES_SQL + f""", y AS (SELECT store, dept, date, weekly_sales AS y FROM panel),
 zz AS (SELECT store, dept, date, 0 AS d, y AS z FROM y
        UNION ALL
        SELECT * FROM (SELECT store, dept, date, 1 AS d,
@@ -367,7 +396,7 @@ FROM grid g JOIN dsel s ON g.store = s.store AND g.dept = s.dept AND g.d = s.dd
 
 @register("ar_order_selection", _ar_order_sql(), covers="K19 K16")
 def q_ar_order(spark, sf):
-    p = lazy_panel(spark, sf, "region")
+    p = lazy_panel(spark, sf)
     o = AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
     return o.select("store", "dept", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"), r4("aic"))
 
@@ -439,17 +468,17 @@ def _ar_fold_ctes(seasonal: bool, pre: str, horizon_weeks: int = 13, n_splits: i
 {pre}ps AS (SELECT store, dept, AVG(wmae) AS wmae, COUNT(*) AS n_folds FROM {pre}pf GROUP BY 1, 2)"""
 
 
-def _recursive_region() -> str:
-    return "WITH RECURSIVE " + _REGION_SQL[len("WITH "):]
+def _recursive_series() -> str:
+    return "WITH RECURSIVE " + _SERIES_SQL[len("WITH "):]
 
 
 def _sarima_sql() -> str:
-    return _recursive_region() + ", " + _ar_fold_ctes(True, "s_") + """
+    return _recursive_series() + ", " + _ar_fold_ctes(True, "s_") + """
 SELECT store, dept, ROUND(wmae, 4) AS wmae, n_folds, 'sar_1_1_1_52' AS model FROM s_ps"""
 
 
 def _arima_vs_sarima_sql() -> str:
-    return _recursive_region() + ", " + _ar_fold_ctes(False, "a_") + ", " + _ar_fold_ctes(True, "s_") + """
+    return _recursive_series() + ", " + _ar_fold_ctes(False, "a_") + ", " + _ar_fold_ctes(True, "s_") + """
 SELECT COALESCE(a.store, s.store) AS store, COALESCE(a.dept, s.dept) AS dept, ROUND(a.wmae, 4) AS ar_1_1,
   ROUND(s.wmae, 4) AS sar_1_1_1_52,
   ROUND(CASE WHEN a.wmae <> 0 THEN (a.wmae - s.wmae) / a.wmae END * 100, 4) AS improvement_pct
@@ -495,13 +524,13 @@ def q_multiplicative(spark, sf):
     return _score_by_series(AD.evaluate_additive(frame, _calendar(spark), multiplicative=True), "multiplicative")
 
 
-@register("future_dates", _REGION_SQL + """, l AS (SELECT store, dept, MAX(date) AS last_d FROM panel GROUP BY 1, 2)
+@register("future_dates", _SERIES_SQL + """, l AS (SELECT store, dept, MAX(date) AS last_d FROM panel GROUP BY 1, 2)
 SELECT store, dept, date, FALSE AS is_future FROM panel
 UNION ALL
 SELECT store, dept, CAST(last_d + CAST(7 * k AS INTEGER) AS DATE) AS date, TRUE AS is_future FROM l, range(1, 14) r(k)""",
           covers="K23 I1")
 def q_future_dates(spark, sf):
-    return AD.future_dates(panel(spark, sf, "region"), 13)
+    return AD.future_dates(panel(spark, sf), 13)
 
 
 # Fixed query parameter: the representative (store, dept) pairs examined
@@ -509,11 +538,11 @@ def q_future_dates(spark, sf):
 SAMPLE_PAIRS = [(0, 1), (1, 3), (2, 6), (3, 2), (4, 5)]
 
 
-@register("representative_series", _REGION_SQL + "SELECT * FROM panel WHERE (store, dept) IN (" +
+@register("representative_series", _SERIES_SQL + "SELECT * FROM panel WHERE (store, dept) IN (" +
           ", ".join(f"({s}, {d})" for s, d in SAMPLE_PAIRS) + ")", covers="K24 B6 C12")
 def q_representative(spark, sf):
     pairs = spark.createDataFrame(SAMPLE_PAIRS, "store int, dept int")
-    return lazy_panel(spark, sf, "region").join(F.broadcast(pairs), ["store", "dept"], "left_semi")
+    return lazy_panel(spark, sf).join(F.broadcast(pairs), ["store", "dept"], "left_semi")
 
 
 def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:

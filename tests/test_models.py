@@ -65,6 +65,39 @@ def test_linear_window_model_beats_window_mean(spark):
     assert mae_model < 0.5 * mae_base
 
 
+def test_one_pass_fit_equals_ridge_on_the_rows(spark):
+    # plain loops over the windows: moving average with clamped ends, weight 5 in holiday weeks
+    df = _constructed(spark, n_series=2, n=120)
+    w = WN.build_windows(df, 20, 3, 3)
+    coefs = LN.fit_direct(w, 3, reg=0.1, kernel=5)
+    feats, ys, hs = [], [], []
+    for r in w.collect():
+        xn = [(v - r["x_mean"]) / (r["x_std"] + 1e-6) for v in r["x"]]
+        trend = [sum(xn[min(max(j, 0), 19)] for j in range(i - 2, i + 3)) / 5 for i in range(20)]
+        feats.append(trend + [v - t for v, t in zip(xn, trend)])
+        ys.append([(v - r["x_mean"]) / (r["x_std"] + 1e-6) for v in r["y"]])
+        hs.append(r["h"])
+    X, Y, W = np.array(feats), np.array(ys), np.where(np.array(hs), 5.0, 1.0)
+    for s, (c, b) in enumerate(coefs):
+        wt = W[:, s] / W[:, s].sum()
+        Xc, yc = X - wt @ X, Y[:, s] - wt @ Y[:, s]
+        want = np.linalg.solve(Xc.T @ (Xc * wt[:, None]) + 0.1 * np.eye(40), Xc.T @ (yc * wt))
+        assert np.allclose(c, want, atol=1e-6)
+        assert np.isclose(b, wt @ Y[:, s] - (wt @ X) @ want, atol=1e-6)
+    one = w.limit(1)
+    got, r = LN.predict_windows(one, coefs, 5).first()["forecast"], one.first()
+    i = [k for k, f in enumerate(w.collect()) if f["origin"] == r["origin"] and f["store"] == r["store"]][0]
+    for s, (c, b) in enumerate(coefs):
+        assert np.isclose(got[s], (X[i] @ np.array(c) + b) * (r["x_std"] + 1e-6) + r["x_mean"], rtol=1e-9)
+
+
+def test_windows_of_another_length_get_no_forecast(spark):
+    df = _constructed(spark, n_series=1, n=120)
+    coefs = LN.fit_direct(WN.build_windows(df, 20, 3, 3), 3)
+    short = spark.createDataFrame([([1.0, 2.0], 1.5, 0.5), (None, None, None)], "x array<double>, x_mean double, x_std double")
+    assert [r["forecast"] for r in LN.predict_windows(short, coefs).collect()] == [None, None]
+
+
 def test_builder_frozen_features_ignore_future(spark):
     # T17 frozen mode / T8: serving features must not move when future targets change
     df = _constructed(spark, n_series=2, n=110)
