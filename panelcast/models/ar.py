@@ -171,6 +171,54 @@ def evaluate_ar(frame: DataFrame, order=(1, 1, 1, 52)) -> DataFrame:
     return fit_groups(frame, ["store", "dept", "fold"]).applyInPandas(_evaluate(order), PRED_SCHEMA)
 
 
+def evaluate_ar1(frame: DataFrame, seasonal: bool = True, s: int = 52, min_train: int = 30) -> DataFrame:
+    """K20 with order (1, 1) in column functions: same rows and schema as ``evaluate_ar`` with (1, 1, ``seasonal``, s).
+
+    The fit is ``regr_slope`` / ``regr_intercept`` of a difference on the one
+    before, the forecast a running sum of at most one season of steps. The
+    frame has to be weekly in its train rows (``fold_frame`` with ``densify``).
+    Windows and the aggregate share the frame's partitioning by (series, fold);
+    a group's validation rows travel in one array, bounded by the horizon. A
+    fold with too few rows, or a row over one season ahead, has a NULL
+    prediction and an ``error``.
+    """
+    keys = ["store", "dept", "fold"]
+    w = Window.partitionBy(*keys).orderBy("day")
+    # by date, not by position: validation rows may have gaps
+    before = F.first("y").over(w.rangeBetween(-7 * s, -7 * s))
+    f = frame.withColumn("day", F.unix_date("date")).withColumn("year_ago", before)
+    f = f.withColumn("level", F.col("y") - F.col("year_ago") if seasonal else F.col("y"))
+    f = f.withColumn("z", F.col("level") - F.lag("level").over(w))
+    f = f.withColumn("z_before", F.lag("z").over(w))
+    train, val = F.col("role") == "train", F.col("role") == "val"
+    in_train = lambda c: F.when(train, F.col(c))
+    n_pairs = F.count_if(train & F.col("z_before").isNotNull())
+    g = f.groupBy(*keys).agg(
+        F.regr_slope(in_train("z"), in_train("z_before")).alias("slope"),
+        F.regr_intercept(in_train("z"), in_train("z_before")).alias("intercept"),
+        F.avg(F.when(train & F.col("z_before").isNotNull(), F.col("z"))).alias("mean_z"),
+        F.max_by(in_train("level"), in_train("day")).alias("last_level"),
+        F.max_by(in_train("z"), in_train("day")).alias("last_z"), F.max(in_train("day")).alias("last_day"),
+        F.when(F.count_if(train) < min_train, F.lit("fold guard: train < 30 rows or empty validation"))
+        .when(n_pairs <= 3, F.lit("too few observations for AR order")).alias("failed"),
+        F.collect_list(F.when(val, F.struct("date", "day", "y", "is_holiday", "year_ago"))).alias("rows"))
+    # differences without spread have no slope: their mean is the forecast
+    phi, c = F.coalesce("slope", F.lit(0.0)), F.coalesce("intercept", "mean_z")
+    e = g.select(*keys, phi.alias("phi"), c.alias("c"), "last_level", "last_z", "last_day", "failed", F.explode("rows").alias("v"))
+    e = e.withColumn("k", ((F.col("v.day") - F.col("last_day")) / 7).cast("int"))
+
+    def step(acc, _):
+        z = F.col("c") + F.col("phi") * acc["z"]
+        return F.struct(z.alias("z"), (acc["sum"] + z).alias("sum"))
+
+    run = F.aggregate(F.sequence(F.lit(1), F.col("k")), F.struct(F.col("last_z").alias("z"), F.lit(0.0).alias("sum")), step, lambda a: a["sum"])
+    level = F.col("last_level") + run
+    far = F.lit(bool(seasonal)) & (F.col("k") > s)
+    error = F.coalesce("failed", F.when(far, F.lit("more than one season ahead")))
+    return e.select(*keys, "v.date", "v.y", "v.is_holiday",
+                    F.when(error.isNull(), level + F.col("v.year_ago") if seasonal else level).alias("y_pred"), error.alias("error"))
+
+
 def _select_order(max_p: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")

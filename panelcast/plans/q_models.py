@@ -488,14 +488,32 @@ FROM a_ps a FULL OUTER JOIN s_ps s ON a.store = s.store AND a.dept = s.dept"""
 @register("sarima_walk_forward", _sarima_sql(), covers="K20 K25 E8 I4 J1 B14 D14 L7")
 def q_sarima(spark, sf):
     _, frame = _series_frame(spark, sf)
-    return r4_cols(_score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52"), ["wmae"])
+    return r4_cols(_score_by_series(AR.evaluate_ar1(frame, seasonal=True), "sar_1_1_1_52"), ["wmae"])
+
+
+def _fold_failures_sql() -> str:
+    return ("WITH RECURSIVE " + Q.with_(Q.panel_cte("brand"))[len("WITH "):] + ", " + _ar_fold_ctes(True, "s_") + """,
+pairs AS (SELECT store, dept, fold, COUNT(zl) AS n FROM s_zl GROUP BY 1, 2, 3)
+SELECT (SELECT COUNT(*) FROM s_folds) AS n_folds, (SELECT COUNT(*) FROM s_folds) - COUNT(*) AS n_guarded,
+  COUNT(*) FILTER (WHERE n <= 3) AS n_failed, COUNT(*) FILTER (WHERE n > 3) AS n_fitted FROM pairs""")
+
+
+@register("ar_fold_failures", _fold_failures_sql(), covers="K20 K25 B14")
+def q_ar_fold_failures(spark, sf):
+    """Brand grain, short series included: folds left out by the guard, failed and fitted."""
+    p = panel(spark, sf, "brand")
+    frame = AR.fold_frame(p, n_splits=3, horizon_weeks=13, min_train=30)
+    n_folds = SP.series_fold_bounds(p, n_splits=3, horizon_weeks=13).agg(F.count(F.lit(1))).scalar()
+    folds = AR.evaluate_ar1(frame).groupBy("store", "dept", "fold").agg(F.max("error").alias("error"))
+    one = folds.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("n_failed"))
+    return one.select(n_folds.alias("n_folds"), (n_folds - F.col("n")).alias("n_guarded"), "n_failed", (F.col("n") - F.col("n_failed")).alias("n_fitted"))
 
 
 @register("arima_vs_sarima", _arima_vs_sarima_sql(), covers="K20 D24 F6")
 def q_arima_vs_sarima(spark, sf):
     _, frame = _series_frame(spark, sf)
-    a = _score_by_series(AR.evaluate_ar(frame, (1, 1, 0, 52)), "ar_1_1")
-    s = _score_by_series(AR.evaluate_ar(frame, (1, 1, 1, 52)), "sar_1_1_1_52")
+    a = _score_by_series(AR.evaluate_ar1(frame, seasonal=False), "ar_1_1")
+    s = _score_by_series(AR.evaluate_ar1(frame, seasonal=True), "sar_1_1_1_52")
     c = compare_models(a.unionByName(s), ["store", "dept"], "model", "wmae", "ar_1_1", "sar_1_1_1_52")
     return r4_cols(c, ["ar_1_1", "sar_1_1_1_52", "improvement_pct"])
 

@@ -12,9 +12,9 @@ derived here, with the same recipe written as SQL CTEs in ``plans.oracle``:
 * ``weekly_sales``  exact sum of cents / 100 (order-independent double)
 * ``is_holiday``    Friday in ISO week 6, 36, 47 or 52
 
-Scale: the big input is ``lineitem``. It is reduced to (part, supplier,
-week) sums before any join (eager aggregation; Catalyst does not push an
-aggregate below a join by itself). The dimension joins carry no hints:
+Scale: the big input is ``lineitem``. It joins its dimensions, and one
+aggregate with map-side partial sums reduces it to (store, dept, week); a
+sum before the joins would reduce nothing. The dimension joins carry no hints:
 Catalyst/AQE broadcast ``part`` / ``supplier`` only while their measured
 size is under the broadcast threshold and fall back to sort-merge joins
 (with AQE skew splitting) beyond it.

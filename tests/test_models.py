@@ -191,3 +191,22 @@ def test_gbt_early_stopping_runs(spark):
     t = T.mark_validation(t, 13)
     model = T.tree_pipeline(feats, {**T.PRESET_QUICK, "maxIter": 30}, validation_col="is_validation").fit(t)
     assert model.stages[-1].getNumTrees <= 30
+
+
+def test_native_ar1_equals_grouped_fit(spark):
+    df = _constructed(spark, n_series=3, n=150)
+    gappy = df.filter(~((F.col("store") == 1) & F.dayofmonth("date").between(8, 10)))
+    frame = AR.fold_frame(gappy, n_splits=2, horizon_weeks=13, min_train=30)
+    for seasonal in (True, False):
+        a = {(r["store"], r["fold"], r["date"]): r for r in AR.evaluate_ar(frame, (1, 1, int(seasonal), 52)).collect()}
+        b = {(r["store"], r["fold"], r["date"]): r for r in AR.evaluate_ar1(frame, seasonal).collect()}
+        assert a.keys() == b.keys() and len(a) > 0
+        for k in a:
+            assert np.isclose(a[k]["y_pred"], b[k]["y_pred"], rtol=1e-8) and a[k]["y"] == b[k]["y"] and b[k]["error"] is None
+
+
+def test_native_ar1_short_fold_keeps_its_rows_with_an_error(spark):
+    df = _constructed(spark, n_series=1, n=60)
+    frame = AR.fold_frame(df, n_splits=1, horizon_weeks=13, min_train=30)
+    rows = AR.evaluate_ar1(frame).collect()
+    assert len(rows) >= 13 and all(r["y_pred"] is None and r["error"] == "too few observations for AR order" for r in rows)
