@@ -21,7 +21,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import holiday_weight, wmae_expr
+from ..functions.metrics import wmae_expr
 from ..operators.fallback import clip_lower
 from ..session import materialize
 from .builder import CATEGORICAL, PanelFeatureBuilder
@@ -71,12 +71,12 @@ def encoding_stages(features: list[str]) -> list:
 
 def gbt(params: dict | None = None, label: str = TARGET, weight: str | None = None, seed: int = 42,
         max_bins: int = 32, loss: str = "squared", validation_col: str | None = None,
-        validation_tol: float = 0.01) -> GBTRegressor:
+        validation_tol: float = 0.0) -> GBTRegressor:
     """K4/K5: GBT estimator; ``max_bins`` has to reach the largest category count (``category_bins``).
 
     ``validation_col`` (a boolean column, see ``mark_validation``) turns on early
-    stopping: boosting stops when the validation error stops improving by
-    ``validation_tol``.
+    stopping: boosting stops at the first tree that does not improve the
+    validation error by ``validation_tol`` of it (MLlib has no patience).
     """
     p = dict(PRESET_QUICK if params is None else params)
     if validation_col:
@@ -110,32 +110,30 @@ def tree_pipeline(features: list[str], params: dict | None = None, builder: Pane
     return Pipeline(stages=stages)
 
 
-def with_weight(df: DataFrame, out: str = "w") -> DataFrame:
-    """Holiday weight column for ``gbt(weight=...)`` (weighted training, T11 weights)."""
-    return df.withColumn(out, holiday_weight("is_holiday").cast("double"))
-
-
 def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dict | None = None,
-            date: str = "date", parallel: int = 1, prepared: bool = False) -> tuple[DataFrame, DataFrame]:
+            date: str = "date", parallel: int = 1, prepared: bool = False,
+            early_stop_weeks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """K4 + D14 + K7: walk-forward CV on a flat feature table (T17 ``expanding`` mode).
 
-    Returns (per-fold WMAE, importances summed over folds). The table is
-    checkpointed once so every fold reads the same materialised rows.
+    Returns (per-fold WMAE and trees, importances summed over folds). The table is
+    checkpointed once so every fold reads the same materialised rows. With
+    ``early_stop_weeks`` the newest weeks of each train part stop the boosting.
     """
     spark: SparkSession = table.sparkSession
     if not prepared:
         table = materialize(table)
     fold_rows = folds.collect()  # n_splits rows
-    pipe = tree_pipeline(features, params, max_bins=category_bins(table, features))
+    pipe = tree_pipeline(features, params, validation_col="is_validation" if early_stop_weeks else None,
+                         max_bins=category_bins(table, features))
 
     def run(fr):
         train = table.filter(F.col(date) < F.lit(fr["val_start"]))
         val = table.filter(F.col(date).between(F.lit(fr["val_start"]), F.lit(fr["val_end"])))
-        model = pipe.fit(train)
+        model = pipe.fit(mark_validation(train, early_stop_weeks, date) if early_stop_weeks else train)
         score = model.transform(val).agg(wmae_expr(TARGET, "y_pred").alias("wmae"),
                                          F.count(F.lit(1)).alias("n_val")).first()
         imp = model.stages[-1].featureImportances.toArray().tolist()
-        return fr["fold"], float(score["wmae"]) if score["wmae"] is not None else None, int(score["n_val"]), imp
+        return fr["fold"], float(score["wmae"]) if score["wmae"] is not None else None, int(score["n_val"]), model.stages[-1].getNumTrees, imp
 
     if parallel > 1:
         with ThreadPoolExecutor(parallel) as ex:
@@ -143,9 +141,9 @@ def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dic
     else:
         res = [run(fr) for fr in fold_rows]
     names = assembled_names(features)
-    scores = spark.createDataFrame([(int(f), w, n) for f, w, n, _ in res], "fold int, wmae double, n_val long")
+    scores = spark.createDataFrame([(int(f), w, n, t) for f, w, n, t, _ in res], "fold int, wmae double, n_val long, n_trees int")
     # one row per feature: its value, missing flag and index columns together
-    imp_rows = [(names[i].rsplit("__", 1)[0], float(v)) for _, _, _, imp in res for i, v in enumerate(imp)]
+    imp_rows = [(names[i].rsplit("__", 1)[0], float(v)) for *_, imp in res for i, v in enumerate(imp)]
     imps = (spark.createDataFrame(imp_rows, "feature string, importance double")
             .groupBy("feature").agg(F.sum("importance").alias("importance")))
     return scores, imps

@@ -117,6 +117,24 @@ def q_gbt_cv(spark, sf):
     return scores
 
 
+def _preset_cv(spark, sf, preset):
+    p, f, s = _region(spark, sf)
+    return T.cv_flat(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES, preset, parallel=3,
+                     early_stop_weeks=13)[0]
+
+
+@register("gbt_leafwise_preset_cv", None, covers="K4 D14 T17")
+def q_gbt_leafwise(spark, sf):
+    """The first reported parameter set whole (659 trees at most), stopped by the newest 13 train weeks."""
+    return _preset_cv(spark, sf, T.PRESET_LEAFWISE)
+
+
+@register("gbt_histogram_preset_cv", None, covers="K5 D14 T17")
+def q_gbt_histogram(spark, sf):
+    """The second reported parameter set (385 trees at most), stopped by the newest 13 train weeks."""
+    return _preset_cv(spark, sf, T.PRESET_HISTOGRAM)
+
+
 @register("gbt_feature_importance", None, covers="K7 D20 F3 A4")
 def q_gbt_importance(spark, sf):
     _, imps = _gbt_cv(spark, sf, B.ALL_FEATURES)
