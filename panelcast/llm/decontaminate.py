@@ -4,7 +4,8 @@ Postings ``(term, k, pos)`` of the training documents are written once, for
 every term some test item holds (no other term's list is ever read); ``k`` is
 the key of a document row. A phrase is found as an index does it: from the
 list of the window's rarest term, each posting fixes the alignment
-``delta = pos - j`` of an item in a document; the second rarest term's list,
+``delta = pos - j`` of an item in a document, below 0 where the document starts
+inside the item; the second rarest term's list,
 shifted by its offset, is intersected with it on ``(k, pos, term)``, a key no
 document makes hot; what survives is intersected with the lists of all terms
 of the item, and stretches of matched offsets are the exact phrase matches.
@@ -80,8 +81,7 @@ class PositionalIndex:
         second = wt.filter("r = 2").select("iid", "s", F.col("j").alias("j2"), F.col("tid").alias("tid2"))
         seeds = stored(first.join(second, ["iid", "s"], "left").select("iid", "j", "tid", "j2", "tid2").distinct(), "seeds")
         cand = (self.lists.join(seeds, "tid")
-                .select("k", "iid", (F.col("pos") - F.col("j")).alias("delta"), "tid2", (F.col("pos") - F.col("j") + F.col("j2")).alias("pos2"))
-                .filter("delta >= 0"))
+                .select("k", "iid", (F.col("pos") - F.col("j")).alias("delta"), "tid2", (F.col("pos") - F.col("j") + F.col("j2")).alias("pos2")))
         wanted = seeds.select(F.col("tid2").alias("tid")).distinct()
         shifted = self.lists.join(wanted, "tid", "left_semi").select("k", F.col("tid").alias("tid2"), F.col("pos").alias("pos2"))
         both = cand.filter("tid2 IS NOT NULL").join(shifted, ["k", "tid2", "pos2"], "left_semi")
