@@ -9,9 +9,10 @@ language with the shortest code wins; the score is its posterior under equal
 priors.
 
 Symbols: A-Z and a-z (case folded), one for a run of anything else in ASCII,
-the commonest bytes above 0x7F, and one for the rest. The trees are flattened
-to one table of code lengths per language, so scoring is one lookup a byte;
-counting and scoring run in Arrow batches on the executors.
+every byte 0x80 to 0xF4, and one for the bytes UTF-8 never uses. A tree is
+sorted arrays of the contexts and symbols it holds, per order; the distinct
+grams of a batch are looked up in them from order 3 downwards. Counting and
+scoring run in Arrow batches on the executors.
 
 Only the fit is bounded: about ``SAMPLE_DOCS`` whole documents per language,
 picked by a hash, for the ``MAX_LANGUAGES`` most frequent language values.
@@ -36,7 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 3
-SYMBOLS = 40
+HIGH = range(0x80, 0xF5)  # bytes of UTF-8 above ASCII
+SYMBOLS = 27 + len(HIGH) + 1
+OTHER_BYTES = 256 - (SYMBOLS - 1)
 SAMPLE_DOCS = 500
 MAX_LANGUAGES = 64
 UNDETERMINED = "und"
@@ -74,33 +77,64 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": lang, "gram": gram, "n": n.astype(np.int64)})
 
 
+#: Of one order: sorted (context, symbol) keys, their bits, sorted contexts, bits of an escape from each.
+Level = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in the sorted ``keys``, and whether they are there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _gram_bits(levels: list[Level], grams: np.ndarray) -> np.ndarray:
+    """Bits of each gram's last symbol: in the longest context that holds it, after the escapes to there."""
+    bits, left = np.zeros(len(grams)), np.arange(len(grams))
+    for order in range(len(levels) - 1, -1, -1):
+        keys, lengths, contexts, escapes = levels[order]
+        wanted = grams[left] % SYMBOLS ** (order + 1)
+        at, seen = _find(keys, wanted)
+        bits[left[seen]] += lengths[at[seen]]
+        left, wanted = left[~seen], wanted[~seen] // SYMBOLS
+        at, known = _find(contexts, wanted)
+        bits[left[known]] += escapes[at[known]]
+    bits[left] += np.log2(SYMBOLS)
+    bits[grams % SYMBOLS == SYMBOLS - 1] += np.log2(OTHER_BYTES)  # which byte it was
+    return bits
+
+
 @dataclass
 class PpmModel:
-    """Languages, the symbol of each byte, and counts ``(gram of symbols, n)`` per language."""
+    """Languages, the symbol of each byte, and sorted counts ``(gram of symbols, n)`` per language."""
 
     langs: list[str]
     symbol: np.ndarray
     counts: list[tuple[np.ndarray, np.ndarray]]
     uid: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def code_lengths(self, which: int) -> np.ndarray:
-        """Bits of every (context, symbol), flat; computed from order 0 upwards."""
+    def levels(self, which: int) -> list[Level]:
+        """The tree of a language by order, computed from order 0 upwards."""
         index, n = self.counts[which]
-        full = np.bincount(index, weights=n, minlength=SYMBOLS ** (ORDER + 1)).reshape((SYMBOLS,) * (ORDER + 1))
-        p = np.full(SYMBOLS, 1.0 / SYMBOLS)
+        out = []
         for order in range(ORDER + 1):
-            c = full.sum(axis=tuple(range(ORDER - order))) if order < ORDER else full
-            total, distinct = c.sum(-1, keepdims=True), (c > 0).sum(-1, keepdims=True)
-            lower = np.broadcast_to(p, c.shape)
-            unseen = np.where(c > 0, 0.0, lower).sum(-1, keepdims=True)
-            escape = np.where(unseen > 0, distinct, 0)  # nothing to escape to once every symbol was seen
-            weight = total + escape
+            keys, inverse = np.unique(index % SYMBOLS ** (order + 1), return_inverse=True)
+            c = np.bincount(inverse, weights=n)
+            contexts, first, distinct = np.unique(keys // SYMBOLS, return_index=True, return_counts=True)
+            # a symbol seen in a context was seen in every shorter one
+            lower = np.exp2(-out[-1][1][np.searchsorted(out[-1][0], keys % SYMBOLS ** order)]) if order else np.full(len(keys), 1.0 / SYMBOLS)
+            unseen = 1.0 - np.add.reduceat(lower, first)
+            escape = np.where(distinct < SYMBOLS, distinct, 0)  # nothing to escape to once every symbol was seen
+            weight = np.add.reduceat(c, first) + escape
             with np.errstate(divide="ignore", invalid="ignore"):
-                p = np.where(total == 0, lower, np.where(c > 0, c / weight, escape / weight * lower / unseen))
-        bits = -np.log2(p)
-        others = 256 - 27 - (SYMBOLS - 28)
-        bits[..., SYMBOLS - 1] += np.log2(max(others, 1))  # which byte it was
-        return bits.astype(np.float32).reshape(-1)
+                escapes = -np.log2(escape / weight / unseen)
+            out.append((keys, np.log2(np.repeat(weight, distinct) / c), contexts, escapes))
+        return out
+
+    def code_lengths(self, which: int) -> np.ndarray:
+        """Bits of every symbol after every context of full order that was seen, flat."""
+        levels = self.levels(which)
+        grams = levels[ORDER][2].astype(np.int64)[:, None] * SYMBOLS + np.arange(SYMBOLS)
+        return _gram_bits(levels, grams.reshape(-1))
 
 
 def build_model(grams: pd.DataFrame) -> PpmModel:
@@ -108,10 +142,7 @@ def build_model(grams: pd.DataFrame) -> PpmModel:
     symbol = np.full(256, SYMBOLS - 1, dtype=np.int64)
     symbol[0x20] = 0
     symbol[np.arange(0x61, 0x7B)] = np.arange(1, 27)
-    last = (grams["gram"] & 0xFF).to_numpy()
-    high = np.bincount(last, weights=grams["n"].to_numpy(), minlength=256)[0x80:]
-    for at, b in enumerate(np.argsort(-high, kind="stable")[:SYMBOLS - 28]):
-        symbol[0x80 + b] = 27 + at
+    symbol[HIGH.start:HIGH.stop] = np.arange(27, SYMBOLS - 1)
     langs = sorted(grams["lang"].unique())
     counts = []
     for lang in langs:
@@ -119,7 +150,7 @@ def build_model(grams: pd.DataFrame) -> PpmModel:
         g, index = own["gram"].to_numpy(), 0
         for back in range(ORDER, -1, -1):
             index = index * SYMBOLS + symbol[(g >> (8 * back)) & 0xFF]
-        index, inverse = np.unique(index, return_inverse=True)
+        index, inverse = np.unique(index.astype(np.int32), return_inverse=True)
         counts.append((index, np.bincount(inverse, weights=own["n"].to_numpy())))
     return PpmModel(langs, symbol, counts)
 
@@ -137,20 +168,20 @@ def fit(learn: DataFrame, sample_docs: int = SAMPLE_DOCS) -> PpmModel:
     return build_model(grams)
 
 
-_TABLES: dict[str, list[np.ndarray]] = {}
+_TREES: dict[str, list[list[Level]]] = {}
 
 
-def _tables(model: PpmModel) -> list[np.ndarray]:
-    """The model's tables, made once per worker process."""
-    if model.uid not in _TABLES:
-        _TABLES.clear()
-        _TABLES[model.uid] = [model.code_lengths(i) for i in range(len(model.langs))]
-    return _TABLES[model.uid]
+def _trees(model: PpmModel) -> list[list[Level]]:
+    """The model's trees, made once per worker process."""
+    if model.uid not in _TREES:
+        _TREES.clear()
+        _TREES[model.uid] = [model.levels(i) for i in range(len(model.langs))]
+    return _TREES[model.uid]
 
 
 def text_bits(model: PpmModel, texts: list[str]) -> np.ndarray:
     """Code length in bits of each text under each language; texts x languages."""
-    tables, out = _tables(model), np.zeros((len(texts), len(model.langs)))
+    trees, out = _trees(model), np.zeros((len(texts), len(model.langs)))
     at = 0
     while at < len(texts):
         parts, size, first = [], 0, at
@@ -169,9 +200,13 @@ def text_bits(model: PpmModel, texts: list[str]) -> np.ndarray:
             index = s[lo:hi].copy()
             for back in range(1, ORDER + 1):
                 index += s[lo - back:hi - back] * SYMBOLS ** back
-            own, index = doc[lo:hi][real[lo:hi]], index[real[lo:hi]]
-            for k, table in enumerate(tables):
-                out[first:first + len(parts), k] += np.bincount(own, weights=table[index], minlength=len(parts))
+            own = doc[lo:hi][real[lo:hi]]
+            grams, index = np.unique(index[real[lo:hi]], return_inverse=True)
+            if not len(own):
+                continue
+            begins = np.flatnonzero(np.diff(own, prepend=-1))
+            for k, tree in enumerate(trees):
+                out[first + own[begins], k] += np.add.reduceat(_gram_bits(tree, grams)[index], begins)
     return out
 
 

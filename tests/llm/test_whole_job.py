@@ -1,9 +1,7 @@
 """Cases where an operator once did less than the whole job."""
 
-import pytest
-
 from llm.llm_tools import duck, rows
-from panelcast.llm import q_decontaminate
+from panelcast.llm import ppm, q_decontaminate
 from panelcast.llm.decontaminate import contamination, decontaminate
 
 
@@ -16,3 +14,13 @@ def test_document_that_starts_inside_an_item(spark, make_docs, sf):
     assert [r["doc_id"] for r in decontaminate(docs, items).collect()] == [2]
     folder = sf(documents=docs, benchmark=items)
     assert rows(q_decontaminate.op1(spark, folder).toPandas()) == rows(duck(q_decontaminate.SQL, folder))
+
+
+def test_languages_of_one_script_are_told_apart(spark, make_docs):
+    text = {"ru": "съешь же ещё этих мягких французских булок да выпей чаю этот объект", "uk": "їжак щодня їсть ґанок і єнот п'є юшку її об'єкт щось інше",
+            "ja": "いろはにほへと散りぬるを我が世誰ぞ常ならむ", "zh": "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往", "hi": "यह एक भाषा है और हम इसे बोलते हैं", "mr": "ही एक भाषा आहे आणि आम्ही ती बोलतो"}
+    m = ppm.fit(make_docs([(10 * i + j, t * 3, lang) for i, (lang, t) in enumerate(text.items()) for j in range(5)]))
+    used = {b for t in text.values() for b in ppm.folded(t).tolist()}
+    assert len({int(m.symbol[b]) for b in used}) == len(used) and {int(m.symbol[b]) for b in range(0x80, 0xF5)} == set(range(27, 144))
+    bits = ppm.text_bits(m, [t[:len(t) // 2] for t in text.values()])
+    assert [m.langs[k] for k in bits.argmin(1)] == list(text)
