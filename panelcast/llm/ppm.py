@@ -15,8 +15,9 @@ grams of a batch are looked up in them from order 3 downwards. Counting and
 scoring run in Arrow batches on the executors.
 
 Only the fit is bounded: about ``SAMPLE_DOCS`` whole documents per language,
-picked by a hash, for the ``MAX_LANGUAGES`` most frequent language values.
-Every text is scored whole.
+picked by a hash. Every language value is learned and every text is scored
+whole, against blocks of languages of about ``BLOCK_GRAMS`` counts, of which a
+worker holds one at a time. The driver holds 12 bytes a count.
 
 Cases: null text or one without a letter is ``und`` with score 0; so is every
 text if nothing could be learned; a null language is not learned; a null
@@ -28,20 +29,23 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.common import stored
+
 ORDER = 3
 HIGH = range(0x80, 0xF5)  # bytes of UTF-8 above ASCII
 SYMBOLS = 27 + len(HIGH) + 1
 OTHER_BYTES = 256 - (SYMBOLS - 1)
 SAMPLE_DOCS = 500
-MAX_LANGUAGES = 64
+BLOCK_GRAMS = 1 << 21
 UNDETERMINED = "und"
 FOLDS = 5
 _BLOCK = 1 << 20  # symbols looked up at once
@@ -136,6 +140,22 @@ class PpmModel:
         grams = levels[ORDER][2].astype(np.int64)[:, None] * SYMBOLS + np.arange(SYMBOLS)
         return _gram_bits(levels, grams.reshape(-1))
 
+    def blocks(self) -> list[PpmModel]:
+        """The model cut into models of fewer languages, in order."""
+        cuts = _cut([len(index) for index, _ in self.counts])
+        return [PpmModel(self.langs[a:b], self.symbol, self.counts[a:b]) for a, b in cuts]
+
+
+def _cut(sizes: list[int]) -> list[tuple[int, int]]:
+    """Runs of ``sizes`` of at most BLOCK_GRAMS together, or of one."""
+    cuts, start, total = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > BLOCK_GRAMS:
+            cuts.append((start, i))
+            start, total = i, 0
+        total += n
+    return [*cuts, (start, len(sizes))] if sizes else []
+
 
 def build_model(grams: pd.DataFrame) -> PpmModel:
     """``grams``: (lang, gram of bytes, n)."""
@@ -143,10 +163,9 @@ def build_model(grams: pd.DataFrame) -> PpmModel:
     symbol[0x20] = 0
     symbol[np.arange(0x61, 0x7B)] = np.arange(1, 27)
     symbol[HIGH.start:HIGH.stop] = np.arange(27, SYMBOLS - 1)
-    langs = sorted(grams["lang"].unique())
-    counts = []
-    for lang in langs:
-        own = grams[grams["lang"] == lang]
+    langs, counts = [], []
+    for lang, own in grams.groupby("lang", sort=True):
+        langs.append(lang)
         g, index = own["gram"].to_numpy(), 0
         for back in range(ORDER, -1, -1):
             index = index * SYMBOLS + symbol[(g >> (8 * back)) & 0xFF]
@@ -157,15 +176,19 @@ def build_model(grams: pd.DataFrame) -> PpmModel:
 
 def fit(learn: DataFrame, sample_docs: int = SAMPLE_DOCS) -> PpmModel:
     """Fit on about ``sample_docs`` documents of each language of ``learn`` (doc_id, text, lang; all non-null)."""
-    sizes = (learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-             .limit(MAX_LANGUAGES).collect())
-    share = F.lit(None).cast("double")
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], sample_docs / r["n"]).otherwise(share)
-    picked = learn.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < share * (1 << 30))
-    grams = (picked.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
-    return build_model(grams)
+    # stored, so that the join is a broadcast while the languages are few
+    shares = stored(learn.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count(F.lit(1))).alias("share")), "languages")
+    picked = (learn.select("doc_id", "text", "lang").join(shares, "lang")
+              .filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < F.col("share") * (1 << 30)))
+    grams = stored(picked.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
+                   .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    sizes = sorted((r["lang"], r["n"]) for r in grams.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
+    parts = []
+    for a, b in _cut([n for _, n in sizes]):
+        block = [lang for lang, _ in sizes[a:b]]
+        parts.append(build_model(grams.filter(F.col("lang").isin(block)).toArrow().to_pandas()))
+    empty = build_model(pd.DataFrame({"lang": [], "gram": [], "n": []}, dtype="int64"))
+    return PpmModel([x for p in parts for x in p.langs], empty.symbol, [c for p in parts for c in p.counts])
 
 
 _TREES: dict[str, list[list[Level]]] = {}
@@ -210,24 +233,39 @@ def text_bits(model: PpmModel, texts: list[str]) -> np.ndarray:
     return out
 
 
-def classify(model: PpmModel, texts: pd.Series) -> pd.DataFrame:
+def _values(shared: list[Broadcast]) -> Iterator[PpmModel]:
+    """The blocks; if there are several, each is read anew and not kept (with encryption Spark keeps them)."""
+    for b in shared:
+        yield b.value if len(shared) == 1 or not hasattr(b, "_path") else b.load_from_path(b._path)
+
+
+def classify(models: Iterable[PpmModel], texts: pd.Series) -> pd.DataFrame:
+    """Best language and its posterior over the languages of all ``models``."""
     found = pd.DataFrame({"lang_pred": UNDETERMINED, "score": 0.0}, index=texts.index)
     has = np.array([t is not None and _LETTER.search(t) is not None for t in texts], dtype=bool)
-    if not len(texts) or not has.any() or not model.langs:
+    if not len(texts) or not has.any():
         return found
-    bits = text_bits(model, texts[has].tolist())
-    best = bits.argmin(1)
-    found.loc[has, "lang_pred"] = np.array(model.langs, dtype=object)[best]
-    found.loc[has, "score"] = 1.0 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000.0)).sum(1)
+    asked = texts[has].tolist()
+    least, total, best = np.full(len(asked), np.inf), np.zeros(len(asked)), np.full(len(asked), UNDETERMINED, dtype=object)
+    for model in models:
+        bits = text_bits(model, asked)
+        low = np.minimum(least, bits.min(1))
+        # total: sum of 2 ** (least - bits) over the languages so far
+        total = total * np.exp2(np.maximum(low - least, -1000.0)) + np.exp2(np.maximum(low[:, None] - bits, -1000.0)).sum(1)
+        better = low < least
+        best[better] = np.array(model.langs, dtype=object)[bits.argmin(1)[better]]
+        least = low
+    found.loc[has, "lang_pred"] = best
+    found.loc[has, "score"] = np.divide(1.0, total, out=np.zeros(len(asked)), where=total > 0)
     return found
 
 
 def identify(docs: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample: counts only, no text
+    shared = [docs.sparkSession.sparkContext.broadcast(b) for b in model.blocks()]  # counts only, no text
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return classify(shared.value, texts)
+        return classify(_values(shared), texts)
 
     return docs.withColumn("__p", predict(F.col(text))).select("*", "__p.lang_pred", "__p.score").drop("__p")

@@ -1,5 +1,8 @@
 """Cases where an operator once did less than the whole job."""
 
+import numpy as np
+import pytest
+
 from llm.llm_tools import duck, rows
 from panelcast.llm import ppm, q_decontaminate
 from panelcast.llm.decontaminate import contamination, decontaminate
@@ -24,3 +27,17 @@ def test_languages_of_one_script_are_told_apart(spark, make_docs):
     assert len({int(m.symbol[b]) for b in used}) == len(used) and {int(m.symbol[b]) for b in range(0x80, 0xF5)} == set(range(27, 144))
     bits = ppm.text_bits(m, [t[:len(t) // 2] for t in text.values()])
     assert [m.langs[k] for k in bits.argmin(1)] == list(text)
+
+
+@pytest.mark.parametrize("block", [1, 200, ppm.BLOCK_GRAMS])
+def test_every_language_is_learned(spark, make_docs, monkeypatch, block):
+    words = {f"l{i:02d}": " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{c}" for c in "aeiouy") for i in range(70)}
+    docs = make_docs([(1000 * i + j, t * 3, lang) for i, (lang, t) in enumerate(words.items()) for j in range(2 if lang < "l66" else 1)])
+    monkeypatch.setattr(ppm, "BLOCK_GRAMS", block)
+    m = ppm.fit(docs)
+    assert m.langs == sorted(words) and len(m.blocks()) == (70 if block == 1 else len(m.blocks()))
+    got = ppm.identify(docs.withColumnRenamed("lang", "known"), m).collect()
+    assert all(r["lang_pred"] == r["known"] and 0.5 < r["score"] <= 1 for r in got)
+    bits = ppm.text_bits(m, [r["text"] for r in got])
+    want = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
+    assert np.allclose([r["score"] for r in got], want)
