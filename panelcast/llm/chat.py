@@ -4,7 +4,8 @@ A conversation is rendered as ``turn*`` with
 
     turn = "<|im_start|>" role "\\n" text "<|im_end|>" "\\n"
 
-and the rendered text is read back by a deterministic parser. A turn whose
+and the rendered text is read back by a deterministic parser, which refuses a
+control string inside a role or text, so none stays live there. A turn whose
 recovered role or text differs from the source is escaped and read again until
 they are identical. Escaping puts one backslash into every ``<`` backslash* ``|``
 of the turn; reading takes one out of every such run that has any, so text
@@ -66,6 +67,8 @@ def parse(rendered: str) -> Iterator[tuple[str, str, int, int]]:
         if role_end < 0 or stop < 0 or not rendered.startswith(NL, stop + len(END)):
             raise Malformed(f"open turn at {at}")
         role = rendered[at + len(START):role_end]
+        if any(c in role or rendered.find(c, body, stop) >= 0 for c in (START, END)):
+            raise Malformed(f"control string inside the turn at {at}")
         yield _read_role(unescape(role)), unescape(rendered[body:stop]), body, stop
         at = stop + len(END) + len(NL)
 
