@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z|[^<]+|<", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-#: Elements whose content is not markup, up to their end tag.
-RAW = frozenset("script style title textarea noscript template iframe svg math".split())
+#: Elements whose content is not markup, up to their end tag; one without an end tag is read on as markup.
+RAW = frozenset("script style title textarea iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul
@@ -42,7 +42,7 @@ def _names(attrs: str) -> tuple[str, ...]:
 def leaf_blocks(source: str) -> list[Block]:
     """Non-empty runs of text between block boundaries in page order; references decoded, white space made single."""
     stack, blocks, parts, link = [], [], [], 0
-    raw = None
+    unclosed = set()  # raw elements that no end tag follows any more
 
     def flush() -> None:
         nonlocal link
@@ -80,9 +80,12 @@ def leaf_blocks(source: str) -> list[Block]:
                 flush()
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
+            if not m[3].endswith("/") and tag not in unclosed:
                 raw = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, pos)
-                pos = raw.end() if raw else end
+                if raw:
+                    pos = raw.end()
+                else:
+                    unclosed.add(tag)
             parts.append(" ")
             continue
         if tag in BLOCK:

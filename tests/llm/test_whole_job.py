@@ -6,6 +6,7 @@ import pytest
 from llm.llm_tools import duck, rows
 from panelcast.llm import chat, ppm, q_decontaminate
 from panelcast.llm.decontaminate import contamination, decontaminate
+from panelcast.llm.html_blocks import leaf_blocks
 
 
 def test_document_that_starts_inside_an_item(spark, make_docs, sf):
@@ -52,3 +53,11 @@ def test_no_control_string_stays_live(text):
     if "x<" not in text:
         with pytest.raises(chat.Malformed):
             list(chat.parse(chat.render("user", text) if chat.END not in text else chat.render(text, "")))
+
+
+def test_formulas_and_unclosed_elements_keep_their_text():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>Plain</p></noscript><template><p>Held</p></template><p>A <svg><text>label</text></svg> b<script>var y;</script></p></article>"
+    assert [b.text for b in leaf_blocks(page)] == ["So x=2 holds.", "Plain", "Held", "A label b"]
+    for tag in ("math", "svg", "noscript", "template", "iframe", "textarea"):
+        assert [b.text for b in leaf_blocks(f"<p>one</p><{tag}><p>two</p><p>three</p>")] == ["one", "two", "three"]
+    assert [b.text for b in leaf_blocks("<script>a</script><p>one</p>" + "<iframe>" * 20000 + "<p>two</p>")] == ["one", "two"]
