@@ -213,7 +213,7 @@ def _unpack(windows: pd.DataFrame, dim: int):
 
 def _cell(refs: np.ndarray, dim: int, positives: int, negatives: int, low: int, high: int, second: bool):
     """The best rows of a cell: of the anchors' own label, or of other labels within each positive's range."""
-    names = ["anchor_id", "positive_id", "positive_score", "found_id", "score"]
+    names = ["anchor_id", "place", "positive_id", "positive_score", "found_id", "score"]
 
     def first_pass(best, own, own_label, m, norm, ids, vectors, label, bounds):
         lowest, highest = score_bounds(norm, angles(m, refs)[1], bounds)
@@ -253,7 +253,7 @@ def _cell(refs: np.ndarray, dim: int, positives: int, negatives: int, low: int,
                 best = Best(len(part), positives)
                 first_pass(best, own, own_label, m, norm, *unpacked)
                 at, k = best.found()
-                out.append(pd.DataFrame({"anchor_id": own[at], "positive_id": 0, "positive_score": 0, "found_id": best.id[at, k], "score": best.score[at, k]}))
+                out.append(pd.DataFrame({"anchor_id": own[at], "place": 0, "positive_id": 0, "positive_score": 0, "found_id": best.id[at, k], "score": best.score[at, k]}))
             else:
                 ids = np.zeros((len(part), positives), np.int64)
                 scores, floor, ceiling = ids.copy(), np.ones_like(ids), np.zeros_like(ids)
@@ -265,7 +265,7 @@ def _cell(refs: np.ndarray, dim: int, positives: int, negatives: int, low: int,
                 second_pass(best, own_label, floor, ceiling, m, norm, *unpacked)
                 at, k = best.found()
                 i, p = at // positives, at % positives
-                out.append(pd.DataFrame({"anchor_id": own[i], "positive_id": ids[i, p], "positive_score": scores[i, p], "found_id": best.id[at, k], "score": best.score[at, k]}))
+                out.append(pd.DataFrame({"anchor_id": own[i], "place": p, "positive_id": ids[i, p], "positive_score": scores[i, p], "found_id": best.id[at, k], "score": best.score[at, k]}))
         return pd.concat(out, ignore_index=True)
     return run
 
@@ -292,7 +292,7 @@ def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: i
     slices = max(1, -(-(windows.agg(F.sum("n")).first()[0] or 0) // SLICE))
     groups = max(1, -(-anchors.count() // GROUP))
     dealt = windows.withColumn("s", F.pmod(F.xxhash64("no"), F.lit(slices))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).drop("no", "n")
-    named = "anchor_id long, positive_id long, positive_score long, found_id long, score long"
+    named = "anchor_id long, place long, positive_id long, positive_score long, found_id long, score long"
 
     def cells(asked: DataFrame, second: bool) -> DataFrame:
         asked = (asked.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
@@ -303,6 +303,6 @@ def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: i
     first = _ranked(cells(anchors, False), ["anchor_id"], positives)
     listed = first.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.collect_list(F.struct(F.col("found_id").alias("id"), "score")).alias("found"))
     second = stored(anchors.join(listed, "vec_id"), "positives")
-    best = _ranked(cells(second, True), ["anchor_id", "positive_id"], negatives)
+    best = _ranked(cells(second, True), ["anchor_id", "place"], negatives)  # by place: a repeated positive is two
     return best.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("found_id").alias("negative_id"),
                        "positive_score", F.col("score").alias("negative_score"))
