@@ -2,19 +2,21 @@
 
 The reference fits (S)ARIMA per series with a state-space solver. Here the
 AR part is re-aimed: difference (d, and D at season s), fit AR(p) by
-conditional least squares, forecast recursively and re-integrate. MA terms
-are not built. Each (series, fold) is one grouped pandas call over at most
-one series' rows; Spark builds the groups (fold join) and scores them (WMAE
-aggregate). Failures are returned in an ``error`` column, never raised (K25).
+conditional least squares, forecast recursively and re-integrate; MA terms come
+from a two-stage regression on innovations. AR(1), the order grid and the MA
+fits are column functions. Higher AR orders are one grouped pandas call per
+(series, fold) over at most one series' rows. Failures are returned in an
+``error`` column, never raised (K25).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import linalg as LA
 from ..sources import schemas as S
 from ..operators.grid import reindex_series
 from ..operators.prep import ffill
@@ -219,36 +221,169 @@ def evaluate_ar1(frame: DataFrame, seasonal: bool = True, s: int = 52, min_train
                     F.when(error.isNull(), level + F.col("v.year_ago") if seasonal else level).alias("y_pred"), error.alias("error"))
 
 
-def _select_order(max_p: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        key = {c: pdf[c].iloc[0] for c in ("store", "dept")}
-        y = pdf["y"].to_numpy(dtype=float)
-        rows = []
-        for d in (0, 1):
-            z = _difference(y, d, 0, 1)
-            for p in range(0, max_p + 1):
-                try:
-                    _, ssr, n = _ar_fit(z, p, skip=max_p)
-                    aic = n * np.log(max(ssr, 1e-300) / n) + 2 * (p + 1)
-                    rows.append({**key, "p": p, "d": d, "aic": float(aic), "error": None})
-                except Exception as e:  # noqa: BLE001
-                    rows.append({**key, "p": p, "d": d, "aic": np.nan, "error": str(e)})
-        return pd.DataFrame(rows)
-    return fn
-
-
 def order_grid(df: DataFrame, max_p: int = 3, target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
-    """AIC for every (p <= max_p, d in {0, 1}) per series."""
-    return (fit_groups(df.select(*keys, "date", F.col(target).alias("y")), list(keys))
-            .applyInPandas(_select_order(max_p), "store int, dept int, p int, d int, aic double, error string"))
+    """AIC for every (p <= max_p, d in {0, 1}) per series, in column functions.
+
+    The cross-products of a difference order are swept once through all p, on
+    the rows that have ``max_p`` lags. An order that cannot be fitted has a NULL
+    AIC and an ``error``.
+    """
+    w = Window.partitionBy(*keys).orderBy("date")
+    ys = [F.col(target).cast("double")] + [F.lag(target, k).over(w).cast("double") for k in range(1, max_p + 2)]
+    y = df.select(*keys, *[c.alias(f"y{k}") for k, c in enumerate(ys)])
+    level = [F.col(f"y{k}") for k in range(max_p + 1)]
+    change = [F.col(f"y{k}") - F.col(f"y{k + 1}") for k in range(max_p + 1)]
+    values = [[F.lit(1.0), *z[1:], z[0]] for z in (level, change)]
+    sums = y.groupBy(*keys).agg(*[LA.gram(v).alias(f"g{d}") for d, v in enumerate(values)])
+    g = sums.select(*keys, F.posexplode(F.array("g0", "g1")).alias("d", "g"))
+    last = max_p + 1
+
+    def step(acc, k):
+        m = LA.swept(acc["m"], k, acc["d"])
+        return F.struct(m.alias("m"), acc["d"].alias("d"), F.concat(acc["rss"], F.array(m[last][last])).alias("rss"))
+
+    start = F.struct(F.col("g").alias("m"), LA.diagonal_of(F.col("g")).alias("d"), F.array().cast("array<double>").alias("rss"))
+    rss = F.aggregate(F.sequence(F.lit(0), F.lit(max_p)), start, step, lambda acc: acc["rss"])
+    n = F.coalesce(F.col("g")[0][0], F.lit(0.0))
+    e = g.select(*keys, "d", n.alias("n"), F.posexplode(rss).alias("p", "ssr"))
+    few = F.col("n") <= F.col("p") + 2
+    aic = F.col("n") * F.ln(F.greatest("ssr", F.lit(1e-300)) / F.col("n")) + 2 * (F.col("p") + 1)
+    error = F.when(few, F.lit("too few observations for AR order")).when(F.col("ssr").isNull(), F.lit("no unique fit"))
+    return e.select(*keys, "p", "d", F.when(error.isNull(), aic).alias("aic"), error.alias("error"))
 
 
 def choose_order(grid: DataFrame, df_test: DataFrame | None = None, keys=S.KEYS) -> DataFrame:
-    """Pick d from the unit-root test when given (stationary -> 0), then p by AIC."""
-    g = grid.filter(F.col("aic").isNotNull())
+    """Pick d from the unit-root test when given (stationary -> 0), then p by AIC.
+
+    Every series of the grid stays: one without a fit at its d has NULL p, d and AIC and an ``error``.
+    """
+    fitted = F.col("aic").isNotNull()
+    wanted = F.lit(True)
     if df_test is not None:
-        dsel = df_test.select(*keys, F.when(F.col("stationary_5pct"), 0).otherwise(1).alias("_d"))
-        g = g.join(dsel, keys).filter(F.col("d") == F.col("_d")).drop("_d")
-    return g.groupBy(*keys).agg(F.min_by(F.struct("p", "d"), F.struct("aic", "p", "d")).alias("o"),
-                                F.min("aic").alias("aic")).select(*keys, "o.p", "o.d", "aic")
+        grid = grid.join(df_test.select(*keys, F.when(F.col("stationary_5pct"), 0).otherwise(1).alias("_d")), keys, "left")
+        wanted = F.col("d") == F.col("_d")
+    use = fitted & wanted
+    best = F.min(F.when(use, F.struct("aic", "p", "d")))
+    out = grid.groupBy(*keys).agg(best.alias("o"), F.min_by("error", F.when(F.coalesce(wanted, F.lit(True)), F.col("p"))).alias("e"))
+    return out.select(*keys, "o.p", "o.d", "o.aic", F.when(F.col("o").isNull(), F.coalesce("e", F.lit("no unit-root test"))).alias("error"))
+
+
+# ---- moving-average terms ------------------------------------------------------
+
+LONG_AR = 4
+
+
+def _differenced(df: DataFrame, target: str, keys, s: int, seasonal: bool, lags: list[int]) -> DataFrame:
+    """Each series' weekly rows with the level that is summed up again (its seasonal difference), its first difference z0
+    and z's lags. Differences look back only, so they are taken once per series, before folds."""
+    w = Window.partitionBy(*keys).orderBy("date")
+    year_ago = F.lag(target, s).over(w)
+    level = (F.col(target) - year_ago if seasonal else F.col(target)).cast("double")
+    f = df.select(*keys, "date", F.col(target).alias("y"), "is_holiday", "is_filled", level.alias("level"))
+    f = f.withColumn("z0", F.col("level") - F.lag("level").over(w))
+    return f.select("*", *[F.lag("z0", k).over(w).alias(f"z{k}") for k in lags])
+
+
+def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: int = LONG_AR, min_rows: int = 30,
+              target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
+    """Order (1, 1, 1)(0, 1, 1, s), or (1, 1, 1) without ``seasonal``, per (series, fold) by two-stage regression.
+
+    Stage one regresses the difference z on ``long_ar`` lags; its residuals are
+    the innovations e. Stage two regresses z on a constant, z's lag, e's lag and,
+    if seasonal, e's lag ``s``. An innovation is a linear map of lags of z, so
+    both stages come from one array of cross-products per (series, fold), and
+    stage two's is a quadratic form of it. No row is read twice.
+
+    ``dense`` has weekly rows without gaps (``is_filled`` marks filled ones). Columns: keys, fold, val_start, val_end, n, phi, theta,
+    seasonal_theta, intercept, long (stage one: constant and lags) and error.
+    """
+    near = list(range(1, long_ar + 2))
+    far = list(range(s, s + long_ar + 1)) if seasonal else []
+    lags = near + far
+    z = _differenced(dense, target, keys, s, seasonal, lags)
+    names = ["one", "z0", *[f"z{k}" for k in lags]]
+    at = {n: i for i, n in enumerate(names)}
+    j = z.join(folds.select(*keys, "fold", "val_start", "val_end"), keys).filter(F.col("date") < F.col("val_start"))
+    values = [F.lit(1.0), *[F.col(n) for n in names[1:]]]
+    g = j.groupBy(*keys, "fold", "val_start", "val_end").agg(LA.gram(values).alias("g"))
+
+    first = [at["one"], *[at[f"z{k}"] for k in range(1, long_ar + 1)], at["z0"]]
+    g1 = F.array(*[F.array(*[F.col("g")[a][b] for b in first]) for a in first])
+    m1 = LA.regressed(F.col("g1"), long_ar + 1)
+    long_coefs = F.array(*[F.col("m1")[i][long_ar + 1] for i in range(long_ar + 1)])
+
+    def innovation(lag: int) -> Column:
+        """e at a lag as a row map of the values: z's lag less the constant and the coefficients of the lags behind it."""
+        row = [F.lit(0.0)] * len(names)
+        row[at["one"]] = -F.col("long")[0]
+        row[at[f"z{lag}"]] = F.lit(1.0)
+        for k in range(1, long_ar + 1):
+            row[at[f"z{lag + k}"]] = -F.col("long")[k]
+        return F.array(*row)
+
+    def unit(name: str) -> Column:
+        return F.array(*[F.lit(float(n == name)) for n in names])
+
+    maps = [unit("one"), unit("z1"), innovation(1), *([innovation(s)] if seasonal else []), unit("z0")]
+    size = len(maps) - 1
+    n = F.coalesce(F.col("g")[0][0], F.lit(0.0))
+    head = [*keys, "fold", "val_start", "val_end", "n"]
+    f = g.select("*", n.cast("long").alias("n"), g1.alias("g1")).select(*head, "g", m1.alias("m1")).select(*head, "g", long_coefs.alias("long"))
+    f = f.select(*head, "g", "long", F.array(*maps).alias("maps")).select(*head, "long", LA.quadratic(F.col("maps"), F.col("g")).alias("g2"))
+    f = f.select(*head, "long", LA.regressed(F.col("g2"), size).alias("m2"))
+    coef = [F.col("m2")[i][size] for i in range(size)]
+    f = f.select(*head, "long", coef[0].alias("intercept"), coef[1].alias("phi"), coef[2].alias("theta"),
+                 (coef[3] if seasonal else F.lit(0.0)).alias("seasonal_theta"))
+    error = F.when(F.col("n") < min_rows, F.lit("too few observations for the two-stage fit")).when(
+        F.col("intercept").isNull() | F.col("phi").isNull() | F.col("theta").isNull() | F.col("seasonal_theta").isNull(), F.lit("no unique fit"))
+    keep = lambda c: F.when(F.col("error").isNull(), F.col(c)).alias(c)
+    return f.withColumn("error", error).select(*head, keep("intercept"), keep("phi"), keep("theta"), keep("seasonal_theta"), keep("long"), "error")
+
+
+def evaluate_arma(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: int = LONG_AR, min_rows: int = 30,
+                  target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
+    """K20 + K25: forecasts of the observed validation rows of every (series, fold) by ``arma_fits``; schema as ``evaluate_ar``.
+
+    A fold's last ``s`` innovations come from its last rows, in one bounded
+    array; the forecast is an ``aggregate`` over at most ``s`` steps. A fold
+    without a fit, and a row over ``s`` steps ahead, has a NULL prediction and
+    an ``error``.
+    """
+    fits = arma_fits(dense, folds, seasonal, s, long_ar, min_rows, target, keys)
+    lags = list(range(1, long_ar + 1))
+    z = _differenced(dense, target, keys, s, seasonal, lags).withColumn("day", F.unix_date("date"))
+    ks = [*keys, "fold"]
+    j = z.join(fits, keys).filter(F.col("date") <= F.col("val_end"))
+    j = j.withColumn("last", F.unix_date("val_start"))
+    train = F.col("date") < F.col("val_start")
+    e = F.col("z0") - F.col("long")[0]
+    for k in lags:
+        e = e - F.col("long")[k] * F.col(f"z{k}")
+    recent = train & (F.col("day") >= F.col("last") - 7 * (s + 1))
+    head = ["intercept", "phi", "theta", "seasonal_theta", "error"]
+    g = j.groupBy(*ks).agg(
+        *[F.first(c).alias(c) for c in head],
+        F.max_by(F.when(train, F.col("level")), F.when(train, F.col("day"))).alias("last_level"),
+        F.max_by(F.when(train, F.col("z0")), F.when(train, F.col("day"))).alias("last_z"),
+        F.max(F.when(train, F.col("day"))).alias("last_day"),
+        # days -> innovation and level of the last season
+        F.map_from_entries(F.collect_list(F.when(recent, F.struct("day", F.struct(e.alias("e"), "y"))))).alias("past"),
+        F.collect_list(F.when(~train & ~F.col("is_filled"), F.struct("date", "day", "y", "is_holiday"))).alias("rows"))
+    far = g.select(*ks, *head, "last_level", "last_z", "last_day", "past", F.explode("rows").alias("v"))
+    far = far.withColumn("k", ((F.col("v.day") - F.col("last_day")) / 7).cast("int"))
+
+    def shock(day):
+        return F.coalesce(F.try_element_at("past", day)["e"], F.lit(0.0))  # a day without one counts as none
+
+    def step(acc, i):
+        before = F.when(i == 1, shock(F.col("last_day"))).otherwise(0.0)
+        season = F.when(i <= s, shock(F.col("last_day") + 7 * (i - s))).otherwise(0.0)
+        nxt = F.col("intercept") + F.col("phi") * acc["z"] + F.col("theta") * before + F.col("seasonal_theta") * season
+        return F.struct(nxt.alias("z"), (acc["sum"] + nxt).alias("sum"))
+
+    run = F.aggregate(F.sequence(F.lit(1), F.col("k")), F.struct(F.col("last_z").alias("z"), F.lit(0.0).alias("sum")), step, lambda a: a["sum"])
+    level = F.col("last_level") + run
+    if seasonal:
+        level = level + F.try_element_at("past", F.col("v.day") - 7 * s)["y"]
+    error = F.coalesce("error", F.when(F.col("k") > s, F.lit("more than one season ahead")) if seasonal else F.lit(None).cast("string"))
+    return far.select(*ks, "v.date", "v.y", "v.is_holiday", F.when(error.isNull(), level).alias("y_pred"), error.alias("error"))

@@ -111,25 +111,23 @@ def tree_pipeline(features: list[str], params: dict | None = None, builder: Pane
 
 
 def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dict | None = None,
-            date: str = "date", parallel: int = 1, prepared: bool = False,
-            early_stop_weeks: int | None = None) -> tuple[DataFrame, DataFrame]:
+            date: str = "date", parallel: int = 1, prepared: bool = False) -> tuple[DataFrame, DataFrame]:
     """K4 + D14 + K7: walk-forward CV on a flat feature table (T17 ``expanding`` mode).
 
     Returns (per-fold WMAE and trees, importances summed over folds). The table is
-    checkpointed once so every fold reads the same materialised rows. With
-    ``early_stop_weeks`` the newest weeks of each train part stop the boosting.
+    checkpointed once so every fold reads the same materialised rows. For early
+    stopping see ``boosting.cv_with_patience``.
     """
     spark: SparkSession = table.sparkSession
     if not prepared:
         table = materialize(table)
     fold_rows = folds.collect()  # n_splits rows
-    pipe = tree_pipeline(features, params, validation_col="is_validation" if early_stop_weeks else None,
-                         max_bins=category_bins(table, features))
+    pipe = tree_pipeline(features, params, max_bins=category_bins(table, features))
 
     def run(fr):
         train = table.filter(F.col(date) < F.lit(fr["val_start"]))
         val = table.filter(F.col(date).between(F.lit(fr["val_start"]), F.lit(fr["val_end"])))
-        model = pipe.fit(mark_validation(train, early_stop_weeks, date) if early_stop_weeks else train)
+        model = pipe.fit(train)
         score = model.transform(val).agg(wmae_expr(TARGET, "y_pred").alias("wmae"),
                                          F.count(F.lit(1)).alias("n_val")).first()
         imp = model.stages[-1].featureImportances.toArray().tolist()

@@ -22,12 +22,14 @@ from ..functions.calendar import holiday_frame
 from ..functions.metrics import compare_models, holiday_weight, mean_and_median, wmae_by, wmae_expr
 from ..models import additive as AD
 from ..models import ar as AR
+from ..models import boosting as BO
 from ..models import builder as B
 from ..models import diagnostics as DG
 from ..models import linear as LN
 from ..models import trees as T
 from ..operators import fallback as FB
 from ..operators import splits as SP
+from ..operators.grid import densify_ffill
 from ..operators import windows as WN
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources import sinks as SK
@@ -117,22 +119,32 @@ def q_gbt_cv(spark, sf):
     return scores
 
 
+# Patience of the registered preset queries (the library default is 50 trees).
+QUICK_PATIENCE = 10
+
+
 def _preset_cv(spark, sf, preset):
     p, f, s = _region(spark, sf)
-    return T.cv_flat(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES, preset, parallel=3,
-                     early_stop_weeks=13)[0]
+    return BO.cv_with_patience(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES, preset,
+                               patience=QUICK_PATIENCE, stop_weeks=13, parallel=3)
 
 
 @register("gbt_leafwise_preset_cv", None, covers="K4 D14 T17")
 def q_gbt_leafwise(spark, sf):
-    """The first reported parameter set whole (659 trees at most), stopped by the newest 13 train weeks."""
-    return _preset_cv(spark, sf, T.PRESET_LEAFWISE)
+    """The first reported parameter set whole (659 trees at most), cut at its best prefix on the newest 13 train weeks."""
+    return _preset_cv(spark, sf, T.PRESET_LEAFWISE)[0]
 
 
 @register("gbt_histogram_preset_cv", None, covers="K5 D14 T17")
 def q_gbt_histogram(spark, sf):
-    """The second reported parameter set (385 trees at most), stopped by the newest 13 train weeks."""
-    return _preset_cv(spark, sf, T.PRESET_HISTOGRAM)
+    """The second reported parameter set (385 trees at most), cut at its best prefix on the newest 13 train weeks."""
+    return _preset_cv(spark, sf, T.PRESET_HISTOGRAM)[0]
+
+
+@register("gbt_patience_path", None, covers="K4 K5")
+def q_gbt_patience_path(spark, sf):
+    """Slice error of every prefix looked at, and which one was kept, per fold."""
+    return _preset_cv(spark, sf, T.PRESET_LEAFWISE)[1]
 
 
 @register("gbt_feature_importance", None, covers="K7 D20 F3 A4")
@@ -150,21 +162,23 @@ def q_gbt_pipeline(spark, sf):
     return T.cv_pipeline(p, folds, B.PanelFeatureBuilder(features=f, stores=s, holidays=json.dumps(PANEL_HOLIDAYS)), B.PRUNED_FEATURES, T.PRESET_QUICK)
 
 
-# Light search configuration for the registered query: 2 trials, 10..40 trees
-# (the library default is the reference's 30 trials over 100..800 trees).
-QUICK_SPACE = {"maxIter": (10, 40)}
+# The registered search starts the reference's 30 trials, of 18 to 36 trees each (the library default is 100 to 800).
+SEARCH_TREES = {"maxIter": (18, 36)}
 
 
 @register("gbt_random_search", None, covers="K8 F5 A5")
 def q_gbt_search(spark, sf):
+    """Successive halving of 30 trials; every trial's rungs and parameters go to the run log, which is read back."""
     p, f, s = _region(spark, sf)
-    trials = T.random_search(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES,
-                             n_trials=2, seed=42, parallel=3, space=QUICK_SPACE)
+    trials = BO.halving_search(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES,
+                               n_trials=30, seed=42, parallel=8, space=SEARCH_TREES)
     log = shared_path(spark, "runlog")
-    SK.log_frame(trials, log, "gbt_search", "metric", "trial", "mean_wmae")
-    return T.best_trial(spark.read.parquet(log).select(F.col("key").cast("int").alias("trial"),
-                                                       F.col("value").alias("mean_wmae"))
-                        .join(trials.select("trial", "params"), "trial"))
+    SK.log_params(trials.select(F.concat(F.lit("trial_"), "trial").alias("run"), "params").distinct(), log, "run", "params")
+    for rung in range(BO.RUNGS):
+        SK.log_runs(trials.filter(F.col("rung") == rung).select(F.concat(F.lit("trial_"), "trial").alias("run"), "mean_wmae", "n_trees", F.col("kept").cast("double").alias("kept")),
+                    log, "run", {c: f"{c}_rung{rung}" for c in ("mean_wmae", "n_trees", "kept")})
+    metrics = SK.run_summary(spark, log, "metric", [f"{c}_rung{r}" for r in range(BO.RUNGS) for c in ("mean_wmae", "n_trees", "kept")])
+    return metrics.join(SK.run_summary(spark, log, "param", sorted(T.SEARCH_SPACE)), "run")
 
 
 @register("gbt_forecast_saved_model", None, covers="K10 K11 A6 A3 H10 H5 L6")
@@ -226,6 +240,31 @@ def q_dlinear_scores(spark, sf):
         per_series.agg(F.count("wmae")).scalar().alias("n_series"))
 
 
+def _absolute_fit(spark, sf):
+    p = panel(spark, sf, "region")
+    windows = materialize(WN.build_windows(p, 52, 13, 13))
+    return p, windows, LN.fit_absolute(windows, 13)
+
+
+@register("dlinear_absolute_rounds", None, covers="K12")
+def q_dlinear_rounds(spark, sf):
+    """Weighted mean absolute error and objective before each reweighting round, summed over the 13 steps."""
+    fit = _absolute_fit(spark, sf)[2]
+    return spark.createDataFrame([(i, a, o) for i, (a, o) in enumerate(fit.rounds)], "round int, weighted_mae double, objective double")
+
+
+@register("dlinear_absolute_scores", None, covers="K12 D12 D13 D15")
+def q_dlinear_absolute(spark, sf):
+    """Validation error of the absolute and of the squared loss, in total and as mean and median of the series' own."""
+    p, windows, fit = _absolute_fit(spark, sf)
+    val = WN.validation_windows(p, 52, 13, 13)
+    scored = [LN.score_windows(LN.predict_windows(val, c)).withColumn("loss", F.lit(name))
+              for name, c in (("absolute", fit.coefs), ("squared", LN.fit_direct(windows, 13, reg=0.01)))]
+    s = materialize(scored[0].unionByName(scored[1]))
+    own = mean_and_median(wmae_by(s, ["loss", "store", "dept"]), by=["loss"])
+    return s.groupBy("loss").agg(wmae_expr("y", "y_pred").alias("total_wmae")).join(own, "loss")
+
+
 @register("dlinear_forecast_submission", None, covers="K12 K13 I10 I11 I12 T20 C9 K14")
 def q_dlinear_forecast(spark, sf):
     p = panel(spark, sf, "region")
@@ -295,6 +334,43 @@ def q_adf(spark, sf):
     return r4_cols(DG.adf_test(lazy_panel(spark, sf), lags=4), ["adf_stat"])
 
 
+def _adf_auto_sql(max_lag: int = 12) -> str:
+    """K16 with the order chosen: the cross-products of [1, ylag, dy lags, dy] swept pivot by pivot in a recursive CTE."""
+    v = ["1.0", "ylag", *[f"d{k}" for k in range(1, max_lag + 1)], "d0"]
+    size = len(v)
+    rows = ", ".join("[" + ", ".join(f"SUM(CAST({a} AS DOUBLE) * {b})" for b in v) + "]" for a in v)
+    lags = ", ".join(f"lag(d0, {k}) OVER (PARTITION BY store, dept ORDER BY date) AS d{k}" for k in range(1, max_lag + 1))
+    p = "m[k + 1][k + 1]"
+    return "WITH RECURSIVE " + _SERIES_SQL[_SERIES_SQL.index("WITH ") + 5:] + f""", b AS (SELECT store, dept, date,
+  weekly_sales - lag(weekly_sales) OVER (PARTITION BY store, dept ORDER BY date) AS d0,
+  lag(weekly_sales) OVER (PARTITION BY store, dept ORDER BY date) AS ylag FROM panel),
+l AS (SELECT *, {lags} FROM b),
+s0 AS (SELECT store, dept, COUNT(*) AS n, [{rows}] AS m FROM l WHERE d{max_lag} IS NOT NULL GROUP BY 1, 2),
+sw AS (SELECT store, dept, n, 0 AS k, m FROM s0 WHERE n > {max_lag + 3}
+  UNION ALL
+  SELECT store, dept, n, k + 1, [[CASE WHEN i = k + 1 AND j = k + 1 THEN -1 / {p} WHEN i = k + 1 OR j = k + 1 THEN m[i][j] / {p}
+    ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / {p} END FOR j IN range(1, {size + 1})] FOR i IN range(1, {size + 1})]
+  FROM sw WHERE k < {size - 1}),
+o AS (SELECT store, dept, n, k - 2 AS lags, n * ln(m[{size}][{size}] / n) + 2 * k AS aic,
+  m[2][{size}] / sqrt(m[{size}][{size}] / (n - k) * -m[2][2]) AS st FROM sw WHERE k >= 2),
+c AS (SELECT store, dept, n, arg_min(lags, (aic, lags)) AS lags, arg_min(st, (aic, lags)) AS st FROM o GROUP BY 1, 2, 3),
+z AS (SELECT *, CASE WHEN st <= -1.61 THEN 2.1659 + st * 1.4412 + st * st * 0.038269
+  ELSE 1.7339 + st * 0.93202 - st * st * 0.12745 - st * st * st * 0.010368 END AS z FROM c),
+t AS (SELECT *, 1 / (1 + 0.2316419 * abs(z)) AS t FROM z),
+q AS (SELECT *, exp(-z * z / 2) * 0.3989422804014327 * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429)))) AS tail FROM t),
+pv AS (SELECT *, CASE WHEN st < -18.83 THEN 0.0 WHEN st > 2.74 THEN 1.0 WHEN z >= 0 THEN 1 - tail ELSE tail END AS p FROM q),
+al AS (SELECT store, dept, COUNT(*) FILTER (d{max_lag} IS NOT NULL) AS n FROM l GROUP BY 1, 2)
+SELECT al.store, al.dept, al.n, CAST(pv.lags AS INTEGER) AS lags, ROUND(pv.st, 4) AS adf_stat,
+  CASE WHEN pv.n IS NULL THEN 'series too short' END AS error, ROUND(pv.p, 4) AS p_value, pv.p < 0.05 AS stationary_5pct
+FROM al LEFT JOIN pv ON al.store = pv.store AND al.dept = pv.dept"""
+
+
+@register("adf_auto", _adf_auto_sql(), covers="K16 K25")
+def q_adf_auto(spark, sf):
+    """Dickey-Fuller with the lag order by AIC (0 to 12) and MacKinnon's p-value; short series stay, with an error."""
+    return r4_cols(DG.adf_auto(lazy_panel(spark, sf), 12), ["adf_stat", "p_value"])
+
+
 def _acf_sql(max_lag: int = 40) -> str:
     lags = ", ".join(f"lag(z, {k}) OVER (PARTITION BY store, dept ORDER BY date) AS l{k}" for k in range(1, max_lag + 1))
     sums = ", ".join(f"SUM(z * l{k}) AS s{k}" for k in range(1, max_lag + 1))
@@ -407,16 +483,16 @@ df AS (SELECT store, dept, regr_slope(dy, ylag) AS b, regr_sxx(dy, ylag) AS sxx,
        regr_syy(dy, ylag) AS syy, regr_count(dy, ylag) AS n FROM dl GROUP BY 1, 2),
 dsel AS (SELECT store, dept, CASE WHEN b / sqrt((syy - b * sxy) / (n - 2) / sxx) < -2.86 THEN 0 ELSE 1 END AS dd
          FROM df)
-SELECT g.store, g.dept, CAST(arg_min(g.p, (g.aic, g.p)) AS INTEGER) AS p, CAST(MIN(g.d) AS INTEGER) AS d,
-  ROUND(MIN(g.aic), 4) AS aic
-FROM grid g JOIN dsel s ON g.store = s.store AND g.dept = s.dept AND g.d = s.dd GROUP BY 1, 2"""
+SELECT s.store, s.dept, CAST(arg_min(g.p, (g.aic, g.p)) AS INTEGER) AS p, CAST(MIN(g.d) AS INTEGER) AS d,
+  ROUND(MIN(g.aic), 4) AS aic, CASE WHEN COUNT(g.aic) = 0 THEN 'too few observations for AR order' END AS error
+FROM dsel s LEFT JOIN grid g ON g.store = s.store AND g.dept = s.dept AND g.d = s.dd AND g.n > g.p + 2 AND g.aic IS NOT NULL GROUP BY 1, 2"""
 
 
 @register("ar_order_selection", _ar_order_sql(), covers="K19 K16")
 def q_ar_order(spark, sf):
     p = lazy_panel(spark, sf)
     o = AR.choose_order(AR.order_grid(p, 3), DG.dickey_fuller(p))
-    return o.select("store", "dept", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"), r4("aic"))
+    return o.select("store", "dept", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"), r4("aic"), "error")
 
 
 def _ar_fold_ctes(seasonal: bool, pre: str, horizon_weeks: int = 13, n_splits: int = 3,
@@ -509,6 +585,96 @@ def q_sarima(spark, sf):
     return r4_cols(_score_by_series(AR.evaluate_ar1(frame, seasonal=True), "sar_1_1_1_52"), ["wmae"])
 
 
+def _ols_sql(y: str, xs: list[str]) -> tuple[str, list[str], str]:
+    """(sums, slopes, intercept) of the regression of ``y`` on ``xs`` and a constant, by determinants of centred sums."""
+    v = [y, *xs]
+    sums = ", ".join([f"SUM({a}) AS s_{a}" for a in v] + [f"SUM({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(v) for b in v[i:]])
+
+    def c(a, b):
+        a_, b_ = sorted([a, b], key=v.index)
+        return f"(s_{a_}_{b_} - s_{a_} * s_{b_} / n)"
+    xx = Q.det_sql([[c(a, b) for b in xs] for a in xs])
+    slopes = [f"({Q.det_sql([[c(a, y) if k == j else c(a, b) for k, b in enumerate(xs)] for a in xs])}) / ({xx})" for j in range(len(xs))]
+    return sums, slopes, "(s_" + y + " - " + " - ".join(f"b{j} * s_{x}" for j, x in enumerate(xs)) + ") / n"
+
+
+def _arma_ctes(long_ar: int = 4, min_rows: int = 30) -> str:
+    """Two-stage regression with the innovations written out row by row: CTEs up to ``fit``."""
+    lags = [*range(1, long_ar + 2), *range(52, 53 + long_ar)]
+    w = "OVER (PARTITION BY store, dept ORDER BY date)"
+    sums1, slopes1, c1 = _ols_sql("z0", [f"z{k}" for k in range(1, long_ar + 1)])
+    sums2, slopes2, c2 = _ols_sql("z0", ["z1", "e1", "e52"])
+    e = lambda lag: f"z{lag} - c - " + " - ".join(f"b{k - 1} * z{lag + k}" for k in range(1, long_ar + 1))
+    return _recursive_series() + ", " + _ar_fold_ctes(True, "s_") + f""",
+lv AS (SELECT *, y - lag(y, 52) {w} AS level FROM s_dense),
+z0 AS (SELECT *, level - lag(level) {w} AS z0 FROM lv),
+z AS (SELECT *, {", ".join(f"lag(z0, {k}) {w} AS z{k}" for k in lags)} FROM z0),
+j AS (SELECT z.*, f.fold, f.val_start, f.val_end FROM z JOIN s_folds f ON z.store = f.store AND z.dept = f.dept),
+tr AS (SELECT * FROM j WHERE date < val_start AND z{lags[-1]} IS NOT NULL),
+seen AS (SELECT store, dept, fold, COUNT(*) FILTER (z{lags[-1]} IS NOT NULL) AS n FROM j WHERE date < val_start GROUP BY 1, 2, 3),
+m1 AS (SELECT store, dept, fold, COUNT(*) AS n, {sums1} FROM tr GROUP BY 1, 2, 3 HAVING COUNT(*) >= {min_rows}),
+b1 AS (SELECT *, {c1} AS c FROM (SELECT *, {", ".join(f"{s} AS b{k}" for k, s in enumerate(slopes1))} FROM m1)),
+l1 AS (SELECT store, dept, fold, c, {", ".join(f"b{k}" for k in range(long_ar))} FROM b1),
+tr2 AS (SELECT tr.store, tr.dept, tr.fold, z0, z1, {e(1)} AS e1, {e(52)} AS e52
+  FROM tr JOIN l1 ON tr.store = l1.store AND tr.dept = l1.dept AND tr.fold = l1.fold),
+m2 AS (SELECT store, dept, fold, COUNT(*) AS n, {sums2} FROM tr2 GROUP BY 1, 2, 3),
+fit AS (SELECT *, {c2} AS icpt FROM (SELECT *, {", ".join(f"{s} AS b{k}" for k, s in enumerate(slopes2))} FROM m2))"""
+
+
+_FEW = "'too few observations for the two-stage fit'"
+
+
+def _arma_coefficients_sql() -> str:
+    return _arma_ctes() + f"""
+SELECT s.store, s.dept, s.fold, s.n, ROUND(f.b0, 4) AS phi, ROUND(f.b1, 4) AS theta, ROUND(f.b2, 4) AS seasonal_theta,
+  CASE WHEN f.n IS NULL THEN {_FEW} END AS error
+FROM seen s LEFT JOIN fit f ON s.store = f.store AND s.dept = f.dept AND s.fold = f.fold"""
+
+
+def _arma_forecast_sql() -> str:
+    e0 = "z0 - c - b0 * z1 - b1 * z2 - b2 * z3 - b3 * z4"
+    keys = lambda a, b: f"{a}.store = {b}.store AND {a}.dept = {b}.dept AND {a}.fold = {b}.fold"
+    w = "(CASE WHEN is_holiday IS NULL OR is_holiday THEN 5 ELSE 1 END)"
+    return _arma_ctes() + f""",
+ev AS (SELECT j.store, j.dept, j.fold, j.date, j.y, COALESCE({e0}, 0) AS e FROM j JOIN l1 ON {keys("j", "l1")} WHERE j.date < j.val_start),
+lt AS (SELECT store, dept, fold, MAX(date) AS t, arg_max(z0, date) AS zt, arg_max(level, date) AS lt FROM j WHERE date < val_start GROUP BY 1, 2, 3),
+fc AS (
+  SELECT f.store, f.dept, f.fold, 0 AS k, lt.t, lt.zt AS zk, CAST(0.0 AS DOUBLE) AS sk, icpt, b0, b1, b2 FROM fit f JOIN lt ON {keys("f", "lt")}
+  UNION ALL
+  SELECT store, dept, fold, k, t, nz, sk + nz, icpt, b0, b1, b2 FROM (
+    SELECT r.store, r.dept, r.fold, r.k + 1 AS k, r.t, r.sk, icpt, b0, b1, b2,
+      icpt + b0 * r.zk + b1 * CASE WHEN r.k = 0 THEN COALESCE(p.e, 0) ELSE 0.0 END + b2 * COALESCE(q.e, 0) AS nz
+    FROM fc r LEFT JOIN ev p ON {keys("p", "r")} AND p.date = r.t LEFT JOIN ev q ON {keys("q", "r")} AND q.date = r.t + 7 * (r.k + 1 - 52)
+    WHERE r.k < 15)),
+pr AS (SELECT j.store, j.dept, j.fold, j.y, j.is_holiday, lt.lt + fc.sk + h.y AS y_pred
+  FROM j JOIN lt ON {keys("j", "lt")} JOIN fc ON {keys("j", "fc")} AND fc.k = CAST((j.date - lt.t) / 7 AS INTEGER)
+  JOIN ev h ON {keys("j", "h")} AND h.date = j.date - 364
+  WHERE j.date >= j.val_start AND j.date <= j.val_end AND NOT j.is_filled),
+pf AS (SELECT store, dept, fold, SUM({w} * abs(y - y_pred)) / SUM({w}) AS wmae FROM pr GROUP BY 1, 2, 3),
+al AS (SELECT DISTINCT store, dept, fold FROM j WHERE date >= val_start AND date <= val_end AND NOT is_filled)
+SELECT al.store, al.dept, ROUND(AVG(wmae) / 1e4, 4) AS wmae_10k, COUNT(wmae) AS n_folds, 'sarima_1_1_1_52' AS model
+FROM al LEFT JOIN pf ON {keys("al", "pf")} GROUP BY 1, 2"""
+
+
+def _dense_and_folds(spark, sf):
+    base = panel(spark, sf).select("store", "dept", "date", "weekly_sales", "is_holiday")
+    return densify_ffill(base), SP.series_fold_bounds(base, n_splits=3, horizon_weeks=13)
+
+
+@register("arma_coefficients", _arma_coefficients_sql(), covers="K20 K25")
+def q_arma_coefficients(spark, sf):
+    """(1, 1, 1)(0, 1, 1, 52) per series and fold; a fold with too few rows keeps its row."""
+    f = AR.arma_fits(*_dense_and_folds(spark, sf))
+    return r4_cols(f.select("store", "dept", "fold", "n", "phi", "theta", "seasonal_theta", "error"), ["phi", "theta", "seasonal_theta"])
+
+
+@register("sarima_ma_walk_forward", _arma_forecast_sql(), covers="K20 K25 E8 J1 D14")
+def q_sarima_ma(spark, sf):
+    """Walk-forward WMAE (in units of 10,000) of the model with moving-average terms; a series without a fitted fold stays."""
+    s = _score_by_series(AR.evaluate_arma(*_dense_and_folds(spark, sf)), "sarima_1_1_1_52")
+    return s.select("store", "dept", r4(F.col("wmae") / 1e4, "wmae_10k"), "n_folds", "model")
+
+
 def _fold_failures_sql() -> str:
     return ("WITH RECURSIVE " + Q.with_(Q.panel_cte("brand"))[len("WITH "):] + ", " + _ar_fold_ctes(True, "s_") + """,
 pairs AS (SELECT store, dept, fold, COUNT(zl) AS n FROM s_zl GROUP BY 1, 2, 3)

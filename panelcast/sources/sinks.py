@@ -41,7 +41,25 @@ def log_frame(df: DataFrame, path: str, run: str, kind: str, key_col: str, value
      .write.mode("append").parquet(path))
 
 
-def run_summary(spark: SparkSession, path: str, kind: str = "metric") -> DataFrame:
-    """A5 summary: one row per run, one column per key (latest value)."""
+def log_runs(df: DataFrame, path: str, run_col: str, columns: dict[str, str], kind: str = "metric") -> None:
+    """A5: append one value per row and column; ``columns`` gives each column its key, ``run_col`` names the run."""
+    long = df.select(F.col(run_col).cast("string").alias("run"), *[F.col(c).cast("double").alias(k) for c, k in columns.items()])
+    (long.unpivot(["run"], list(columns.values()), "key", "value")
+     .select("run", F.lit(kind).alias("kind"), "key", "value", F.current_timestamp().alias("ts")).write.mode("append").parquet(path))
+
+
+def log_params(df: DataFrame, path: str, run_col: str, params_col: str) -> None:
+    """A5: append every parameter of a run, given as a JSON object of numbers (or numbers as text)."""
+    (df.select(F.col(run_col).cast("string").alias("run"), F.explode(F.from_json(params_col, "map<string,string>")).alias("key", "v"))
+     .select("run", F.lit("param").alias("kind"), "key", F.expr("try_cast(v AS double)").alias("value"), F.current_timestamp().alias("ts"))
+     .write.mode("append").parquet(path))
+
+
+def run_summary(spark: SparkSession, path: str, kind: str = "metric", keys: list[str] | None = None) -> DataFrame:
+    """A5 summary: one row per run, one column per key (latest value).
+
+    ``keys`` names the columns; without it the log is read once more for its distinct keys.
+    """
     log = spark.read.parquet(path).filter(F.col("kind") == kind)
-    return log.groupBy("run").pivot("key").agg(F.max_by("value", "ts"))
+    grouped = log.groupBy("run")
+    return (grouped.pivot("key", keys) if keys else grouped.pivot("key")).agg(F.max_by("value", "ts"))

@@ -210,3 +210,42 @@ def test_native_ar1_short_fold_keeps_its_rows_with_an_error(spark):
     frame = AR.fold_frame(df, n_splits=1, horizon_weeks=13, min_train=30)
     rows = AR.evaluate_ar1(frame).collect()
     assert len(rows) >= 13 and all(r["y_pred"] is None and r["error"] == "too few observations for AR order" for r in rows)
+
+
+def _planted_windows(spark, n, outliers, seed=7):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        x = rng.normal(size=12)
+        y = [0.8 * x[-1] - 0.3 * x[-4] + 0.1, 0.5 * x[-2] + 0.2 * x[0]]
+        if outliers and i % 9 == 0:
+            y = [v + 40 for v in y]
+        rows.append((x.tolist(), [float(v) for v in y], [i % 5 == 0, i % 7 == 0], 0.0, 1.0))
+    return spark.createDataFrame(rows, "x array<double>, y array<double>, h array<boolean>, x_mean double, x_std double").repartition(3)
+
+
+def test_absolute_loss_falls_and_withstands_outliers(spark):
+    w = _planted_windows(spark, 400, outliers=True)
+    fit = LN.fit_absolute(w, 2, reg=1e-6, kernel=5, max_rounds=60)
+    goals = [o for _, o in fit.rounds]
+    assert fit.converged and len(goals) > 3 and all(b <= a * (1 + 1e-12) for a, b in zip(goals, goals[1:]))
+    clean = _planted_windows(spark, 60, outliers=False, seed=11)
+    err = lambda coefs: LN.predict_windows(clean, coefs, 5).select(F.explode(F.zip_with("y", "forecast", lambda a, b: F.abs(a - b))).alias("e")).agg(F.avg("e")).first()[0]
+    assert err(fit.coefs) < 0.01 < 1 < err(LN.fit_direct(w, 2, reg=1e-6, kernel=5))
+
+
+def test_reweighting_rounds_equal_plain_loops(spark):
+    w = _planted_windows(spark, 90, outliers=True)
+    fit = LN.fit_absolute(w, 2, reg=0.05, kernel=3, delta=0.01, max_rounds=4, tol=0.0)
+    rows = w.collect()
+    for s in range(2):
+        X = np.array([[sum(r["x"][min(max(j, 0), 11)] for j in (i - 1, i, i + 1)) / 3 for i in range(12)] for r in rows])
+        X = np.hstack([X, np.array([r["x"] for r in rows]) - X])
+        Y, hw = np.array([r["y"][s] for r in rows]), np.array([5.0 if r["h"][s] else 1.0 for r in rows])
+        wt, c, b = hw, None, None
+        for _ in range(5):
+            mx, my = (wt @ X) / wt.sum(), (wt @ Y) / wt.sum()
+            c = np.linalg.solve((X - mx).T @ ((X - mx) * wt[:, None]) / hw.sum() + 0.05 * np.eye(24), (X - mx).T @ ((Y - my) * wt) / hw.sum())
+            b = my - mx @ c
+            wt = hw / np.sqrt((Y - X @ c - b) ** 2 + 0.01 ** 2)
+        assert np.allclose(fit.coefs[s][0], c, atol=1e-4) and np.isclose(fit.coefs[s][1], b, atol=1e-4)
