@@ -245,7 +245,7 @@ def order_grid(df: DataFrame, max_p: int = 3, target: str = "weekly_sales", keys
     start = F.struct(F.col("g").alias("m"), LA.diagonal_of(F.col("g")).alias("d"), F.array().cast("array<double>").alias("rss"))
     rss = F.aggregate(F.sequence(F.lit(0), F.lit(max_p)), start, step, lambda acc: acc["rss"])
     n = F.coalesce(F.col("g")[0][0], F.lit(0.0))
-    e = g.select(*keys, "d", n.alias("n"), F.posexplode(rss).alias("p", "ssr"))
+    e = g.select(*keys, "d", n.alias("n"), F.posexplode_outer(rss).alias("p", "ssr"))
     few = F.col("n") <= F.col("p") + 2
     aic = F.col("n") * F.ln(F.greatest("ssr", F.lit(1e-300)) / F.col("n")) + 2 * (F.col("p") + 1)
     error = F.when(few, F.lit("too few observations for AR order")).when(F.col("ssr").isNull(), F.lit("no unique fit"))
@@ -270,7 +270,8 @@ def choose_order(grid: DataFrame, df_test: DataFrame | None = None, keys=S.KEYS)
 
 # ---- moving-average terms ------------------------------------------------------
 
-LONG_AR = 4
+#: Lags of the first stage.
+LONG_AR = (1, 2, 3, 4)
 
 
 def _differenced(df: DataFrame, target: str, keys, s: int, seasonal: bool, lags: list[int]) -> DataFrame:
@@ -284,12 +285,13 @@ def _differenced(df: DataFrame, target: str, keys, s: int, seasonal: bool, lags:
     return f.select("*", *[F.lag("z0", k).over(w).alias(f"z{k}") for k in lags])
 
 
-def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: int = LONG_AR, min_rows: int = 30,
+def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: tuple[int, ...] = LONG_AR, min_rows: int = 30,
               target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
     """Order (1, 1, 1)(0, 1, 1, s), or (1, 1, 1) without ``seasonal``, per (series, fold) by two-stage regression.
 
-    Stage one regresses the difference z on ``long_ar`` lags; its residuals are
-    the innovations e. Stage two regresses z on a constant, z's lag, e's lag and,
+    Stage one regresses the difference z on its lags ``long_ar``; its residuals are
+    the innovations e. (With ``s`` among these lags they come closer to the true
+    ones and the seasonal term to its true size, for ``s`` rows less.) Stage two regresses z on a constant, z's lag, e's lag and,
     if seasonal, e's lag ``s``. An innovation is a linear map of lags of z, so
     both stages come from one array of cross-products per (series, fold), and
     stage two's is a quadratic form of it. No row is read twice.
@@ -297,9 +299,8 @@ def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int
     ``dense`` has weekly rows without gaps (``is_filled`` marks filled ones). Columns: keys, fold, val_start, val_end, n, phi, theta,
     seasonal_theta, intercept, long (stage one: constant and lags) and error.
     """
-    near = list(range(1, long_ar + 2))
-    far = list(range(s, s + long_ar + 1)) if seasonal else []
-    lags = near + far
+    back = [1, s] if seasonal else [1]
+    lags = sorted({*long_ar, *back, *[at + k for at in back for k in long_ar]})
     z = _differenced(dense, target, keys, s, seasonal, lags)
     names = ["one", "z0", *[f"z{k}" for k in lags]]
     at = {n: i for i, n in enumerate(names)}
@@ -307,18 +308,19 @@ def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int
     values = [F.lit(1.0), *[F.col(n) for n in names[1:]]]
     g = j.groupBy(*keys, "fold", "val_start", "val_end").agg(LA.gram(values).alias("g"))
 
-    first = [at["one"], *[at[f"z{k}"] for k in range(1, long_ar + 1)], at["z0"]]
+    first = [at["one"], *[at[f"z{k}"] for k in long_ar], at["z0"]]
+    order = len(long_ar)
     g1 = F.array(*[F.array(*[F.col("g")[a][b] for b in first]) for a in first])
-    m1 = LA.regressed(F.col("g1"), long_ar + 1)
-    long_coefs = F.array(*[F.col("m1")[i][long_ar + 1] for i in range(long_ar + 1)])
+    m1 = LA.regressed(F.col("g1"), order + 1)
+    long_coefs = F.array(*[F.col("m1")[i][order + 1] for i in range(order + 1)])
 
     def innovation(lag: int) -> Column:
         """e at a lag as a row map of the values: z's lag less the constant and the coefficients of the lags behind it."""
         row = [F.lit(0.0)] * len(names)
         row[at["one"]] = -F.col("long")[0]
         row[at[f"z{lag}"]] = F.lit(1.0)
-        for k in range(1, long_ar + 1):
-            row[at[f"z{lag + k}"]] = -F.col("long")[k]
+        for i, k in enumerate(long_ar, 1):
+            row[at[f"z{lag + k}"]] = -F.col("long")[i]
         return F.array(*row)
 
     def unit(name: str) -> Column:
@@ -340,7 +342,7 @@ def arma_fits(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int
     return f.withColumn("error", error).select(*head, keep("intercept"), keep("phi"), keep("theta"), keep("seasonal_theta"), keep("long"), "error")
 
 
-def evaluate_arma(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: int = LONG_AR, min_rows: int = 30,
+def evaluate_arma(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, long_ar: tuple[int, ...] = LONG_AR, min_rows: int = 30,
                   target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
     """K20 + K25: forecasts of the observed validation rows of every (series, fold) by ``arma_fits``; schema as ``evaluate_ar``.
 
@@ -350,15 +352,14 @@ def evaluate_arma(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s:
     an ``error``.
     """
     fits = arma_fits(dense, folds, seasonal, s, long_ar, min_rows, target, keys)
-    lags = list(range(1, long_ar + 1))
-    z = _differenced(dense, target, keys, s, seasonal, lags).withColumn("day", F.unix_date("date"))
+    z = _differenced(dense, target, keys, s, seasonal, list(long_ar)).withColumn("day", F.unix_date("date"))
     ks = [*keys, "fold"]
     j = z.join(fits, keys).filter(F.col("date") <= F.col("val_end"))
     j = j.withColumn("last", F.unix_date("val_start"))
     train = F.col("date") < F.col("val_start")
     e = F.col("z0") - F.col("long")[0]
-    for k in lags:
-        e = e - F.col("long")[k] * F.col(f"z{k}")
+    for i, k in enumerate(long_ar, 1):
+        e = e - F.col("long")[i] * F.col(f"z{k}")
     recent = train & (F.col("day") >= F.col("last") - 7 * (s + 1))
     head = ["intercept", "phi", "theta", "seasonal_theta", "error"]
     g = j.groupBy(*ks).agg(

@@ -1,11 +1,14 @@
 """Feature builder as a ``pyspark.ml`` Estimator / Model.
 
-``fit`` snapshots the state the serving path needs (prior-year history and
-frozen dept/store averages, T8); ``transform`` merges exogenous tables,
-cleans, derives calendar and holiday features and looks the state up by
-key. The state tables have one row per (series, week), dept and store: they
-are joined, never collected. A custom writer stores them as parquet so the
-stage round-trips inside a saved ``PipelineModel``.
+``fit`` writes the state the serving path needs: sums and counts per (series,
+year, week) for the prior-year value, and per (dept, date) and (store, date)
+for the frozen averages (T8). ``update`` adds the sums of new weeks, so a week's
+run reads the new rows and the state, not all history; fitting on A and
+updating with B is fitting on A and B. ``transform`` merges exogenous tables,
+cleans, derives calendar and holiday features and looks the state up by key.
+The state is checkpointed once when it is made and joined, never collected. A
+custom writer stores it as parquet so the stage round-trips inside a saved
+``PipelineModel``.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from ..functions.calendar import days_to_nearest_holiday, holiday_flags
 from ..operators import features as FE
 from ..operators import frozen as FZ
 from ..operators import prep as P
+from ..session import materialize
 
 # The reference's full (24) and pruned (16) feature lists, in
 # library column names.
@@ -90,12 +94,7 @@ class PanelFeatureBuilder(Estimator, _BuilderParams, MLWritable, MLReadable):
         self._set(**kwargs)
 
     def _fit(self, dataset: DataFrame) -> "PanelFeatureModel":
-        hist = (dataset.groupBy("store", "dept", (F.year("date") + 1).alias("_year"),
-                                F.weekofyear("date").alias("_week"))
-                .agg(F.avg("weekly_sales").alias("sales_lag_52wk")))
-        dept = FZ.frozen_group_average(dataset, "dept")
-        store = FZ.frozen_group_average(dataset, "store")
-        m = PanelFeatureModel(self.features_df, self.stores_df, hist, dept, store)
+        m = PanelFeatureModel(self.features_df, self.stores_df, **{k: materialize(v) for k, v in state_of(dataset).items()})
         return self._copyValues(m)
 
     def write(self):
@@ -106,15 +105,33 @@ class PanelFeatureBuilder(Estimator, _BuilderParams, MLWritable, MLReadable):
         return _StateReader(cls)
 
 
+STATE_KEYS = {"history": ["store", "dept", "_year", "_week"], "dept_sums": ["dept", "date"], "store_sums": ["store", "date"]}
+
+
+def state_of(rows: DataFrame) -> dict[str, DataFrame]:
+    """The builder's state of some rows: sums and counts, which add up over any split of the rows."""
+    history = (rows.groupBy("store", "dept", (F.year("date") + 1).alias("_year"), F.weekofyear("date").alias("_week"))
+               .agg(F.sum("weekly_sales").alias("total"), F.count("weekly_sales").alias("n")))
+    return {"history": history, "dept_sums": FZ.date_sums(rows, "dept"), "store_sums": FZ.date_sums(rows, "store")}
+
+
 class PanelFeatureModel(Model, _BuilderParams, MLWritable, MLReadable):
-    """K2 fitted state: history, frozen dept and store averages (plus the dimension tables)."""
+    """K2 fitted state (``state_of``) plus the dimension tables."""
 
-    def __init__(self, features: DataFrame | None = None, stores: DataFrame | None = None,
-                 history: DataFrame | None = None, dept_avg: DataFrame | None = None,
-                 store_avg: DataFrame | None = None):
+    def __init__(self, features: DataFrame | None = None, stores: DataFrame | None = None, history: DataFrame | None = None,
+                 dept_sums: DataFrame | None = None, store_sums: DataFrame | None = None):
         super().__init__()
         self.features_df, self.stores_df = features, stores
-        self.history_df, self.dept_avg_df, self.store_avg_df = history, dept_avg, store_avg
+        self.history_df, self.dept_sums_df, self.store_sums_df = history, dept_sums, store_sums
+
+    def state(self) -> dict[str, DataFrame]:
+        return {"history": self.history_df, "dept_sums": self.dept_sums_df, "store_sums": self.store_sums_df}
+
+    def update(self, rows: DataFrame) -> "PanelFeatureModel":
+        """A model whose state also covers ``rows`` (rows that the state has not seen yet)."""
+        new = state_of(rows)
+        added = {k: materialize(FZ.add_sums(old, new[k], STATE_KEYS[k])) for k, old in self.state().items()}
+        return self._copyValues(PanelFeatureModel(self.features_df, self.stores_df, **added))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         df = dataset
@@ -122,17 +139,16 @@ class PanelFeatureModel(Model, _BuilderParams, MLWritable, MLReadable):
             df = P.clean_data(P.merge_all(df, self.features_df, self.stores_df))
         df = calendar_features(df, self.holiday_list())
         keyed = df.withColumn("_year", F.year("date")).withColumn("_week", F.weekofyear("date"))
-        df = keyed.join(self.history_df, ["store", "dept", "_year", "_week"], "left").drop("_year", "_week")
-        df = FZ.lookup_snapshot(df, self.dept_avg_df, "dept")
-        df = FZ.lookup_snapshot(df, self.store_avg_df, "store")
+        prior = self.history_df.select(*STATE_KEYS["history"], F.try_divide("total", F.col("n")).alias("sales_lag_52wk"))
+        df = keyed.join(prior, STATE_KEYS["history"], "left").drop("_year", "_week")
+        df = FZ.lookup_snapshot(df, FZ.frozen_from_sums(self.dept_sums_df, "dept"), "dept")
+        df = FZ.lookup_snapshot(df, FZ.frozen_from_sums(self.store_sums_df, "store"), "store")
         feats = self.getOrDefault(self.outputFeatures)
         keep = [c for c in PASSTHROUGH if c in df.columns and c not in feats]
         return df.select(*keep, *feats)
 
     def write(self):
-        return _StateWriter(self, {"features": self.features_df, "stores": self.stores_df,
-                                   "history": self.history_df, "dept_avg": self.dept_avg_df,
-                                   "store_avg": self.store_avg_df})
+        return _StateWriter(self, {"features": self.features_df, "stores": self.stores_df, **self.state()})
 
     @classmethod
     def read(cls):
@@ -166,8 +182,7 @@ class _StateReader(MLReader):
         spark: SparkSession = self.sparkSession
         t = {n: spark.read.parquet(os.path.join(path, n)) for n in meta.get("tables", [])}
         if self.cls is PanelFeatureModel:
-            inst = PanelFeatureModel(t.get("features"), t.get("stores"), t.get("history"),
-                                     t.get("dept_avg"), t.get("store_avg"))
+            inst = PanelFeatureModel(t.get("features"), t.get("stores"), **{k: t.get(k) for k in STATE_KEYS})
         else:
             inst = PanelFeatureBuilder(features=t.get("features"), stores=t.get("stores"))
         DefaultParamsReader.getAndSetParams(inst, meta)

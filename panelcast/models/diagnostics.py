@@ -70,12 +70,14 @@ def partial_autocorrelation(acf: DataFrame, keys=S.KEYS) -> DataFrame:
                         F.concat(acc["out"], F.array(a)).alias("out"))
 
     empty = F.array().cast("array<double>")
-    start = F.struct(F.lit(None).cast("double").alias("a"), empty.alias("phi"), F.lit(1.0).alias("v"), F.array(F.lit(1.0)).alias("out"))
+    # the start's types must admit the NULLs of later turns
+    one = F.concat(empty, F.array(F.lit(1.0)))
+    start = F.struct(F.lit(None).cast("double").alias("a"), empty.alias("phi"), F.try_element_at(one, F.lit(1)).alias("v"), one.alias("out"))
     # two steps a lag: the new coefficient, then the arrays that use it, so that it is computed once
     turns = F.sequence(F.lit(2), 2 * F.size("r") - 1)
     run = F.aggregate(turns, start, lambda acc, t: F.when(t % 2 == 0, step(acc, (t / 2).cast("int"))).otherwise(renew(acc)), lambda acc: acc["out"])
-    solved = g.select(*keys, F.when(F.size("r") > 1, run).otherwise(F.array(F.lit(1.0))).alias("p"))
-    return solved.select(*keys, F.posexplode("p").alias("lag", "pacf"))
+    solved = g.select(*keys, F.when(F.size("r") > 1, run).otherwise(one).alias("p"))
+    return solved.select(*keys, F.posexplode_outer("p").alias("lag", "pacf"))  # outer: no filter that evaluates the recursion again
 
 
 def seasonal_decompose(df: DataFrame, period: int = 52, target: str = "weekly_sales", keys=S.KEYS,

@@ -15,6 +15,7 @@ import json
 import os
 import uuid
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,14 @@ def q_encode(spark, sf):
     return out.select("store", "dept", "type", "store__idx", "dept__idx", "type__idx").distinct()
 
 
-def _checked_table_sql() -> str:
+def _at_region(sql: str) -> str:
+    """The same SQL over the region grain."""
+    for cte in (Q.panel_cte, Q.features_cte, Q.stores_cte):
+        sql = sql.replace(cte("nation"), cte("region"))
+    return sql
+
+
+def _checked_table_sql(columns: list[str]) -> str:
     flag = lambda n: f"date IN ({', '.join(chr(39) + d + chr(39) + '::DATE' for h, d in PANEL_HOLIDAYS if h == n)}) AS is_{n}"
     mean = lambda c: f"floor({c} * 100 + 0.5) / 100 AS {c}"
     own = {"year": "CAST(year(date) AS INTEGER) AS year", "month": "CAST(month(date) AS INTEGER) AS month", "week": "CAST(week(date) AS INTEGER) AS week",
@@ -79,33 +87,96 @@ def _checked_table_sql() -> str:
     parts = ["clean_data", "prior_year_lag", "expanding_dept_avg", "expanding_store_avg"]
     lag = f"SELECT store, dept, date, sales_lag_52wk FROM ({ORACLE['prior_year_lag']})"
     tables = [f"({lag if p == 'prior_year_lag' else ORACLE[p]})" for p in parts]
-    return ("SELECT date, " + ", ".join(own.get(c, c) for c in B.ALL_FEATURES) + " FROM " + tables[0]
+    return ("SELECT date, " + ", ".join(own.get(c, c) for c in columns) + " FROM " + tables[0]
             + "".join(f" JOIN {t} USING (store, dept, date)" for t in tables[1:]) + f" JOIN ({ORACLE['holiday_proximity']}) USING (date)")
 
 
-@register("feature_table_checked", _checked_table_sql(), covers="B15 C4 C5 C11 E4 E5 H2 H11 H12")
-def q_feature_table_checked(spark, sf):
-    """The 24-column table at nation grain; averages to cents, other numbers to 4 places."""
-    t = B.feature_table(panel(spark, sf), TP.features_table(spark, sf), TP.stores_table(spark, sf), PANEL_HOLIDAYS)
+def _checked(t: DataFrame, columns: list[str]) -> DataFrame:
+    """Averages to cents, flags as booleans, other numbers to 4 places."""
     def out(c):
         if c.endswith("_expanding"):
             return (F.floor(r4(c) * 100 + 0.5) / 100).alias(c)
         if c.startswith("is_"):
             return F.col(c).cast("boolean").alias(c)
         return r4(c) if t.schema[c].dataType.simpleString() == "double" else F.col(c)
-    return t.select("date", *[out(c) for c in B.ALL_FEATURES])
+    return t.select("date", *[out(c) for c in columns])
+
+
+@register("feature_table_checked", _checked_table_sql(B.ALL_FEATURES), covers="B15 C4 C5 C11 E4 E5 H2 H11 H12")
+def q_feature_table_checked(spark, sf):
+    """The 24-column table at nation grain."""
+    return _checked(B.feature_table(panel(spark, sf), TP.features_table(spark, sf), TP.stores_table(spark, sf), PANEL_HOLIDAYS), B.ALL_FEATURES)
 
 
-@register("feature_table_all", None, covers="B15 C11 H12 H2")
+@register("feature_table_all", _at_region(_checked_table_sql(B.ALL_FEATURES)), covers="B15 C11 H12 H2")
 def q_feature_table(spark, sf):
     p, f, s = _region(spark, sf)
-    return B.feature_table(p, f, s, PANEL_HOLIDAYS).select("date", *B.ALL_FEATURES)
+    return _checked(B.feature_table(p, f, s, PANEL_HOLIDAYS), B.ALL_FEATURES)
 
 
-@register("feature_table_pruned", None, covers="B15")
+@register("feature_table_pruned", _at_region(_checked_table_sql(B.PRUNED_FEATURES)), covers="B15")
 def q_feature_table_pruned(spark, sf):
     p, f, s = _region(spark, sf)
-    return B.feature_table(p, f, s, PANEL_HOLIDAYS).select("date", *B.PRUNED_FEATURES)
+    return _checked(B.feature_table(p, f, s, PANEL_HOLIDAYS), B.PRUNED_FEATURES)
+
+
+def _frozen_sql() -> str:
+    """Serving features of the withheld weeks from all history before them (cents averages over exact sums)."""
+    split = f"cut AS (SELECT MAX(date) - {7 * TP.TEST_WEEKS} AS c FROM panel), train AS (SELECT p.* FROM panel p, cut WHERE p.date <= cut.c)"
+    def frozen(g):
+        return f"""{g}_d AS (SELECT {g}, date, AVG(cents) AS m FROM tc GROUP BY 1, 2),
+{g}_r AS (SELECT {g}, m, row_number() OVER (PARTITION BY {g} ORDER BY date DESC) AS rn, COUNT(*) OVER (PARTITION BY {g}) AS n FROM {g}_d),
+{g}_s AS (SELECT {g}, AVG(m) / 100.0 AS v FROM {g}_r WHERE rn > 1 OR n = 1 GROUP BY 1)"""
+    last = lambda c: f"last_value({c} IGNORE NULLS) OVER (PARTITION BY t.store ORDER BY t.date, t.dept ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    day = ", ".join(f"DATE '{d}'" for n, d in PANEL_HOLIDAYS if n == "thanksgiving")
+    return Q.with_(Q.panel_cte("nation"), Q.features_cte("nation"), Q.stores_cte("nation"), split) + f""",
+tc AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents FROM train),
+hist AS (SELECT store, dept, year(date) + 1 AS y, week(date) AS wk, AVG(cents) / 100.0 AS lag52 FROM tc GROUP BY 1, 2, 3, 4),
+{frozen("dept")},
+{frozen("store")},
+c AS (SELECT t.store, t.dept, t.date, s.type, s.size, f.temperature, f.fuel_price, {last("f.cpi")} AS cpi, {last("f.unemployment")} AS unemployment,
+  COALESCE(f.markdown3, 0) AS markdown3
+  FROM panel t JOIN cut ON t.date > cut.c LEFT JOIN features f ON t.store = f.store AND t.date = f.date LEFT JOIN stores s ON t.store = s.store)
+SELECT c.store, c.dept, c.date, c.type, c.size, ROUND(c.temperature, 4) AS temperature, ROUND(c.fuel_price, 4) AS fuel_price, ROUND(c.cpi, 4) AS cpi,
+  ROUND(c.unemployment, 4) AS unemployment, ROUND(c.markdown3, 4) AS markdown3, CAST(month(c.date) AS INTEGER) AS month, CAST(week(c.date) AS INTEGER) AS week,
+  ROUND(h.lag52, 4) AS sales_lag_52wk, c.date IN ({day}) AS is_thanksgiving, {Q.nearest_holiday_sql("c.date", PANEL_HOLIDAYS)} AS days_to_nearest_holiday,
+  ROUND(ds.v, 4) AS dept_avg_sales_expanding, ROUND(ss.v, 4) AS store_avg_sales_expanding
+FROM c LEFT JOIN hist h ON h.store = c.store AND h.dept = c.dept AND h.y = year(c.date) AND h.wk = week(c.date)
+  LEFT JOIN dept_s ds ON ds.dept = c.dept LEFT JOIN store_s ss ON ss.store = c.store"""
+
+
+def _updated_builder(spark, sf):
+    """A builder fitted on the older train weeks and updated twice with newer ones, in cents; and the withheld weeks."""
+    train, test = TP.train_test_split(panel(spark, sf), unseen=None)
+    cents = train.withColumn("weekly_sales", (F.round(F.col("weekly_sales") * 100)).cast("double"))
+    last = train.agg(F.max("date")).scalar()
+    age = F.datediff(last, F.col("date"))
+    builder = B.PanelFeatureBuilder(features=TP.features_table(spark, sf), stores=TP.stores_table(spark, sf), holidays=json.dumps(PANEL_HOLIDAYS))
+    model = builder.fit(cents.filter(age >= 7 * 52))
+    return model.update(cents.filter((age < 7 * 52) & (age >= 7 * 10))).update(cents.filter(age < 7 * 10)), test
+
+
+def _frozen_out(t: DataFrame) -> DataFrame:
+    money = ["sales_lag_52wk", "dept_avg_sales_expanding", "store_avg_sales_expanding"]
+    own = {c: r4(F.col(c) / 100, c) for c in money} | {"is_thanksgiving": F.col("is_thanksgiving").cast("boolean").alias("is_thanksgiving")}
+    own |= {c: r4(c) for c in ("temperature", "fuel_price", "cpi", "unemployment", "markdown3")}
+    return t.select("date", *[own.get(c, F.col(c)) for c in B.PRUNED_FEATURES])
+
+
+@register("builder_frozen_features", _frozen_sql(), covers="K2 T8 C6 D19 L5")
+def q_builder_frozen(spark, sf):
+    """Serving features of the withheld weeks: a state fitted on old weeks and updated with new ones equals one over all history."""
+    model, test = _updated_builder(spark, sf)
+    return _frozen_out(model.transform(test))
+
+
+@register("saved_builder_parity", _frozen_sql(), covers="A6 K11 L6")
+def q_saved_builder(spark, sf):
+    """The same from a saved and reloaded pipeline."""
+    model, test = _updated_builder(spark, sf)
+    path = shared_path(spark, "builder")
+    PipelineModel(stages=[model]).write().save(path)
+    return _frozen_out(PipelineModel.load(path).transform(test))
 
 
 def _gbt_cv(spark, sf, features):

@@ -249,3 +249,24 @@ def test_reweighting_rounds_equal_plain_loops(spark):
             b = my - mx @ c
             wt = hw / np.sqrt((Y - X @ c - b) ** 2 + 0.01 ** 2)
         assert np.allclose(fit.coefs[s][0], c, atol=1e-4) and np.isclose(fit.coefs[s][1], b, atol=1e-4)
+
+
+def test_updated_builder_equals_one_fit(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    df = _constructed(spark, n_series=3, n=130)
+    extra = spark.createDataFrame([(9, 7, D0 + dt.timedelta(days=7 * 110), None, False), (9, 8, D0 + dt.timedelta(days=7 * 3), 5.0, True)], df.schema)
+    df = df.unionByName(extra)
+    cuts = [D0 + dt.timedelta(days=7 * k) for k in (60, 61, 118)]
+    test = df.filter(F.col("date") >= F.lit(cuts[2]))
+    feats = ["store", "dept", "sales_lag_52wk", "dept_avg_sales_expanding", "store_avg_sales_expanding"]
+    b = B.PanelFeatureBuilder(outputFeatures=feats, holidays=json.dumps(REFERENCE_HOLIDAYS))
+    part = lambda lo, hi: df.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
+    whole = b.fit(part(D0, cuts[2]))
+    split = b.fit(part(D0, cuts[0])).update(part(cuts[0], cuts[1])).update(part(cuts[1], cuts[2])).update(df.limit(0))
+    PipelineModel(stages=[split]).write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).stages[0].update(df.limit(0))
+    frames = [m.transform(test).orderBy("store", "dept", "date").toPandas() for m in (whole, split, again)]
+    for f in feats[2:]:
+        for other in frames[1:]:
+            assert np.allclose(frames[0][f].to_numpy(dtype=float), other[f].to_numpy(dtype=float), equal_nan=True)
+    assert frames[0]["sales_lag_52wk"].notna().any()
