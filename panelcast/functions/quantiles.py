@@ -6,7 +6,9 @@ rank is located by histogram refinement, one path for any size: each pass is
 one distributed aggregate (counts, min, max per bucket of the current bracket)
 that narrows every target rank to one bucket, until the bracket is a single
 value. The bracket's ends are values of the data and fall into its first and
-last bucket, so every pass narrows it. Values must be finite. Interpolation is
+last bucket, so every pass narrows it. Without groups the brackets (two a
+quantile) are literals of the next pass, which then needs no join; with groups
+they are a small table joined on the group. Values must be finite. Interpolation is
 linear between the values at ranks floor(p * (n - 1)) and ceil(p * (n - 1)),
 like ``percentile`` and SQL ``quantile_cont``.
 """
@@ -45,7 +47,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
     open_ = F.col("lo") < F.col("hi")
     while st.filter(open_).limit(1).count():
         o, done = st.filter(open_), st.filter(~open_)
-        j = x.join(o, keys).filter(F.col("_x").between(F.col("lo"), F.col("hi")))
+        if by:
+            j = x.join(o, keys).filter(F.col("_x").between(F.col("lo"), F.col("hi")))
+        else:
+            brackets = F.array(*[F.struct(F.lit(r["prob"]).alias("prob"), F.lit(r["side"]).alias("side"), F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi"))
+                                 for r in o.collect()])  # two rows a quantile
+            j = x.select(_G, "_x", F.explode(F.filter(brackets, lambda t: F.col("_x").between(t["lo"], t["hi"]))).alias("_t")).select(_G, "_x", "_t.*")
         wide = F.col("hi") / 4 - F.col("lo") / 4 > 1e307  # the difference itself could overflow
         share = F.when(wide, (F.col("_x") / 4 - F.col("lo") / 4) / (F.col("hi") / 4 - F.col("lo") / 4)).otherwise(
             (F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")))

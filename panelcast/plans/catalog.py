@@ -71,4 +71,4 @@ def r4_cols(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_core, q_audit, q_series, q_eval, q_models, q_sources  # noqa: F401
+    from . import q_core, q_audit, q_series, q_eval, q_models, q_sources, q_joins  # noqa: F401
