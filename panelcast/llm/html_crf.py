@@ -395,7 +395,7 @@ class _PlainWriter(_Writer):
             self.out.append("</div>" if wrap else "")
             return
         table, cell = r.random() < 0.25, r.random()
-        tag = "td" if table else "div"
+        tag = "td" if table else r.choice(("div", "div", "div", "section"))
         head = [k for k in ("brand", "links") if r.random() < 0.45]
         tail = [k for k in ("links", "imprint") if r.random() < 0.5]
         if table:
