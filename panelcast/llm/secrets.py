@@ -59,11 +59,30 @@ PROSE_IC = 0.066
 PROSE_CHANGE = 0.1
 
 
-def _matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, end, value) of the leftmost matches; value is ``group``. Code points, end exclusive."""
+#: Array steps copy what they have so far; in runs of this many the copies stay short.
+CHUNK = 512
+
+
+def _held(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, out of a generator of one row: lambdas then read their values and do not evaluate them for each element."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def _pieces(text: Column, pattern: str, group: int = 0) -> Column:
+    """The gaps before the leftmost matches, the matches and their ``group``, in order; empty if there is none."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
+    return F.when(text.rlike(pattern), pieces).otherwise(F.array().cast("array<struct<gap:string,whole:string,value:string>>"))
+
+
+def _runs(array: Column) -> Column:
+    """``array`` (a column that is held) in runs of ``CHUNK``; not for an empty one."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(array) - 1) / CHUNK).cast("int")), lambda b: F.slice(array, b * CHUNK + 1, CHUNK))
+
+
+def _matches(pieces: Column) -> Column:
+    """Array of (start, end, value) of the matches in held ``pieces``. Code points, end exclusive; time in proportion to their number."""
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def step(acc: Column, x: Column) -> Column:
@@ -72,8 +91,23 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
         added = F.when(x["whole"].isNotNull(), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))))
         return F.struct(end.alias("at"), added.otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    def join(acc: Column, run: Column) -> Column:
+        moved = F.transform(run["out"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), (m["end"] + acc["at"]).alias("end"), m["value"].alias("value")))
+        return F.struct((acc["at"] + run["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    runs = F.transform(_runs(pieces), lambda run: F.aggregate(run, F.struct(F.lit(0).alias("at"), empty.alias("out")), step))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int,value:string>>>").alias("out"))
+    return F.when(F.size(pieces) > 0, F.aggregate(runs, start, join, lambda a: F.flatten(a["out"]))).otherwise(empty)
+
+
+def _apart(cand: Column, base: Column) -> Column:
+    """Of held ``cand``, in order, those that overlap none of held ``base``; a run looks only at the spans near it."""
+    def clear(run: Column) -> Column:
+        near = F.filter(base, lambda b: (b["start"] < F.element_at(run, -1)["end"]) & (b["end"] > run[0]["start"]))
+        # arrays of one element bind what the inner lambda reads
+        return F.transform(F.array(near), lambda spans: F.filter(run, lambda x: ~F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))))[0]
+
+    return F.when((F.size(cand) > 0) & (F.size(base) > 0), F.flatten(F.transform(_runs(cand), clear))).otherwise(cand)
 
 
 def _tagged(spans: Column, kind: str) -> Column:
@@ -98,33 +132,34 @@ def _fisher(*ps: Column) -> Column:
 
 def battery(tokens: DataFrame) -> DataFrame:
     """``tokens`` (a column ``value``) with encoding, n, p_uniform, p_runs, p_serial, p_random, p_prose."""
-    body = F.regexp_replace("value", "=+$", "")
     enc, alpha = F.lit("mixed"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=")
     for name, letters in reversed(ALPHABETS):
         fits = F.translate(F.col("__body"), letters, "") == ""
         enc, alpha = F.when(fits, name).otherwise(enc), F.when(fits, letters).otherwise(alpha)
-    df = tokens.withColumn("__body", body).withColumn("encoding", enc).withColumn("__alpha", alpha)
-    df = df.withColumn("__ch", F.split("__body", "")).withColumn("n", F.greatest(F.char_length("__body"), F.lit(2)))
-    df = df.withColumn("__ix", F.transform("__ch", lambda c: F.instr(F.col("__alpha"), c).cast("double")))
-    k, n = F.char_length("__alpha").cast("double"), F.col("n").cast("double")
+    df = _held(tokens, __body=F.regexp_replace("value", "=+$", ""))
+    df = _held(df, encoding=enc, __alpha=alpha, __ch=F.split("__body", ""), n=F.greatest(F.char_length("__body"), F.lit(2)))
+    kind = F.transform("__ch", lambda c: F.when(c.rlike("[0-9]"), 0).when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3))
+    df = _held(df, __k=F.char_length("__alpha").cast("double"), __ix=F.transform("__ch", lambda c: F.instr(F.col("__alpha"), c).cast("double")), __kind=kind)
+    k, n = F.col("__k"), F.col("n").cast("double")
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    after = lambda a: F.slice(a, F.lit(2), F.size(a))
+
+    def count(letter: Column) -> Column:
+        return F.when(letter == "", 1).otherwise(F.char_length("__body") - F.char_length(F.replace(F.col("__body"), letter, F.lit(""))))
+
     squares = F.aggregate(F.array_distinct("__ch"), F.lit(0.0),
-                          lambda a, d: a + F.pow(F.size(F.filter(F.col("__ch"), lambda c: c == d)).cast("double"), F.lit(2.0)))
-    df = df.withColumn("__chi", k / n * squares - n)
-    mean = F.aggregate("__ix", F.lit(0.0), lambda a, x: a + x) / n
-    df = df.withColumn("__mean", mean)
-    df = df.withColumn("__dev", F.transform("__ix", lambda x: x - F.col("__mean")))
-    df = df.withColumn("__var", F.aggregate("__dev", F.lit(0.0), lambda a, x: a + x * x))
-    lagged = F.aggregate(F.transform("__dev", lambda x, i: x * F.coalesce(F.get(F.col("__dev"), i + 1), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
-    df = df.withColumn("__r", F.when(F.col("__var") > 0, lagged / F.col("__var")).otherwise(F.lit(1.0)))
-    high = F.transform("__ix", lambda x: x > k / 2)
-    df = df.withColumn("__hi", high)
-    n1 = F.size(F.filter("__hi", lambda x: x)).cast("double")
-    runs = F.size(F.filter(F.transform("__hi", lambda x, i: x != F.get(F.col("__hi"), i + 1)), lambda x: x)).cast("double") + 1
+                          lambda a, d: a + F.pow(count(d).cast("double"), F.lit(2.0)))
+    df = _held(df, __chi=k / n * squares - n, __mean=total("__ix") / n, __hi=F.transform("__ix", lambda x: x > k / 2))
+    df = _held(df, __dev=F.transform("__ix", lambda x: x - F.col("__mean")))
+    lagged = total(F.zip_with("__dev", after("__dev"), lambda x, y: x * F.coalesce(y, F.lit(0.0))))
+    df = _held(df, __var=F.aggregate("__dev", F.lit(0.0), lambda a, x: a + x * x), __lagged=lagged)
+    differ = lambda a: F.size(F.filter(F.zip_with(a, after(a), lambda x, y: x != y), lambda x: x)).cast("double")
+    df = _held(df, __r=F.when(F.col("__var") > 0, F.col("__lagged") / F.col("__var")).otherwise(F.lit(1.0)),
+               __n1=F.size(F.filter("__hi", lambda x: x)).cast("double"), __runs=differ("__hi") + 1, __changes=differ("__kind"))
+    n1, changes = F.col("__n1"), F.col("__changes")
     mu = 2 * n1 * (n - n1) / n + 1
     sd = F.sqrt(F.greatest((mu - 1) * (mu - 2) / (n - 1), F.lit(1e-9)))
-    kind = F.transform("__ch", lambda c: F.when(c.rlike("[0-9]"), 0).when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3))
-    df = df.withColumn("__zr", F.when((n1 > 0) & (n1 < n), F.abs(runs - mu) / sd).otherwise(F.lit(20.0))).withColumn("__kind", kind)
-    changes = F.size(F.filter(F.transform("__kind", lambda x, i: x != F.get(F.col("__kind"), i + 1)), lambda x: x)).cast("double")
+    df = df.withColumn("__zr", F.when((n1 > 0) & (n1 < n), F.abs(F.col("__runs") - mu) / sd).otherwise(F.lit(20.0)))
     chi_sd = F.sqrt(2 * (k - 1))
     df = (df.withColumn("p_uniform", _upper_tail((F.col("__chi") - (k - 1)) / chi_sd))
           .withColumn("p_runs", F.least(F.lit(1.0), 2 * _upper_tail(F.col("__zr"))))
@@ -133,7 +168,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     p_flat = _upper_tail((prose_chi - F.col("__chi")) / chi_sd)
     p_change = _upper_tail((changes - PROSE_CHANGE * n) / F.sqrt(PROSE_CHANGE * (1 - PROSE_CHANGE) * n))
     df = df.withColumn("p_random", _fisher(F.col("p_uniform"), F.col("p_runs"), F.col("p_serial"))).withColumn("p_prose", _fisher(p_flat, p_change))
-    return df.drop("__body", "__alpha", "__ch", "__ix", "__chi", "__mean", "__dev", "__var", "__r", "__hi", "__zr", "__kind")
+    return df.select(*[c for c in df.columns if not c.startswith("__")])
 
 
 def _stratum(n: Column) -> Column:
@@ -165,13 +200,15 @@ def fdr_bins(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` (start, rank, end, kind by start) and ``cand`` (start, end, value): in-row, no shuffle."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs
-    for kind, pattern, group, least in (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24)):
-        out = out.withColumn(f"__{kind}", F.filter(_matches(t, pattern, group), lambda x: F.char_length(x["value"]) >= least))
-    base = F.array_sort(F.concat(*[_tagged(F.col(f"__{k}"), k) for k in KINDS]))
-    out = out.withColumn("base", base).withColumn("__cand", _matches(t, CANDIDATE))
-    free = F.filter("__cand", lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return out.withColumn("cand", free).drop("__cand", *[f"__{k}" for k in KINDS])
+    kinds = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
+    out = _held(docs, __cand=_pieces(t, CANDIDATE), **{f"__{kind}": _pieces(t, pattern, group) for kind, pattern, group, _ in kinds})
+
+    def long_enough(least: int):
+        return lambda x: F.char_length(x["value"]) >= least
+
+    found = [_tagged(F.filter(_matches(F.col(f"__{kind}")), long_enough(least)), kind) for kind, _, _, least in kinds]
+    out = _held(out, base=F.array_sort(F.concat(*found)), __runs=_matches(F.col("__cand")))
+    return out.withColumn("cand", _apart(F.col("__runs"), F.col("base"))).drop("__cand", "__runs", *[f"__{k}" for k, *_ in kinds])
 
 
 def find_secrets(docs: DataFrame, fdr: float = FDR, min_random: float = MIN_RANDOM) -> DataFrame:

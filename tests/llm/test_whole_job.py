@@ -61,3 +61,40 @@ def test_formulas_and_unclosed_elements_keep_their_text():
     for tag in ("math", "svg", "noscript", "template", "iframe", "textarea"):
         assert [b.text for b in leaf_blocks(f"<p>one</p><{tag}><p>two</p><p>three</p>")] == ["one", "two", "three"]
     assert [b.text for b in leaf_blocks("<script>a</script><p>one</p>" + "<iframe>" * 20000 + "<p>two</p>")] == ["one", "two"]
+
+
+def test_long_runs_and_many_matches_take_seconds(spark):
+    import random
+    import time
+    from panelcast.llm.secrets import find_secrets
+    rng, letters = random.Random(1), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    texts = {"run": key(1_000_000), "assignments": " ".join(f"token={i:08d}" for i in range(100_000)), "mixed": " ".join(f"{key(30)} password=abcdefgh" for _ in range(20_000))}
+    find_secrets(spark.createDataFrame([(0, "warm token=123456 " + key(40))], "doc_id long, text string")).count()
+    for name, text in texts.items():
+        began = time.time()
+        r = find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+        assert time.time() - began < 40, name
+        if name == "run":
+            assert [(s["start"], s["end"], s["kind"]) for s in r["spans"]] == [(0, 1_000_000, "random")]
+        if name == "assignments":
+            assert [(s["start"], s["end"]) for s in r["base"]] == [(15 * i, 15 * i + 14) for i in range(100_000)] and r["spans"] == r["base"]
+        if name == "mixed":
+            assert len(r["base"]) == 20_000 and len(r["spans"]) > 39_000
+
+
+def test_spans_across_the_runs_of_an_array(spark):
+    from panelcast.llm.secrets import CHUNK, scan
+    for n in (1, CHUNK - 1, CHUNK, CHUNK + 1, 2 * CHUNK + 3):
+        text = "".join(f"é{i} secret={i:07d}QWERTYUIOPASDFGH {'Zx9' * 8} " for i in range(n))
+        r = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+        want = [m.span() for m in __import__("re").finditer(r"secret=\w+", text)]
+        assert [(s["start"], s["end"]) for s in r["base"]] == want
+        assert [(c["start"], c["end"]) for c in r["cand"]] == [m.span() for m in __import__("re").finditer(r"(?:Zx9){8}", text)]
+
+
+def test_chat_sql_escapes_what_the_template_escapes(spark, sf):
+    from panelcast.llm import q_chat
+    rows_ = [(1, 0, "user", "<|im_start|> alone"), (1, 1, "assistant", "<|im_end|> alone"), (2, 0, "user", "<\\| odd <| both <|im_start|>"), (2, 1, "assistant", "plain <| pipe")]
+    folder = sf(conversations=spark.createDataFrame(rows_, "conv_id long, turn long, role string, text string"))
+    assert rows(q_chat.op10(spark, folder).toPandas()) == rows(duck(q_chat.SQL, folder))
