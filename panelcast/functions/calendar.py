@@ -61,7 +61,7 @@ def _date_array(holidays: list[tuple[str, str]]) -> Column:
     return F.array(*[F.lit(d).cast("date") for _, d in holidays])
 
 
-def days_to_nearest_holiday(date: Column | str, holidays: list[tuple[str, str]] = REFERENCE_HOLIDAYS) -> Column:
+def days_to_nearest_holiday(date: Column | str, holidays: list[tuple[str, str]]) -> Column:
     """Signed days (holiday - date) to the nearest holiday.
 
     Positive = upcoming, negative = passed (T6). Ties go to the first holiday
@@ -76,7 +76,7 @@ def days_to_nearest_holiday(date: Column | str, holidays: list[tuple[str, str]]
     return F.array_min(scored)["s"]
 
 
-def holiday_flags(date: str = "date", holidays: list[tuple[str, str]] = REFERENCE_HOLIDAYS,
+def holiday_flags(date: str, holidays: list[tuple[str, str]],
                   prefix: str = "is_") -> dict[str, Column]:
     """One 0/1 flag per holiday name for exact-date membership."""
     names: list[str] = []
@@ -87,7 +87,7 @@ def holiday_flags(date: str = "date", holidays: list[tuple[str, str]] = REFERENC
             for n in names}
 
 
-def holiday_frame(spark: SparkSession, holidays: list[tuple[str, str]] = REFERENCE_HOLIDAYS,
+def holiday_frame(spark: SparkSession, holidays: list[tuple[str, str]],
                   lower: int = HOLIDAY_LOWER_WINDOW, upper: int = HOLIDAY_UPPER_WINDOW) -> DataFrame:
     """Holiday table ``(name, date, lower_window, upper_window)``; one row per listed date."""
     rows = [(n, dt.date.fromisoformat(d), lower, upper) for n, d in holidays]

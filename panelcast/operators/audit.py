@@ -161,7 +161,3 @@ def top_k(df: DataFrame, n: int, col: str, ascending: bool = False, tie: list[st
     o = [F.col(col).asc() if ascending else F.col(col).desc()] + [F.col(c) for c in (tie or [])]
     return df.orderBy(*o).limit(n)
 
-
-def rank_within(df: DataFrame, by: list[str], order, name: str = "rn") -> DataFrame:
-    """Row number inside each group (used for per-group tails and firsts)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

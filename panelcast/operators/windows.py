@@ -103,8 +103,9 @@ def moving_average(arr: Column, kernel: int = 25) -> Column:
     padded = F.concat(F.array_repeat(F.element_at(arr, 1), left), arr,
                       F.array_repeat(F.element_at(arr, -1), right))
     idx = F.sequence(F.lit(1), F.size(arr))
-    return F.transform(idx, lambda i: F.aggregate(F.slice(padded, i, kernel), F.lit(0.0),
-                                                  lambda acc, v: acc + v) / kernel)
+    # an array of one element binds the padded array, so that it is built once
+    return F.transform(F.array(padded), lambda p: F.transform(
+        idx, lambda i: F.aggregate(F.slice(p, i, kernel), F.lit(0.0), lambda acc, v: acc + v) / kernel))[0]
 
 
 def decompose(arr: Column, kernel: int = 25) -> tuple[Column, Column]:

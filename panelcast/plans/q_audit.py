@@ -293,7 +293,7 @@ def q_drop_after(spark, sf):
     return p.filter(F.col("date") < cutoff).select("store", "dept", "date", "weekly_sales")
 
 
-@register("split_date_audit", Q.with_(*MERGED_CTES) + ", " + Q.split_ctes() + """
+@register("split_date_audit", Q.with_(*MERGED_CTES) + ", " + Q.split_ctes(unseen=False) + """
 SELECT (SELECT MIN(date) FROM train) AS train_first, (SELECT MAX(date) FROM train) AS train_last,
   (SELECT MIN(date) FROM test) AS test_first, (SELECT MAX(date) FROM test) AS test_last,
   (SELECT MIN(date) FROM features) AS features_first, (SELECT MAX(date) FROM features) AS features_last,
@@ -302,7 +302,7 @@ SELECT (SELECT MIN(date) FROM train) AS train_first, (SELECT MAX(date) FROM trai
   (SELECT MAX(date) FROM merged WHERE cpi IS NULL) AS cpi_null_last""", covers="D7 H4")
 def q_split_date_audit(spark, sf):
     p = panel(spark, sf)
-    train, test = TP.train_test_split(p)
+    train, test = TP.train_test_split(p, unseen=None)
     feats = TP.features_table(spark, sf)
     m = P.merge_all(p, feats, TP.stores_table(spark, sf))
     return AU.split_date_audit(train, test, feats, nulls_in=m)

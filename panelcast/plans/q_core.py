@@ -352,7 +352,7 @@ def q_frozen_store(spark, sf):
     return s.select("store", r4(F.col("store_avg_sales_expanding") / 100, "store_avg_sales_expanding"))
 
 
-@register("snapshot_lookup", PANEL_SQL + ", " + Q.split_ctes() + """,
+@register("snapshot_lookup", PANEL_SQL + ", " + Q.split_ctes(unseen=False) + """,
 c AS (SELECT *, CAST(ROUND(weekly_sales * 100) AS BIGINT) AS cents FROM train),
 g AS (SELECT dept, date, AVG(cents) AS m FROM c GROUP BY 1, 2),
 r AS (SELECT dept, m, row_number() OVER (PARTITION BY dept ORDER BY date DESC) AS rn,
@@ -361,7 +361,7 @@ s AS (SELECT dept, AVG(m) / 100.0 AS v FROM r WHERE rn > 1 OR n = 1 GROUP BY 1)
 SELECT t.store, t.dept, t.date, ROUND(s.v, 4) AS dept_avg_sales_expanding
 FROM test t LEFT JOIN s ON t.dept = s.dept""", covers="C6 D19")
 def q_snapshot_lookup(spark, sf):
-    train, test = TP.train_test_split(panel(spark, sf))
+    train, test = TP.train_test_split(panel(spark, sf), unseen=None)
     snap = FZ.frozen_group_average(with_cents(train), "dept", target="cents")
     snap = snap.select("dept", (F.col("dept_avg_sales_expanding") / 100).alias("dept_avg_sales_expanding"))
     return FZ.lookup_snapshot(test, snap, "dept").select("store", "dept", "date", r4("dept_avg_sales_expanding"))

@@ -255,7 +255,7 @@ def q_gbt_search(spark, sf):
 @register("gbt_forecast_saved_model", None, covers="K10 K11 A6 A3 H10 H5 L6")
 def q_gbt_forecast(spark, sf):
     p, f, s = _region(spark, sf)
-    train, test = TP.train_test_split(p)
+    train, test = TP.train_test_split(p, unseen=None)
     model, pred = T.refit_and_predict(train, test, B.PanelFeatureBuilder(features=f, stores=s, holidays=json.dumps(PANEL_HOLIDAYS)),
                                       B.PRUNED_FEATURES, T.PRESET_QUICK)
     path = shared_path(spark, "gbt-model")
@@ -821,7 +821,7 @@ def q_representative(spark, sf):
 def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:
     """Write the derived panel in the reference's CSV layout (train/test/features/stores)."""
     p = panel(spark, sf)
-    train, test = TP.train_test_split(p)
+    train, test = TP.train_test_split(p, unseen=None)
     ren = {v: k for k, v in RENAME.items()}
     def out(df, name):
         df.select([F.col(c).alias(ren.get(c, c)) for c in df.columns]).write.mode("overwrite") \
@@ -834,7 +834,7 @@ def write_reference_layout(spark: SparkSession, sf: str, path: str) -> None:
     out(TP.stores_table(spark, sf), "stores")
 
 
-@register("csv_source_roundtrip", Q.with_(Q.panel_cte("nation")) + ", " + Q.split_ctes() +
+@register("csv_source_roundtrip", Q.with_(Q.panel_cte("nation")) + ", " + Q.split_ctes(unseen=False) +
           " SELECT store, dept, date, weekly_sales, is_holiday FROM train", covers="A1 H1")
 def q_csv_roundtrip(spark, sf):
     from ..sources.readers import load_raw_data

@@ -18,7 +18,7 @@ from .q_core import FEAT_COLS, PANEL_HOLIDAYS, PANEL_SQL, lazy_panel
 from . import q_eval  # noqa: F401  the submission queries
 from .q_models import shared_path, write_reference_layout
 
-_SOURCE_SQL = Q.with_(Q.panel_cte("nation"), Q.split_ctes(), Q.features_cte("nation"), Q.stores_cte("nation"))
+_SOURCE_SQL = Q.with_(Q.panel_cte("nation"), Q.split_ctes(unseen=False), Q.features_cte("nation"), Q.stores_cte("nation"))
 _TABLES = {
     "train": ["store", "dept", "date", "weekly_sales", "is_holiday"],
     "test": ["store", "dept", "date", "is_holiday"],

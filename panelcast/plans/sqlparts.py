@@ -76,12 +76,12 @@ def stores_cte(grain: str = "nation", name: str = "stores") -> str:
 )"""
 
 
-def split_ctes(panel: str = "panel") -> str:
-    """Train (last TEST_WEEKS weeks removed, one series dropped) and test (target withheld)."""
+def split_ctes(panel: str = "panel", unseen: bool = True) -> str:
+    """Train (last TEST_WEEKS weeks removed, with ``unseen`` one series dropped) and test (target withheld)."""
     s, d = UNSEEN_SERIES
     return f"""cut AS (SELECT MAX(date) - {7 * TEST_WEEKS} AS c FROM {panel}),
 train AS (
-  SELECT p.* FROM {panel} p, cut WHERE p.date <= cut.c AND NOT (p.store = {s} AND p.dept = {d})
+  SELECT p.* FROM {panel} p, cut WHERE p.date <= cut.c{f" AND NOT (p.store = {s} AND p.dept = {d})" if unseen else ""}
 ), test AS (
   SELECT p.store, p.dept, p.date, p.is_holiday FROM {panel} p, cut WHERE p.date > cut.c
 )"""

@@ -38,7 +38,7 @@ def test_derived_holidays_match_reference_weeks():
 
 def test_holiday_flags(spark):
     df = spark.createDataFrame([(dt.date(2011, 11, 25),), (dt.date(2011, 11, 18),)], "date date")
-    rows = df.select("date", *[c.alias(k) for k, c in holiday_flags().items()]).orderBy("date").collect()
+    rows = df.select("date", *[c.alias(k) for k, c in holiday_flags("date", REFERENCE_HOLIDAYS).items()]).orderBy("date").collect()
     assert rows[1]["is_thanksgiving"] == 1 and rows[0]["is_thanksgiving"] == 0
     assert rows[1]["is_christmas"] == 0
 

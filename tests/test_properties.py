@@ -66,7 +66,7 @@ def test_nearest_holiday_matches_brute_force(spark, days):
     ds = [base + dt.timedelta(days=d) for d in days]
     hol = [dt.date.fromisoformat(h) for _, h in REFERENCE_HOLIDAYS]
     df = spark.createDataFrame([(d,) for d in ds], "d date")
-    got = [r[0] for r in df.select(days_to_nearest_holiday("d")).collect()]
+    got = [r[0] for r in df.select(days_to_nearest_holiday("d", REFERENCE_HOLIDAYS)).collect()]
     for d, g in zip(ds, got):
         diffs = [(h - d).days for h in hol]
         best = min(range(len(diffs)), key=lambda i: (abs(diffs[i]), i))
