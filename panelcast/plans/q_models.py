@@ -12,6 +12,7 @@ decomposition, and the calendar / sampling operators.
 from __future__ import annotations
 
 import json
+import math
 import os
 import uuid
 
@@ -25,6 +26,7 @@ from ..models import additive as AD
 from ..models import ar as AR
 from ..models import boosting as BO
 from ..models import builder as B
+from ..models import changes as CH
 from ..models import diagnostics as DG
 from ..models import linear as LN
 from ..models import trees as T
@@ -797,6 +799,51 @@ def q_multiplicative(spark, sf):
     return _score_by_series(AD.evaluate_additive(frame, _calendar(spark), multiplicative=True), "multiplicative")
 
 
+@register("sparse_trend_walk_forward", None, covers="K21 K25 D14")
+def q_sparse_trend(spark, sf):
+    """Walk-forward WMAE of the model with sparse trend changes."""
+    _, frame = _series_frame(spark, sf)
+    return _score_by_series(CH.evaluate_sparse(frame, _calendar(spark)), "sparse_trend")
+
+
+@register("trend_changes", None, covers="K21")
+def q_trend_changes(spark, sf):
+    """The changes of slope that stay, per series and fold."""
+    _, frame = _series_frame(spark, sf)
+    design, free, hinges = CH.trend_design(frame, _calendar(spark))
+    return CH.change_points(CH.sparse_trend(CH.trend_products(design, [*free, *hinges]), len(free), len(hinges)), len(free), len(hinges))
+
+
+_PRODUCT_KNOTS = 4
+
+
+def _trend_products_sql() -> str:
+    names = ["one", "u", "sin1", "cos1", *[f"hinge{i}" for i in range(1, _PRODUCT_KNOTS + 1)], "y"]
+    hinges = ", ".join(f"greatest(0.0, u - {CH.place(i, _PRODUCT_KNOTS)!r}) AS hinge{i}" for i in range(1, _PRODUCT_KNOTS + 1))
+    angle = f"dd * {2 * math.pi / AD.YEAR_DAYS!r}"
+    pairs = " UNION ALL ".join(f"SELECT store, dept, fold, '{a}' AS a, '{b}' AS b, SUM({a} * {b}) AS v FROM x GROUP BY 1, 2, 3"
+                               for i, a in enumerate(names) for b in names[i:])
+    return _recursive_series() + ", " + _ar_fold_ctes(True, "s_") + f""",
+d AS (SELECT store, dept, fold, role, y / 9973.0 AS y, CAST(date - DATE '1970-01-01' AS DOUBLE) AS dd FROM s_fr),
+w AS (SELECT *, MIN(CASE WHEN role = 'train' THEN dd END) OVER q AS lo, MAX(CASE WHEN role = 'train' THEN dd END) OVER q AS hi FROM d
+  WINDOW q AS (PARTITION BY store, dept, fold)),
+un AS (SELECT *, (dd - lo) / greatest(hi - lo, 1.0) AS u FROM w WHERE role = 'train'),
+x AS (SELECT store, dept, fold, 1.0 AS one, u, sin({angle}) AS sin1, cos({angle}) AS cos1, {hinges}, y FROM un)
+SELECT store, dept, fold, a, b, ROUND(v / 9.973, 4) AS v FROM ({pairs})"""
+
+
+@register("trend_cross_products", _trend_products_sql(), covers="K21")
+def q_trend_products(spark, sf):
+    """The sums that the sparse trend is solved from, for one yearly wave and four hinges; odd units (9,973 for y, 9.973 for sums), so that no sum is a rounding tie."""
+    _, frame = _series_frame(spark, sf)
+    design, free, hinges = CH.trend_design(frame.withColumn("y", F.col("y") / 9973.0), None, 1, _PRODUCT_KNOTS)
+    names = [*free, *hinges]
+    g = CH.trend_products(design, names)
+    labels = F.array(*[F.lit(n) for n in [*names, "y"]])
+    rows = g.select("store", "dept", "fold", F.posexplode("g").alias("i", "row")).select("store", "dept", "fold", "i", F.posexplode("row").alias("j", "v"))
+    return rows.filter("i <= j").select("store", "dept", "fold", labels[F.col("i")].alias("a"), labels[F.col("j")].alias("b"), r4(F.col("v") / 9.973, "v"))
+
+
 @register("future_dates", _SERIES_SQL + """, l AS (SELECT store, dept, MAX(date) AS last_d FROM panel GROUP BY 1, 2)
 SELECT store, dept, date, FALSE AS is_future FROM panel
 UNION ALL
