@@ -25,12 +25,12 @@ from dataclasses import dataclass
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import wmae_expr
 from ..session import materialize
-from .trees import TARGET, category_bins, encoding_stages, gbt, mark_validation, sample_params
+from .trees import TARGET, assembled_names, category_bins, encoding_stages, gbt, mark_validation, sample_params
 
 PATIENCE = 50
 #: Share of the trials that a rung keeps, and of their trees that the rung before uses: 1 / ETA.
@@ -173,6 +173,28 @@ def halving_search(table: DataFrame, folds: DataFrame, features: list[str], n_tr
     return spark.createDataFrame(log, "trial int, rung int, n_trees int, mean_wmae double, kept boolean, params string")
 
 
+def fold_importances(table: DataFrame, folds: DataFrame, features: list[str], params: dict, parallel: int = 1) -> DataFrame:
+    """K7: ``fold, feature, importance``, one row per feature (its value, missing flag and index columns together); a fold's add up to 1."""
+    table = materialize(table)
+    bins = category_bins(table, features)
+    names = [n.rsplit("__", 1)[0] for n in assembled_names(features)]
+
+    def run(f: EncodedFold):
+        values = gbt(params, max_bins=bins).fit(f.part("train", "stop")).featureImportances.toArray().tolist()
+        return [(f.fold, n, float(v)) for n, v in zip(names, values)]
+
+    rows = [r for part in _in_threads(run, encode_folds(table, folds, features), parallel) for r in part]
+    return (table.sparkSession.createDataFrame(rows, "fold int, feature string, importance double")
+            .groupBy("fold", "feature").agg(F.sum("importance").alias("importance")))
+
+
+def prune_features(importances: DataFrame, keep: int) -> DataFrame:
+    """``feature, importance, rank, kept``: the ``keep`` features of the largest importance summed over folds (ties by name)."""
+    total = importances.groupBy("feature").agg(F.sum("importance").alias("importance"))
+    rank = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # one row per feature
+    return total.withColumn("rank", rank).withColumn("kept", F.col("rank") <= keep)
+
+
 def winner(trials: DataFrame) -> DataFrame:
     """the kept trial of the last rung."""
     last = trials.agg(F.max("rung")).scalar()

@@ -59,7 +59,7 @@ MERGED_CTES = [Q.panel_cte("nation"), Q.features_cte("nation"), Q.stores_cte("na
 MERGED_SQL = Q.with_(*MERGED_CTES)
 
 
-@register("panel_nation", PANEL_SQL + "SELECT * FROM panel", covers="A2 H1 B1")
+@register("panel_nation", PANEL_SQL + "SELECT * FROM panel", covers="A2 B1")
 def q_panel_nation(spark, sf):
     return lazy_panel(spark, sf, "nation")
 

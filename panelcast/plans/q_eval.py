@@ -151,7 +151,7 @@ def q_wmae_summary(spark, sf):
   MAX(CASE WHEN model = 'seasonal_naive' THEN wmae END) AS seasonal_naive FROM scores GROUP BY 1, 2)
 SELECT store, dept, ROUND(last_value, 4) AS last_value, ROUND(seasonal_naive, 4) AS seasonal_naive,
   ROUND(CASE WHEN last_value <> 0 THEN (last_value - seasonal_naive) / last_value END * 100, 4) AS improvement_pct
-FROM wide""", covers="D24 H15 J6")
+FROM wide""", covers="D24 H15")
 def q_model_comparison(spark, sf):
     c = compare_models(holdout_scores(spark, sf), ["store", "dept"], "model", "wmae", "last_value", "seasonal_naive")
     return r4_cols(c, ["last_value", "seasonal_naive", "improvement_pct"])
@@ -220,7 +220,7 @@ trials AS (SELECT CAST(win_len AS INTEGER) AS win_len, ROUND(AVG(wmae), 4) AS me
 """
 
 
-@register("rolling_mean_trials", _trials_sql() + "SELECT * FROM trials", covers="K8 D14 A5")
+@register("rolling_mean_trials", _trials_sql() + "SELECT * FROM trials", covers="D14")
 def q_trials(spark, sf):
     return rolling_mean_trials(spark, sf)
 

@@ -17,6 +17,7 @@ import os
 import uuid
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,6 +229,58 @@ def q_gbt_importance(spark, sf):
     return spark.read.option("header", True).schema("feature string, importance double").csv(path)
 
 
+def _fold_sums_sql() -> str:
+    from .q_core import _folds_sql
+    return Q.with_(Q.panel_cte("region")) + ", " + _folds_sql() + f"""
+SELECT CAST(fold AS INTEGER) AS fold, CAST({len(B.ALL_FEATURES)} AS BIGINT) AS n_features, CAST(1.0 AS DOUBLE) AS total FROM folds"""
+
+
+def _importances(spark, sf):
+    p, f, s = _region(spark, sf)
+    return BO.fold_importances(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.ALL_FEATURES, T.PRESET_QUICK, parallel=3)
+
+
+@register("importance_fold_sums", _fold_sums_sql(), covers="K7 D20")
+def q_importance_sums(spark, sf):
+    """Every feature has one row per fold, and a fold's importances add up to one."""
+    return _importances(spark, sf).groupBy("fold").agg(F.count("feature").alias("n_features"), r4(F.sum("importance"), "total"))
+
+
+@register("features_by_importance", None, covers="K7 B15 F3")
+def q_pruned_features(spark, sf):
+    """The pruning step: the 16 of 24 features with the largest importance summed over the folds."""
+    return BO.prune_features(_importances(spark, sf), len(B.PRUNED_FEATURES))
+
+
+def _encoded_rows_sql(stop_weeks: int = 13) -> str:
+    from .q_core import _folds_sql
+    return Q.with_(Q.panel_cte("region")) + ", " + _folds_sql() + f""",
+l AS (SELECT p.*, h.store IS NULL AS no_lag, CAST(ROUND(p.weekly_sales * 100) AS BIGINT) AS cents FROM panel p
+  LEFT JOIN panel h ON h.store = p.store AND h.dept = p.dept AND year(h.date) + 1 = year(p.date) AND week(h.date) = week(p.date)),
+j AS (SELECT l.*, f.fold, CASE WHEN l.date >= f.val_start THEN 'val'
+    WHEN l.date > (SELECT MAX(date) FROM panel q WHERE q.date < f.val_start) - {7 * stop_weeks} THEN 'stop' ELSE 'train' END AS part
+  FROM l JOIN folds f ON l.date <= f.val_end)
+SELECT CAST(fold AS INTEGER) AS fold, part, COUNT(*) AS n, CAST(SUM(CASE WHEN is_holiday THEN 5 ELSE 1 END) AS BIGINT) AS weight,
+  CAST(SUM(cents) AS BIGINT) AS cents, COUNT(*) FILTER (no_lag) AS n_missing_lag FROM j GROUP BY 1, 2"""
+
+
+@register("encoded_fold_rows", _encoded_rows_sql(), covers="K1 K4 K5 K6 J1")
+def q_encoded_rows(spark, sf):
+    """The stored training tables of the folds: rows, holiday weights and labels per part, and the missing flags in the feature vectors."""
+    p, f, s = _region(spark, sf)
+    at = T.assembled_names(B.PRUNED_FEATURES).index("sales_lag_52wk__missing")
+    parts = []
+    for e in BO.encode_folds(B.feature_table(p, f, s, PANEL_HOLIDAYS), SP.walk_forward_folds(p), B.PRUNED_FEATURES, 13):
+        missing = F.sum(vector_to_array("features")[at]).cast("long")
+        parts.append(e.table.groupBy(F.lit(e.fold).alias("fold"), "part").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(holiday_weight("is_holiday")).cast("long").alias("weight"),
+            F.sum(F.round(F.col("weekly_sales") * 100).cast("long")).alias("cents"), missing.alias("n_missing_lag")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 @register("gbt_pipeline_newest_fold", None, covers="K2 K9 T8 T13 L5 C6")
 def q_gbt_pipeline(spark, sf):
     p, f, s = _region(spark, sf)
