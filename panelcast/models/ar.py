@@ -207,6 +207,39 @@ def evaluate_ar1(frame: DataFrame, seasonal: bool = True, s: int = 52, min_train
     # differences without spread have no slope: their mean is the forecast
     phi, c = F.coalesce("slope", F.lit(0.0)), F.coalesce("intercept", "mean_z")
     e = g.select(*keys, phi.alias("phi"), c.alias("c"), "last_level", "last_z", "last_day", "failed", F.explode("rows").alias("v"))
+    return _ar1_forecasts(e, keys, seasonal, s)
+
+
+def evaluate_ar1_folds(dense: DataFrame, folds: DataFrame, seasonal: bool = True, s: int = 52, min_train: int = 30,
+                       target: str = "weekly_sales", keys=S.KEYS) -> DataFrame:
+    """``evaluate_ar1`` over all folds of gapless weekly series (``is_filled`` marks filled rows), for the folds that pass the B14 guard.
+
+    Differences look back only, so they are taken once per series, before its
+    rows meet its folds; one aggregate per (series, fold) follows, on the
+    partitioning of the windows.
+    """
+    ks = [*keys, "fold"]
+    z = _differenced(dense, target, keys, s, seasonal, [1], year_ago=True).withColumn("day", F.unix_date("date"))
+    j = z.join(folds.select(*ks, "val_start", "val_end"), list(keys)).filter(F.col("date") <= F.col("val_end"))
+    train = F.col("date") < F.col("val_start")
+    val = ~train & ~F.col("is_filled")
+    pair = train & F.col("z1").isNotNull()
+    y, x = F.when(pair, F.col("z0")), F.when(pair, F.col("z1"))
+    at = F.when(train, F.col("day"))
+    g = j.groupBy(*ks).agg(
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.avg(y).alias("mean_z"),
+        F.max_by(F.when(train, F.col("level")), at).alias("last_level"), F.max_by(F.when(train, F.col("z0")), at).alias("last_z"), F.max(at).alias("last_day"),
+        F.count_if(train & ~F.col("is_filled")).alias("observed"), F.count_if(pair).alias("pairs"),
+        F.collect_list(F.when(val, F.struct("date", "day", "y", "is_holiday", "year_ago"))).alias("rows"))
+    g = g.filter((F.col("observed") >= min_train) & (F.size("rows") > 0))
+    failed = F.when(F.col("pairs") <= 3, F.lit("too few observations for AR order"))
+    e = g.select(*ks, F.coalesce("slope", F.lit(0.0)).alias("phi"), F.coalesce("intercept", "mean_z").alias("c"), "last_level", "last_z", "last_day",
+                 failed.alias("failed"), F.explode("rows").alias("v"))
+    return _ar1_forecasts(e, ks, seasonal, s)
+
+
+def _ar1_forecasts(e: DataFrame, keys: list[str], seasonal: bool, s: int) -> DataFrame:
+    """From one row per validation row with its fold's fit: the running sum of forecast differences on the last level."""
     e = e.withColumn("k", ((F.col("v.day") - F.col("last_day")) / 7).cast("int"))
 
     def step(acc, _):
@@ -215,8 +248,7 @@ def evaluate_ar1(frame: DataFrame, seasonal: bool = True, s: int = 52, min_train
 
     run = F.aggregate(F.sequence(F.lit(1), F.col("k")), F.struct(F.col("last_z").alias("z"), F.lit(0.0).alias("sum")), step, lambda a: a["sum"])
     level = F.col("last_level") + run
-    far = F.lit(bool(seasonal)) & (F.col("k") > s)
-    error = F.coalesce("failed", F.when(far, F.lit("more than one season ahead")))
+    error = F.coalesce("failed", F.when(F.lit(bool(seasonal)) & (F.col("k") > s), F.lit("more than one season ahead")))
     return e.select(*keys, "v.date", "v.y", "v.is_holiday",
                     F.when(error.isNull(), level + F.col("v.year_ago") if seasonal else level).alias("y_pred"), error.alias("error"))
 
@@ -274,13 +306,13 @@ def choose_order(grid: DataFrame, df_test: DataFrame | None = None, keys=S.KEYS)
 LONG_AR = (1, 2, 3, 4)
 
 
-def _differenced(df: DataFrame, target: str, keys, s: int, seasonal: bool, lags: list[int]) -> DataFrame:
+def _differenced(df: DataFrame, target: str, keys, s: int, seasonal: bool, lags: list[int], year_ago: bool = False) -> DataFrame:
     """Each series' weekly rows with the level that is summed up again (its seasonal difference), its first difference z0
     and z's lags. Differences look back only, so they are taken once per series, before folds."""
     w = Window.partitionBy(*keys).orderBy("date")
-    year_ago = F.lag(target, s).over(w)
-    level = (F.col(target) - year_ago if seasonal else F.col(target)).cast("double")
-    f = df.select(*keys, "date", F.col(target).alias("y"), "is_holiday", "is_filled", level.alias("level"))
+    before = F.lag(target, s).over(w)
+    level = (F.col(target) - before if seasonal else F.col(target)).cast("double")
+    f = df.select(*keys, "date", F.col(target).alias("y"), "is_holiday", "is_filled", level.alias("level"), *([before.alias("year_ago")] if year_ago else []))
     f = f.withColumn("z0", F.col("level") - F.lag("level").over(w))
     return f.select("*", *[F.lag("z0", k).over(w).alias(f"z{k}") for k in lags])
 

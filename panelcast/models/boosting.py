@@ -62,8 +62,8 @@ def encode_fold(table: DataFrame, fold: Row, features: list[str], stop_weeks: in
     return EncodedFold(int(fold["fold"]), materialize(encoder.transform(rows).select("part", TARGET, "is_holiday", "features")), encoder)
 
 
-def encode_folds(table: DataFrame, folds: DataFrame, features: list[str], stop_weeks: int = 0) -> list[EncodedFold]:
-    return [encode_fold(table, f, features, stop_weeks) for f in folds.orderBy("fold").collect()]  # n_splits rows
+def encode_folds(table: DataFrame, folds: DataFrame, features: list[str], stop_weeks: int = 0, date: str = "date") -> list[EncodedFold]:
+    return [encode_fold(table, f, features, stop_weeks, date) for f in folds.orderBy("fold").collect()]  # n_splits rows
 
 
 def prefix_model(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:

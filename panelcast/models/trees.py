@@ -114,30 +114,28 @@ def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dic
             date: str = "date", parallel: int = 1, prepared: bool = False) -> tuple[DataFrame, DataFrame]:
     """K4 + D14 + K7: walk-forward CV on a flat feature table (T17 ``expanding`` mode).
 
-    Returns (per-fold WMAE and trees, importances summed over folds). The table is
-    checkpointed once so every fold reads the same materialised rows. For early
-    stopping see ``boosting.cv_with_patience``.
+    Returns (per-fold WMAE and trees, importances summed over folds). Each fold is
+    encoded once, by vocabularies of its train rows, into a stored vector table.
+    For early stopping see ``boosting.cv_with_patience``.
     """
     spark: SparkSession = table.sparkSession
     if not prepared:
         table = materialize(table)
-    fold_rows = folds.collect()  # n_splits rows
-    pipe = tree_pipeline(features, params, max_bins=category_bins(table, features))
-
-    def run(fr):
-        train = table.filter(F.col(date) < F.lit(fr["val_start"]))
-        val = table.filter(F.col(date).between(F.lit(fr["val_start"]), F.lit(fr["val_end"])))
-        model = pipe.fit(train)
-        score = model.transform(val).agg(wmae_expr(TARGET, "y_pred").alias("wmae"),
-                                         F.count(F.lit(1)).alias("n_val")).first()
-        imp = model.stages[-1].featureImportances.toArray().tolist()
-        return fr["fold"], float(score["wmae"]) if score["wmae"] is not None else None, int(score["n_val"]), model.stages[-1].getNumTrees, imp
+    from .boosting import encode_folds
+    estimator = gbt(params, max_bins=category_bins(table, features))
 
+    def run(fold):
+        model = estimator.fit(fold.part("train"))
+        score = model.transform(fold.part("val")).agg(wmae_expr(TARGET, "y_pred").alias("wmae"), F.count(F.lit(1)).alias("n_val")).first()
+        wmae = float(score["wmae"]) if score["wmae"] is not None else None
+        return fold.fold, wmae, int(score["n_val"]), model.getNumTrees, model.featureImportances.toArray().tolist()
+
+    encoded = encode_folds(table, folds, features, date=date)
     if parallel > 1:
         with ThreadPoolExecutor(parallel) as ex:
-            res = list(ex.map(run, fold_rows))
+            res = list(ex.map(run, encoded))
     else:
-        res = [run(fr) for fr in fold_rows]
+        res = [run(fold) for fold in encoded]
     names = assembled_names(features)
     scores = spark.createDataFrame([(int(f), w, n, t) for f, w, n, t, _ in res], "fold int, wmae double, n_val long, n_trees int")
     # one row per feature: its value, missing flag and index columns together

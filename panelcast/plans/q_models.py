@@ -707,8 +707,7 @@ FROM a_ps a FULL OUTER JOIN s_ps s ON a.store = s.store AND a.dept = s.dept"""
 
 @register("sarima_walk_forward", _sarima_sql(), covers="K20 K25 E8 I4 J1 B14 D14 L7")
 def q_sarima(spark, sf):
-    _, frame = _series_frame(spark, sf)
-    return r4_cols(_score_by_series(AR.evaluate_ar1(frame, seasonal=True), "sar_1_1_1_52"), ["wmae"])
+    return r4_cols(_score_by_series(AR.evaluate_ar1_folds(*_dense_and_folds(spark, sf)), "sar_1_1_1_52"), ["wmae"])
 
 
 def _ols_sql(y: str, xs: list[str]) -> tuple[str, list[str], str]:
@@ -821,9 +820,9 @@ def q_ar_fold_failures(spark, sf):
 
 @register("arima_vs_sarima", _arima_vs_sarima_sql(), covers="K20 D24 F6")
 def q_arima_vs_sarima(spark, sf):
-    _, frame = _series_frame(spark, sf)
-    a = _score_by_series(AR.evaluate_ar1(frame, seasonal=False), "ar_1_1")
-    s = _score_by_series(AR.evaluate_ar1(frame, seasonal=True), "sar_1_1_1_52")
+    dense, folds = _dense_and_folds(spark, sf)
+    a = _score_by_series(AR.evaluate_ar1_folds(dense, folds, seasonal=False), "ar_1_1")
+    s = _score_by_series(AR.evaluate_ar1_folds(dense, folds, seasonal=True), "sar_1_1_1_52")
     c = compare_models(a.unionByName(s), ["store", "dept"], "model", "wmae", "ar_1_1", "sar_1_1_1_52")
     return r4_cols(c, ["ar_1_1", "sar_1_1_1_52", "improvement_pct"])
 

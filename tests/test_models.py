@@ -270,3 +270,20 @@ def test_updated_builder_equals_one_fit(spark, tmp_path):
         for other in frames[1:]:
             assert np.allclose(frames[0][f].to_numpy(dtype=float), other[f].to_numpy(dtype=float), equal_nan=True)
     assert frames[0]["sales_lag_52wk"].notna().any()
+
+
+def test_native_ar1_over_folds_equals_the_frame_form(spark):
+    from panelcast.operators.grid import densify_ffill
+    from panelcast.operators.splits import series_fold_bounds
+    df = _constructed(spark, n_series=3, n=150)
+    short = spark.createDataFrame([(7, 1, D0 + dt.timedelta(days=7 * i), float(i), False) for i in range(40)], df.schema)
+    df = df.filter(~((F.col("store") == 1) & F.dayofmonth("date").between(8, 10))).unionByName(short)
+    dense, folds = densify_ffill(df), series_fold_bounds(df, n_splits=2, horizon_weeks=13)
+    frame = AR.fold_frame(df, n_splits=2, horizon_weeks=13, min_train=30)
+    for seasonal in (True, False):
+        a = {(r["store"], r["fold"], r["date"]): r for r in AR.evaluate_ar1(frame, seasonal).collect()}
+        b = {(r["store"], r["fold"], r["date"]): r for r in AR.evaluate_ar1_folds(dense, folds, seasonal).collect()}
+        assert a.keys() == b.keys() and len(a) > 0
+        for k in a:
+            assert a[k]["error"] == b[k]["error"] and a[k]["y"] == b[k]["y"]
+            assert a[k]["y_pred"] is None and b[k]["y_pred"] is None or np.isclose(a[k]["y_pred"], b[k]["y_pred"], rtol=1e-9)
