@@ -15,7 +15,10 @@ super-k-mers of a batch travel once with the places they came from, so copies
 and common passages shrink before the shuffle. A place is the document (as a
 difference to the place before), 32 bits of a hash of the text, which tell
 different texts of one doc_id apart, and the number of its first word. The number of buckets follows
-the size of all texts (about ``BUCKET_BYTES`` packed bytes each). Texts longer
+the size of all texts (about ``BUCKET_BYTES`` packed bytes each). A bucket whose
+blobs are over ``HEAVY_BYTES``, as a frequent minimiser makes it, is dealt anew
+by the hash of each single window, in as many parts as its size asks for, so
+that equal windows still meet and no part is large. Texts longer
 than ``CHUNK`` bytes are cut into segments that overlap by ``window - 1`` words.
 
 Cases: a null or empty text has no words; a text shorter than a window stays
@@ -41,6 +44,9 @@ WINDOW = 13
 MER = 3
 CHUNK = 1 << 20
 BUCKET_BYTES = 8 << 20
+#: Blob bytes (compressed) of a bucket that is still counted in one piece, and those aimed at in a part of a larger one.
+HEAVY_BYTES = 8 << 20
+PART_BYTES = 1 << 20
 MAX_RUN = 256  # windows in a packed string, so that a range fits RANGE
 FLUSH = 20 << 20
 ZSTD_LEVEL = 5
@@ -131,6 +137,12 @@ def _sliding_min(g: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
 
 
+def _blob(zstd: zstandard.ZstdCompressor, which: np.ndarray, doc: np.ndarray, key: np.ndarray, word: np.ndarray, strings) -> bytes:
+    """Places (the string's number, document, key, first word) and the strings, compressed."""
+    columns = np.diff(which, prepend=-1).astype(np.int32), np.diff(doc, prepend=0), key, word.astype(np.int32)
+    return zstd.compress(b"".join((np.int64(len(which)).tobytes(), *(x.tobytes() for x in columns), b"\n".join(strings), b"\n")))
+
+
 class _Packer:
     """Collects packed strings per bucket and writes them as blobs."""
 
@@ -184,9 +196,7 @@ class _Packer:
         for bucket, (texts, doc, key, word) in sorted(self.held.items()):
             index: dict[bytes, int] = {}
             which = np.fromiter((index.setdefault(t, len(index)) for t in texts), dtype=np.int64, count=len(texts))
-            columns = np.diff(which, prepend=-1).astype(np.int32), np.diff(np.concatenate(doc), prepend=0), np.concatenate(key), np.concatenate(word).astype(np.int32)
-            packed = b"".join((np.int64(len(which)).tobytes(), *(x.tobytes() for x in columns), b"\n".join(index), b"\n"))
-            rows.append((bucket, self.zstd.compress(packed)))
+            rows.append((bucket, _blob(self.zstd, which, np.concatenate(doc), np.concatenate(key), np.concatenate(word), index)))
         self.held, self.size = {}, 0
         return pd.DataFrame(rows, columns=["bucket", "blob"])
 
@@ -233,6 +243,47 @@ def _equal_spans(raw: bytes, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.
     return out
 
 
+def _windows(buf: np.ndarray, start: np.ndarray, end: np.ndarray, line: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of every window inside one line."""
+    h = _word_hashes(buf, start, end)
+    n = max(0, len(h) - window + 1)
+    wh = h[:n].copy()
+    for j in range(1, window):
+        wh *= _P
+        wh += h[j:n + j]
+    at = np.flatnonzero(line[:n] == line[len(line) - n:])
+    return at, _mix(wh[at])
+
+
+def _split(window: int):
+    """Blobs of heavy buckets as blobs of single windows, dealt to ``parts`` parts by the window's hash."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        zstd = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
+        for batch in batches:
+            for bucket, parts, blob in zip(batch["bucket"].tolist(), batch["parts"].tolist(), batch["blob"]):
+                which, doc, key, word, raw = _unpack(blob)
+                buf = np.frombuffer(raw, dtype=np.uint8)
+                start, end, line = _words_of(buf, 0x0A)
+                at, wh = _windows(buf, start, end, line, window)
+                of = line[at]
+                offset = at - np.searchsorted(line, of)
+                # the places of each string, one after another
+                places = np.argsort(which, kind="stable")
+                times = np.bincount(which)
+                begin = np.cumsum(times) - times
+                part = (_mix(wh ^ _P) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                rows = []
+                for sel in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+                    index: dict[bytes, int] = {}
+                    own = np.fromiter((index.setdefault(raw[a:b], len(index)) for a, b in zip(start[at[sel]].tolist(), end[at[sel] + window - 1].tolist())), np.int64, len(sel))
+                    each = times[of[sel]]
+                    pick = places[np.repeat(begin[of[sel]] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+                    rows.append((bucket, int(part[sel[0]]), _blob(zstd, np.repeat(own, each), doc[pick], key[pick], word[pick] + np.repeat(offset[sel], each), index)))
+                yield pd.DataFrame(rows, columns=["bucket", "part", "blob"])
+    return run
+
+
 def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(doc_id, key, first window, windows) ranges of one bucket to remove."""
     texts, which, doc, key, word, count = [], [], [], [], [], 0
@@ -246,14 +297,8 @@ def removed_windows(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.nda
     start, end, line = _words_of(buf, 0x0A)
     least = np.full(count, np.iinfo(np.int64).max)
     np.minimum.at(least, which, doc)
-    h = _word_hashes(buf, start, end)
-    n = len(h) - window + 1
-    wh = h[:n].copy()
-    for j in range(1, window):
-        wh *= _P
-        wh += h[j:n + j]
-    at = np.flatnonzero(line[:n] == line[window - 1:])
-    wh, of = _mix(wh[at]), line[at]
+    at, wh = _windows(buf, start, end, line, window)
+    of = line[at]
     order = np.lexsort((least[of], wh))
     sorted_hash = wh[order]
     group = np.cumsum(np.concatenate([[0], sorted_hash[1:] != sorted_hash[:-1]]))
@@ -309,8 +354,12 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     overlap = 1 + (window - 1) * 2 / (window - MER + 2)
     buckets = max(1, int(size * overlap) // BUCKET_BYTES + 1)
     searched = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_bits().alias("k"))
-    blobs = searched.mapInPandas(_pack(window, buckets), "bucket long, blob binary")
-    found = blobs.groupBy("bucket").applyInPandas(_count(window), "doc_id long, k int, r long")
+    blobs = stored(searched.mapInPandas(_pack(window, buckets), "bucket long, blob binary"), "blobs")
+    parts = F.ceil(F.sum(F.octet_length("blob").cast("long")) / PART_BYTES).cast("int")
+    heavy = stored(blobs.groupBy("bucket").agg(parts.alias("parts")).filter(F.col("parts") > HEAVY_BYTES // PART_BYTES), "heavy-buckets")
+    found = blobs.join(heavy, "bucket", "left_anti").groupBy("bucket").applyInPandas(_count(window), "doc_id long, k int, r long")
+    again = blobs.join(heavy, "bucket").mapInPandas(_split(window), "bucket long, part int, blob binary")
+    found = found.unionByName(again.groupBy("bucket", "part").applyInPandas(_count(window), "doc_id long, k int, r long"))
     return found.groupBy("doc_id", "k").agg(F.collect_set("r").alias("ranges"))
 
 
