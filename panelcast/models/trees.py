@@ -11,7 +11,6 @@ inside a ``SQLTransformer`` stage, which keeps the pipeline serialisable.
 
 from __future__ import annotations
 
-import json
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -187,39 +186,6 @@ def sample_params(n_trials: int, seed: int = 42, space: dict | None = None) -> l
     return out
 
 
-def random_search(table: DataFrame, folds: DataFrame, features: list[str], n_trials: int = 30,
-                  seed: int = 42, parallel: int = 1, space: dict | None = None,
-                  trial_parallel: int = 1) -> DataFrame:
-    """K8 + F5: evaluate sampled parameters by mean fold WMAE; one row per trial.
-
-    Each trial is a set of distributed fits (folds in ``parallel`` threads);
-    ``trial_parallel`` trials run concurrently from a driver thread pool. The
-    table is checkpointed once for all of them.
-    """
-    spark = table.sparkSession
-    table = materialize(table)
-
-    def run(tp):
-        t, p = tp
-        scores, _ = cv_flat(table, folds, features, p, parallel=parallel, prepared=True)
-        m = scores.agg(F.avg("wmae")).first()[0]
-        return t, json.dumps(p, sort_keys=True), float(m) if m is not None else None
-
-    trials = list(enumerate(sample_params(n_trials, seed, space)))
-    if trial_parallel > 1:
-        with ThreadPoolExecutor(trial_parallel) as ex:
-            rows = list(ex.map(run, trials))
-    else:
-        rows = [run(tp) for tp in trials]
-    return spark.createDataFrame(rows, "trial int, params string, mean_wmae double")
-
-
-def best_trial(trials: DataFrame) -> DataFrame:
-    """argmin of the trial score (ties -> lower trial id)."""
-    return trials.agg(F.min_by("params", F.struct("mean_wmae", "trial")).alias("best_params"),
-                      F.min("mean_wmae").alias("best_mean_wmae"))
-
-
 def refit_and_predict(rows: DataFrame, test: DataFrame, builder: PanelFeatureBuilder, features: list[str],
                       params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit on all history, predict test rows, clip at 0 keeping NULLs."""
