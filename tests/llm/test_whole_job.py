@@ -98,39 +98,3 @@ def test_chat_sql_escapes_what_the_template_escapes(spark, sf):
     rows_ = [(1, 0, "user", "<|im_start|> alone"), (1, 1, "assistant", "<|im_end|> alone"), (2, 0, "user", "<\\| odd <| both <|im_start|>"), (2, 1, "assistant", "plain <| pipe")]
     folder = sf(conversations=spark.createDataFrame(rows_, "conv_id long, turn long, role string, text string"))
     assert rows(q_chat.op10(spark, folder).toPandas()) == rows(duck(q_chat.SQL, folder))
-
-
-@pytest.mark.parametrize("heavy, part", [(1, 1), (200, 100), (1 << 23, 1 << 20)])
-def test_heavy_buckets_are_dealt_anew_with_equal_results(spark, make_docs, sf, monkeypatch, heavy, part):
-    import random
-    from panelcast.llm import q_substrings, substrings
-    monkeypatch.setattr(substrings, "HEAVY_BYTES", heavy)
-    monkeypatch.setattr(substrings, "PART_BYTES", part)
-    rng = random.Random(3)
-    words = [f"w{i}" for i in range(40)]
-    passage = " ".join(rng.choice(words) for _ in range(60))
-    texts = []
-    for i in range(150):  # one frequent run in every text, so one minimiser is everywhere
-        own = [rng.choice(words) for _ in range(rng.randint(5, 60))]
-        at = rng.randint(0, len(own))
-        texts.append(" ".join([*own[:at], "zz", "zz", "zz", *own[at:]]) + (" " + passage if i % 3 == 0 else ""))
-    texts += [None, "", "zz " * 400, "zz " * 30, texts[5], texts[5]]
-    docs = make_docs(list(enumerate(texts)))
-    folder = sf(documents=docs)
-    assert rows(q_substrings.op6(spark, folder).toPandas()) == rows(duck(q_substrings.SQL, folder))
-
-
-def test_a_hot_minimiser_does_not_fill_one_group(spark, make_docs, monkeypatch):
-    import random
-    from panelcast.llm import substrings
-    monkeypatch.setattr(substrings, "HEAVY_BYTES", 1 << 15)
-    monkeypatch.setattr(substrings, "PART_BYTES", 1 << 13)
-
-    def sizes(window):
-        import pandas as pd
-        return lambda group: pd.DataFrame({"doc_id": [0], "k": [0], "r": [sum(map(len, group["blob"]))]})
-    monkeypatch.setattr(substrings, "_count", sizes)
-    rng = random.Random(4)
-    docs = make_docs([(i, " ".join([*(f"a{rng.randrange(10 ** 6)}" for _ in range(8)), "zz", "zz", "zz", *(f"a{rng.randrange(10 ** 6)}" for _ in range(8))])) for i in range(4000)])
-    found = substrings.removed_ranges(docs).collect()[0]["ranges"]  # the bytes of every group that is counted
-    assert len(found) > 8 and max(found) <= 2 << 15
