@@ -53,7 +53,7 @@ PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
 
 
 @register("quantile_sketch_by_store", Q.with_(Q.panel_cte("nation")) + f"""
-SELECT store, unnest({PROBS}) AS prob, COUNT(*) AS n, TRUE AS within FROM panel GROUP BY store""", covers="D8 D10")
+SELECT store, unnest(CAST({PROBS} AS DOUBLE[])) AS prob, COUNT(*) AS n, TRUE AS within FROM panel GROUP BY store""", covers="D8 D10")
 def q_quantile_sketch(spark, sf):
     """Sketches stored per (store, week) and merged to stores: is the exact rank of each quantile within the stated bound?"""
     p = panel(spark, sf)

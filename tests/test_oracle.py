@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 catalog.load_all()
 QUERIES, SQL = dict(catalog.QUERIES), dict(catalog.ORACLE)
 HEAVY = {"gbt_walk_forward_cv", "gbt_feature_importance", "gbt_pipeline_newest_fold", "gbt_random_search",
-         "gbt_forecast_saved_model", "gbt_leafwise_preset_cv", "gbt_histogram_preset_cv", "dlinear_validation_wmae", "dlinear_forecast_submission"}
+         "gbt_forecast_saved_model", "gbt_leafwise_preset_cv", "gbt_histogram_preset_cv", "gbt_patience_path", "features_by_importance", "dlinear_validation_wmae", "dlinear_forecast_submission"}
 
 
 def _norm(v):
