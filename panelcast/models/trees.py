@@ -120,21 +120,22 @@ def cv_flat(table: DataFrame, folds: DataFrame, features: list[str], params: dic
     spark: SparkSession = table.sparkSession
     if not prepared:
         table = materialize(table)
-    from .boosting import encode_folds
+    from .boosting import encode_fold
     estimator = gbt(params, max_bins=category_bins(table, features))
 
-    def run(fold):
+    def run(row):
+        fold = encode_fold(table, row, features, date=date)
         model = estimator.fit(fold.part("train"))
         score = model.transform(fold.part("val")).agg(wmae_expr(TARGET, "y_pred").alias("wmae"), F.count(F.lit(1)).alias("n_val")).first()
         wmae = float(score["wmae"]) if score["wmae"] is not None else None
         return fold.fold, wmae, int(score["n_val"]), model.getNumTrees, model.featureImportances.toArray().tolist()
 
-    encoded = encode_folds(table, folds, features, date=date)
+    rows = folds.collect()  # n_splits rows
     if parallel > 1:
         with ThreadPoolExecutor(parallel) as ex:
-            res = list(ex.map(run, encoded))
+            res = list(ex.map(run, rows))
     else:
-        res = [run(fold) for fold in encoded]
+        res = [run(row) for row in rows]
     names = assembled_names(features)
     scores = spark.createDataFrame([(int(f), w, n, t) for f, w, n, t, _ in res], "fold int, wmae double, n_val long, n_trees int")
     # one row per feature: its value, missing flag and index columns together
